@@ -108,6 +108,16 @@ def money(c: Column, scale: int | None) -> Column:
     return c if scale is None else F.round(c, scale)
 
 
+def fixed_round(c: Column, digits: int) -> Column:
+    """Round half up as ``floor(x * 10^d + 0.5) / 10^d``.
+
+    Used for ratios and averages (unit price, AOV averages, forecast level):
+    unlike sums of cents they can sit exactly on a rounding tie (r / 8 cents),
+    and this spelled-out form breaks ties the same way in any engine."""
+    scale = float(10 ** digits)
+    return (F.floor(c * scale + 0.5).cast("double") / scale)
+
+
 def channel_id(name: Column | str) -> Column:
     """Deterministic non-negative 60-bit id of a channel name (md5 prefix)."""
     return F.conv(F.substring(F.md5(_c(name)), 1, 15), 16, 10).cast("bigint")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiforge.functions import constants as K
+from kpiforge.functions.expr import fixed_round
 
 STAT_SCALE = 4
 DEFAULT_METRICS = {"Revenue": "total_revenue", "Orders": "total_orders"}
@@ -41,7 +42,7 @@ def forecast_stats(history: DataFrame, window: int = K.FORECAST_WINDOW,
     level = F.avg(F.when(F.col("rn") <= window, F.col("actual_value")))
     sigma = F.coalesce(F.stddev_pop("actual_value"), F.lit(0.0))
     if scale is not None:
-        level, sigma = F.round(level, scale), F.round(sigma, scale)
+        level, sigma = fixed_round(level, scale), fixed_round(sigma, scale)
     return ranked.groupBy("metric_name").agg(
         level.alias("level"), sigma.alias("sigma"), F.max("sales_date").alias("max_date"))
 

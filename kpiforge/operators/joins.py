@@ -2,13 +2,18 @@
 
 Dimension tables here are unique on their key (they are ``groupBy(key)``
 outputs).  A fact key such as ``'Unknown'`` can carry a third of all fact
-rows; in a sort-merge join all of them would land in one reducer.  So the
-rows of the known hot keys are joined separately against the matching
-dimension rows -- at most ``len(hot_keys)`` rows because the dimension is
-unique on the key, a proven bound -- through a broadcast hash join, which is
-map-side and needs no shuffle of the hot rows at all.  The remaining rows use
-the ordinary join, where Spark picks broadcast (AQE, from measured sizes) or
-sort-merge, and AQE's skew-join handling splits any other skewed partition.
+rows; in a plain sort-merge join all of them would land in one reducer.
+
+``join_dim(..., hot_keys=[...], salt_col=...)`` salts the known hot keys:
+fact rows of a hot key get a deterministic salt in ``[0, buckets)`` from a
+hash of ``salt_col`` (so a retried task sees the same salt), and only the
+dimension rows of the hot keys are replicated once per bucket -- at most
+``len(hot_keys) * buckets`` extra rows, a bound that does not grow with the
+data.  Every other key keeps salt 0.  The join then runs on (key, salt):
+one scan of each side, one shuffle, and the hot key spread over ``buckets``
+reducers.  Spark still picks broadcast (AQE, measured sizes) when the
+dimension is small, and AQE's skew-join splitting covers hot keys that were
+not known in advance.
 """
 
 from __future__ import annotations
@@ -16,13 +21,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SALT = "_salt"
+
+
+def default_buckets(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
 
 def join_dim(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
-             hot_keys: list[str] | None = None) -> DataFrame:
-    """``fact`` JOIN ``dim`` USING ``key`` (dim unique on key), hot keys split off."""
+             hot_keys: list[str] | None = None, salt_col: str | None = None,
+             buckets: int | None = None) -> DataFrame:
+    """``fact`` JOIN ``dim`` USING ``key`` (dim unique on key); hot keys salted."""
     if not hot_keys:
         return fact.join(dim, key, how)
+    if salt_col is None:
+        raise ValueError("salting a hot key needs a salt column of the fact side")
+    n = buckets or default_buckets(fact)
     hot = F.coalesce(F.col(key).isin(hot_keys), F.lit(False))
-    cold_part = fact.where(~hot).join(dim.where(~hot), key, how)
-    hot_part = fact.where(hot).join(F.broadcast(dim.where(hot)), key, how)
-    return cold_part.unionByName(hot_part)
+    salted = fact.withColumn(
+        SALT, F.when(hot, F.pmod(F.xxhash64(F.col(salt_col)), F.lit(n)).cast("int")).otherwise(F.lit(0)))
+    spread = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0))))
+    dim_salted = dim.withColumn(SALT, spread)
+    return salted.join(dim_salted, [key, SALT], how).drop(SALT)

@@ -120,13 +120,14 @@ def geographic_performance_summary(fact: DataFrame, dim_customer: DataFrame,
     The fact side is pre-aggregated per (customer, order) before it is
     shuffled for the join (order lines of one order are adjacent in the files,
     so the partial aggregate collapses them map-side), and the 'Unknown'
-    customer -- the designed hot key -- is joined through a broadcast of its
-    single dim row.
+    customer -- the designed hot key -- is salted over the shuffle partitions
+    by order id (see ``joins.join_dim``).
     """
     per_order = fact.groupBy("customer_id", "order_id").agg(
         F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"))
     dims = dim_customer.select("customer_id", "state", "city").where(F.col("state") != K.UNKNOWN)
-    j = join_dim(per_order, dims, "customer_id", how="inner", hot_keys=[K.UNKNOWN])
+    j = join_dim(per_order, dims, "customer_id", how="inner", hot_keys=[K.UNKNOWN],
+                 salt_col="order_id")
     return j.groupBy("state", "city").agg(
         _sum_money("revenue", scale).alias("total_revenue"),
         _sum_money("profit", scale).alias("total_profit"),

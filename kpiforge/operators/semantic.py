@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiforge.functions.expr import money, month_start, safe_ratio
+from kpiforge.functions.expr import fixed_round, money, month_start, safe_ratio
 
 MetricFn = Callable[[], Column]
 
@@ -43,7 +43,7 @@ CUSTOM_METRICS: dict[str, dict[str, MetricFn]] = {
         "total_revenue": _sum("revenue"),
         "total_orders": lambda: F.sum("orders"),
         "total_quantity_sold": lambda: F.sum("quantity"),
-        "average_order_value": lambda: F.round(F.avg("aov"), 4),
+        "average_order_value": lambda: fixed_round(F.avg("aov"), 4),
     },
     "sales_forecast_result": {
         "actual_value": _sum("actual_value", 4),

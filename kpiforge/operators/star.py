@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions.constants import CHANNEL_TYPE, CUSTOMER_SEGMENT
-from kpiforge.functions.expr import channel_id
+from kpiforge.functions.expr import channel_id, fixed_round
 
 UNIT_PRICE_SCALE = 4
 
@@ -29,9 +29,12 @@ def fact_sales(silver: DataFrame) -> DataFrame:
 
 def dim_customer(silver: DataFrame) -> DataFrame:
     attrs = ["customer_name", "country", "state", "city"]
+    # hash-aggregated distinct of (key, attributes) first: map-side, spill-free
+    # fixed-width buffers; the struct ``min`` (a sort-based aggregate) then only
+    # sees one row per distinct attribute combination
+    combos = silver.where(F.col("customer_id").isNotNull()).select("customer_id", *attrs).distinct()
     return (
-        silver.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
+        combos.groupBy("customer_id")
         .agg(F.min(F.struct(*attrs)).alias("a"))
         .select("customer_id", "a.customer_name", F.lit(CUSTOMER_SEGMENT).alias("customer_segment"),
                 "a.country", "a.state", "a.city")
@@ -40,12 +43,17 @@ def dim_customer(silver: DataFrame) -> DataFrame:
 
 def dim_product(silver: DataFrame, price_scale: int | None = UNIT_PRICE_SCALE) -> DataFrame:
     attrs = ["product_name", "category", "sub_category"]
-    unit = F.avg(F.when(F.col("quantity") > 0, F.col("revenue") / F.col("quantity")))
+    price = F.when(F.col("quantity") > 0, F.col("revenue") / F.col("quantity"))
+    # partial sums per (product, attributes) with hash aggregation, then one
+    # row per product: avg = sum of prices / number of priced rows
+    combos = (silver.where(F.col("product_id").isNotNull())
+              .groupBy("product_id", *attrs)
+              .agg(F.sum(price).alias("s"), F.count(price).alias("n")))
+    unit = F.when(F.sum("n") > 0, F.sum("s") / F.sum("n"))  # avg of no rows is NULL
     if price_scale is not None:
-        unit = F.round(unit, price_scale)
+        unit = fixed_round(unit, price_scale)
     return (
-        silver.where(F.col("product_id").isNotNull())
-        .groupBy("product_id")
+        combos.groupBy("product_id")
         .agg(F.min(F.struct(*attrs)).alias("a"), unit.alias("unit_price"))
         .select("product_id", "a.product_name", "a.category", "a.sub_category", "unit_price")
     )

@@ -27,12 +27,23 @@ from kpiforge.plans.charts import CHARTS
 from kpiforge.plans.warehouse import VIEWS, Warehouse
 from kpiforge.session import scratch_path
 from kpiforge.sources.tables import load_fact, write_fact
+from kpiforge.sources.testdata import source_signature
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# One lazy warehouse graph per (application, source): DataFrames are
+# immutable plans, so queries share the silver/fact/dimension plan objects
+# instead of rebuilding them (each rebuild is ~1k JVM round trips).
+_GRAPHS: dict[tuple, Warehouse] = {}
+
+
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse.from_testdata(spark, sf_dir)
+    key = source_signature(spark, sf_dir)
+    wh = _GRAPHS.get(key)
+    if wh is None or wh.spark is not spark:
+        wh = _GRAPHS[key] = Warehouse.from_testdata(spark, sf_dir)
+    return wh
 
 
 def _on(fn: Callable[[Warehouse], DataFrame]) -> Query:

@@ -84,7 +84,7 @@ CTES = {
     "dim_product": """SELECT product_id, a['product_name'] AS product_name, a['category'] AS category,
         a['sub_category'] AS sub_category, unit_price
       FROM (SELECT product_id, min({'product_name': product_name, 'category': category, 'sub_category': sub_category}) AS a,
-                   round(avg(CASE WHEN quantity > 0 THEN revenue / quantity END), 4) AS unit_price
+                   floor(avg(CASE WHEN quantity > 0 THEN revenue / quantity END) * 10000.0 + 0.5) / 10000.0 AS unit_price
             FROM silver WHERE product_id IS NOT NULL GROUP BY product_id)""",
     "dim_channel": f"""SELECT {_CH} AS channel_id, channel_name, 'E-Commerce Channel' AS channel_type
       FROM (SELECT DISTINCT channel_name FROM silver)""",
@@ -176,11 +176,11 @@ CTES = {
       FROM daily cur LEFT JOIN daily prev ON prev.p = CAST(cur.p - INTERVAL 1 DAY AS DATE)""",
     "revenue_history": "SELECT sales_date, CAST(total_revenue AS DOUBLE) AS v FROM sales_forecast_ready",
     "order_history": "SELECT sales_date, CAST(total_orders AS DOUBLE) AS v FROM sales_forecast_ready",
-    "revenue_stats": """SELECT round(coalesce(stddev_pop(v), 0), 4) AS sigma, max(sales_date) AS max_date,
-        (SELECT round(avg(v), 4) FROM (SELECT v FROM revenue_history ORDER BY sales_date DESC LIMIT 7)) AS level
+    "revenue_stats": """SELECT floor(coalesce(stddev_pop(v), 0) * 10000.0 + 0.5) / 10000.0 AS sigma, max(sales_date) AS max_date,
+        (SELECT floor(avg(v) * 10000.0 + 0.5) / 10000.0 FROM (SELECT v FROM revenue_history ORDER BY sales_date DESC LIMIT 7)) AS level
       FROM revenue_history HAVING count(*) > 0""",
-    "order_stats": """SELECT round(coalesce(stddev_pop(v), 0), 4) AS sigma, max(sales_date) AS max_date,
-        (SELECT round(avg(v), 4) FROM (SELECT v FROM order_history ORDER BY sales_date DESC LIMIT 7)) AS level
+    "order_stats": """SELECT floor(coalesce(stddev_pop(v), 0) * 10000.0 + 0.5) / 10000.0 AS sigma, max(sales_date) AS max_date,
+        (SELECT floor(avg(v) * 10000.0 + 0.5) / 10000.0 FROM (SELECT v FROM order_history ORDER BY sales_date DESC LIMIT 7)) AS level
       FROM order_history HAVING count(*) > 0""",
     "sales_forecast_result": """
       SELECT sales_date, 'Revenue' AS metric_name, v AS actual_value, NULL::DOUBLE AS forecast_value,
@@ -279,7 +279,7 @@ FINAL = {
         CASE WHEN count(DISTINCT order_id) = 0 THEN 0.0 ELSE round(sum(revenue), 2) / count(DISTINCT order_id) END AS average_order_value
         FROM fact""",
     "metrics_kpi_daily": """SELECT round(sum(revenue), 2) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
-        CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, round(avg(aov), 4) AS average_order_value
+        CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, floor(avg(aov) * 10000.0 + 0.5) / 10000.0 AS average_order_value
         FROM kpi_daily_snapshot""",
     "metrics_forecast": """SELECT round(sum(actual_value), 4) AS actual_value, round(sum(forecast_value), 4) AS forecast_value,
         round(sum(lower_bound), 4) AS lower_bound, round(sum(upper_bound), 4) AS upper_bound
@@ -300,10 +300,10 @@ FINAL = {
     "vw_monthly_channel_revenue": "SELECT * FROM channel_monthly_summary ORDER BY snapshot_month, total_revenue DESC",
     "vw_top_states_revenue": "SELECT * FROM vw_top_states_revenue ORDER BY total_revenue DESC",
     "chart_kpi_totals": """SELECT round(sum(revenue), 2) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
-        CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, round(avg(aov), 4) AS average_order_value
+        CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, floor(avg(aov) * 10000.0 + 0.5) / 10000.0 AS average_order_value
         FROM kpi_daily_snapshot""",
     "chart_mini_trends": """SELECT snapshot_date, round(sum(revenue), 2) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
-        CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, round(avg(aov), 4) AS average_order_value
+        CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, floor(avg(aov) * 10000.0 + 0.5) / 10000.0 AS average_order_value
         FROM kpi_daily_snapshot GROUP BY snapshot_date ORDER BY snapshot_date LIMIT 10000""",
     "chart_kpi_status": """SELECT kpi_name, current_value, previous_value, delta_value, delta_pct, trend_direction, minimum_status
         FROM vw_kpi_monthly_status, latest_month WHERE snapshot_month >= lo AND snapshot_month < hi

@@ -139,7 +139,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LANDED: dict[tuple, str] = {}
 
 
-def _signature(spark: SparkSession, sf_dir: str) -> tuple:
+def source_signature(spark: SparkSession, sf_dir: str) -> tuple:
     files = []
     for name in SOURCE_TABLES:
         p = f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -156,7 +156,7 @@ def land_bronze(spark: SparkSession, sf_dir: str) -> str:
     every query then starts from the stored bronze: short lineage that
     survives lost executors, and plans that start from plain columns instead
     of the whole source mapping inlined into every predicate."""
-    key = _signature(spark, sf_dir)
+    key = source_signature(spark, sf_dir)
     path = _LANDED.get(key)
     if path is None:
         path = scratch_path(spark, "bronze")
