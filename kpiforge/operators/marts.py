@@ -156,7 +156,8 @@ def customer_rfm(fact: DataFrame, scale: int | None = MONEY_SCALE, pseudo: bool
         _orders().alias("frequency"),
         _sum_money("revenue", scale).alias("monetary"),
     )
-    # one-row global aggregate: broadcasting it is bounded by construction
+    # one-row global aggregate (a narrow scan, one row per task, no shuffle
+    # of data); broadcasting it is bounded by construction
     max_date = fact.agg(F.max("order_date").alias("max_date"))
     r, f, m = F.col("recency"), F.col("frequency"), F.col("monetary")
     segment = (

@@ -27,15 +27,26 @@ def fact_sales(silver: DataFrame) -> DataFrame:
     )
 
 
+def _keep_rows(per_key: DataFrame) -> DataFrame:
+    """Keep keys with at least one source row (all of them).
+
+    The predicate is what keeps the hash pre-aggregation in the plan: without
+    a duplicate-sensitive aggregate above it, the optimizer would fold the
+    per-(key, attributes) step into the sort-based struct ``min`` and sort the
+    full input instead of the deduplicated combinations."""
+    return per_key.where(F.col("rows") > 0)
+
+
 def dim_customer(silver: DataFrame) -> DataFrame:
     attrs = ["customer_name", "country", "state", "city"]
-    # hash-aggregated distinct of (key, attributes) first: map-side, spill-free
-    # fixed-width buffers; the struct ``min`` (a sort-based aggregate) then only
-    # sees one row per distinct attribute combination
-    combos = silver.where(F.col("customer_id").isNotNull()).select("customer_id", *attrs).distinct()
+    # hash aggregate per (key, attributes) first: map-side with fixed-width
+    # buffers; the struct ``min`` (a sort-based aggregate) then only sees one
+    # row per distinct attribute combination
+    combos = (silver.where(F.col("customer_id").isNotNull())
+              .groupBy("customer_id", *attrs).agg(F.count(F.lit(1)).alias("n")))
     return (
-        combos.groupBy("customer_id")
-        .agg(F.min(F.struct(*attrs)).alias("a"))
+        _keep_rows(combos.groupBy("customer_id")
+                   .agg(F.min(F.struct(*attrs)).alias("a"), F.sum("n").alias("rows")))
         .select("customer_id", "a.customer_name", F.lit(CUSTOMER_SEGMENT).alias("customer_segment"),
                 "a.country", "a.state", "a.city")
     )
@@ -48,13 +59,15 @@ def dim_product(silver: DataFrame, price_scale: int | None = UNIT_PRICE_SCALE) -
     # row per product: avg = sum of prices / number of priced rows
     combos = (silver.where(F.col("product_id").isNotNull())
               .groupBy("product_id", *attrs)
-              .agg(F.sum(price).alias("s"), F.count(price).alias("n")))
+              .agg(F.sum(price).alias("s"), F.count(price).alias("n"),
+                   F.count(F.lit(1)).alias("rows")))
     unit = F.when(F.sum("n") > 0, F.sum("s") / F.sum("n"))  # avg of no rows is NULL
     if price_scale is not None:
         unit = fixed_round(unit, price_scale)
     return (
-        combos.groupBy("product_id")
-        .agg(F.min(F.struct(*attrs)).alias("a"), unit.alias("unit_price"))
+        _keep_rows(combos.groupBy("product_id")
+                   .agg(F.min(F.struct(*attrs)).alias("a"), unit.alias("unit_price"),
+                        F.sum("rows").alias("rows")))
         .select("product_id", "a.product_name", "a.category", "a.sub_category", "unit_price")
     )
 
