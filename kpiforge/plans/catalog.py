@@ -135,5 +135,5 @@ QUERIES: dict[str, Query] = {
         wh.product_profitability_summary,
         [F.col("total_revenue").desc(), F.col("product_id").asc()], 10)),
 }
-QUERIES.update({name: _on(lambda wh, n=name: wh.view(n)) for name in VIEWS})
+QUERIES.update({name: _on(lambda wh, n=name: wh.view(n, ordered=True)) for name in VIEWS})
 QUERIES.update({name: _on(fn) for name, fn in CHARTS.items()})

@@ -1,4 +1,11 @@
-"""Dashboard datasets (the BI layer's virtual views) as DataFrame functions."""
+"""Dashboard datasets (the BI layer's virtual views) as DataFrame functions.
+
+The functions return the rows unordered.  The views' ``ORDER BY`` is
+presentation only, and is applied just where a view is the final result
+(``ordered``): under a chart's aggregate a sort would not be removed by the
+optimizer (floating-point sums are order-sensitive) and would cost a
+range-partitioning shuffle and a global sort of the whole view.
+"""
 
 from __future__ import annotations
 
@@ -38,13 +45,11 @@ def revenue_by_product_attribute(fact: DataFrame, dim_product: DataFrame, attr:
 
 
 def vw_revenue_by_category(fact, dim_product, scale=MONEY_SCALE):
-    return revenue_by_product_attribute(fact, dim_product, "category", scale) \
-        .orderBy(F.col("total_revenue").desc())
+    return revenue_by_product_attribute(fact, dim_product, "category", scale)
 
 
 def vw_revenue_by_sub_category(fact, dim_product, scale=MONEY_SCALE):
-    return revenue_by_product_attribute(fact, dim_product, "sub_category", scale) \
-        .orderBy(F.col("total_revenue").desc())
+    return revenue_by_product_attribute(fact, dim_product, "sub_category", scale)
 
 
 def vw_top_products_by_revenue(fact: DataFrame, dim_product: DataFrame,
@@ -56,8 +61,7 @@ def vw_top_products_by_revenue(fact: DataFrame, dim_product: DataFrame,
             .groupBy("order_date", "product_name", "category")
             .agg(money(F.sum("revenue"), scale).alias("total_revenue"),
                  F.sum("quantity").alias("total_quantity"),
-                 F.count_distinct("order_id").alias("total_orders"))
-            .orderBy(F.col("total_revenue").desc()))
+                 F.count_distinct("order_id").alias("total_orders")))
 
 
 def vw_channel_performance(fact: DataFrame, dim_channel: DataFrame,
@@ -68,19 +72,17 @@ def vw_channel_performance(fact: DataFrame, dim_channel: DataFrame,
                      "order_id", "revenue")
             .groupBy("order_date", "channel_name", "channel_type")
             .agg(money(F.sum("revenue"), scale).alias("total_revenue"),
-                 F.count_distinct("order_id").alias("total_orders"))
-            .orderBy(F.col("total_revenue").desc()))
+                 F.count_distinct("order_id").alias("total_orders")))
 
 
 def vw_customer_segment_distribution(rfm: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
     return (rfm.groupBy("segment_name")
             .agg(F.count(F.lit(1)).alias("customers"),
-                 money(F.sum("monetary"), scale).alias("total_monetary"))
-            .orderBy(F.col("customers").desc()))
+                 money(F.sum("monetary"), scale).alias("total_monetary")))
 
 
 def vw_geographic_performance(silver: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
-    return geographic_daily_summary(silver, scale).orderBy(F.col("total_revenue").desc())
+    return geographic_daily_summary(silver, scale)
 
 
 def vw_kpi_monthly_status(fact: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
@@ -93,9 +95,28 @@ def vw_kpi_daily_comparison(fact: DataFrame, scale: int | None = MONEY_SCALE) ->
 
 def vw_monthly_channel_revenue(fact: DataFrame, dim_channel: DataFrame,
                                scale: int | None = MONEY_SCALE) -> DataFrame:
-    return channel_monthly_summary(fact, dim_channel, scale) \
-        .orderBy("snapshot_month", F.col("total_revenue").desc())
+    return channel_monthly_summary(fact, dim_channel, scale)
 
 
 def vw_top_states_revenue(silver: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
-    return state_daily(silver, scale).orderBy(F.col("total_revenue").desc())
+    return state_daily(silver, scale)
+
+
+# presentation order of each view (its ORDER BY)
+VIEW_ORDER: dict[str, list[tuple[str, bool]]] = {
+    "vw_revenue_by_category": [("total_revenue", False)],
+    "vw_revenue_by_sub_category": [("total_revenue", False)],
+    "vw_top_products_by_revenue": [("total_revenue", False)],
+    "vw_channel_performance": [("total_revenue", False)],
+    "vw_customer_segment_distribution": [("customers", False)],
+    "vw_geographic_performance": [("total_revenue", False)],
+    "vw_monthly_channel_revenue": [("snapshot_month", True), ("total_revenue", False)],
+    "vw_top_states_revenue": [("total_revenue", False)],
+}
+
+
+def order_view(name: str, df: DataFrame) -> DataFrame:
+    keys = VIEW_ORDER.get(name)
+    if not keys:
+        return df
+    return df.orderBy(*[F.col(c).asc() if up else F.col(c).desc() for c, up in keys])

@@ -155,7 +155,8 @@ class Warehouse:
         return getattr(self, attr)
 
     # ------------------------------------------------ virtual (not stored)
-    def view(self, name: str) -> DataFrame:
+    def view(self, name: str, ordered: bool = False) -> DataFrame:
+        """A dashboard dataset; ``ordered`` applies its presentation order."""
         deps = {
             "vw_revenue_by_category": ("fact", "dim_product"),
             "vw_revenue_by_sub_category": ("fact", "dim_product"),
@@ -168,4 +169,5 @@ class Warehouse:
             "vw_monthly_channel_revenue": ("fact", "dim_channel"),
             "vw_top_states_revenue": ("silver",),
         }[name]
-        return getattr(V, name)(*[getattr(self, d) for d in deps])
+        df = getattr(V, name)(*[getattr(self, d) for d in deps])
+        return V.order_view(name, df) if ordered else df
