@@ -43,15 +43,3 @@ def dq_forecast_rows(forecast: DataFrame) -> DataFrame:
 
 def dq_state_count(geo_daily: DataFrame) -> DataFrame:
     return geo_daily.agg(F.count_distinct("state").alias("total_states"))
-
-
-def invariant_report(fact: DataFrame, silver: DataFrame, marts: dict[str, DataFrame],
-                     revenue_cols: dict[str, str]) -> DataFrame:
-    """Sum of revenue per mart next to the fact total (one row per mart)."""
-    parts = [fact.agg(F.sum("revenue").alias("total")).withColumn("table", F.lit("fact_sales"))]
-    for name, df in marts.items():
-        parts.append(df.agg(F.sum(revenue_cols[name]).alias("total")).withColumn("table", F.lit(name)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("table", F.round("total", 2).alias("total"))

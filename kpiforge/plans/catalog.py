@@ -78,11 +78,11 @@ def _iso_codes(wh: Warehouse) -> DataFrame:
     return states.select("state", iso_state_code("state").alias("iso_code"))
 
 
-def _metrics(dataset: str, table: Callable[[Warehouse], DataFrame],
-             names: Callable[[DataFrame], list[str]]) -> Query:
+def _custom_metrics(dataset: str, table: Callable[[Warehouse], DataFrame]) -> Query:
+    """All custom metrics of a dataset as one global aggregate row."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = table(_wh(spark, sf_dir))
-        return df.agg(*metric_columns(dataset, df, names(df)))
+        return df.agg(*metric_columns(dataset, df, list(CUSTOM_METRICS[dataset])))
     return run
 
 
@@ -121,12 +121,9 @@ QUERIES: dict[str, Query] = {
     "dq_state_count": _on(lambda wh: Q.dq_state_count(wh.geographic_daily_summary)),
     # semantic layer
     "metrics_fact_sales_auto": _on(_auto_fact_metrics),
-    "metrics_fact_sales": _metrics("fact_sales", lambda wh: wh.fact,
-                                   lambda df: list(CUSTOM_METRICS["fact_sales"])),
-    "metrics_kpi_daily": _metrics("kpi_daily_snapshot", lambda wh: wh.kpi_daily_snapshot,
-                                  lambda df: list(CUSTOM_METRICS["kpi_daily_snapshot"])),
-    "metrics_forecast": _metrics("sales_forecast_result", lambda wh: wh.sales_forecast_result,
-                                 lambda df: list(CUSTOM_METRICS["sales_forecast_result"])),
+    "metrics_fact_sales": _custom_metrics("fact_sales", lambda wh: wh.fact),
+    "metrics_kpi_daily": _custom_metrics("kpi_daily_snapshot", lambda wh: wh.kpi_daily_snapshot),
+    "metrics_forecast": _custom_metrics("sales_forecast_result", lambda wh: wh.sales_forecast_result),
     "latest_month_filter": _on(lambda wh: latest_month_filter(
         wh.kpi_daily_snapshot, "snapshot_date", wh.fact)),
     "kpi_latest_days": _on(lambda wh: top_n(

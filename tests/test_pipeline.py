@@ -96,3 +96,17 @@ def test_from_csv_matches_bronze(spark, sf_small):
     a = sorted(tuple(r) for r in E.queries()["csv_scan"](spark, sf_small).collect())
     b = sorted(tuple(r) for r in E.queries()["bronze_orders"](spark, sf_small).collect())
     assert a == b
+
+
+def test_stored_schemas_match_contracts(spark, built):
+    from kpiforge import schemas as S
+    out, _ = built
+    wh = Warehouse.from_tables(spark, out)
+
+    def shape(df):
+        return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+    assert shape(wh.bronze) == shape(spark.createDataFrame([], S.BRONZE))
+    assert shape(wh.silver) == shape(spark.createDataFrame([], S.SILVER))
+    assert shape(wh.fact) == shape(spark.createDataFrame([], S.FACT_SALES))
+    assert shape(wh.sales_forecast_result) == shape(spark.createDataFrame([], S.SALES_FORECAST_RESULT))
