@@ -58,10 +58,10 @@ def baseline_forecast(daily: DataFrame, metrics: dict[str, str] | None = None,
         "sales_date", "metric_name", "actual_value", null.alias("forecast_value"),
         null.alias("lower_bound"), null.alias("upper_bound"),
         F.lit(K.FORECAST_MODEL_HISTORY).alias("model_name"))
-    # horizon steps: a fixed-size parameter (30 rows), safe to broadcast
-    steps = daily.sparkSession.range(1, horizon + 1).select(F.col("id").cast("int").alias("h"))
+    # horizon steps generated per stats row (one row per metric): no join
+    steps = stats.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     lv, sg = F.col("level"), F.col("sigma")
-    fc_rows = stats.crossJoin(F.broadcast(steps)).select(
+    fc_rows = steps.select(
         F.date_add("max_date", F.col("h")).alias("sales_date"), "metric_name",
         null.alias("actual_value"), lv.alias("forecast_value"),
         F.greatest(lv - sg, F.lit(0.0)).alias("lower_bound"), (lv + sg).alias("upper_bound"),

@@ -156,9 +156,9 @@ def customer_rfm(fact: DataFrame, scale: int | None = MONEY_SCALE, pseudo: bool
         _orders().alias("frequency"),
         _sum_money("revenue", scale).alias("monetary"),
     )
-    # one-row global aggregate (a narrow scan, one row per task, no shuffle
-    # of data); broadcasting it is bounded by construction
-    max_date = fact.agg(F.max("order_date").alias("max_date"))
+    # scalar subquery for the latest order date (a narrow one-row aggregate,
+    # planned once and inlined as a value -- no join)
+    max_date = fact.agg(F.max("order_date")).scalar()
     r, f, m = F.col("recency"), F.col("frequency"), F.col("monetary")
     segment = (
         F.when((r <= champions[0]) & (f >= champions[1]) & (m >= champions[2]), "Champions")
@@ -168,9 +168,8 @@ def customer_rfm(fact: DataFrame, scale: int | None = MONEY_SCALE, pseudo: bool
         .otherwise("Regular")
     )
     return (
-        per_key.crossJoin(F.broadcast(max_date))
-        .select("pseudo_customer_id",
-                F.datediff("max_date", "last_order").cast("bigint").alias("recency"),
-                "frequency", "monetary")
+        per_key.select("pseudo_customer_id",
+                       F.datediff(max_date, F.col("last_order")).cast("bigint").alias("recency"),
+                       "frequency", "monetary")
         .withColumn("segment_name", segment)
     )

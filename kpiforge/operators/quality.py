@@ -21,17 +21,23 @@ DQ_CHECKS = [
 
 
 def dq_checks(bronze: DataFrame, silver: DataFrame, fact: DataFrame) -> DataFrame:
-    b = bronze.agg(F.count(F.lit(1)).alias("bronze_rows"))
-    s = silver.agg(
-        F.count(F.lit(1)).alias("silver_rows"),
-        F.count_if(F.col("order_id").isNull() | (F.col("order_id") == "")).alias("null_order_id_in_silver"),
-        F.count_if(F.col("quantity") <= 0).alias("invalid_quantity_in_silver"),
-        F.count_if(F.col("revenue") < 0).alias("negative_revenue_in_silver"),
-    )
-    f = fact.agg(F.count(F.lit(1)).alias("fact_sales_rows"))
-    # three one-row aggregates: the cross product is one row
-    one = b.crossJoin(s).crossJoin(f).select(*[F.col(c).cast("bigint") for c in DQ_CHECKS])
-    return one.unpivot([], DQ_CHECKS, "check_name", "value")
+    """(check_name, value) rows: one aggregate pass per table, unpivoted, unioned."""
+    def checks(df: DataFrame, cols: list[F.Column]) -> DataFrame:
+        one = df.agg(*cols)
+        return one.select(*[F.col(c).cast("bigint") for c in one.columns]) \
+            .unpivot([], one.columns, "check_name", "value")
+
+    parts = [
+        checks(bronze, [F.count(F.lit(1)).alias("bronze_rows")]),
+        checks(silver, [
+            F.count(F.lit(1)).alias("silver_rows"),
+            F.count_if(F.col("order_id").isNull() | (F.col("order_id") == "")).alias("null_order_id_in_silver"),
+            F.count_if(F.col("quantity") <= 0).alias("invalid_quantity_in_silver"),
+            F.count_if(F.col("revenue") < 0).alias("negative_revenue_in_silver"),
+        ]),
+        checks(fact, [F.count(F.lit(1)).alias("fact_sales_rows")]),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def dq_forecast_rows(forecast: DataFrame) -> DataFrame:

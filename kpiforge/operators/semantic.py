@@ -119,10 +119,8 @@ def latest_month_filter(df: DataFrame, date_col: str, reference: DataFrame,
     """Rows of ``df`` whose ``date_col`` falls in the calendar month of
     ``max(reference_col)`` -- the dashboard's default month filter.
 
-    The bound is a one-row aggregate joined by broadcast (no driver collect)."""
-    bounds = reference.agg(month_start(F.max(reference_col)).alias("_lo")) \
-        .select("_lo", F.add_months("_lo", 1).alias("_hi"))
+    The month start is a scalar subquery (one-row aggregate, no driver
+    collect, no join); the range is half-open ``[start, start + 1 month)``."""
+    lo = reference.agg(month_start(F.max(reference_col))).scalar()
     d = F.col(date_col)
-    return (df.crossJoin(F.broadcast(bounds))
-            .where((d >= F.col("_lo")) & (d < F.col("_hi")))
-            .drop("_lo", "_hi"))
+    return df.where((d >= lo) & (d < F.add_months(lo, 1)))
