@@ -25,7 +25,10 @@ SALT = "_salt"
 
 
 def default_buckets(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Salt values per hot key: 4x the shuffle partitions, so that after hash
+    partitioning of (key, salt) nearly every reducer gets an even share (with
+    one salt per partition, hash collisions leave many reducers empty)."""
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
