@@ -37,8 +37,12 @@ def table_path(root: str, name: str) -> str:
 
 def write_table(df: DataFrame, root: str, name: str, sort: list[str] | None = None,
                 mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as table ``name`` under ``root``; returns its path."""
-    out = df.sortWithinPartitions(*sort) if sort else df
+    """Write ``df`` as table ``name`` under ``root``; returns its path.
+
+    With ``partition_by`` the partition columns lead the in-file sort: that is
+    the order the partitioned writer needs, so it adds no sort of its own."""
+    keys = [*(partition_by or []), *(sort or [])]
+    out = df.sortWithinPartitions(*keys) if keys else df
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

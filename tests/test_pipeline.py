@@ -125,3 +125,16 @@ def test_table_files_sorted_on_sort_key(built):
         for f in files:
             values = pq.read_table(f, columns=[key]).column(key).to_pylist()
             assert values == sorted(values), (table, f)
+
+
+def test_fact_files_sorted_within_month(built):
+    import glob
+
+    import pyarrow.parquet as pq
+    out, _ = built
+    files = glob.glob(f"{local_path(out)}/fact_sales/order_month=*/*.parquet")
+    assert files
+    for f in files:
+        rows = pq.read_table(f, columns=["order_date", "order_id"]).to_pylist()
+        keys = [(r["order_date"], r["order_id"]) for r in rows]
+        assert keys == sorted(keys), f
