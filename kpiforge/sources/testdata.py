@@ -53,16 +53,18 @@ def _money(c: Column) -> Column:
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"))
-    od = read_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority")
-    cu = read_table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    # every table that grows with the data is spread when its files have fewer
+    # splits than the cluster has cores (a no-op for real large inputs)
+    od = ensure_parallelism(read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority"))
+    cu = ensure_parallelism(read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
     na = read_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_nationkey", "n_name", "n_regionkey")
     rg = read_table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    pa = read_table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_type", "p_retailprice")
+    pa = ensure_parallelism(read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_type", "p_retailprice"))
     # orders are enriched with customer / nation / region first (an orders-sized
     # join), so the lineitem-sized data is shuffled twice (order key, part key)
     # instead of three times

@@ -66,3 +66,14 @@ def _formatted(df) -> str:
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
     return buf.getvalue()
+
+
+def test_landed_bronze_is_spread(spark, sf_small):
+    """Queries start from the stored bronze: it must not be a single file/task."""
+    import os
+
+    from kpiforge.session import local_path
+    from kpiforge.sources.testdata import land_bronze
+    path = local_path(land_bronze(spark, sf_small))
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) >= min(8, spark.sparkContext.defaultParallelism)
