@@ -26,7 +26,7 @@ from kpiforge.operators.silver import silver_rejects
 from kpiforge.plans.charts import CHARTS
 from kpiforge.plans.warehouse import VIEWS, Warehouse
 from kpiforge.session import scratch_path
-from kpiforge.sources.tables import load_fact, write_fact
+from kpiforge.sources.tables import load_latest_month, write_fact
 from kpiforge.sources.testdata import source_signature
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,16 +61,10 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact written month-partitioned, read back for the latest month only
-    (partition pruning on ``order_month``)."""
+    (run-time partition pruning on ``order_month``)."""
     path = scratch_path(spark, "fact")
-    fact = _wh(spark, sf_dir).fact
-    write_fact(fact, path, "fact_sales")
-    # one scalar (the latest date) decides which folder to read
-    last = spark.read.parquet(f"{path}/fact_sales").agg(F.max("order_date")).first()[0]
-    if last is None:
-        return load_fact(spark, path).limit(0)
-    start = last.replace(day=1)
-    return load_fact(spark, path, start, last)
+    write_fact(_wh(spark, sf_dir).fact, path, "fact_sales")
+    return load_latest_month(spark, path)
 
 
 def _iso_codes(wh: Warehouse) -> DataFrame:

@@ -7,7 +7,8 @@
   ``yyyyMM`` as int) so a date-range read only lists the matching folders.
 * ``load`` / ``load_fact``: scans; ``load_fact(start, end)`` derives the month
   range from the dates so partition pruning happens (Spark cannot infer
-  ``order_month`` from a predicate on ``order_date``).
+  ``order_month`` from a predicate on ``order_date``); ``load_latest_month``
+  prunes to the newest month with a run-time scalar subquery.
 """
 
 from __future__ import annotations
@@ -86,3 +87,14 @@ def load_fact(spark: SparkSession, root: str, start: dt.date | str | None = None
     if end is not None:
         df = df.where((F.col(FACT_PARTITION) <= _yyyymm(end)) & (F.col("order_date") <= F.lit(end).cast("date")))
     return df
+
+
+def load_latest_month(spark: SparkSession, root: str, name: str = "fact_sales") -> DataFrame:
+    """Fact rows of the latest month (the dashboard's default month).
+
+    The month is a scalar subquery over the partition column, placed in the
+    scan's partition filter: Spark evaluates it at run time and lists only
+    that month's folder -- pruning without a driver round trip."""
+    fact = load(spark, root, name)
+    latest = fact.agg(F.max(FACT_PARTITION)).scalar()
+    return fact.where(F.col(FACT_PARTITION) == latest)
