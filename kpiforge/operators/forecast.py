@@ -10,15 +10,18 @@ Per metric (``Revenue`` = daily revenue, ``Orders`` = daily distinct orders):
 * horizon rows h = 1..``horizon``: date = last day + h, forecast = level,
   bounds = level -/+ sigma (lower clipped at 0), model ``moving_average_7d``.
 
-All metrics are handled in one pass: the daily table is unpivoted, ranked
-newest-first per metric, and reduced to one stats row per metric.  The input
-is a per-day aggregate (bounded by the calendar span), so the window per
-metric is small at any data volume.  Empty history gives no forecast rows.
+All metrics come from one unpivot of the daily table; sigma and the last
+date are ordinary partial aggregates per metric, the level a per-metric
+top-k of the newest rows (the reference's ORDER BY ... DESC LIMIT 7), and
+the horizon rows are generated from the stats rows.  Empty history gives no
+forecast rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions import constants as K
@@ -36,15 +39,26 @@ def forecast_history(daily: DataFrame, metrics: dict[str, str] | None = None) ->
 
 
 def forecast_stats(history: DataFrame, window: int = K.FORECAST_WINDOW,
-                   scale: int | None = STAT_SCALE) -> DataFrame:
-    newest_first = Window.partitionBy("metric_name").orderBy(F.col("sales_date").desc())
-    ranked = history.withColumn("rn", F.row_number().over(newest_first))
-    level = F.avg(F.when(F.col("rn") <= window, F.col("actual_value")))
-    sigma = F.coalesce(F.stddev_pop("actual_value"), F.lit(0.0))
+                   scale: int | None = STAT_SCALE, metrics: list[str] | None = None) -> DataFrame:
+    """One row per metric: level (mean of the last ``window`` rows by date),
+    sigma (population stddev of all rows, 0 if undefined) and the last date.
+
+    The last rows are a per-metric top-k (``ORDER BY sales_date DESC LIMIT k``,
+    planned as TakeOrderedAndProject: every task keeps its own k newest rows),
+    so no task ever holds a metric's whole history."""
+    names = metrics or list(DEFAULT_METRICS)
+    spread = history.groupBy("metric_name").agg(
+        F.coalesce(F.stddev_pop("actual_value"), F.lit(0.0)).alias("sigma"),
+        F.max("sales_date").alias("max_date"))
+    newest = [history.where(F.col("metric_name") == m).orderBy(F.col("sales_date").desc()).limit(window)
+              for m in names]
+    last = reduce(DataFrame.unionByName, newest)
+    level = last.groupBy("metric_name").agg(F.avg("actual_value").alias("level"))
+    stats = spread.join(level, "metric_name")
     if scale is not None:
-        level, sigma = fixed_round(level, scale), fixed_round(sigma, scale)
-    return ranked.groupBy("metric_name").agg(
-        level.alias("level"), sigma.alias("sigma"), F.max("sales_date").alias("max_date"))
+        stats = stats.select("metric_name", fixed_round(F.col("level"), scale).alias("level"),
+                             fixed_round(F.col("sigma"), scale).alias("sigma"), "max_date")
+    return stats.select("metric_name", "level", "sigma", "max_date")
 
 
 def baseline_forecast(daily: DataFrame, metrics: dict[str, str] | None = None,
@@ -52,7 +66,7 @@ def baseline_forecast(daily: DataFrame, metrics: dict[str, str] | None = None,
                       scale: int | None = STAT_SCALE, with_created_at: bool = True) -> DataFrame:
     """``daily`` has ``sales_date`` plus the metric source columns."""
     history = forecast_history(daily, metrics)
-    stats = forecast_stats(history, window, scale)
+    stats = forecast_stats(history, window, scale, list(metrics or DEFAULT_METRICS))
     null = F.lit(None).cast("double")
     hist_rows = history.select(
         "sales_date", "metric_name", "actual_value", null.alias("forecast_value"),
