@@ -18,8 +18,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
+# defaults for sessions this package creates itself (not forced on a caller's)
+SESSION_DEFAULTS = {"spark.sql.session.timeZone": "UTC"}
 
 
 def get_spark(master: str = "local[8]", app: str = "kpiforge", shuffle_partitions: int = 8,
@@ -32,7 +33,7 @@ def get_spark(master: str = "local[8]", app: str = "kpiforge", shuffle_partition
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
     )
-    for k, v in {**ENGINE_CONF, **(extra or {})}.items():
+    for k, v in {**SESSION_DEFAULTS, **ENGINE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
