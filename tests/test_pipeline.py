@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from kpiforge.operators.quality import dq_checks
 from kpiforge.plans.pipeline import run_pipeline
 from kpiforge.plans.warehouse import TABLES, Warehouse
 from kpiforge.session import local_path, scratch_path
@@ -138,3 +139,22 @@ def test_fact_files_sorted_within_month(built):
         rows = pq.read_table(f, columns=["order_date", "order_id"]).to_pylist()
         keys = [(r["order_date"], r["order_id"]) for r in rows]
         assert keys == sorted(keys), f
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_invariants_every_scale(spark, sf_dir):
+    """SURVEY §5.3 invariants on the lazy warehouse at each scale factor."""
+    wh = Warehouse.from_testdata(spark, sf_dir)
+    totals = wh.fact.agg(F.round(F.sum("revenue"), 2).alias("fact"), F.count("*").alias("n")).first()
+    assert totals.n == wh.silver.count()
+    for df, c in [(wh.channel_performance_summary, "total_revenue"),
+                  (wh.product_profitability_summary, "total_revenue"),
+                  (wh.sales_forecast_ready, "total_revenue"),
+                  (wh.kpi_daily_snapshot, "revenue"),
+                  (wh.channel_monthly_summary, "total_revenue"),
+                  (wh.customer_rfm, "monetary")]:
+        assert df.agg(F.round(F.sum(c), 2)).first()[0] == totals.fact
+    dq = {r.check_name: r.value for r in dq_checks(wh.bronze, wh.silver, wh.fact).collect()}
+    assert dq["null_order_id_in_silver"] == dq["invalid_quantity_in_silver"] == dq["negative_revenue_in_silver"] == 0
+    seg = wh.view("vw_customer_segment_distribution").agg(F.sum("customers")).first()[0]
+    assert seg == wh.customer_rfm.count()
