@@ -12,9 +12,15 @@ On top of that mapping the raw frame uses source-style headers (``Order ID``,
 tabs / no-break spaces, so header normalisation, per-row candidate fallback and
 whitespace stripping are exercised by every query that starts from it.
 
-Joins: lineitem-orders-customer-part grow with the data and are left to Spark
-(sort-merge, or broadcast when AQE measures a side under the threshold);
-nation (25 rows) and region (5 rows) are fixed-size TPC-H tables.
+Joins: orders are enriched with customer / nation / region first, then
+joined to line items and parts, so the line-item-sized data is shuffled
+twice; strategies are left to Spark (sort-merge, or broadcast when AQE
+measures a side under the threshold).  Sources with fewer splits than cores
+are spread first (``ensure_parallelism``, a no-op for large inputs).
+
+``land_bronze`` runs this once per application and stores the bronze table
+under ``spark.checkpoint.dir``; every registered query starts from that
+stored table, as the warehouse's own queries start from its loaded bronze.
 """
 
 from __future__ import annotations
