@@ -113,7 +113,9 @@ def fixed_round(c: Column, digits: int) -> Column:
 
     Used for ratios and averages (unit price, AOV averages, forecast level):
     unlike sums of cents they can sit exactly on a rounding tie (r / 8 cents),
-    and this spelled-out form breaks ties the same way in any engine."""
+    and this spelled-out form breaks ties the same way in any engine.  Valid
+    for ``|x| * 10^d`` below 9.2e18 (bigint floor): at 4 digits up to ~9e14,
+    above any daily revenue level of the target data size."""
     scale = float(10 ** digits)
     return (F.floor(c * scale + 0.5).cast("double") / scale)
 
