@@ -19,7 +19,8 @@ from kpiforge.functions.constants import (
     UNKNOWN_ISO,
 )
 
-# Java regex; ``\z`` (not ``$``) so a trailing newline does not match.
+# --- FIXED VALUES: accepted number / date text shapes (Java regex; ``\z``,
+# not ``$``, so a trailing newline does not match) ---
 INT_PATTERN = r"^[+-]?[0-9]+\z"
 DOUBLE_PATTERN = (
     r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"

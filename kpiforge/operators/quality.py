@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# --- FIXED VALUES: data-quality check names, in the order they are reported ---
 DQ_CHECKS = [
     "bronze_rows",
     "silver_rows",

@@ -30,6 +30,7 @@ def _sum(c: str, scale: int | None = 2) -> MetricFn:
     return lambda: money(F.sum(c), scale)
 
 
+# --- FIXED VALUES: custom metrics per dataset (names and definitions) ---
 CUSTOM_METRICS: dict[str, dict[str, MetricFn]] = {
     "fact_sales": {
         "total_revenue": _sum("revenue"),

@@ -14,6 +14,7 @@ from kpiforge.functions.constants import KPI_NAMES
 from kpiforge.operators.semantic import chart_query, latest_month_filter
 from kpiforge.plans.warehouse import Warehouse
 
+# --- FIXED VALUES: KPI card metrics and chart row limits ---
 KPI_METRICS = ["total_revenue", "total_orders", "total_quantity_sold", "average_order_value"]
 ROW_LIMIT = 10000
 

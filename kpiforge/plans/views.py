@@ -102,7 +102,7 @@ def vw_top_states_revenue(silver: DataFrame, scale: int | None = MONEY_SCALE) ->
     return state_daily(silver, scale)
 
 
-# presentation order of each view (its ORDER BY)
+# --- FIXED VALUES: presentation order of each view (its ORDER BY) ---
 VIEW_ORDER: dict[str, list[tuple[str, bool]]] = {
     "vw_revenue_by_category": [("total_revenue", False)],
     "vw_revenue_by_sub_category": [("total_revenue", False)],
