@@ -55,9 +55,22 @@ CUSTOM_METRICS: dict[str, dict[str, MetricFn]] = {
 }
 
 
-def auto_metrics(df: DataFrame, scale: int | None = 2) -> dict[str, MetricFn]:
+# --- FIXED VALUES: columns declared nullable per dataset (no auto SUM metric) ---
+NULLABLE_COLUMNS: dict[str, set[str]] = {
+    "sales_forecast_result": {"actual_value", "forecast_value", "lower_bound", "upper_bound"},
+    "vw_kpi_monthly_status": {"previous_value", "delta_pct"},
+    "vw_kpi_daily_comparison": {"previous_value", "delta_pct"},
+}
+
+
+def auto_metrics(df: DataFrame, scale: int | None = 2, dataset: str | None = None) -> dict[str, MetricFn]:
+    """COUNT(*), SUM of every numeric column not declared nullable, and
+    COUNT(DISTINCT order_id) when the dataset has an order id."""
     out: dict[str, MetricFn] = {"count": lambda: F.count(F.lit(1))}
+    skip = NULLABLE_COLUMNS.get(dataset or "", set())
     for f in df.schema.fields:
+        if f.name in skip:
+            continue
         if isinstance(f.dataType, T.IntegralType):
             out[f.name] = (lambda n: lambda: F.sum(F.col(n).cast("decimal(38,0)")))(f.name)
         elif isinstance(f.dataType, (T.FractionalType,)):
@@ -68,7 +81,7 @@ def auto_metrics(df: DataFrame, scale: int | None = 2) -> dict[str, MetricFn]:
 
 
 def dataset_metrics(name: str, df: DataFrame) -> dict[str, MetricFn]:
-    return {**auto_metrics(df), **CUSTOM_METRICS.get(name, {})}
+    return {**auto_metrics(df, dataset=name), **CUSTOM_METRICS.get(name, {})}
 
 
 def metric_columns(name: str, df: DataFrame, metrics: list[str] | None = None) -> list[Column]:
