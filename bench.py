@@ -10,8 +10,8 @@ driver).  The first step loads the raw feed into the stored bronze table
 tables + data-quality checks).  ``value`` sums the query timings only.
 
 Steady state: before the timed pass every query runs once, untimed, on a
-smaller scale factor ($BENCH_WARMUP_SF_DIR, default: the sibling sf0.01
-folder) so code generation and JIT compilation of the same plans are not
+smaller scale factor ($BENCH_WARMUP_SF_DIR, default: the largest sibling
+scale-factor folder below the timed one, sf0.01 for sf0.1) so code generation and JIT compilation of the same plans are not
 billed to the first query that happens to use them.  Set
 BENCH_WARMUP_SF_DIR=none to time cold runs.
 """
@@ -32,6 +32,18 @@ from kpiforge.session import get_spark, scratch_path  # noqa: E402
 from kpiforge.sources.testdata import bronze_from_testdata, land_bronze  # noqa: E402
 
 
+def _default_warmup(sf_dir: str) -> str:
+    """The largest sibling scale factor below the timed one (sf0.01 for sf0.1)."""
+    m = re.search(r"sf([0-9.]+)/?$", sf_dir)
+    if not m:
+        return "none"
+    target = float(m.group(1))
+    parent = os.path.dirname(sf_dir.rstrip("/"))
+    smaller = [float(d[2:]) for d in os.listdir(parent) if re.fullmatch(r"sf[0-9.]+", d)
+               and float(d[2:]) < target] if os.path.isdir(parent) else []
+    return os.path.join(parent, f"sf{max(smaller):g}") if smaller else "none"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -39,8 +51,7 @@ def main() -> None:
     spark = get_spark(master=f"local[{cpus}]", app="kpiforge-bench", shuffle_partitions=cpus)
     times: dict[str, float] = {}
 
-    warm = os.environ.get("BENCH_WARMUP_SF_DIR",
-                          os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01"))
+    warm = os.environ.get("BENCH_WARMUP_SF_DIR") or _default_warmup(sf_dir)
     if warm != "none" and os.path.isdir(warm):
         for name, fn in QUERIES.items():
             if not only or name in only:
