@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import exact_dedup, line_dedup, mixing, sharding, token_counts
+from kpiforge.llm import exact_dedup, line_dedup, mixing, ngram_join, sharding, token_counts
 from kpiforge.llm.text import documents, ship
 
 
@@ -15,6 +15,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(documents(spark, sf_dir))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.copies(mixing.word_sizes(documents(spark, sf_dir)))
     return (taken.withColumn("__row", F.explode(F.array_repeat(F.lit(0), F.col("__rows").cast("int"))))
@@ -51,6 +55,7 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _shipped(fn) for name, fn in {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_ngram_join": op4_ngram_join,
     "op6_mix": op6_mix,
     "op7_shards": op7_shards,
     "op8_token_counts": op8_token_counts,

@@ -7,7 +7,7 @@ proportion, so any contiguous cut has the mixture of the whole.  The sorted rows
 
 Both orders are uniform by construction (a hash, a fraction), so each is cut into equal buckets:
 ranks are bucket offsets plus ``row_number`` inside one bucket.  A hot source is many buckets, and
-no task holds more than about ``rows_per_bucket`` rows.  Only DataFrame functions are used.
+no window holds more than about ``MOST_ROWS`` rows.  Only DataFrame functions are used.
 
 Defined cases: a null source is a stratum of its own; a null text has size 1 and checksum 0; a null
 id is ordered first; repeated rows are rows like any other (their order among themselves does not
@@ -17,13 +17,14 @@ change the result); an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiforge.llm.text import store
 
-ROWS_PER_BUCKET = 50_000
+MOST_ROWS = 50_000
 
 
 def _ranked(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str], rank: str,
@@ -52,11 +53,12 @@ def _bucket(hashed: Column, buckets: int) -> Column:
 
 def interleave(df: DataFrame, shards: int = 16, seed: int = 17, id_col: str = "doc_id",
                text_col: str = "text", source_col: str = "source", carry: Sequence[str] = (),
-               rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+               rows_per_bucket: int | None = None) -> DataFrame:
     """Assign every row a shard and a gapless slot in it.
 
     Returns id, size (UTF-8 bytes + 1), text_crc32, law, shard, slot, grown_shard and the columns
-    named in ``carry`` (such as the text, when the shards are to be written).
+    named in ``carry`` (such as the text, when the shards are to be written).  By default a bucket
+    has about 10 sqrt(n) rows, so neither the buckets nor the rows in one are many.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(
@@ -68,7 +70,7 @@ def interleave(df: DataFrame, shards: int = 16, seed: int = 17, id_col: str = "d
         F.xxhash64(F.lit(seed), "__id", "__size", "__crc"), 1))
     rows = store(rows, "shard-rows")
     n = rows.count()
-    buckets = max(1, -(-n // rows_per_bucket))
+    buckets = max(1, -(-n // (rows_per_bucket or max(1, min(MOST_ROWS, 10 * isqrt(n))))))
     order = ["__hash", "__id", "__size", "__crc"]
     rows = rows.withColumn("__bucket", _bucket(F.col("__hash"), buckets))
     rows = _ranked(rows, ["__source"], "__bucket", order, "__rank", "__of")
