@@ -31,13 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.text import mix, slices, store, word_hashes
+from kpiforge.llm.text import PARTS, chunks, mix, slices, store, vector_sum, word_hashes
 
 WORDS = 4
 PERCENT = 85
 CELLS = 1 << 20
-CHUNKS = 64
-FAN = 64
 ID_BITS = 1 << 23
 
 
@@ -73,36 +71,13 @@ def _count_cells(words: int, cells: int):
                 tokens = list(shingles(data, offsets, words))
                 total += np.bincount((np.concatenate(tokens) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
         part = TaskContext.get().partitionId()
-        yield _chunks(part, total)
+        yield chunks(part, total)
     return run
 
 
-def _chunks(part: int, total: np.ndarray) -> pa.RecordBatch:
-    split = np.split(total, CHUNKS)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([part] * CHUNKS, pa.int32()), pa.array(range(CHUNKS), pa.int32()),
-         pa.array([c.tobytes() for c in split], pa.binary())], ["part", "chunk", "counts"])
-
-
-def _add(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(c.as_buffer(), np.int64) for c in table.column("counts").combine_chunks())
-    return pa.table({"part": table.column("part")[:1].cast(pa.int32()), "chunk": table.column("chunk")[:1].cast(pa.int32()),
-                     "counts": pa.array([total.tobytes()], pa.binary())})
-
-
 def rarity(texts: DataFrame, words: int = WORDS, cells: int = CELLS) -> np.ndarray:
     """Grade of every hash cell: 0 where its count over all documents is about the mean, more where it is higher."""
-    schema = "part int, chunk int, counts binary"
-    parts = store(texts.mapInArrow(_count_cells(words, cells), schema), "cells")
-    most = parts.agg(F.max("part")).first()[0] or 0
-    while True:  # at most FAN partial counts are added in one place
-        parts = store(parts.withColumn("part", F.expr(f"part div {FAN}").cast("int"))
-                      .groupBy("part", "chunk").applyInArrow(_add, schema), "cells")
-        most //= FAN
-        if most == 0:
-            break
-    rows = sorted((r.chunk, bytes(r.counts)) for r in parts.collect())
-    total = np.frombuffer(b"".join(c for _, c in rows), np.int64) if rows else np.zeros(cells, np.int64)
+    total = vector_sum(texts.mapInArrow(_count_cells(words, cells), PARTS), cells)
     mean = max(float(total.mean()), 1.0)
     usual = mean + 4 * np.sqrt(mean)
     return np.where(total > usual, 1 + np.log2(np.maximum(total / usual, 1)).astype(np.int64), 0).astype(np.uint8)

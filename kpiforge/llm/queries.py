@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import exact_dedup, line_dedup, mixing, ngram_join, sharding, token_counts
+from kpiforge.llm import exact_dedup, line_dedup, lm, mixing, ngram_join, sharding, token_counts
 from kpiforge.llm.text import documents, ship
 
 
@@ -45,6 +45,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_dropped", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.class_scores(documents(spark, sf_dir))
+
+
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _shipped(f
     "op7_shards": op7_shards,
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9_line_dedup,
+    "op10_class_lm": op10_class_lm,
 }.items()}
 
 # DuckDB SQL of the queries that SQL can express on whole tables

@@ -16,6 +16,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import kpiforge
 from kpiforge.session import scratch_path
@@ -135,3 +136,81 @@ def hash_of(word: str) -> int:
     """The hash ``word_hashes`` gives one word."""
     raw_word = np.frombuffer(word.encode(), np.uint8)
     return int(word_hashes(raw_word, np.array([0, len(raw_word)]))[0][0])
+
+
+def last_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of every word's last four bytes, lower-cased (shorter words: their bytes)."""
+    code = np.zeros(len(ends), np.uint64)
+    for back in range(1, 5):
+        at = ends - back
+        byte = np.where(at >= starts, _LOWER[data[np.maximum(at, 0)]], 0)
+        code = code * np.uint64(257) + byte.astype(np.uint64)
+    return (mix(code) % np.uint64(buckets)).astype(np.int64)
+
+
+class HashIndex:
+    """Position of 64-bit hashes in a fixed array of distinct keys (-1: not there), by open addressing."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys.astype(np.uint64)
+        size = 1 << max(4, int(2 * len(keys)).bit_length())
+        self.mask = np.uint64(size - 1)
+        self.slots = np.full(size, -1, np.int32)
+        waiting, step = np.arange(len(keys)), 0
+        while len(waiting):
+            at = ((self.keys[waiting] + np.uint64(step)) & self.mask).astype(np.int64)
+            _, first = np.unique(at, return_index=True)
+            first = first[self.slots[at[first]] < 0]
+            self.slots[at[first]] = waiting[first]
+            waiting = np.delete(waiting, first)
+            step += 1
+        self.steps = step
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), -1, np.int64)
+        if not len(self.keys):
+            return out
+        open_ = np.arange(len(hashes))
+        for step in range(self.steps):
+            slot = self.slots[((hashes[open_] + np.uint64(step)) & self.mask).astype(np.int64)]
+            there = slot >= 0
+            hit = there & (self.keys[np.maximum(slot, 0)] == hashes[open_])
+            out[open_[hit]] = slot[hit]
+            open_ = open_[there & ~hit]
+            if not len(open_):
+                break
+        return out
+
+
+CHUNKS = 64
+FAN = 64
+PARTS = "part int, chunk int, counts binary"
+
+
+def chunks(part: int, total: np.ndarray) -> pa.RecordBatch:
+    """A task's vector of sums as ``CHUNKS`` rows for ``vector_sum``."""
+    split = np.array_split(total, CHUNKS)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part] * CHUNKS, pa.int32()), pa.array(range(CHUNKS), pa.int32()),
+         pa.array([c.tobytes() for c in split], pa.binary())], ["part", "chunk", "counts"])
+
+
+def _adder(dtype: str):
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c.as_buffer(), dtype) for c in table.column("counts").combine_chunks())
+        return pa.table({"part": table.column("part")[:1].cast(pa.int32()),
+                         "chunk": table.column("chunk")[:1].cast(pa.int32()),
+                         "counts": pa.array([total.tobytes()], pa.binary())})
+    return add
+
+
+def vector_sum(parts: DataFrame, size: int, dtype: str = "int64") -> np.ndarray:
+    """Sum of the tasks' vectors of a fixed size, added in a tree: at most ``FAN`` in one place."""
+    level = parts
+    while True:
+        level = store(level.withColumn("part", F.expr(f"part div {FAN}").cast("int"))
+                      .groupBy("part", "chunk").applyInArrow(_adder(dtype), PARTS), "sums")
+        if not level.agg(F.max("part")).first()[0]:
+            break
+    rows = sorted((r.chunk, bytes(r.counts)) for r in level.collect())
+    return np.frombuffer(b"".join(c for _, c in rows), dtype).copy() if rows else np.zeros(size, dtype)
