@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.llm.text import (
-    PARTS, HashIndex, chunks, last_bytes, slices, store, vector_sum, word_hashes, word_spans,
+    PARTS, HashIndex, chunks, last_bytes, slices, store, span_hashes, vector_sum, word_spans,
 )
 
 CLASSES = 32
@@ -52,7 +52,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, _, data, offsets in slices(batch.column(0), 4 << 20):
             starts, ends, _ = word_spans(data, offsets)
-            hashes, _ = word_hashes(data, offsets)
+            hashes = span_hashes(data, starts, ends)
             words, first, counts = np.unique(hashes, return_index=True, return_counts=True)
             bucket = last_bytes(data, starts[first], ends[first], SUFFIXES)
             yield pa.RecordBatch.from_arrays(
@@ -70,7 +70,7 @@ class Units:
     def sequence(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Units of all rows in a line, END after each row; the words' hashes; rows' word counts."""
         starts, ends, counts = word_spans(data, offsets)
-        hashes, _ = word_hashes(data, offsets)
+        hashes = span_hashes(data, starts, ends)
         units = self.index.find(hashes) + 1
         rare = np.flatnonzero(units == 0)
         units[rare] = 1 + len(self.index.keys) + last_bytes(data, starts[rare], ends[rare], SUFFIXES)

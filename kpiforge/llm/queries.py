@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import exact_dedup, line_dedup, lm, mixing, ngram_join, sharding, token_counts
+from kpiforge.llm import exact_dedup, langid, line_dedup, lm, mixing, ngram_join, sharding, token_counts, toxicity
 from kpiforge.llm.text import documents, ship
 
 
@@ -15,6 +15,14 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(documents(spark, sf_dir))
 
@@ -59,6 +67,8 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _shipped(fn) for name, fn in {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
+    "op3_language": op3_language,
     "op4_ngram_join": op4_ngram_join,
     "op6_mix": op6_mix,
     "op7_shards": op7_shards,

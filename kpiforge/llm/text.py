@@ -32,6 +32,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+# letters, digits and all bytes of longer characters make words; other ASCII stands between them
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -103,9 +106,13 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _POWERS[name][:n]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and each row's word count."""
-    word = ~_SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word, and each row's word count; ``between`` marks other bytes."""
+    word = ~between[data]
+    if not word.any():
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(len(offsets) - 1, np.int64)
     edge = word.copy()
     edge[1:] &= ~word[:-1]
     first = offsets[:-1][offsets[:-1] < len(data)]
@@ -120,16 +127,22 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.diff(bounds)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray,
+                between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every lower-cased word, and each row's word count."""
-    starts, ends, counts = word_spans(data, offsets)
+    starts, ends, counts = word_spans(data, offsets, between)
+    return span_hashes(data, starts, ends), counts
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of every lower-cased byte span."""
     if not len(starts):
-        return np.zeros(0, np.uint64), counts
+        return np.zeros(0, np.uint64)
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
     np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * _powers(_MULT, len(data)), out=total[1:])
     # the sum over the word, brought back to position 0
-    return mix((total[ends] - total[starts]) * _powers(_INVERSE, len(data) + 1)[starts]), counts
+    return mix((total[ends] - total[starts]) * _powers(_INVERSE, len(data) + 1)[starts])
 
 
 def hash_of(word: str) -> int:
