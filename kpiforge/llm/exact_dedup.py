@@ -65,24 +65,24 @@ def _batch(rows, ids, shas, counts, positions, blocks) -> pa.RecordBatch:
 def name_contents(refs: DataFrame, contents: list[str], hashed: Column, buckets: int) -> DataFrame:
     """``refs`` with ``__name``: the integer name of its ``contents``, equal exactly for equal contents.
 
-    Names are dense inside each hash bucket: bucket * 2**40 + the rank of (hash, content) in it.
+    Names are dense inside each hash bucket: bucket * 2**40 + the rank of the content in it.
     """
     refs = refs.withColumn("__hash", hashed)
-    distinct = refs.select("__hash", *contents).distinct()
     bucket = F.pmod("__hash", F.lit(buckets))
-    ranked = Window.partitionBy("__bucket").orderBy("__hash", *contents)
-    same = Window.partitionBy("__bucket", "__hash")
-    names = (distinct.withColumn("__bucket", bucket)
-             .withColumn("__name", F.col("__bucket") * F.lit(1 << 40) + F.row_number().over(ranked))
-             .withColumn("__shared", F.count(F.lit(1)).over(same)).drop("__bucket"))
-    # the content is kept only where its hash does not tell it from another content
-    names = names.withColumns({c: F.when(F.col("__shared") > 1, F.col(c)) for c in contents})
-    names = store(names, "names")
-    single = names.filter("__shared = 1").select("__hash", "__name")
+    # contents cross the network here, once; beyond, a hash stands for its only content
+    kinds = store(refs.select("__hash", *contents).distinct().groupBy("__hash")
+                  .agg(F.count(F.lit(1)).alias("__kinds")), "kinds").withColumn("__bucket", bucket)
+    place = Window.partitionBy("__bucket").orderBy("__hash")
+    single = kinds.filter("__kinds = 1").select("__hash", (F.col("__bucket") * F.lit(1 << 40)
+                                                           + F.row_number().over(place)).alias("__name"))
     named = refs.drop(*contents).join(single, "__hash")
-    if not names.filter("__shared > 1").isEmpty():
-        shared = names.filter("__shared > 1").select("__hash", *contents, "__name")
-        named = named.unionByName(refs.join(shared, ["__hash", *contents]).drop(*contents))
+    shared = kinds.filter("__kinds > 1").select("__hash", "__bucket")
+    if not shared.isEmpty():
+        # several contents of one hash: their names are negative, by the contents themselves
+        place = Window.partitionBy("__bucket").orderBy("__hash", *contents)
+        contested = refs.join(shared, "__hash").select("__hash", "__bucket", *contents).distinct().select(
+            "__hash", *contents, (-F.col("__bucket") * F.lit(1 << 40) - F.row_number().over(place)).alias("__name"))
+        named = named.unionByName(refs.join(contested, ["__hash", *contents]).drop(*contents))
     return named.drop("__hash")
 
 

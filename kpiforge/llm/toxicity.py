@@ -44,7 +44,6 @@ CLEAN_TEXTS = 2_800
 TRAIN_WINDOWS = 48
 WINDOW_BYTES = 4096
 THRESHOLD = 0.3
-DEBUG = True
 EPOCHS = (4, 3, 3, 2)
 RARER = 20  # times that a marking word or 4-gram is rarer in clean texts
 BATCH_WINDOWS = 4_000  # windows of either label in one epoch, at most
@@ -246,7 +245,7 @@ def fit(texts: list[str], text_of: np.ndarray, toxic: np.ndarray, seed: int = 5)
         seen = np.unique(np.repeat(d, sizes[w]) * cells + cell[spread])
         hot = toxic[seen // cells] > 0
         # what few texts have can only be learned by heart: it stays without an embedding
-        fixed[name] = np.bincount(seen % cells, minlength=cells) < max(3, len(toxic) // 100)
+        fixed[name] = np.bincount(seen % cells, minlength=cells) < max(3, int(toxic.sum()) // 60)
         p[name][fixed[name]] = 0
         one = np.bincount(seen[hot] % cells, minlength=cells) / max(toxic.sum(), 1)
         two = np.bincount(seen[~hot] % cells, minlength=cells) / max((1 - toxic).sum(), 1)
@@ -258,7 +257,6 @@ def fit(texts: list[str], text_of: np.ndarray, toxic: np.ndarray, seed: int = 5)
     rank = (typical[at] * there).max(1)
     trainer = Trainer(p, fixed)
     marked = rank >= SIGNS
-    if DEBUG: print('marked pos', (marked&(label>0)).sum(), 'clean', (marked&(label==0)).sum(), 'docs', len(np.unique(text_of[marked&(label>0)])), toxic.sum())
     for turn, epochs in enumerate(EPOCHS):
         bound = SIGNS if turn == 0 else 0.5
         best = np.full(len(toxic), -np.inf)
@@ -281,10 +279,8 @@ def fit(texts: list[str], text_of: np.ndarray, toxic: np.ndarray, seed: int = 5)
                                          np.where(label[some] > 0, 1.5, 1.0).astype(np.float32)),
                                0.01 if turn < 2 else 0.004)
         vectors = embed(p, features)
-        if DEBUG: print(turn,'hits',len(hits),'hard',rank[hard][:5],'batch',len(batch))
         rank = np.concatenate([_sigmoid(forward(p, vectors, at[i:i + 4096], there[i:i + 4096]))
                                for i in range(0, len(at), 4096)])
-        if DEBUG: print('pos>.5',(rank[hits]>.5).mean(),'clean>.3',(rank[clean]>.3).mean(), 'unl pos', (rank[(label>0)&~marked]>.3).mean())
     return p
 
 
