@@ -35,7 +35,7 @@ STRIDE = 16
 HIDDEN = 8
 WIDTH = 12
 ATTEND = 8
-WORD_CELLS = 1 << 14
+WORD_CELLS = 1 << 17
 DECAY = 0.02
 BLANK = 0.2  # share of words that training leaves out
 GRAM_CELLS = 1 << 17
@@ -45,7 +45,7 @@ TRAIN_WINDOWS = 48
 WINDOW_BYTES = 4096
 THRESHOLD = 0.3
 EPOCHS = (4, 3, 3, 2)
-RARER = 20  # times that a marking word or 4-gram is rarer in clean texts
+RARER = 8  # times that a marking word or 4-gram is rarer in clean texts
 BATCH_WINDOWS = 4_000  # windows of either label in one epoch, at most
 SIGNS = 3.0  # standard errors from which a word or 4-gram marks a window
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -90,10 +90,16 @@ def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return base[row] + turn * STRIDE, np.minimum(counts[row] - turn * STRIDE, WINDOW), row
 
 
-def initial(seed: int = 5) -> dict[str, np.ndarray]:
+def initial(words: np.ndarray, grams: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
+    """Random weights, with embeddings for these cells; row 0, all zeros, is for every other cell."""
     rng = np.random.default_rng(seed)
     normal = lambda *shape, by: (rng.standard_normal(shape) * by).astype(np.float32)
-    out = {"word": normal(WORD_CELLS, WIDTH, by=0.1), "gram": normal(GRAM_CELLS, WIDTH, by=0.3)}
+    out = {}
+    for name, some, cells in (("word", words, WORD_CELLS), ("gram", grams, GRAM_CELLS)):
+        out[f"{name}_row"] = np.zeros(cells, np.int32)
+        out[f"{name}_row"][some] = np.arange(1, len(some) + 1)
+        out[name] = normal(len(some) + 1, WIDTH, by=0.3)
+        out[name][0] = 0
     for side in "fb":
         out |= {f"x{side}": normal(WIDTH, 3 * HIDDEN, by=0.4), f"h{side}": normal(HIDDEN, 3 * HIDDEN, by=0.3),
                 f"c{side}": np.zeros(3 * HIDDEN, np.float32)}
@@ -111,7 +117,8 @@ def embed(p: dict[str, np.ndarray], features) -> np.ndarray:
     if not len(word):
         return np.zeros((0, WIDTH), np.float32)
     sizes = np.diff(np.r_[first, len(grams)])
-    return p["word"][word] + np.add.reduceat(p["gram"][grams], first, axis=0) / sizes[:, None].astype(np.float32)
+    mean = np.add.reduceat(p["gram"][p["gram_row"][grams]], first, axis=0) / sizes[:, None].astype(np.float32)
+    return p["word"][p["word_row"][word]] + mean
 
 
 def forward(p: dict[str, np.ndarray], vectors: np.ndarray, at: np.ndarray, there: np.ndarray, keep: bool = False):
@@ -148,7 +155,7 @@ def gradients(p, features, at, there, labels, weights):
     vectors = embed(p, features)
     logit, (hidden, u, a, pooled, saved) = forward(p, vectors, at, there, keep=True)
     n, steps = at.shape
-    g = {k: np.zeros_like(v) for k, v in p.items() if k not in ("word", "gram")}
+    g = {k: np.zeros_like(v) for k, v in p.items() if not k.startswith(("word", "gram"))}
     dl = (weights * (_sigmoid(logit) - labels)).astype(np.float32) / n
     g["out"], g["bias"][0] = pooled.T @ dl, dl.sum()
     dpool = dl[:, None] * p["out"]
@@ -183,25 +190,24 @@ def gradients(p, features, at, there, labels, weights):
     word, grams, first = features
     sizes = np.diff(np.r_[first, len(grams)])
     g["word"] = np.zeros_like(p["word"])
-    np.add.at(g["word"], word, dvec)
+    np.add.at(g["word"], p["word_row"][word], dvec)
     g["gram"] = np.zeros_like(p["gram"])
-    np.add.at(g["gram"], grams, np.repeat(dvec / sizes[:, None], sizes, axis=0).astype(np.float32))
+    np.add.at(g["gram"], p["gram_row"][grams], np.repeat(dvec / sizes[:, None], sizes, axis=0).astype(np.float32))
+    g["word"][0] = g["gram"][0] = 0
     return g
 
 
 class Trainer:
     """Adam over batches of windows."""
 
-    def __init__(self, p: dict[str, np.ndarray], fixed: dict[str, np.ndarray]) -> None:
-        self.p, self.step, self.fixed = p, 0, fixed
-        self.mean = {k: np.zeros_like(v) for k, v in p.items()}
-        self.square = {k: np.zeros_like(v) for k, v in p.items()}
+    def __init__(self, p: dict[str, np.ndarray]) -> None:
+        self.p, self.step = p, 0
+        self.mean = {k: np.zeros_like(v) for k, v in p.items() if not k.endswith("_row")}
+        self.square = {k: np.zeros_like(v) for k, v in p.items() if not k.endswith("_row")}
 
     def update(self, g: dict[str, np.ndarray], rate: float) -> None:
         self.step += 1
         for k, d in g.items():
-            if k in self.fixed:
-                d[self.fixed[k]] = 0
             self.mean[k] += 0.1 * (d - self.mean[k])
             self.square[k] += 0.01 * (d * d - self.square[k])
             m, s = self.mean[k] / (1 - 0.9 ** self.step), self.square[k] / (1 - 0.99 ** self.step)
@@ -234,7 +240,7 @@ def fit(texts: list[str], text_of: np.ndarray, toxic: np.ndarray, seed: int = 5)
     owner = np.repeat(np.arange(len(word)), np.diff(np.r_[first, len(grams)]))
     docs = np.repeat(text_of, counts)
     typical = np.zeros(len(word))
-    p, fixed = initial(seed), {}
+    learned = {}
     for name, cell, of, cells in (("word", word, np.arange(len(word)), WORD_CELLS), ("gram", grams, owner, GRAM_CELLS)):
         # distinct (document, cell) pairs
         pairs = np.unique(np.unique(docs * len(word) + place))
@@ -245,17 +251,18 @@ def fit(texts: list[str], text_of: np.ndarray, toxic: np.ndarray, seed: int = 5)
         seen = np.unique(np.repeat(d, sizes[w]) * cells + cell[spread])
         hot = toxic[seen // cells] > 0
         # what few texts have can only be learned by heart: it stays without an embedding
-        fixed[name] = np.bincount(seen % cells, minlength=cells) < max(3, int(toxic.sum()) // 60)
-        p[name][fixed[name]] = 0
+        usual = np.bincount(seen % cells, minlength=cells) >= max(3, int(toxic.sum()) // 60)
+        learned[name] = np.flatnonzero(usual)
         one = np.bincount(seen[hot] % cells, minlength=cells) / max(toxic.sum(), 1)
         two = np.bincount(seen[~hot] % cells, minlength=cells) / max((1 - toxic).sum(), 1)
         both = (one + two) / 2 + 1e-4
         z = (one - two) / np.sqrt(both * (1 - np.minimum(both, 0.999)) * (1 / max(toxic.sum(), 1) + 1 / max((1 - toxic).sum(), 1)))
         # common ones also differ where the labels' texts are of other languages or lengths
-        z[(one < RARER * two) | fixed[name]] = 0
+        z[(one < RARER * two) | ~usual] = 0
         np.maximum.at(typical, of, z[cell])
     rank = (typical[at] * there).max(1)
-    trainer = Trainer(p, fixed)
+    p = initial(learned["word"], learned["gram"], seed)
+    trainer = Trainer(p)
     marked = rank >= SIGNS
     for turn, epochs in enumerate(EPOCHS):
         bound = SIGNS if turn == 0 else 0.5
