@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import exact_dedup, langid, line_dedup, lm, mixing, ngram_join, sharding, token_counts, toxicity
+from kpiforge.llm import decontam, exact_dedup, langid, line_dedup, lm, mixing, ngram_join, sharding, token_counts, toxicity
 from kpiforge.llm.text import documents, ship
 
 
@@ -27,6 +27,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(documents(spark, sf_dir))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.copies(mixing.word_sizes(documents(spark, sf_dir)))
     return (taken.withColumn("__row", F.explode(F.array_repeat(F.lit(0), F.col("__rows").cast("int"))))
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _shipped(f
     "op2_toxicity": op2_toxicity,
     "op3_language": op3_language,
     "op4_ngram_join": op4_ngram_join,
+    "op5_decontaminate": op5_decontaminate,
     "op6_mix": op6_mix,
     "op7_shards": op7_shards,
     "op8_token_counts": op8_token_counts,
