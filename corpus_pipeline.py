@@ -1,23 +1,63 @@
-"""The corpus pipeline: documents through the operators of ``kpiforge.llm``, stage by stage."""
+"""The corpus pipeline: documents through the operators of ``kpiforge.llm``, stage by stage.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is stored as Parquet and read
+again as the next one's docs.  All stages but the last keep the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kpiforge.llm import sharding
+from kpiforge.llm import decontam, langid, mixing, ngram_join, sharding
 from kpiforge.llm.text import documents, ship, store
 
+# below this the classifier sees no language in the text; clean texts score far above
+LEAST_LANGUAGE_SCORE = 0.15
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a language stay; the classifier learns from these documents."""
+    ship(spark)
+    found = langid.identify(docs)
+    known = (found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+             .select(F.col("doc_id").alias("__id")).distinct())
+    # ids decide, so rows that repeat an id go or stay together
+    return docs.join(known, docs["doc_id"].cast("long").eqNullSafe(known["__id"]), "left_semi")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of the n-gram Jaccard join stays."""
+    ship(spark)
+    return ngram_join.one_of_each(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    ship(spark)
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mixture takes it (not at all, once, or repeated)."""
+    ship(spark)
+    return mixing.mix(docs)
+
 
-def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every remaining row gets a shard and a slot."""
     ship(spark)
     return sharding.interleave(docs)
 
 
 STAGES = [
-    ("shards", shard),
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("benchmark", benchmark),
+    ("mixture", mixture),
+    ("shards", shards),
 ]
-# the stages learn models and sample by hashes: SQL cannot express them (tests compare with brute force)
+# the stages learn models and draw by hashes, which SQL cannot express; tests compare with brute force
 ORACLE_SQL = None
 
 

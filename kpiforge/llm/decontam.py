@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +35,10 @@ from kpiforge.llm.text import (
 PASSAGE = 32
 STRIDE = 16
 CELLS = 1 << 18
-RANK = 128
+RANK = 256
 VOCABULARY = 8_192
-BLOCK_ITEMS = 2_000
-COSINE = 0.3
+BLOCK_ITEMS = 256
+COSINE = 0.18
 SHARE = 0.6
 ANSWER = 0.5
 WHOLE = 0.85
@@ -59,7 +60,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     total = np.zeros(CELLS + 1, np.int64)
     for batch in batches:
-        for _, _, data, offsets in slices(batch.column(0)):
+        for _, _, data, offsets in slices(pc.utf8_lower(batch.column(0).fill_null(""))):
             hashes, counts = _words(data, offsets)
             row = np.repeat(np.arange(len(counts)), counts)
             total[:CELLS] += np.bincount(np.unique(row * CELLS + _cell(hashes)) % CELLS, minlength=CELLS)
@@ -71,7 +72,7 @@ class Items:
     """A block of benchmark items: their words, the space's vocabulary and TF-IDF rows."""
 
     def __init__(self, ids: list, texts: list[str], idf: np.ndarray, common: float) -> None:
-        data, offsets = raw(pa.array(texts, pa.large_string()))
+        data, offsets = raw(pc.utf8_lower(pa.array(texts, pa.large_string()).fill_null("")))
         hashes, counts = _words(data, offsets)
         bounds = np.r_[0, np.cumsum(counts)]
         own = [i for i in range(len(ids)) if counts[i]]
@@ -101,7 +102,7 @@ def _covariance(state, project: bool):
         rank = block.shape[1]
         total = np.zeros((rank, rank) if project else block.shape, np.float64)
         for batch in batches:
-            for _, _, data, offsets in slices(batch.column(0)):
+            for _, _, data, offsets in slices(pc.utf8_lower(batch.column(0).fill_null(""))):
                 hashes, counts = _words(data, offsets)
                 if not len(hashes):
                     continue
@@ -186,7 +187,7 @@ def _search(state, cosine: float, share: float, answer: float, whole: float):
         for batch in batches:
             docs = batch.column(0).to_pylist()
             out: dict[tuple, tuple] = {}
-            for top, _, data, offsets in slices(batch.column(1)):
+            for top, _, data, offsets in slices(pc.utf8_lower(batch.column(1).fill_null(""))):
                 hashes, counts = _words(data, offsets)
                 at = index.find(hashes)
                 known = np.flatnonzero(at >= 0)

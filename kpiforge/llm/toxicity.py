@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -295,7 +296,7 @@ def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     for batch in batches:
         orders, labels, texts = [], [], []
         toxic, order = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-        for first, _, data, offsets in slices(batch.column(2)):
+        for first, _, data, offsets in slices(pc.utf8_lower(batch.column(2).fill_null(""))):
             starts, ends, counts = word_spans(data, offsets, PUNCTUATION)
             begin, size, row = windows(counts)
             for r in range(len(counts)):
@@ -358,7 +359,7 @@ def _score(held):
                 scores = np.zeros(batch.num_rows)
             else:
                 scores = np.concatenate([np.zeros(0)] + [text_scores(p, data, offsets)
-                                                         for _, _, data, offsets in slices(batch.column(2))])
+                                                         for _, _, data, offsets in slices(pc.utf8_lower(batch.column(2).fill_null("")))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores, pa.float64())], ["doc_id", "held_out", "score"])
     return run
