@@ -7,7 +7,9 @@ from kpiforge.functions.expr import (  # noqa: F401
     iso_state_code,
     mmddyy_date,
     mmddyy_valid,
-    money,
+    money_merge,
+    money_parts,
+    money_sum,
     month_start,
     safe_ratio,
     strip_ws,

@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions import constants as K
-from kpiforge.functions.expr import money, month_start, safe_ratio
+from kpiforge.functions.expr import money_sum, month_start, safe_ratio
 from kpiforge.operators.marts import MONEY_SCALE
 
 
 def period_totals(fact: DataFrame, grain: str = "month", scale: int | None = MONEY_SCALE) -> DataFrame:
     period = month_start("order_date") if grain == "month" else F.col("order_date")
     g = fact.groupBy(period.alias("period")).agg(
-        money(F.sum("revenue"), scale).alias("revenue"),
+        money_sum("revenue", scale).alias("revenue"),
         F.count_distinct("order_id").alias("orders"),
         F.sum("quantity").alias("quantity"),
     )

@@ -18,9 +18,11 @@ not known in advance.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kpiforge.functions.constants import UNKNOWN
+
 SALT = "_salt"
 
 
@@ -46,3 +48,28 @@ def join_dim(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     spread = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0))))
     dim_salted = dim.withColumn(SALT, spread)
     return salted.join(dim_salted, [key, SALT], how).drop(SALT)
+
+
+def group_by_labels(per_order: DataFrame, dim: DataFrame, key: str, period: list[str], labels: list[str],
+                    sums: dict[str, Column], orders: str = "total_orders") -> DataFrame:
+    """Totals per (period, labels of the dimension), with exact distinct orders.
+
+    ``per_order`` has one row per (period, key, order_id) with partial sums, so neither the fact's rows
+    nor a hot key meet in one place: the dimension is joined to one row per (period, key).  An order
+    counts once in a group.  Where one group has several keys (ids without a dim row share 'Unknown', or
+    two products share a name), its orders are counted again from the order-level rows of those keys only.
+    """
+    columns = [c for c in per_order.columns if c not in (*period, key, "order_id")]
+    per_key = per_order.groupBy(*period, key).agg(
+        *(F.sum(c).alias(c) for c in columns), F.count(F.lit(1)).alias("_orders"))
+    named = per_key.join(dim.select(key, *labels), key, "left").select(
+        *period, key, *(F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in labels), *columns, "_orders")
+    grouped = named.groupBy(*period, *labels).agg(
+        *(total.alias(name) for name, total in sums.items()),
+        F.sum("_orders").alias("_orders"), F.count(F.lit(1)).alias("_keys"))
+    shared = grouped.where("_keys > 1").select(*period, *labels)
+    keys = named.select(*period, key, *labels).join(shared, [*period, *labels])
+    again = (per_order.select(*period, key, "order_id").join(keys, [*period, key])
+             .groupBy(*period, *labels).agg(F.count_distinct("order_id").alias("_distinct")))
+    return grouped.join(again, [*period, *labels], "left").select(
+        *period, *labels, *sums, F.coalesce("_distinct", "_orders").alias(orders))

@@ -1,8 +1,8 @@
 """Summary marts over the fact table / silver rows.
 
-Money sums are canonicalised to cents (``scale=2``, pass ``None`` for the raw
-double) and every ratio is derived from the canonical sums, so results do not
-depend on the order in which partial sums were combined.
+Money sums are exact: decimals of ``scale`` places, turned into doubles once at the end (pass ``None``
+for the raw double sum), and every ratio is derived from them, so results do not depend on the order in
+which partial sums were combined.
 
 Distinct order counts use ``count_distinct`` (exact).  With a single distinct
 column Spark plans it as two aggregations: the first shuffles on
@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions import constants as K
-from kpiforge.functions.expr import iso_state_code, money, month_start, safe_ratio
-from kpiforge.operators.joins import join_dim
+from kpiforge.functions.expr import iso_state_code, money_merge, money_parts, money_sum, month_start, safe_ratio
+from kpiforge.operators.joins import group_by_labels, join_dim
 
 MONEY_SCALE = 2
 
 
 def _sum_money(c: str, scale: int | None) -> F.Column:
-    return money(F.sum(c), scale)
+    return money_sum(c, scale)
 
 
 def _orders() -> F.Column:
@@ -98,18 +98,12 @@ def geographic_daily_summary(silver: DataFrame, scale: int | None = MONEY_SCALE)
 
 def channel_monthly_summary(fact: DataFrame, dim_channel: DataFrame,
                             scale: int | None = MONEY_SCALE) -> DataFrame:
-    """Month x channel name.  A fact row whose channel id has no dim row is
-    named 'Unknown' *before* grouping, so it shares a group with a real
-    'Unknown' channel."""
-    j = join_dim(fact.select("order_date", "channel_id", "order_id", "revenue"),
-                 dim_channel.select("channel_id", "channel_name"), "channel_id")
-    return (
-        j.select(month_start("order_date").alias("snapshot_month"),
-                 F.coalesce(F.col("channel_name"), F.lit(K.UNKNOWN)).alias("channel_name"),
-                 "order_id", "revenue")
-        .groupBy("snapshot_month", "channel_name")
-        .agg(_sum_money("revenue", scale).alias("total_revenue"), _orders().alias("total_orders"))
-    )
+    """Month x channel name.  A fact row whose channel id has no dim row is named 'Unknown', and
+    shares a group with a real 'Unknown' channel (see ``group_by_labels``)."""
+    per_order = (fact.groupBy(month_start("order_date").alias("snapshot_month"), "channel_id", "order_id")
+                 .agg(*money_parts("revenue", scale)))
+    return group_by_labels(per_order, dim_channel, "channel_id", ["snapshot_month"], ["channel_name"],
+                           {"total_revenue": money_merge("revenue", scale)})
 
 
 def geographic_performance_summary(fact: DataFrame, dim_customer: DataFrame,
@@ -124,13 +118,13 @@ def geographic_performance_summary(fact: DataFrame, dim_customer: DataFrame,
     by order id (see ``joins.join_dim``).
     """
     per_order = fact.groupBy("customer_id", "order_id").agg(
-        F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"))
+        *money_parts("revenue", scale), *money_parts("profit", scale))
     dims = dim_customer.select("customer_id", "state", "city").where(F.col("state") != K.UNKNOWN)
     j = join_dim(per_order, dims, "customer_id", how="inner", hot_keys=[K.UNKNOWN],
                  salt_col="order_id")
     return j.groupBy("state", "city").agg(
-        _sum_money("revenue", scale).alias("total_revenue"),
-        _sum_money("profit", scale).alias("total_profit"),
+        money_merge("revenue", scale).alias("total_revenue"),
+        money_merge("profit", scale).alias("total_profit"),
         _orders().alias("total_orders"),
     )
 
@@ -150,15 +144,18 @@ def customer_rfm(fact: DataFrame, scale: int | None = MONEY_SCALE, pseudo: bool
                             K.RFM_CHAMPIONS_MIN_MONETARY),
                  loyal=(K.RFM_LOYAL_MAX_RECENCY, K.RFM_LOYAL_MIN_FREQUENCY),
                  at_risk=(K.RFM_AT_RISK_MIN_RECENCY, K.RFM_AT_RISK_MIN_MONETARY),
-                 hibernating=K.RFM_HIBERNATING_MIN_RECENCY) -> DataFrame:
+                 hibernating=K.RFM_HIBERNATING_MIN_RECENCY,
+                 latest: F.Column | None = None) -> DataFrame:
+    """``latest``: the last order date, where a smaller table has it; else it is taken from the
+    per-customer result."""
     per_key = fact.groupBy(rfm_key(pseudo).alias("pseudo_customer_id")).agg(
         F.max("order_date").alias("last_order"),
         _orders().alias("frequency"),
         _sum_money("revenue", scale).alias("monetary"),
     )
-    # scalar subquery for the latest order date (a narrow one-row aggregate,
-    # planned once and inlined as a value -- no join)
-    max_date = fact.agg(F.max("order_date")).scalar()
+    # a scalar subquery, planned once and inlined as a value -- no join; without ``latest`` it is over the
+    # same aggregate, whose exchange is reused
+    max_date = latest if latest is not None else per_key.agg(F.max("last_order")).scalar()
     r, f, m = F.col("recency"), F.col("frequency"), F.col("monetary")
     segment = (
         F.when((r <= champions[0]) & (f >= champions[1]) & (m >= champions[2]), "Champions")

@@ -10,24 +10,26 @@ Metrics of a dataset (``dataset_metrics``):
 * custom metrics override auto ones of the same name.
 
 Integral SUMs of the auto rule are exact ``decimal(38,0)`` so id-like 64-bit
-columns never overflow; floating SUMs are canonicalised to ``scale`` places.
+columns never overflow; floating SUMs are exact sums of ``scale`` places.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiforge.functions.expr import fixed_round, money, month_start, safe_ratio
+from kpiforge.functions.expr import fixed_round, money_sum, month_start, safe_ratio
+from kpiforge.sources.tables import FACT_PARTITION, month_number
 
 MetricFn = Callable[[], Column]
 
 
 def _sum(c: str, scale: int | None = 2) -> MetricFn:
-    return lambda: money(F.sum(c), scale)
+    return lambda: money_sum(c, scale)
 
 
 # --- FIXED VALUES: custom metrics per dataset (names and definitions) ---
@@ -37,7 +39,7 @@ CUSTOM_METRICS: dict[str, dict[str, MetricFn]] = {
         "total_profit": _sum("profit"),
         "total_quantity_sold": lambda: F.sum("quantity"),
         "total_orders": lambda: F.count_distinct("order_id"),
-        "average_order_value": lambda: safe_ratio(money(F.sum("revenue"), 2),
+        "average_order_value": lambda: safe_ratio(money_sum("revenue", 2),
                                                   F.count_distinct("order_id")),
     },
     "kpi_daily_snapshot": {
@@ -74,7 +76,7 @@ def auto_metrics(df: DataFrame, scale: int | None = 2, dataset: str | None = Non
         if isinstance(f.dataType, T.IntegralType):
             out[f.name] = (lambda n: lambda: F.sum(F.col(n).cast("decimal(38,0)")))(f.name)
         elif isinstance(f.dataType, (T.FractionalType,)):
-            out[f.name] = (lambda n: lambda: money(F.sum(n), scale))(f.name)
+            out[f.name] = (lambda n: lambda: money_sum(n, scale))(f.name)
     if "order_id" in df.columns:
         out["total_orders"] = lambda: F.count_distinct("order_id")
     return out
@@ -128,13 +130,45 @@ def top_n(df: DataFrame, by: list[Column], n: int) -> DataFrame:
     return df.orderBy(*by).limit(n)
 
 
-def latest_month_filter(df: DataFrame, date_col: str, reference: DataFrame,
-                        reference_col: str = "order_date") -> DataFrame:
-    """Rows of ``df`` whose ``date_col`` falls in the calendar month of
-    ``max(reference_col)`` -- the dashboard's default month filter.
+# --- FIXED VALUES: main date column of every dataset that has one ---
+DATASET_DATES: dict[str, str] = {
+    "fact_sales": "order_date",
+    "silver_orders_clean": "order_date",
+    "sales_forecast_ready": "sales_date",
+    "sales_forecast_result": "sales_date",
+    "kpi_daily_snapshot": "snapshot_date",
+    "geographic_daily_summary": "order_date",
+    "channel_monthly_summary": "snapshot_month",
+    "vw_revenue_by_category": "order_date",
+    "vw_revenue_by_sub_category": "order_date",
+    "vw_top_products_by_revenue": "order_date",
+    "vw_channel_performance": "order_date",
+    "vw_geographic_performance": "order_date",
+    "vw_kpi_monthly_status": "snapshot_month",
+    "vw_kpi_daily_comparison": "snapshot_date",
+    "vw_monthly_channel_revenue": "snapshot_month",
+    "vw_top_states_revenue": "order_date",
+}
+
+Period = tuple[Column, Column]
+
+
+def period(start: dt.date | str, end: dt.date | str) -> Period:
+    """The half-open date range ``[start, end)``."""
+    return F.lit(start).cast("date"), F.lit(end).cast("date")
+
+
+def latest_month(dates: DataFrame, date_col: str = "date") -> Period:
+    """The calendar month of the last date of a table with dates (such as ``dim_time``): scalar
+    subqueries, no driver collect and no join."""
+    first = dates.agg(month_start(F.max(date_col))).scalar()
+    return first, F.add_months(first, 1)
+
 
-    The month start is a scalar subquery (one-row aggregate, no driver
-    collect, no join); the range is half-open ``[start, start + 1 month)``."""
-    lo = reference.agg(month_start(F.max(reference_col))).scalar()
-    d = F.col(date_col)
-    return df.where((d >= lo) & (d < F.add_months(lo, 1)))
+def during(df: DataFrame, date_col: str, when: Period) -> DataFrame:
+    """Rows of ``df`` in the period; the stored fact's month folders are pruned as well."""
+    start, end = when
+    if FACT_PARTITION in df.columns:
+        month = F.col(FACT_PARTITION)
+        df = df.where((month >= month_number(start)) & (month <= month_number(F.date_sub(end, 1))))
+    return df.where((F.col(date_col) >= start) & (F.col(date_col) < end))

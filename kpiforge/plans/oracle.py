@@ -6,15 +6,13 @@ The shared starting point is the test-input mapping of FIXTURES.md section 3
 (``BRONZE_SQL``); everything after it is plain SQL with DuckDB functions
 (``regexp_full_match``, ``TRY_CAST``, ``md5``, struct ``min``).
 
-Canonicalisation shared with the Spark side: money sums rounded to cents
-before ratios are taken, forecast level / sigma and unit price rounded to 4
+Canonicalisation shared with the Spark side: money sums exact in cents, as
+decimals, before ratios are taken, forecast level / sigma and unit price rounded to 4
 places, integral sums of the auto-metric rule as DECIMAL(38,0).
 """
 
 from __future__ import annotations
 
-from kpiforge.functions.constants import STATE_ISO_CODES
-
 BRONZE_SQL = """
 SELECT CASE WHEN l_orderkey % 97 = 0 THEN '' ELSE concat('ORD-', lpad(CAST(l_orderkey AS STRING), 7, '0')) END AS order_id,
  CASE WHEN l_orderkey % 83 = 0 THEN '13-45-22' WHEN l_orderkey % 89 = 0 THEN '2022-06-07' WHEN l_orderkey % 79 = 0 THEN '02-30-22'
@@ -70,7 +68,20 @@ WHERE order_id <> '' AND product_id <> '' AND {_SHAPE} AND {_RANGE} AND {_DATE}
 
 _CH = "('0x' || substr(md5(channel_name), 1, 15))::BIGINT"
 
-_ISO_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in STATE_ISO_CODES.items())
+# --- FIXED VALUES: state spellings and their ISO 3166-2 codes (the oracle's own copy) ---
+_ISO_VALUES = """
+    ('MAHARASHTRA', 'IN-MH'), ('KARNATAKA', 'IN-KA'), ('TAMIL NADU', 'IN-TN'), ('TELANGANA', 'IN-TG'),
+    ('UTTAR PRADESH', 'IN-UP'), ('DELHI', 'IN-DL'), ('NEW DELHI', 'IN-DL'), ('KERALA', 'IN-KL'),
+    ('WEST BENGAL', 'IN-WB'), ('ANDHRA PRADESH', 'IN-AP'), ('GUJARAT', 'IN-GJ'), ('HARYANA', 'IN-HR'),
+    ('RAJASTHAN', 'IN-RJ'), ('RJ', 'IN-RJ'), ('RAJSHTHAN', 'IN-RJ'), ('RAJSTHAN', 'IN-RJ'),
+    ('MADHYA PRADESH', 'IN-MP'), ('ODISHA', 'IN-OR'), ('ORISSA', 'IN-OR'), ('BIHAR', 'IN-BR'), ('PUNJAB', 'IN-PB'),
+    ('PB', 'IN-PB'), ('PUNJAB/MOHALI/ZIRAKPUR', 'IN-PB'), ('ASSAM', 'IN-AS'), ('UTTARAKHAND', 'IN-UT'),
+    ('JHARKHAND', 'IN-JH'), ('GOA', 'IN-GA'), ('CHHATTISGARH', 'IN-CT'), ('HIMACHAL PRADESH', 'IN-HP'),
+    ('JAMMU & KASHMIR', 'IN-JK'), ('PUDUCHERRY', 'IN-PY'), ('PONDICHERRY', 'IN-PY'), ('CHANDIGARH', 'IN-CH'),
+    ('MANIPUR', 'IN-MN'), ('ANDAMAN & NICOBAR', 'IN-AN'), ('MEGHALAYA', 'IN-ML'), ('SIKKIM', 'IN-SK'),
+    ('NAGALAND', 'IN-NL'), ('NL', 'IN-NL'), ('TRIPURA', 'IN-TR'), ('ARUNACHAL PRADESH', 'IN-AR'), ('AR', 'IN-AR'),
+    ('MIZORAM', 'IN-MZ'), ('DADRA AND NAGAR', 'IN-DN'), ('LADAKH', 'IN-LA'), ('LAKSHADWEEP', 'IN-LD')
+"""
 
 CTES = {
     "bronze": BRONZE_SQL,
@@ -93,13 +104,13 @@ CTES = {
         CAST(year(date) AS INTEGER) AS year
       FROM (SELECT DISTINCT order_date AS date FROM silver)""",
     "iso": f"SELECT * FROM (VALUES {_ISO_VALUES}) AS t(name, code)",
-    "sales_forecast_ready": """SELECT order_date AS sales_date, round(sum(revenue), 2) AS total_revenue,
-        round(sum(profit), 2) AS total_profit, count(DISTINCT order_id) AS total_orders,
+    "sales_forecast_ready": """SELECT order_date AS sales_date, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
+        CAST(sum(CAST(profit AS DECIMAL(38,2))) AS DOUBLE) AS total_profit, count(DISTINCT order_id) AS total_orders,
         CAST(sum(quantity) AS BIGINT) AS total_quantity
       FROM fact GROUP BY order_date""",
     "kpi_daily_snapshot": """SELECT snapshot_date, revenue, orders, quantity,
         CASE WHEN orders = 0 THEN 0.0 ELSE revenue / orders END AS aov
-      FROM (SELECT order_date AS snapshot_date, round(sum(revenue), 2) AS revenue,
+      FROM (SELECT order_date AS snapshot_date, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS revenue,
                    count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS quantity
             FROM fact GROUP BY order_date)""",
     "customer_rfm": """SELECT pseudo_customer_id, recency, frequency, monetary,
@@ -110,123 +121,95 @@ CTES = {
              ELSE 'Regular' END AS segment_name
       FROM (SELECT CASE WHEN customer_id = 'Unknown' THEN right(order_id, 4) ELSE customer_id END AS pseudo_customer_id,
                    date_diff('day', max(order_date), (SELECT max(order_date) FROM fact)) AS recency,
-                   count(DISTINCT order_id) AS frequency, round(sum(revenue), 2) AS monetary
+                   count(DISTINCT order_id) AS frequency, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS monetary
             FROM fact GROUP BY 1)""",
     "channel_performance_summary": """SELECT channel_id, total_revenue, total_profit, total_orders,
         CASE WHEN total_revenue = 0 THEN 0.0 ELSE total_profit / total_revenue END AS profit_margin
-      FROM (SELECT channel_id, round(sum(revenue), 2) AS total_revenue, round(sum(profit), 2) AS total_profit,
+      FROM (SELECT channel_id, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(CAST(profit AS DECIMAL(38,2))) AS DOUBLE) AS total_profit,
                    count(DISTINCT order_id) AS total_orders FROM fact GROUP BY channel_id)""",
     "product_profitability_summary": """SELECT product_id, total_revenue, total_profit, total_quantity, total_orders,
         CASE WHEN total_revenue = 0 THEN 0.0 ELSE total_profit / total_revenue END AS profit_margin
-      FROM (SELECT product_id, round(sum(revenue), 2) AS total_revenue, round(sum(profit), 2) AS total_profit,
+      FROM (SELECT product_id, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(CAST(profit AS DECIMAL(38,2))) AS DOUBLE) AS total_profit,
                    CAST(sum(quantity) AS BIGINT) AS total_quantity, count(DISTINCT order_id) AS total_orders
             FROM fact GROUP BY product_id)""",
     "geographic_daily_summary": """SELECT g.order_date, coalesce(iso.code, 'UNKNOWN') AS iso_code, g.state,
         g.total_revenue, g.total_orders
-      FROM (SELECT order_date, state, round(sum(revenue), 2) AS total_revenue, count(DISTINCT order_id) AS total_orders
+      FROM (SELECT order_date, state, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, count(DISTINCT order_id) AS total_orders
             FROM silver WHERE state <> 'Unknown' AND state <> '' GROUP BY order_date, state) g
       LEFT JOIN iso ON upper(g.state) = iso.name""",
-    "channel_monthly_summary": """SELECT snapshot_month, channel_name, round(sum(revenue), 2) AS total_revenue,
+    "channel_monthly_summary": """SELECT snapshot_month, channel_name, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
         count(DISTINCT order_id) AS total_orders
       FROM (SELECT CAST(date_trunc('month', f.order_date) AS DATE) AS snapshot_month,
                    coalesce(c.channel_name, 'Unknown') AS channel_name, f.revenue, f.order_id
             FROM fact f LEFT JOIN dim_channel c ON f.channel_id = c.channel_id)
       GROUP BY snapshot_month, channel_name""",
     "geographic_performance_summary": """SELECT c.state AS state, c.city AS city,
-        round(sum(f.revenue), 2) AS total_revenue, round(sum(f.profit), 2) AS total_profit,
+        CAST(sum(CAST(f.revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(CAST(f.profit AS DECIMAL(38,2))) AS DOUBLE) AS total_profit,
         count(DISTINCT f.order_id) AS total_orders
       FROM fact f LEFT JOIN dim_customer c ON f.customer_id = c.customer_id
       WHERE c.state <> 'Unknown' GROUP BY c.state, c.city""",
     "vw_revenue_by_category": """SELECT f.order_date AS order_date, coalesce(p.category, 'Unknown') AS category,
-        round(sum(f.revenue), 2) AS total_revenue, CAST(sum(f.quantity) AS BIGINT) AS total_quantity
+        CAST(sum(CAST(f.revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(f.quantity) AS BIGINT) AS total_quantity
       FROM fact f LEFT JOIN dim_product p ON f.product_id = p.product_id
       GROUP BY f.order_date, coalesce(p.category, 'Unknown')""",
     "vw_revenue_by_sub_category": """SELECT f.order_date AS order_date, coalesce(p.sub_category, 'Unknown') AS sub_category,
-        round(sum(f.revenue), 2) AS total_revenue, CAST(sum(f.quantity) AS BIGINT) AS total_quantity
+        CAST(sum(CAST(f.revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(f.quantity) AS BIGINT) AS total_quantity
       FROM fact f LEFT JOIN dim_product p ON f.product_id = p.product_id
       GROUP BY f.order_date, coalesce(p.sub_category, 'Unknown')""",
     "vw_top_products_by_revenue": """SELECT f.order_date AS order_date, coalesce(p.product_name, 'Unknown') AS product_name,
-        coalesce(p.category, 'Unknown') AS category, round(sum(f.revenue), 2) AS total_revenue,
+        coalesce(p.category, 'Unknown') AS category, CAST(sum(CAST(f.revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
         CAST(sum(f.quantity) AS BIGINT) AS total_quantity, count(DISTINCT f.order_id) AS total_orders
       FROM fact f LEFT JOIN dim_product p ON f.product_id = p.product_id
       GROUP BY f.order_date, coalesce(p.product_name, 'Unknown'), coalesce(p.category, 'Unknown')""",
     "vw_channel_performance": """SELECT f.order_date AS order_date, coalesce(c.channel_name, 'Unknown') AS channel_name,
-        coalesce(c.channel_type, 'Unknown') AS channel_type, round(sum(f.revenue), 2) AS total_revenue,
+        coalesce(c.channel_type, 'Unknown') AS channel_type, CAST(sum(CAST(f.revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
         count(DISTINCT f.order_id) AS total_orders
       FROM fact f LEFT JOIN dim_channel c ON f.channel_id = c.channel_id
       GROUP BY f.order_date, coalesce(c.channel_name, 'Unknown'), coalesce(c.channel_type, 'Unknown')""",
     "vw_customer_segment_distribution": """SELECT segment_name, count(*) AS customers,
-        round(sum(monetary), 2) AS total_monetary FROM customer_rfm GROUP BY segment_name""",
-    "vw_top_states_revenue": """SELECT order_date, state, round(sum(revenue), 2) AS total_revenue,
+        CAST(sum(CAST(monetary AS DECIMAL(38,2))) AS DOUBLE) AS total_monetary FROM customer_rfm GROUP BY segment_name""",
+    "vw_top_states_revenue": """SELECT order_date, state, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
         count(DISTINCT order_id) AS total_orders
       FROM silver WHERE state <> 'Unknown' AND state <> '' GROUP BY order_date, state""",
-    "monthly": """SELECT p, revenue, orders, quantity, CASE WHEN orders = 0 THEN 0.0 ELSE revenue / orders END AS aov
-      FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS p, round(sum(revenue), 2) AS revenue,
-                   count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS quantity
-            FROM fact GROUP BY 1)""",
-    "monthly_prev": """SELECT cur.*, prev.revenue AS p_revenue, prev.orders AS p_orders,
-        prev.quantity AS p_quantity, prev.aov AS p_aov
-      FROM monthly cur LEFT JOIN monthly prev ON prev.p = CAST(cur.p - INTERVAL 1 MONTH AS DATE)""",
-    "daily": """SELECT p, revenue, orders, quantity, CASE WHEN orders = 0 THEN 0.0 ELSE revenue / orders END AS aov
-      FROM (SELECT order_date AS p, round(sum(revenue), 2) AS revenue,
-                   count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS quantity
-            FROM fact GROUP BY 1)""",
-    "daily_prev": """SELECT cur.*, prev.revenue AS p_revenue, prev.orders AS p_orders,
-        prev.quantity AS p_quantity, prev.aov AS p_aov
-      FROM daily cur LEFT JOIN daily prev ON prev.p = CAST(cur.p - INTERVAL 1 DAY AS DATE)""",
-    "revenue_history": "SELECT sales_date, CAST(total_revenue AS DOUBLE) AS v FROM sales_forecast_ready",
-    "order_history": "SELECT sales_date, CAST(total_orders AS DOUBLE) AS v FROM sales_forecast_ready",
-    "revenue_stats": """SELECT floor(coalesce(stddev_pop(v), 0) * 10000.0 + 0.5) / 10000.0 AS sigma, max(sales_date) AS max_date,
-        (SELECT floor(avg(v) * 10000.0 + 0.5) / 10000.0 FROM (SELECT v FROM revenue_history ORDER BY sales_date DESC LIMIT 7)) AS level
-      FROM revenue_history HAVING count(*) > 0""",
-    "order_stats": """SELECT floor(coalesce(stddev_pop(v), 0) * 10000.0 + 0.5) / 10000.0 AS sigma, max(sales_date) AS max_date,
-        (SELECT floor(avg(v) * 10000.0 + 0.5) / 10000.0 FROM (SELECT v FROM order_history ORDER BY sales_date DESC LIMIT 7)) AS level
-      FROM order_history HAVING count(*) > 0""",
-    "sales_forecast_result": """
-      SELECT sales_date, 'Revenue' AS metric_name, v AS actual_value, NULL::DOUBLE AS forecast_value,
-             NULL::DOUBLE AS lower_bound, NULL::DOUBLE AS upper_bound, 'actual_history' AS model_name
-      FROM revenue_history
+    # every KPI of every period, by day and by month, in one long table
+    "kpi_values": """SELECT grain, bucket, kpi, value FROM (
+        SELECT grain, bucket, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS "Revenue",
+               CAST(count(DISTINCT order_id) AS DOUBLE) AS "Orders", CAST(sum(quantity) AS DOUBLE) AS "Quantity",
+               CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) / count(DISTINCT order_id) AS "AOV"
+        FROM (SELECT unnest(['day', 'month']) AS grain, unnest([order_date, CAST(date_trunc('month', order_date) AS DATE)]) AS bucket,
+                     revenue, order_id, quantity FROM fact) GROUP BY grain, bucket)
+      UNPIVOT (value FOR kpi IN ("Revenue", "Orders", "Quantity", "AOV"))""",
+    # each value beside the one of the calendar period before
+    "kpi_changes": """SELECT n.grain, n.bucket, n.kpi AS kpi_name, n.value AS current_value, b.value AS previous_value,
+        n.value - ifnull(b.value, 0.0) AS delta_value,
+        (n.value - b.value) / nullif(b.value, 0.0) AS delta_pct
+      FROM kpi_values n LEFT JOIN kpi_values b
+        ON b.grain = n.grain AND b.kpi = n.kpi
+       AND n.bucket = CAST(CASE n.grain WHEN 'day' THEN b.bucket + INTERVAL 1 DAY ELSE b.bucket + INTERVAL 1 MONTH END AS DATE)""",
+    "vw_kpi_monthly_status": """SELECT bucket AS snapshot_month, kpi_name, current_value, previous_value, delta_value, delta_pct,
+        ['No Baseline', 'Down', 'Up'][1 + ifnull(1 + CAST(current_value >= previous_value AS INTEGER), 0)] AS trend_direction,
+        ['No Baseline', 'Below Minimum', 'Meets Minimum'][1 + ifnull(1 + CAST(current_value >= previous_value AS INTEGER), 0)] AS minimum_status
+      FROM kpi_changes WHERE grain = 'month'""",
+    "vw_kpi_daily_comparison": """SELECT bucket AS snapshot_date, kpi_name, current_value, previous_value, delta_value, delta_pct
+      FROM kpi_changes WHERE grain = 'day'""",
+    # both metrics by day in one long table; newest = 1 for the latest day
+    "daily_metric": """SELECT metric_name, sales_date, value, row_number() OVER (PARTITION BY metric_name ORDER BY sales_date DESC) AS newest
+      FROM (SELECT sales_date, CAST(total_revenue AS DOUBLE) AS "Revenue", CAST(total_orders AS DOUBLE) AS "Orders" FROM sales_forecast_ready)
+      UNPIVOT (value FOR metric_name IN ("Revenue", "Orders"))""",
+    "metric_outlook": """SELECT metric_name, max(sales_date) AS last_day,
+        floor(avg(value) FILTER (WHERE newest <= 7) * 10000.0 + 0.5) / 10000.0 AS mid,
+        floor(coalesce(stddev_pop(value), 0) * 10000.0 + 0.5) / 10000.0 AS spread
+      FROM daily_metric GROUP BY metric_name""",
+    "sales_forecast_result": """SELECT sales_date, metric_name, value AS actual_value, NULL::DOUBLE AS forecast_value,
+        NULL::DOUBLE AS lower_bound, NULL::DOUBLE AS upper_bound, 'actual_history' AS model_name FROM daily_metric
       UNION ALL
-      SELECT CAST(max_date + CAST(h AS INTEGER) AS DATE), 'Revenue', NULL::DOUBLE, level,
-             greatest(level - sigma, 0.0), level + sigma, 'moving_average_7d'
-      FROM revenue_stats CROSS JOIN range(1, 31) AS t(h)
-      UNION ALL
-      SELECT sales_date, 'Orders', v, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, 'actual_history'
-      FROM order_history
-      UNION ALL
-      SELECT CAST(max_date + CAST(h AS INTEGER) AS DATE), 'Orders', NULL::DOUBLE, level,
-             greatest(level - sigma, 0.0), level + sigma, 'moving_average_7d'
-      FROM order_stats CROSS JOIN range(1, 31) AS t(h)""",
+      SELECT CAST(last_day + CAST(ahead AS INTEGER) AS DATE), metric_name, NULL, mid,
+             CASE WHEN mid > spread THEN mid - spread ELSE 0.0 END, mid + spread, 'moving_average_7d'
+      FROM metric_outlook, (SELECT unnest(range(1, 31)) AS ahead)""",
     "latest_month": """SELECT CAST(date_trunc('month', max(order_date)) AS DATE) AS lo,
         CAST(date_trunc('month', max(order_date)) + INTERVAL 1 MONTH AS DATE) AS hi FROM fact""",
 }
 
-
-def _kpi_branches(src: str, date_col: str, status: bool) -> str:
-    parts = []
-    for name, cur, prev, cast in [("Revenue", "revenue", "p_revenue", False),
-                                  ("Orders", "orders", "p_orders", True),
-                                  ("Quantity", "quantity", "p_quantity", True),
-                                  ("AOV", "aov", "p_aov", False)]:
-        c = f"CAST({cur} AS DOUBLE)" if cast else cur
-        p = f"CAST({prev} AS DOUBLE)" if cast else prev
-        delta = (f"CAST({cur} - coalesce({prev}, 0) AS DOUBLE)" if cast
-                 else f"{cur} - coalesce({prev}, 0)")
-        pct = (f"CAST({cur} - {prev} AS DOUBLE) / {prev}" if cast
-               else f"({cur} - {prev}) / {prev}")
-        cols = [f"p AS {date_col}", f"'{name}' AS kpi_name", f"{c} AS current_value",
-                f"{p} AS previous_value", f"{delta} AS delta_value",
-                f"CASE WHEN {prev} IS NULL OR {prev} = 0 THEN NULL ELSE {pct} END AS delta_pct"]
-        if status:
-            cols += [f"CASE WHEN {prev} IS NULL THEN 'No Baseline' WHEN {cur} >= {prev} THEN 'Up' ELSE 'Down' END AS trend_direction",
-                     f"CASE WHEN {prev} IS NULL THEN 'No Baseline' WHEN {cur} >= {prev} THEN 'Meets Minimum' ELSE 'Below Minimum' END AS minimum_status"]
-        parts.append(f"SELECT {', '.join(cols)} FROM {src}")
-    return "\nUNION ALL\n".join(parts)
-
-
-CTES["vw_kpi_monthly_status"] = _kpi_branches("monthly_prev", "snapshot_month", True)
-CTES["vw_kpi_daily_comparison"] = _kpi_branches("daily_prev", "snapshot_date", False)
-
 _REJECT = f"""CASE WHEN NOT (order_id <> '') THEN 'empty_order_id'
   WHEN NOT (product_id <> '') THEN 'empty_product_id'
   WHEN NOT {_SHAPE} THEN 'bad_date_format'
@@ -271,21 +254,28 @@ FINAL = {
         FROM sales_forecast_result GROUP BY metric_name""",
     "dq_state_count": "SELECT count(DISTINCT state) AS total_states FROM geographic_daily_summary",
     "metrics_fact_sales_auto": f"""SELECT count(*) AS count, CAST(sum(channel_id) AS {_DEC}) AS channel_id,
-        CAST(sum(quantity) AS {_DEC}) AS quantity, round(sum(revenue), 2) AS revenue, round(sum(cost), 2) AS cost,
-        round(sum(profit), 2) AS profit, round(sum(discount), 2) AS discount,
+        CAST(sum(quantity) AS {_DEC}) AS quantity, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS revenue, CAST(sum(CAST(cost AS DECIMAL(38,2))) AS DOUBLE) AS cost,
+        CAST(sum(CAST(profit AS DECIMAL(38,2))) AS DOUBLE) AS profit, CAST(sum(CAST(discount AS DECIMAL(38,2))) AS DOUBLE) AS discount,
         count(DISTINCT order_id) AS total_orders FROM fact""",
-    "metrics_fact_sales": """SELECT round(sum(revenue), 2) AS total_revenue, round(sum(profit), 2) AS total_profit,
+    "metrics_fact_sales": """SELECT CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(CAST(profit AS DECIMAL(38,2))) AS DOUBLE) AS total_profit,
         CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, count(DISTINCT order_id) AS total_orders,
-        CASE WHEN count(DISTINCT order_id) = 0 THEN 0.0 ELSE round(sum(revenue), 2) / count(DISTINCT order_id) END AS average_order_value
+        CASE WHEN count(DISTINCT order_id) = 0 THEN 0.0 ELSE CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) / count(DISTINCT order_id) END AS average_order_value
         FROM fact""",
-    "metrics_kpi_daily": """SELECT round(sum(revenue), 2) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
+    "metrics_kpi_daily": """SELECT CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
         CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, floor(avg(aov) * 10000.0 + 0.5) / 10000.0 AS average_order_value
         FROM kpi_daily_snapshot""",
-    "metrics_forecast": """SELECT round(sum(actual_value), 4) AS actual_value, round(sum(forecast_value), 4) AS forecast_value,
-        round(sum(lower_bound), 4) AS lower_bound, round(sum(upper_bound), 4) AS upper_bound
+    "metrics_forecast": """SELECT CAST(sum(CAST(actual_value AS DECIMAL(38,4))) AS DOUBLE) AS actual_value, CAST(sum(CAST(forecast_value AS DECIMAL(38,4))) AS DOUBLE) AS forecast_value,
+        CAST(sum(CAST(lower_bound AS DECIMAL(38,4))) AS DOUBLE) AS lower_bound, CAST(sum(CAST(upper_bound AS DECIMAL(38,4))) AS DOUBLE) AS upper_bound
         FROM sales_forecast_result""",
     "latest_month_filter": """SELECT k.* FROM kpi_daily_snapshot k, latest_month
         WHERE k.snapshot_date >= lo AND k.snapshot_date < hi""",
+    "month_filter_fact": f"SELECT {_FACT_COLS} FROM fact, latest_month WHERE order_date >= lo AND order_date < hi",
+    "month_filter_silver": "SELECT s.* FROM silver s, latest_month WHERE order_date >= lo AND order_date < hi",
+    "month_filter_forecast": "SELECT r.* FROM sales_forecast_result r, latest_month WHERE sales_date >= lo AND sales_date < hi",
+    "month_filter_channel_monthly": "SELECT c.* FROM channel_monthly_summary c, latest_month WHERE snapshot_month >= lo AND snapshot_month < hi",
+    "month_filter_channel_view": "SELECT v.* FROM vw_channel_performance v, latest_month WHERE order_date >= lo AND order_date < hi",
+    "month_filter_kpi_status": "SELECT v.* FROM vw_kpi_monthly_status v, latest_month WHERE snapshot_month >= lo AND snapshot_month < hi",
+    "month_filter_kpi_daily": "SELECT v.* FROM vw_kpi_daily_comparison v, latest_month WHERE snapshot_date >= lo AND snapshot_date < hi",
     "kpi_latest_days": "SELECT * FROM kpi_daily_snapshot ORDER BY snapshot_date DESC LIMIT 10",
     "top_products_profitability": """SELECT * FROM product_profitability_summary
         ORDER BY total_revenue DESC, product_id LIMIT 10""",
@@ -299,45 +289,43 @@ FINAL = {
     "vw_kpi_daily_comparison": "SELECT * FROM vw_kpi_daily_comparison",
     "vw_monthly_channel_revenue": "SELECT * FROM channel_monthly_summary ORDER BY snapshot_month, total_revenue DESC",
     "vw_top_states_revenue": "SELECT * FROM vw_top_states_revenue ORDER BY total_revenue DESC",
-    "chart_kpi_totals": """SELECT round(sum(revenue), 2) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
+    "chart_kpi_totals": """SELECT CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
         CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, floor(avg(aov) * 10000.0 + 0.5) / 10000.0 AS average_order_value
         FROM kpi_daily_snapshot""",
-    "chart_mini_trends": """SELECT snapshot_date, round(sum(revenue), 2) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
+    "chart_mini_trends": """SELECT snapshot_date, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
         CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, floor(avg(aov) * 10000.0 + 0.5) / 10000.0 AS average_order_value
-        FROM kpi_daily_snapshot GROUP BY snapshot_date ORDER BY snapshot_date LIMIT 10000""",
+        FROM kpi_daily_snapshot GROUP BY snapshot_date ORDER BY snapshot_date""",
     "chart_kpi_status": """SELECT kpi_name, current_value, previous_value, delta_value, delta_pct, trend_direction, minimum_status
-        FROM vw_kpi_monthly_status, latest_month WHERE snapshot_month >= lo AND snapshot_month < hi
-        ORDER BY snapshot_month DESC, CASE kpi_name WHEN 'Revenue' THEN 1 WHEN 'Orders' THEN 2 WHEN 'Quantity' THEN 3 ELSE 4 END
-        LIMIT 100""",
+        FROM vw_kpi_monthly_status""",
     "chart_forecast_ready": f"""SELECT CAST(date_trunc('month', sales_date) AS DATE) AS sales_date,
-        round(sum(total_revenue), 2) AS total_revenue, CAST(sum(total_orders) AS {_DEC}) AS total_orders
-        FROM sales_forecast_ready GROUP BY 1 ORDER BY 1 LIMIT 10000""",
-    "chart_revenue_forecast": """SELECT sales_date, round(sum(actual_value), 4) AS actual_value,
-        round(sum(forecast_value), 4) AS forecast_value
-        FROM sales_forecast_result WHERE metric_name = 'Revenue' GROUP BY sales_date ORDER BY sales_date LIMIT 10000""",
-    "chart_daily_trends": f"""SELECT sales_date, round(sum(total_revenue), 2) AS total_revenue,
+        CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(total_orders) AS {_DEC}) AS total_orders
+        FROM sales_forecast_ready GROUP BY 1 ORDER BY 1""",
+    "chart_revenue_forecast": """SELECT sales_date, CAST(sum(CAST(actual_value AS DECIMAL(38,4))) AS DOUBLE) AS actual_value,
+        CAST(sum(CAST(forecast_value AS DECIMAL(38,4))) AS DOUBLE) AS forecast_value
+        FROM sales_forecast_result WHERE metric_name = 'Revenue' GROUP BY sales_date ORDER BY sales_date""",
+    "chart_daily_trends": f"""SELECT sales_date, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
         CAST(sum(total_orders) AS {_DEC}) AS total_orders, CAST(sum(total_quantity) AS {_DEC}) AS total_quantity
-        FROM sales_forecast_ready GROUP BY sales_date ORDER BY sales_date LIMIT 10000""",
-    "chart_category": """SELECT category, round(sum(total_revenue), 2) AS total_revenue
-        FROM vw_revenue_by_category GROUP BY category ORDER BY total_revenue DESC, category LIMIT 10000""",
-    "chart_sub_category": """SELECT sub_category, round(sum(total_revenue), 2) AS total_revenue
-        FROM vw_revenue_by_sub_category GROUP BY sub_category ORDER BY total_revenue DESC, sub_category LIMIT 10000""",
+        FROM sales_forecast_ready GROUP BY sales_date ORDER BY sales_date""",
+    "chart_category": """SELECT category, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue
+        FROM vw_revenue_by_category GROUP BY category ORDER BY total_revenue DESC, category""",
+    "chart_sub_category": """SELECT sub_category, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue
+        FROM vw_revenue_by_sub_category GROUP BY sub_category ORDER BY total_revenue DESC, sub_category""",
     "chart_monthly_channel": """SELECT CAST(date_trunc('month', snapshot_month) AS DATE) AS snapshot_month, channel_name,
-        round(sum(total_revenue), 2) AS total_revenue FROM channel_monthly_summary GROUP BY 1, 2
-        ORDER BY total_revenue DESC, snapshot_month, channel_name LIMIT 10000""",
-    "chart_top_products": f"""SELECT product_name, category, round(sum(total_revenue), 2) AS total_revenue,
+        CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue FROM channel_monthly_summary GROUP BY 1, 2
+        ORDER BY total_revenue DESC, snapshot_month, channel_name""",
+    "chart_top_products": f"""SELECT product_name, category, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
         CAST(sum(total_quantity) AS {_DEC}) AS total_quantity, CAST(sum(total_orders) AS {_DEC}) AS total_orders
         FROM vw_top_products_by_revenue GROUP BY product_name, category
-        ORDER BY total_revenue DESC, product_name, category LIMIT 10000""",
-    "chart_channels": f"""SELECT channel_name, channel_type, round(sum(total_revenue), 2) AS total_revenue,
+        ORDER BY total_revenue DESC, product_name, category""",
+    "chart_channels": f"""SELECT channel_name, channel_type, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
         CAST(sum(total_orders) AS {_DEC}) AS total_orders FROM vw_channel_performance
-        GROUP BY channel_name, channel_type ORDER BY total_revenue DESC, channel_name, channel_type LIMIT 10000""",
-    "chart_top_states": f"""SELECT state, round(sum(total_revenue), 2) AS total_revenue,
+        GROUP BY channel_name, channel_type ORDER BY total_revenue DESC, channel_name, channel_type""",
+    "chart_top_states": f"""SELECT state, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
         CAST(sum(total_orders) AS {_DEC}) AS total_orders FROM vw_top_states_revenue
-        GROUP BY state ORDER BY total_revenue DESC, state LIMIT 10000""",
+        GROUP BY state ORDER BY total_revenue DESC, state""",
     "chart_segments": f"""SELECT segment_name, CAST(sum(customers) AS {_DEC}) AS customers
-        FROM vw_customer_segment_distribution GROUP BY segment_name ORDER BY customers DESC, segment_name LIMIT 1000""",
-    "chart_geo_map": """SELECT iso_code, round(sum(total_revenue), 2) AS total_revenue
+        FROM vw_customer_segment_distribution GROUP BY segment_name ORDER BY customers DESC, segment_name""",
+    "chart_geo_map": """SELECT iso_code, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue
         FROM geographic_daily_summary GROUP BY iso_code""",
 }
 

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions import constants as K
-from kpiforge.functions.expr import money
+from kpiforge.functions.expr import money_merge, money_parts, money_sum
 from kpiforge.operators.compare import kpi_daily_comparison, kpi_monthly_status
-from kpiforge.operators.joins import join_dim
+from kpiforge.operators.joins import group_by_labels, join_dim
 from kpiforge.operators.marts import (
     MONEY_SCALE,
     channel_monthly_summary,
@@ -36,11 +36,10 @@ def revenue_by_product_attribute(fact: DataFrame, dim_product: DataFrame, attr:
     shuffle feeding a sort-merge join carries one row per product-day instead
     of one per order line."""
     per_product_day = fact.groupBy("order_date", "product_id").agg(
-        F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity"))
+        *money_parts("revenue", scale), F.sum("quantity").alias("quantity"))
     j = join_dim(per_product_day, dim_product.select("product_id", attr), "product_id")
-    return (j.select("order_date", _unknown(attr), "revenue", "quantity")
-            .groupBy("order_date", attr)
-            .agg(money(F.sum("revenue"), scale).alias("total_revenue"),
+    return (j.withColumn(attr, _unknown(attr)).groupBy("order_date", attr)
+            .agg(money_merge("revenue", scale).alias("total_revenue"),
                  F.sum("quantity").alias("total_quantity")))
 
 
@@ -54,31 +53,23 @@ def vw_revenue_by_sub_category(fact, dim_product, scale=MONEY_SCALE):
 
 def vw_top_products_by_revenue(fact: DataFrame, dim_product: DataFrame,
                                scale: int | None = MONEY_SCALE) -> DataFrame:
-    j = join_dim(fact.select("order_date", "product_id", "order_id", "revenue", "quantity"),
-                 dim_product.select("product_id", "product_name", "category"), "product_id")
-    return (j.select("order_date", _unknown("product_name"), _unknown("category"),
-                     "order_id", "revenue", "quantity")
-            .groupBy("order_date", "product_name", "category")
-            .agg(money(F.sum("revenue"), scale).alias("total_revenue"),
-                 F.sum("quantity").alias("total_quantity"),
-                 F.count_distinct("order_id").alias("total_orders")))
+    per_order = fact.groupBy("order_date", "product_id", "order_id").agg(
+        *money_parts("revenue", scale), F.sum("quantity").alias("quantity"))
+    return group_by_labels(per_order, dim_product, "product_id", ["order_date"], ["product_name", "category"],
+                           {"total_revenue": money_merge("revenue", scale), "total_quantity": F.sum("quantity")})
 
 
 def vw_channel_performance(fact: DataFrame, dim_channel: DataFrame,
                            scale: int | None = MONEY_SCALE) -> DataFrame:
-    j = join_dim(fact.select("order_date", "channel_id", "order_id", "revenue"), dim_channel,
-                 "channel_id")
-    return (j.select("order_date", _unknown("channel_name"), _unknown("channel_type"),
-                     "order_id", "revenue")
-            .groupBy("order_date", "channel_name", "channel_type")
-            .agg(money(F.sum("revenue"), scale).alias("total_revenue"),
-                 F.count_distinct("order_id").alias("total_orders")))
+    per_order = fact.groupBy("order_date", "channel_id", "order_id").agg(*money_parts("revenue", scale))
+    return group_by_labels(per_order, dim_channel, "channel_id", ["order_date"], ["channel_name", "channel_type"],
+                           {"total_revenue": money_merge("revenue", scale)})
 
 
 def vw_customer_segment_distribution(rfm: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
     return (rfm.groupBy("segment_name")
             .agg(F.count(F.lit(1)).alias("customers"),
-                 money(F.sum("monetary"), scale).alias("total_monetary")))
+                 money_sum("monetary", scale).alias("total_monetary")))
 
 
 def vw_geographic_performance(silver: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:

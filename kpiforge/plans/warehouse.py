@@ -12,10 +12,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kpiforge.operators import forecast as fc
 from kpiforge.operators import marts as M
 from kpiforge.operators import star as S
+from kpiforge.operators.semantic import DATASET_DATES, Period, during, latest_month
 from kpiforge.operators.silver import silver_orders
 from kpiforge.plans import views as V
 from kpiforge.sources.csv_ingest import read_orders_csv, to_bronze
@@ -37,6 +39,20 @@ VIEWS = [
     "vw_top_states_revenue",
 ]
 
+# what each view is made from
+VIEW_DEPS = {
+    "vw_revenue_by_category": ("fact", "dim_product"),
+    "vw_revenue_by_sub_category": ("fact", "dim_product"),
+    "vw_top_products_by_revenue": ("fact", "dim_product"),
+    "vw_channel_performance": ("fact", "dim_channel"),
+    "vw_customer_segment_distribution": ("customer_rfm",),
+    "vw_geographic_performance": ("silver",),
+    "vw_kpi_monthly_status": ("fact",),
+    "vw_kpi_daily_comparison": ("fact",),
+    "vw_monthly_channel_revenue": ("fact", "dim_channel"),
+    "vw_top_states_revenue": ("silver",),
+}
+
 
 def _no_bronze() -> DataFrame:
     raise ValueError("warehouse has no bronze source")
@@ -62,8 +78,9 @@ class Warehouse:
         return cls(spark, bronze=bronze_from_testdata(spark, sf_dir))
 
     @classmethod
-    def from_csv(cls, spark: SparkSession, path: str | list[str], encoding: str | None = None):
-        return cls(spark, bronze=to_bronze(read_orders_csv(spark, path, encoding)))
+    def from_csv(cls, spark: SparkSession, path: str | list[str], encoding: str | None = None,
+                 multiline: bool = True):
+        return cls(spark, bronze=to_bronze(read_orders_csv(spark, path, encoding, multiline)))
 
     @classmethod
     def from_tables(cls, spark: SparkSession, root: str, stored: Iterable[str] = TABLES):
@@ -72,8 +89,7 @@ class Warehouse:
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._cache:
             if name in self._stored:
-                df = load(self.spark, self.root, name)
-                self._cache[name] = df.drop(FACT_PARTITION) if name == "fact_sales" else df
+                self._cache[name] = load(self.spark, self.root, name)
             else:
                 self._cache[name] = build()
         return self._cache[name]
@@ -89,6 +105,11 @@ class Warehouse:
 
     @property
     def fact(self) -> DataFrame:
+        return self._fact_scan.drop(FACT_PARTITION)
+
+    @property
+    def _fact_scan(self) -> DataFrame:
+        """The fact with its month column where it is stored, so that a period prunes folders."""
         return self._get("fact_sales", lambda: S.fact_sales(self.silver))
 
     @property
@@ -109,7 +130,8 @@ class Warehouse:
 
     @property
     def customer_rfm(self) -> DataFrame:
-        return self._get("customer_rfm", lambda: M.customer_rfm(self.fact))
+        return self._get("customer_rfm", lambda: M.customer_rfm(
+            self.fact, latest=self.dim_time.agg(F.max("date")).scalar() if "dim_time" in self._stored else None))
 
     @property
     def channel_performance_summary(self) -> DataFrame:
@@ -157,17 +179,31 @@ class Warehouse:
     # ------------------------------------------------ virtual (not stored)
     def view(self, name: str, ordered: bool = False) -> DataFrame:
         """A dashboard dataset; ``ordered`` applies its presentation order."""
-        deps = {
-            "vw_revenue_by_category": ("fact", "dim_product"),
-            "vw_revenue_by_sub_category": ("fact", "dim_product"),
-            "vw_top_products_by_revenue": ("fact", "dim_product"),
-            "vw_channel_performance": ("fact", "dim_channel"),
-            "vw_customer_segment_distribution": ("customer_rfm",),
-            "vw_geographic_performance": ("silver",),
-            "vw_kpi_monthly_status": ("fact",),
-            "vw_kpi_daily_comparison": ("fact",),
-            "vw_monthly_channel_revenue": ("fact", "dim_channel"),
-            "vw_top_states_revenue": ("silver",),
-        }[name]
-        df = getattr(V, name)(*[getattr(self, d) for d in deps])
+        df = getattr(V, name)(*[getattr(self, d) for d in VIEW_DEPS[name]])
         return V.order_view(name, df) if ordered else df
+
+    def latest_month(self) -> Period:
+        """The last month with an order: the dashboard's default period."""
+        return latest_month(self.dim_time)
+
+    def dataset(self, name: str, when: Period | None = None) -> DataFrame:
+        """A table or view, in a period of its main date column (if it has one).
+
+        Views over the fact or silver rows read only the period's rows; comparisons with the previous
+        period read that one as well."""
+        if when is None or name not in DATASET_DATES:
+            return self.view(name) if name in VIEW_DEPS else self.table(name)
+        col = DATASET_DATES[name]
+        if name not in VIEW_DEPS:
+            df = self._fact_scan if name == "fact_sales" else self.table(name)
+            return during(df, col, when).drop(FACT_PARTITION)
+        start, end = when
+        back = {"vw_kpi_monthly_status": F.add_months(start, -1), "vw_kpi_daily_comparison": F.date_sub(start, 1)}
+        # monthly results are dated by the first of their month
+        if name in ("vw_kpi_monthly_status", "vw_monthly_channel_revenue"):
+            end = F.last_day(F.date_sub(end, 1)) + F.expr("INTERVAL '1' DAY")
+        rows = (back.get(name, F.trunc(start, "month") if col == "snapshot_month" else start), end)
+        source = {"fact": lambda: during(self._fact_scan, "order_date", rows).drop(FACT_PARTITION),
+                  "silver": lambda: during(self.silver, "order_date", rows)}
+        deps = [source[d]() if d in source else getattr(self, d) for d in VIEW_DEPS[name]]
+        return during(getattr(V, name)(*deps), col, when)

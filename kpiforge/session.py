@@ -1,13 +1,12 @@
 """Spark session defaults and shared scratch space.
 
 The engine never writes to a machine-local temporary folder: intermediate
-files go under the shared folder the cluster names in ``spark.checkpoint.dir``.
-A default is set only when the session has none (local tests).
+files go under the shared folder the cluster names in ``spark.checkpoint.dir``,
+or inside the session's warehouse directory where that is unset.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,22 +22,18 @@ ENGINE_CONF = {
 SESSION_DEFAULTS = {"spark.sql.session.timeZone": "UTC"}
 
 
-def get_spark(master: str = "local[8]", app: str = "kpiforge", shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, app: str = "kpiforge", shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
-    )
+    """A session with the engine's defaults; whatever is not passed is left to the submit settings."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SESSION_DEFAULTS, **ENGINE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
     apply_engine_conf(spark)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -48,20 +43,26 @@ def apply_engine_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
+    """The shared folder for checkpoints and intermediate tables.
+
+    ``spark.checkpoint.dir`` names it.  Where that is unset, a folder inside the session's warehouse
+    directory, which all executors share as well, is used; never a machine-local temporary folder."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        # local runs (tests) only: a private folder is fine when nothing is set
-        configured = tempfile.mkdtemp(prefix="kpiforge-ckpt-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/kpiforge_scratch"
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote, wherever it is stored."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
@@ -73,4 +74,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "apply_engine_conf", "ensure_checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["get_spark", "apply_engine_conf", "drop_path", "ensure_checkpoint_dir", "scratch_path", "local_path"]

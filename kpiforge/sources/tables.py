@@ -15,23 +15,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FACT_PARTITION = "order_month"
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster when its source has fewer splits than
-    cores (one huge row group, an unsplittable multi-line CSV).  A scan that
-    already has enough splits -- any large table -- is returned unchanged, so
-    no shuffle is added at scale."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
-
-
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
@@ -53,7 +42,7 @@ def write_table(df: DataFrame, root: str, name: str, sort: list[str] | None = No
 
 
 def with_order_month(fact: DataFrame) -> DataFrame:
-    return fact.withColumn(FACT_PARTITION, F.date_format("order_date", "yyyyMM").cast("int"))
+    return fact.withColumn(FACT_PARTITION, month_number(F.col("order_date")))
 
 
 def write_fact(fact: DataFrame, root: str, name: str = "fact_sales", mode: str = "overwrite") -> str:
@@ -73,6 +62,11 @@ def load(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(root, name))
 
 
+def month_number(d: Column) -> Column:
+    """``yyyyMM`` of a date, as the fact's partition column has it."""
+    return F.date_format(d, "yyyyMM").cast("int")
+
+
 def _yyyymm(d: dt.date | str) -> int:
     d = dt.date.fromisoformat(d) if isinstance(d, str) else d
     return d.year * 100 + d.month

@@ -15,8 +15,7 @@ whitespace stripping are exercised by every query that starts from it.
 Joins: orders are enriched with customer / nation / region first, then
 joined to line items and parts, so the line-item-sized data is shuffled
 twice; strategies are left to Spark (sort-merge, or broadcast when AQE
-measures a side under the threshold).  Sources with fewer splits than cores
-are spread first (``ensure_parallelism``, a no-op for large inputs).
+measures a side under the threshold).
 
 ``land_bronze`` runs this once per application and stores the bronze table
 under ``spark.checkpoint.dir``; every registered query starts from that
@@ -25,21 +24,18 @@ stored table, as the warehouse's own queries start from its loaded bronze.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiforge.session import scratch_path
 from kpiforge.sources.csv_ingest import normalize_columns, to_bronze
-from kpiforge.sources.tables import ensure_parallelism
 
 # Test-input constants of the shared mapping (FIXTURES.md section 3).
-STATE_SPELLINGS = (
-    "MAHARASHTRA|Karnataka|Tamil Nadu|New Delhi|RJ|Rajshthan|Orissa|PB|"
-    "Punjab/Mohali/Zirakpur|Pondicherry|NL|AR|Jammu & Kashmir|Goa|LADAKH||Atlantis|"
-    "Kerala|Sikkim|Delhi|Gujarat|Bihar|Assam|Mizoram|Tripura"
-)
+STATES = [
+    "MAHARASHTRA", "Karnataka", "Tamil Nadu", "New Delhi", "RJ", "Rajshthan", "Orissa", "PB",
+    "Punjab/Mohali/Zirakpur", "Pondicherry", "NL", "AR", "Jammu & Kashmir", "Goa", "LADAKH", "", "Atlantis",
+    "Kerala", "Sikkim", "Delhi", "Gujarat", "Bihar", "Assam", "Mizoram", "Tripura",
+]
 NOT_SPECIFIED_PRIORITY = "4-NOT SPECIFIED"
 SOURCE_TABLES = ["lineitem", "orders", "customer", "nation", "region", "part"]
 
@@ -57,20 +53,18 @@ def _money(c: Column) -> Column:
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"))
-    # every table that grows with the data is spread when its files have fewer
-    # splits than the cluster has cores (a no-op for real large inputs)
-    od = ensure_parallelism(read_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority"))
-    cu = ensure_parallelism(read_table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount")
+    od = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority")
+    cu = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     na = read_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_nationkey", "n_name", "n_regionkey")
     rg = read_table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    pa = ensure_parallelism(read_table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_type", "p_retailprice"))
+    pa = read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_type", "p_retailprice")
     # orders are enriched with customer / nation / region first (an orders-sized
     # join), so the lineitem-sized data is shuffled twice (order key, part key)
     # instead of three times
@@ -109,7 +103,7 @@ def mapped_columns(j: DataFrame) -> dict[str, Column]:
         "profit": _s(price - _money(F.col("p_retailprice"))),
         "discount": _s(F.col("l_discount").cast("decimal(4,2)")),
         "country": F.col("r_name"),
-        "state": F.split_part(F.lit(STATE_SPELLINGS), F.lit("|"), F.col("n_nationkey") + 1),
+        "state": F.get(F.array(*[F.lit(s) for s in STATES]), F.col("n_nationkey").cast("int")),
         "city": F.concat(F.col("n_name"), F.lit("-"), F.col("c_mktsegment")),
     }
 
@@ -151,12 +145,17 @@ _LANDED: dict[tuple, str] = {}
 
 
 def source_signature(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and time of the source files, as the store that holds them reports (any Hadoop path)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     files = []
     for name in SOURCE_TABLES:
-        p = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        files.append((p, os.path.getsize(p) if os.path.exists(p) else None,
-                      os.path.getmtime(p) if os.path.exists(p) else None))
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), tuple(files))
+        path = hadoop.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        path = fs.makeQualified(path)
+        parts = sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
+        files.append((str(path), tuple(parts)))
+    return (spark.sparkContext.applicationId, tuple(files))
 
 
 def land_bronze(spark: SparkSession, sf_dir: str) -> str:

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import DataFrame
 
 import __spark_entry__ as E
+from kpiforge.plans.catalog import QUERIES
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)  # the warehouse's own queries
 
 
 def test_entry_is_lazy_dataframe(spark):

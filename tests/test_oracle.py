@@ -10,9 +10,10 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from kpiforge.plans.catalog import QUERIES  # noqa: E402
 from compare import digest, duck  # noqa: E402
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)  # the warehouse's own queries
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def con(sf_small):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql()) and set(QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)

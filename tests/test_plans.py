@@ -7,8 +7,9 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from kpiforge.plans.catalog import QUERIES
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)  # the warehouse's own queries
 
 
 def plan_of(df) -> str:
