@@ -7,9 +7,9 @@ share a prefix token at positions that still allow the needed overlap are candid
 prefixes bound its overlap exactly and prune it; what is left is expanded to members and
 verified on the texts.
 
-The order comes from a count of all documents' n-grams in a fixed number of hash cells: cells well
-above the mean come last, by their size.  Any order gives the same result, so the cells only
-decide how much work there is.
+The order comes from a count of all documents' n-grams in a fixed number of hash cells: tokens of
+fuller cells come later.  Any order gives the same result, so the cells only decide how much work
+there is.
 
 A large group of near copies is not expanded into its pairs.  In each bucket (documents sharing a
 prefix token, or a whole prefix) only pairs with one pivot are verified first; documents that this
@@ -76,11 +76,14 @@ def _count_cells(words: int, cells: int):
 
 
 def rarity(texts: DataFrame, words: int = WORDS, cells: int = CELLS) -> np.ndarray:
-    """Grade of every hash cell: 0 where its count over all documents is about the mean, more where it is higher."""
+    """Grade of every hash cell, by its count over all documents: the higher, the later its tokens come."""
     total = vector_sum(texts.mapInArrow(_count_cells(words, cells), PARTS), cells)
     mean = max(float(total.mean()), 1.0)
-    usual = mean + 4 * np.sqrt(mean)
-    return np.where(total > usual, 1 + np.log2(np.maximum(total / usual, 1)).astype(np.int64), 0).astype(np.uint8)
+    # eighths of a standard error around the mean, then the logarithm: even a token in a few dozen
+    # documents raises its cell, and so comes late
+    z = (total - mean) / np.sqrt(mean)
+    fine = np.clip(np.floor(8 * z) + 40, 0, 120)
+    return np.where(z <= 10, fine, np.minimum(120 + 8 * np.log2(np.maximum(z, 10) / 10), 255)).astype(np.uint8)
 
 
 def need(size: np.ndarray, percent: int) -> np.ndarray:
