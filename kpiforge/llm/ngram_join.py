@@ -68,8 +68,8 @@ def _count_cells(words: int, cells: int):
         total = np.zeros(cells, np.int64)
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
-                tokens = list(shingles(data, offsets, words))
-                total += np.bincount((np.concatenate(tokens) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+                tokens = np.concatenate(list(shingles(data, offsets, words)))
+                np.add.at(total, (tokens & np.uint64(cells - 1)).astype(np.int64), 1)
         part = TaskContext.get().partitionId()
         yield chunks(part, total)
     return run
@@ -182,10 +182,10 @@ def _prefix_bound(percent: int, grades):
 def _verify(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [[t for _, _, data, offsets in slices(batch.column(i)) for t in shingles(data, offsets, words)]
+            sides = [(t for _, _, data, offsets in slices(batch.column(i)) for t in shingles(data, offsets, words))
                      for i in (2, 3)]
             keep = []
-            for a, b in zip(*sides):
+            for a, b in zip(*sides):  # one pair's sets at a time
                 common = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))

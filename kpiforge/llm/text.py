@@ -27,6 +27,8 @@ _MULT = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULT, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 _SHIPPED: dict[str, str] = {}
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+               "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -48,8 +50,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application (as ``--py-files`` would)."""
+    """Send this package to the executors, once per application (as ``--py-files`` would).
+
+    Texts are large rows: batches for Python are kept small, so that neither side buffers many."""
     sc = spark.sparkContext
+    for key, value in ARROW_BATCH.items():
+        spark.conf.set(key, value)
     if _SHIPPED.get("app") == sc.applicationId:
         return
     root = Path(kpiforge.__file__).parent
