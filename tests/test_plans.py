@@ -69,12 +69,34 @@ def _formatted(df) -> str:
     return buf.getvalue()
 
 
-def test_landed_bronze_is_spread(spark, sf_small):
-    """Queries start from the stored bronze: it must not be a single file/task."""
-    import os
-
-    from kpiforge.session import local_path
-    from kpiforge.sources.testdata import land_bronze
-    path = local_path(land_bronze(spark, sf_small))
-    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
-    assert len(files) >= min(8, spark.sparkContext.defaultParallelism)
+@pytest.mark.parametrize("key", ["month_filter_fact", "month_filter_kpi_status", "month_filter_channel_view"])
+def test_period_prunes_stored_fact(spark, sf_small, key):
+    p = _formatted(E.queries()[key](spark, sf_small))
+    assert re.search(r"PartitionFilters: \[[^\n]*order_month[^\n]*Subquery", p), key
+
+
+@pytest.mark.parametrize("key", ["vw_channel_performance", "channel_monthly_summary", "vw_top_products_by_revenue"])
+def test_no_raw_fact_exchange_on_the_label_key(spark, sf_small, key):
+    """The first exchange above a scan of the fact's rows is on the order-level key, not on the label's id."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = QUERIES[key](spark, sf_small)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        p = df._jdf.queryExecution().sparkPlan().toString()
+        ex = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert p
+    assert any("order_id" in e for e in ex)
+    # exchanges on the id alone carry one row per (period, id) or the dimension, never order lines
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"Aggregate \[[^\]]*(channel_id|product_id)[^\]]*order_id", plan)
+
+
+def test_scan_counts(spark, sf_small):
+    """One scan of the facts per query; comparisons and the forecast do not scan again for their parts."""
+    for key, most in (("chart_kpi_totals", 1), ("chart_revenue_forecast", 1), ("dq_forecast_rows", 1),
+                      ("chart_segments", 1), ("chart_mini_trends", 1)):
+        assert plan_of(QUERIES[key](spark, sf_small)).count("FileScan parquet") <= most, key
