@@ -21,6 +21,7 @@ without both labels to learn from every score is 0; an empty table gives no rows
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.text import PUNCTUATION, mix, slices, span_hashes, word_spans
+from kpiforge.llm.text import PUNCTUATION, mix, slices, span_hashes, store, word_spans
 
 WINDOW = 32
 STRIDE = 16
@@ -37,16 +38,16 @@ HIDDEN = 8
 WIDTH = 12
 ATTEND = 8
 WORD_CELLS = 1 << 17
-DECAY = 0.02
+DECAY = 0.05
 BLANK = 0.2  # share of words that training leaves out
 GRAM_CELLS = 1 << 17
 TRAIN_TEXTS = 700
-CLEAN_TEXTS = 2_800
-TRAIN_WINDOWS = 48
+CLEAN_TEXTS = 2_400
+TRAIN_WINDOWS = 24
 WINDOW_BYTES = 4096
 THRESHOLD = 0.3
 EPOCHS = (4, 3, 3, 2)
-RARER = 8  # times that a marking word or 4-gram is rarer in clean texts
+RARER = 12  # times that a marking word or 4-gram is rarer in clean texts
 BATCH_WINDOWS = 4_000  # windows of either label in one epoch, at most
 SIGNS = 3.0  # standard errors from which a word or 4-gram marks a window
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -225,34 +226,37 @@ def _pick(features, words: np.ndarray):
     return (word[some], grams[np.repeat(first[some] - start, own) + np.arange(int(own.sum()))], start), place
 
 
-def fit(texts: list[str], text_of: np.ndarray, toxic: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
+def fit(texts: pa.ChunkedArray, text_of: np.ndarray, toxic: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
     """Train on windows: their texts, the document each is from, and the documents' labels."""
     rng = np.random.default_rng(seed)
-    joined = pa.array(texts, pa.large_string())
-    (_, _, data, offsets), = slices(joined, 1 << 40)
+    (_, _, data, offsets), = slices(texts.cast(pa.large_string()).combine_chunks(), 1 << 40)
     counts, place, features = text_words(data, offsets)
     base = np.cumsum(counts) - counts
     size = np.minimum(counts, WINDOW)
     there = (np.arange(WINDOW)[None] < size[:, None]).astype(np.float32)
-    at = np.where(there > 0, place[np.minimum(base[:, None] + np.arange(WINDOW)[None], max(len(place) - 1, 0))], 0)
+    at = np.where(there > 0, place.astype(np.int32)[np.minimum(base[:, None] + np.arange(WINDOW)[None], max(len(place) - 1, 0))], 0)
     label = toxic[text_of]
     # how much more often toxic documents have a word or 4-gram than clean ones, in standard errors
     word, grams, first = features
     owner = np.repeat(np.arange(len(word)), np.diff(np.r_[first, len(grams)]))
     docs = np.repeat(text_of, counts)
     typical = np.zeros(len(word))
+    pairs = np.unique(docs * len(word) + place)
     learned = {}
     for name, cell, of, cells in (("word", word, np.arange(len(word)), WORD_CELLS), ("gram", grams, owner, GRAM_CELLS)):
-        # distinct (document, cell) pairs
-        pairs = np.unique(np.unique(docs * len(word) + place))
+        # distinct (document, cell) pairs, a share of the documents at a time
         sizes = np.bincount(of, minlength=len(word))
         starts = np.cumsum(sizes) - sizes
-        d, w = pairs // len(word), pairs % len(word)
-        spread = np.repeat(starts[w], sizes[w]) + np.arange(int(sizes[w].sum())) - np.repeat(np.cumsum(sizes[w]) - sizes[w], sizes[w])
-        seen = np.unique(np.repeat(d, sizes[w]) * cells + cell[spread])
+        parts = []
+        for some in np.array_split(np.arange(len(pairs)), 1 + len(pairs) // 200_000):
+            d, w = pairs[some] // len(word), pairs[some] % len(word)
+            n = sizes[w]
+            spread = np.repeat(starts[w] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            parts.append(np.unique((np.repeat(d, n) * cells + cell[spread]).astype(np.int32)))
+        seen = np.unique(np.concatenate(parts))
         hot = toxic[seen // cells] > 0
         # what few texts have can only be learned by heart: it stays without an embedding
-        usual = np.bincount(seen % cells, minlength=cells) >= max(3, int(toxic.sum()) // 60)
+        usual = np.bincount(seen % cells, minlength=cells) >= max(3, int(toxic.sum()) // 30)
         learned[name] = np.flatnonzero(usual)
         one = np.bincount(seen[hot] % cells, minlength=cells) / max(toxic.sum(), 1)
         two = np.bincount(seen[~hot] % cells, minlength=cells) / max((1 - toxic).sum(), 1)
@@ -320,18 +324,36 @@ def train(rows: DataFrame, train_texts: int = TRAIN_TEXTS, clean_texts: int = CL
         return None
     limit = F.when(F.col("toxic") == 1, min(1.0, 1.2 * train_texts / counts[1])).otherwise(
         min(1.0, 1.2 * clean_texts / counts[0]))
-    found = (rows.filter(F.col("order") < limit * float(1 << 63)).select("order", "toxic", "text")
-             .mapInArrow(_training_windows, "order long, toxic int, text string").toPandas())
-    found = found.sort_values(["order", "toxic"], kind="stable")
-    texts = found.drop_duplicates("order")
-    chosen = [texts[texts["toxic"] == 1].head(train_texts), texts[texts["toxic"] == 0].head(clean_texts)]
-    found = found[found["order"].isin({*chosen[0]["order"], *chosen[1]["order"]})]
-    ids, text_of = np.unique(found["order"].to_numpy(), return_inverse=True)
-    toxic = np.zeros(len(ids))
-    np.maximum.at(toxic, text_of, found["toxic"].to_numpy().astype(float))
-    if not 0 < toxic.sum() < len(toxic):
-        return None
-    return fit(found["text"].tolist(), text_of, toxic)
+    sample = store(rows.filter(F.col("order") < limit * float(1 << 63)).select("order", "toxic", "text")
+                   .mapInArrow(_training_windows, "order long, toxic int, text string"), "toxicity-sample")
+    # one task learns from the bounded sample, so that the driver only holds the weights
+    learned = sample.coalesce(1).mapInArrow(_learn(train_texts, clean_texts), "weights binary").collect()
+    return dict(np.load(io.BytesIO(bytes(learned[0].weights)))) if learned else None
+
+
+def _learn(train_texts: int, clean_texts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [b for b in batches if b.num_rows]
+        if not rows:
+            return
+        table = pa.Table.from_batches(rows)
+        order, label = table.column("order").to_numpy(), table.column("toxic").to_numpy()
+        # the texts of lowest hash of either label
+        ids, first = np.unique(order, return_index=True)
+        toxic = label[first] == 1
+        chosen = np.r_[ids[toxic][:train_texts], ids[~toxic][:clean_texts]]
+        keep = np.flatnonzero(np.isin(order, chosen))
+        # in the texts' order; windows of one text are in one batch, in theirs
+        keep = keep[np.argsort(order[keep], kind="stable")]
+        ids, text_of = np.unique(order[keep], return_inverse=True)
+        toxic = np.zeros(len(ids))
+        np.maximum.at(toxic, text_of, label[keep].astype(float))
+        if not 0 < toxic.sum() < len(toxic):
+            return
+        weights = io.BytesIO()
+        np.savez(weights, **fit(table.column("text").take(pa.array(keep)), text_of, toxic))
+        yield pa.RecordBatch.from_arrays([pa.array([weights.getvalue()], pa.binary())], ["weights"])
+    return run
 
 
 def text_scores(p: dict[str, np.ndarray], data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
