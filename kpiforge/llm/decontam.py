@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.llm.text import (
-    PARTS, PUNCTUATION, HashIndex, chunks, raw, slices, span_hashes, store, vector_sum, word_spans,
+    PARTS, PUNCTUATION, HashIndex, chunks, free_names, raw, slices, span_hashes, store, vector_sum, word_spans,
 )
 
 PASSAGE = 32
@@ -271,6 +271,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
 
 def clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` without a leak (a null id that matches goes by its text, as any other)."""
-    marked = store(leaks(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("__leak")).distinct(), "leaks")
-    return (df.join(marked, df[id_col].cast("long").eqNullSafe(marked["__leak"]), "left_anti")
+    leak, = free_names(df, "__leak")
+    marked = store(leaks(df, benchmark, id_col, text_col).select(F.col("doc_id").alias(leak)).distinct(), "leaks")
+    return (df.join(marked, df[id_col].cast("long").eqNullSafe(marked[leak]), "left_anti")
             .select(*(df[c] for c in df.columns)))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiforge.llm.text import store
+from kpiforge.llm.text import free_names, store
 
 MIN_CHARS = 10
 RUNS = 64
@@ -92,11 +92,14 @@ def keep_bitmap(df: DataFrame, min_chars: int = MIN_CHARS, runs: int = RUNS, id_
     marks = bitmaps(dropped_lines(hashes, runs))
     marks = marks.withColumn("__keep", F.transform("__words", lambda w: F.struct(
         w["__word"].alias("word"), F.bitwise_not(w["__bits"]).alias("keep")))).drop("__words")
-    marks = marks.withColumnsRenamed({"n_dropped": "__n"})
-    return (df.join(marks, (F.col("__doc") == df[id_col]) & (F.col("__text") == F.xxhash64(df[text_col])), "left")
+    doc, text, number, keep = free_names(df, "__doc", "__text", "__n", "__keep")
+    marks = marks.select(F.col("__doc").alias(doc), F.col("__text").alias(text), F.col("n_dropped").alias(number),
+                         F.col("__keep").alias(keep))
+    own = F.xxhash64(df[text_col])
+    return (df.join(marks, (marks[doc] == df[id_col]) & (marks[text] == own), "left")
             .select(*(df[c] for c in df.columns if c not in ("n_dropped", "keep_bitmap")),
-                    F.coalesce("__n", F.lit(0)).cast("long").alias("n_dropped"),
-                    F.col("__keep").alias("keep_bitmap")))
+                    F.coalesce(marks[number], F.lit(0)).cast("long").alias("n_dropped"),
+                    marks[keep].alias("keep_bitmap")))
 
 
 def kept_text(text: Column, bitmap: Column) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.text import slices, store, word_spans
+from kpiforge.llm.text import free_names, slices, store, word_spans
 
 BLOCK_ROWS = 2048
 MAX_REPEAT = 3
@@ -83,6 +83,8 @@ def flight(prob: np.ndarray, size: np.ndarray, draw: np.ndarray, last: bool) ->
     """
     low = 1e-9
     prob = prob.astype(float)
+    # the units' own numbers seed the steps, so a rerun of the block takes the same ones
+    rng = np.random.default_rng((draw * (1 << 32)).astype(np.uint64) if len(draw) else 0)
     units = np.flatnonzero((prob > low) & (prob < 1 - low))
     p, s = prob[units], size[units].astype(float)
     while len(units) > (1 if last else 2):
@@ -106,12 +108,11 @@ def flight(prob: np.ndarray, size: np.ndarray, draw: np.ndarray, last: bool) ->
             up = np.where(move, np.where(rises, 1 - p, p) / np.abs(along), np.inf).min()
             down = np.where(move, np.where(rises, p, 1 - p) / np.abs(along), np.inf).min()
         # the mean of the two steps is no step at all
-        p = p + along * (up if draw[units[0]] * (up + down) < down else -down)
+        p = p + along * (up if rng.random() * (up + down) < down else -down)
         done = (p <= low) | (p >= 1 - low)
         prob[units[done]] = np.round(p[done])
         units, p, s = units[~done], p[~done], s[~done]
-        draw = np.modf(draw * 1.6180339887 + 0.1)[0]
-    prob[units] = np.where(draw[units] < p, 1.0, 0.0) if last else p
+    prob[units] = np.where(rng.random(len(units)) < p, 1.0, 0.0) if last else p
     return prob
 
 
@@ -176,13 +177,14 @@ def mix(df: DataFrame, seed: int = 23, id_col: str = "doc_id", text_col: str = "
         source_col: str = "source") -> DataFrame:
     """The mixture itself: rows of ``df``, each as often as it is taken, columns unchanged."""
     chosen = copies(word_sizes(df, id_col, text_col, source_col), seed).filter("copies > 0")
-    chosen = chosen.select("__id", "__source", "__size", "copies").withColumnRenamed("copies", "__copies")
-    sized = df.withColumn("__n", F.arrow_udf(word_count, "long")(F.col(text_col)))
-    on = ((sized[id_col].cast("long").eqNullSafe(chosen["__id"])) & (sized["__n"] == chosen["__size"])
+    size, copy, times = free_names(df, "__words", "__copy", "__times")
+    chosen = chosen.select("__id", "__source", "__size", F.col("copies").alias(times))
+    sized = df.withColumn(size, F.arrow_udf(word_count, "long")(F.col(text_col)))
+    on = ((sized[id_col].cast("long").eqNullSafe(chosen["__id"])) & (sized[size] == chosen["__size"])
           & (sized[source_col].cast("string").eqNullSafe(chosen["__source"])))
     return (sized.join(chosen, on)
-            .withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies"))))
-            .select(*(sized[c] for c in df.columns)))
+            .select(*(sized[c] for c in df.columns), F.explode(F.array_repeat(F.lit(0), chosen[times])).alias(copy))
+            .select(*df.columns))
 
 
 def word_count(texts: pa.Array) -> pa.Array:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.text import PARTS, chunks, mix, slices, store, vector_sum, word_hashes
+from kpiforge.llm.text import PARTS, chunks, free_names, mix, slices, store, vector_sum, word_hashes
 
 WORDS = 4
 PERCENT = 85
@@ -354,6 +354,7 @@ def one_of_each(df: DataFrame, words: int = WORDS, percent: int = PERCENT, id_co
     Rows with a null id stay; of rows that repeat an id, all stay.
     """
     found = similar_groups(df, words, percent, id_col, text_col)
-    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return (df.join(stay, df[id_col].cast("long") == F.col("__keep"), "left")
-            .filter(F.col("__keep").isNotNull() | df[id_col].isNull()).select(*(df[c] for c in df.columns)))
+    keep, = free_names(df, "__keep")
+    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
+    return (df.join(stay, df[id_col].cast("long") == stay[keep], "left")
+            .filter(stay[keep].isNotNull() | df[id_col].isNull()).select(*(df[c] for c in df.columns)))
