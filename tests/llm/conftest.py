@@ -37,7 +37,3 @@ def nothing(spark):
 @pytest.fixture(scope="session")
 def docs(spark, sf_small):
     return spark.read.parquet(f"{sf_small}/documents.parquet")
-
-
-def lower_ascii(text: str) -> str:
-    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)

@@ -4,7 +4,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
-from conftest import lower_ascii
+from corpus_brute import lower_ascii
 
 from kpiforge.llm.exact_dedup import exact_groups
 

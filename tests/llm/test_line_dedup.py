@@ -4,7 +4,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
-from conftest import lower_ascii
+from corpus_brute import lower_ascii
 from pyspark.sql import functions as F
 
 from kpiforge.llm.line_dedup import keep_bitmap, kept_text

@@ -10,7 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import lower_ascii
+from corpus_brute import lower_ascii
 
 from kpiforge.llm import toxicity
 from kpiforge.llm.decontam import clean, common_subsequence, leaks

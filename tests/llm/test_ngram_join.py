@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from conftest import lower_ascii
+from corpus_brute import lower_ascii
 
 from kpiforge.llm.ngram_join import one_of_each, similar_groups
 
