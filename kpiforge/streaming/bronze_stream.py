@@ -25,6 +25,8 @@ def bronze_stream(spark: SparkSession, landing_dir: str, schema: T.StructType |
     """Streaming bronze rows of the CSV files arriving in ``landing_dir``."""
     schema = schema or raw_header_schema(spark, landing_dir, pattern)
     reader = (spark.readStream.schema(schema).option("header", True)
+              # a file whose header differs from the feed's stops the load instead of shifting its columns
+              .option("enforceSchema", False)
               .option("multiLine", True).option("escape", '"')
               .option("pathGlobFilter", pattern))
     if max_files_per_trigger:

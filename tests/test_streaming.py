@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from kpiforge.session import scratch_path
 from kpiforge.streaming import start_bronze_ingest
+from kpiforge.streaming.bronze_stream import raw_header_schema
 
 
 def test_incremental_bronze_append(spark, tmp_path):
@@ -25,3 +29,16 @@ def test_incremental_bronze_append(spark, tmp_path):
     assert rows.count() == 3  # day1 is not loaded twice
     assert rows.where("ingestion_time IS NULL").count() == 0
     assert set(rows.columns) >= {"order_id", "channel_name", "ingestion_time"}
+
+
+def test_other_header_order_stops_the_load(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "day1.csv").write_text("Order ID,Qty,ship-state\nA1,1,Goa\n")
+    bronze, ckpt = scratch_path(spark, "stream-bronze"), scratch_path(spark, "stream-ckpt")
+    feed = raw_header_schema(spark, str(landing))  # the contract, kept by the caller
+    start_bronze_ingest(spark, str(landing), bronze, ckpt, schema=feed).awaitTermination(120)
+    (landing / "day2.csv").write_text("Qty,Order ID,ship-state\n5,B1,Assam\n")
+    with pytest.raises(StreamingQueryException):
+        start_bronze_ingest(spark, str(landing), bronze, ckpt, schema=feed).awaitTermination(120)
+    assert spark.read.parquet(bronze).count() == 1

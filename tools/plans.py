@@ -60,7 +60,9 @@ def compact(plan: str) -> list[str]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark(master="local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false",
-                                                                        "spark.driver.memory": "8g"})
+                                                                        "spark.driver.memory": "8g",
+                                                                        # as at scale: no side is small
+                                                                        "spark.sql.autoBroadcastJoinThreshold": "-1"})
     lines = ["# Physical plans", "",
              f"Generated by `python tools/plans.py {sf_dir}` on local[8]: the static physical plan",
              "of every registered query (AQE re-optimises it at run time from measured sizes).",
