@@ -35,21 +35,21 @@ from kpiforge.sources.testdata import source_signature
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# Per (application, source): the lazy graph over the landed bronze, the stored warehouse that the
-# dashboard reads, and the CSV export.  One source at a time is kept; the folders of an earlier one, or
-# of changed files, are deleted.
-_HELD: dict[str, object] = {}
+# Per source: the lazy graph over the landed bronze, the stored warehouse that the dashboard reads, and
+# the CSV export.  When a source's files change, what was made from the earlier ones is deleted.
+_HELD: dict[str, dict[str, object]] = {}
 
 
 def _held(spark: SparkSession, sf_dir: str) -> dict[str, object]:
-    key = source_signature(spark, sf_dir)
-    if _HELD.get("key") != key:
-        old = [_HELD[k] for k in ("stored_root", "csv_root") if k in _HELD and _HELD["key"][0] == key[0]]
-        for path in old:
-            drop_path(spark, path)
-        _HELD.clear()
-        _HELD.update(key=key, graph=Warehouse.from_testdata(spark, sf_dir))
-    return _HELD
+    signature = source_signature(spark, sf_dir)
+    held = _HELD.get(sf_dir)
+    if held is None or held["signature"] != signature:
+        if held is not None and held["signature"][0] == signature[0]:  # the same application's folders
+            for root in ("stored_root", "csv_root"):
+                if root in held:
+                    drop_path(spark, held[root])
+        held = _HELD[sf_dir] = {"signature": signature, "graph": Warehouse.from_testdata(spark, sf_dir)}
+    return held
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
