@@ -86,7 +86,7 @@ class Model:
         self.langs, self.landmarks, self.weights = langs, landmarks, weights
 
 
-def fit(langs: list[str], bits: np.ndarray, lang: np.ndarray, landmarks: int = LANDMARKS) -> Model:
+def fit(langs: list[str], packed: np.ndarray, lang: np.ndarray, landmarks: int = LANDMARKS) -> Model:
     """Landmarks spread over the languages, Nyström features, ridge regression one against the rest."""
     chosen: list[int] = []
     turn = 0
@@ -96,11 +96,13 @@ def fit(langs: list[str], bits: np.ndarray, lang: np.ndarray, landmarks: int = L
             if turn < len(rows) and len(chosen) < landmarks:
                 chosen.append(rows[turn])
         turn += 1
-    z = bits[chosen]
+    z = np.unpackbits(packed[chosen], axis=1)
     values, vectors = np.linalg.eigh(kernel(z, z).astype(float))
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    phi = np.hstack([kernel(bits, z) @ root, np.ones((len(bits), 1))])
+    # the sample's bits stay packed but for one product at a time
+    seen = [kernel(np.unpackbits(packed[i:i + ROWS], axis=1), z) for i in range(0, len(packed), ROWS)]
+    phi = np.hstack([np.concatenate(seen) @ root, np.ones((len(packed), 1))])
     aims = (lang[:, None] == np.arange(len(langs))[None]).astype(float)
     # every language counts the same
     weight = (1 / np.maximum(aims.sum(0), 1))[lang][:, None]
@@ -122,9 +124,9 @@ def train(rows: DataFrame, train_rows: int = TRAIN_ROWS, landmarks: int = LANDMA
     table = table.groupby("lang", sort=False).head(each)
     if not len(table):
         return None
-    bits = np.unpackbits(np.frombuffer(b"".join(map(bytes, table["bits"])), np.uint8)).reshape(len(table), CELLS)
+    packed = np.frombuffer(b"".join(map(bytes, table["bits"])), np.uint8).reshape(len(table), CELLS // 8)
     langs = sorted(set(table["lang"]))
-    return fit(langs, bits, np.array([langs.index(x) for x in table["lang"]]), landmarks)
+    return fit(langs, packed, np.array([langs.index(x) for x in table["lang"]]), landmarks)
 
 
 def _predict(held, columns: list[str]):
