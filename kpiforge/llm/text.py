@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 import kpiforge
 from kpiforge.session import scratch_path
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 # any odd multiplier: powers of it are invertible modulo 2**64
 _MULT = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULT, -1, 1 << 64)
