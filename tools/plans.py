@@ -68,8 +68,7 @@ def main() -> None:
              "of every registered query (AQE re-optimises it at run time from measured sizes).",
              "Operator skeleton only: join strategy and keys, exchanges with their partitioning,",
              "aggregates, scans with pushed partition filters and the number of columns read.",
-             "Joins shown as broadcast here are small at this scale; at cluster scale Spark keeps",
-             "a sort-merge join when the dimension exceeds the broadcast threshold.", ""]
+             "Broadcast joins are off, as at a scale where no side is small.", ""]
     for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
