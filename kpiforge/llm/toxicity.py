@@ -45,6 +45,7 @@ TRAIN_TEXTS = 700
 CLEAN_TEXTS = 2_400
 TRAIN_WINDOWS = 24
 WINDOW_BYTES = 4096
+SPARE = 2  # times the sample that is drawn, as labels may be of texts that are not there
 THRESHOLD = 0.3
 EPOCHS = (4, 3, 3, 2)
 RARER = 12  # times that a marking word or 4-gram is rarer in clean texts
@@ -317,14 +318,17 @@ def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             ["order", "toxic", "text"])
 
 
-def train(rows: DataFrame, train_texts: int = TRAIN_TEXTS, clean_texts: int = CLEAN_TEXTS) -> dict[str, np.ndarray] | None:
-    """Fit on rows (order: a 63-bit hash of the id, toxic 0 or 1, text); the sample is read here."""
-    counts = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if set(counts) != {0, 1}:
-        return None
-    limit = F.when(F.col("toxic") == 1, min(1.0, 1.2 * train_texts / counts[1])).otherwise(
-        min(1.0, 1.2 * clean_texts / counts[0]))
-    sample = store(rows.filter(F.col("order") < limit * float(1 << 63)).select("order", "toxic", "text")
+def train(texts: DataFrame, labels: DataFrame, train_texts: int = TRAIN_TEXTS,
+          clean_texts: int = CLEAN_TEXTS) -> dict[str, np.ndarray] | None:
+    """Fit on texts (__id, text) with labels (__id, toxic 0 or 1).
+
+    The sample is drawn from the labels, lowest hash first, so it is bounded before the texts are read:
+    they are picked by a broadcast of ``SPARE`` times the sample's ids, and no text is shuffled."""
+    order = F.shiftrightunsigned(F.xxhash64(F.lit(43), "__id"), 1).alias("order")
+    drawn = [labels.filter(F.col("toxic") == label).select("__id", "toxic", order).orderBy("order", "__id").limit(SPARE * n)
+             for label, n in ((1, train_texts), (0, clean_texts))]
+    rows = texts.join(F.broadcast(drawn[0].unionByName(drawn[1])), "__id")
+    sample = store(rows.select("order", "toxic", "text")
                    .mapInArrow(_training_windows, "order long, toxic int, text string"), "toxicity-sample")
     # one task learns from the bounded sample, so that the driver only holds the weights
     learned = sample.coalesce(1).mapInArrow(_learn(train_texts, clean_texts), "weights binary").collect()
@@ -399,10 +403,8 @@ def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marked = (labels.select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("toxic"))
               .filter(F.col("__id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("__id")))
               .groupBy("__id").agg(F.max("toxic").alias("toxic")))
-    rows = (df.filter(~apart).select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text"))
-            .join(marked, "__id")
-            .select(F.shiftrightunsigned(F.xxhash64(F.lit(43), "__id"), 1).alias("order"), "toxic", "text"))
-    held = df.sparkSession.sparkContext.broadcast(train(rows, train_texts, clean_texts))
+    texts = df.filter(~apart).select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text"))
+    held = df.sparkSession.sparkContext.broadcast(train(texts, marked, train_texts, clean_texts))
     scored = (df.select(F.col(id_col).cast("long").alias("doc_id"), apart.alias("held_out"), F.col(text_col).alias("t"))
               .mapInArrow(_score(held), "doc_id long, held_out boolean, score double"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
