@@ -4,13 +4,17 @@ Words belong to classes; p(w | v) = p(class w | class v) * p(w | class w).  The
 exchange clustering: words move to the class that raises the likelihood of the class bigrams most.
 
 Spark counts every training word (all of them, by 64-bit hash).  The ``VOCABULARY`` most frequent
-words and the ``SUFFIXES`` buckets of all other words' last bytes are the units that exchange moves:
-a rare or unknown word has the class of its bucket.  Every round is one pass over all training
-texts, in which tasks count each unit's neighbouring classes in vectors of a fixed size; the vectors
-are added in a tree, and the exchange itself runs on these sums.  Scoring looks up the
-``LOOKUP`` most frequent words in a broadcast table of that fixed size, and joins all others with the
-full counts, so any number of words is scored exactly.  No word beyond the table is frequent, so
-that join has no hot key.
+words and the ``SUFFIXES`` buckets of all other words' last bytes are the units that exchange moves on
+the driver.  Every round is one pass over all training texts, in which tasks count each unit's
+neighbouring classes in vectors of a fixed size; the vectors are added in a tree, and the exchange
+itself runs on these sums.  Then every other training word starts from its bucket's class and moves to
+its own best class: its neighbours' classes come together by a shuffle, and the words move in parallel
+against the class bigrams of the last round.  Only words that no training text has keep their
+bucket's class.  The class bigrams of the model are counted after all words have moved.
+
+Counts and classes of the ``LOOKUP`` most frequent words are a broadcast table of that fixed size; all
+others are joined with the full table, alone and in pairs of neighbours, so any number of words is
+learned and scored exactly.  No word beyond the table is frequent, so these joins have no hot key.
 
 p(c | c') is smoothed towards p(c); p(w | c) adds 0.1 to each count, with one unknown word per
 class.  A document starts and ends in a state of its own, so scores are comparable and sum to one.
@@ -53,11 +57,9 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, data, offsets in slices(batch.column(0), 4 << 20):
             starts, ends, _ = word_spans(data, offsets)
             hashes = span_hashes(data, starts, ends)
-            words, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-            bucket = last_bytes(data, starts[first], ends[first], SUFFIXES)
+            words, counts = np.unique(hashes, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), pa.array(bucket.astype(np.int32)), pa.array(counts.astype(np.int64))],
-                ["word", "bucket", "n"])
+                [pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"])
 
 
 class Units:
@@ -74,9 +76,27 @@ class Units:
         units = self.index.find(hashes) + 1
         rare = np.flatnonzero(units == 0)
         units[rare] = 1 + len(self.index.keys) + last_bytes(data, starts[rare], ends[rare], SUFFIXES)
-        line = np.zeros(len(units) + len(counts), np.int64)
-        line[np.arange(len(units)) + np.repeat(np.arange(len(counts)), counts)] = units
-        return line, hashes, counts
+        return lined(units, counts), hashes, counts
+
+
+def lined(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The words' values of all rows in a line, END after each row."""
+    line = np.full(len(values) + len(counts), END, values.dtype)
+    line[np.arange(len(values)) + np.repeat(np.arange(len(counts)), counts)] = values
+    return line
+
+
+def _equal(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first of equal rows each, and how many rows equal it."""
+    order = np.lexsort(columns)
+    if not len(order):
+        return order, order
+    new = np.zeros(len(order), bool)
+    new[0] = True
+    for c in columns:
+        new[1:] |= np.diff(c[order].astype(np.int64)) != 0
+    first = np.flatnonzero(new)
+    return order[first], np.diff(np.r_[first, len(order)])
 
 
 def _neighbours(state, classes: int):
@@ -135,12 +155,139 @@ def exchange(left: np.ndarray, right: np.ndarray, cls: np.ndarray) -> np.ndarray
     return cls
 
 
+def _tail_neighbours(state, classes: int):
+    """Counts of the class before (slot: the class) and after (slot: ``classes`` + it) every word that is no unit."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, cls = state.value
+        units = Units(words)
+        for batch in batches:
+            for _, _, data, offsets in slices(batch.column(0), 1 << 20):
+                line, hashes, counts = units.sequence(data, offsets)
+                around = np.r_[END, cls[line], END]
+                at = np.flatnonzero(line > len(words))
+                word = np.tile(lined(hashes, counts)[at], 2)
+                slot = np.r_[around[at], classes + around[at + 2]]
+                bucket = np.tile(line[at] - 1 - len(words), 2)
+                first, n = _equal(slot, word)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(word[first].view(np.int64)), pa.array(bucket[first].astype(np.int32)),
+                     pa.array(slot[first].astype(np.int32)), pa.array(n.astype(np.int64))], ["word", "bucket", "slot", "n"])
+    return run
+
+
+def best_classes(left: np.ndarray, right: np.ndarray, own: np.ndarray, pairs: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """The class each word moves to from its ``own``, given all others as they are: the rule of ``exchange``."""
+    left, right = left.astype(float), right.astype(float)
+    count = right.sum(1)
+    every = np.arange(len(own))
+    rest = np.repeat(sums[None].astype(float), len(own), axis=0)
+    rest[every, own] -= count
+    gain = -2 * (_f(rest + count[:, None]) - _f(np.maximum(rest, 0)))
+    for mine, other, table in ((right, left, pairs.T), (left, right, pairs)):
+        i, c = np.nonzero(mine)
+        n = mine[i, c][:, None]
+        held = table[c].astype(float)  # the class bigrams of every class with c, without the word's own
+        held[np.arange(len(i)), own[i]] -= n[:, 0]
+        same = np.flatnonzero(c == own[i])
+        held[same] -= other[i[same]]
+        held = np.maximum(held, 0)
+        np.add.at(gain, i, _f(held + n) - _f(held))
+    gain[:, END] = -np.inf
+    best = gain.argmax(1)
+    return np.where(gain[every, best] <= gain[every, own] + 1e-9, own, best)
+
+
+def _move(state):
+    """Words with their neighbours' classes to words with their count and best class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets, pairs, sums = state.value
+        classes = len(sums)
+        for batch in batches:
+            entries = batch.column(2)
+            i = np.repeat(np.arange(batch.num_rows), entries.value_lengths().to_numpy(zero_copy_only=False))
+            flat = entries.flatten()
+            around = np.zeros((batch.num_rows, 2 * classes), np.int64)
+            around[i, flat.field("slot").to_numpy()] = flat.field("n").to_numpy()
+            left, right = around[:, :classes], around[:, classes:]
+            cls = best_classes(left, right, buckets[batch.column(1).to_numpy()], pairs, sums)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(right.sum(1)), pa.array(cls.astype(np.int32))], ["word", "n", "cls"])
+    return run
+
+
+class Classes:
+    """Classes of a text's words by the broadcast table; a word that is not there has its bucket's for now."""
+
+    def __init__(self, words: np.ndarray, cls: np.ndarray, buckets: np.ndarray) -> None:
+        self.index, self.cls, self.buckets = HashIndex(words), cls, buckets
+
+    def sequence(self, data: np.ndarray, offsets: np.ndarray):
+        """Classes of all rows in a line, END after each row; words' hashes, places in the table, rows' word counts."""
+        starts, ends, counts = word_spans(data, offsets)
+        hashes = span_hashes(data, starts, ends)
+        place = self.index.find(hashes)
+        cls = np.r_[self.cls, END][place].astype(np.int64)
+        rare = np.flatnonzero(place < 0)
+        cls[rare] = self.buckets[last_bytes(data, starts[rare], ends[rare], SUFFIXES)]
+        return lined(cls, counts), hashes, place, counts
+
+
+def _open_pairs(line: np.ndarray, hashes: np.ndarray, place: np.ndarray, counts: np.ndarray):
+    """Whether each step of the line has a word that is not in the table; row and columns of equal ones, with counts."""
+    rare, word = lined((place < 0).astype(np.int64), counts) > 0, lined(hashes, counts)
+    row = np.repeat(np.arange(len(counts)), counts + 1)
+    at = np.flatnonzero(rare | np.r_[False, rare[:-1]])
+    prev_rare, cur_rare = np.r_[False, rare[:-1]][at], rare[at]
+    # a row's first step comes from the END before it, which is never rare
+    prev = np.where(prev_rare, np.r_[np.uint64(0), word[:-1]][at], np.uint64(0))
+    cur = np.where(cur_rare, word[at], np.uint64(0))
+    a, b = np.r_[END, line[:-1]][at], line[at]
+    first, n = _equal(a, b, prev, cur, prev_rare, cur_rare, row[at])
+    columns = [pa.array(prev[first].view(np.int64), mask=~prev_rare[first]), pa.array(cur[first].view(np.int64), mask=~cur_rare[first]),
+               pa.array(a[first].astype(np.int32)), pa.array(b[first].astype(np.int32)), pa.array(n.astype(np.int64))]
+    return at, row[at][first], columns
+
+
+_STEPS = "prev long, cur long, a int, b int, n long"
+
+
+def _steps(held, classes: int):
+    """Class bigrams: summed where the table has both words, else one row per pair with the words it has not."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Classes(*held.value)
+        names = [c.split()[0] for c in _STEPS.split(", ")]
+        total = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in slices(batch.column(0)):
+                line, hashes, place, counts = table.sequence(data, offsets)
+                at, _, columns = _open_pairs(line, hashes, place, counts)
+                code = np.delete(np.r_[END, line[:-1]] * classes + line, at)
+                total += np.bincount(code, minlength=len(total))
+                yield pa.RecordBatch.from_arrays(columns, names)
+        some = np.flatnonzero(total)
+        none = pa.nulls(len(some), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [none, none, pa.array((some // classes).astype(np.int32)), pa.array((some % classes).astype(np.int32)),
+             pa.array(total[some])], names)
+    return run
+
+
+def _resolved(steps: DataFrame, tail: DataFrame) -> DataFrame:
+    """``steps`` with the classes of its words; words that are not in ``tail`` keep their bucket's class."""
+    for word, cls in (("prev", "a"), ("cur", "b")):
+        found = (steps.filter(F.col(word).isNotNull())
+                 .join(tail.select(F.col("word").alias(word), F.col("cls").alias("__cls")), word, "left")
+                 .withColumn(cls, F.coalesce("__cls", cls)).drop("__cls"))
+        steps = steps.filter(F.col(word).isNull()).unionByName(found)
+    return steps
+
+
 class ClassModel:
-    """Words of the tables with their counts, units' classes, and log10 probabilities."""
+    """Words of the table with their counts and classes, buckets' classes, and log10 probabilities."""
 
-    def __init__(self, words, counts, vocabulary, cls, trans, below, total, kinds) -> None:
-        self.words, self.counts = words, counts          # the look-up table, by hash
-        self.vocabulary, self.cls = vocabulary, cls      # hashes that are units; class of each unit
+    def __init__(self, words, counts, cls, buckets, trans, below, total, kinds) -> None:
+        self.words, self.counts, self.cls = words, counts, cls  # the look-up table, by hash
+        self.buckets = buckets                           # class of unseen words, by their last bytes
         self.trans, self.below = trans, below            # log10 p(c | c'), log10 of p(w | c)'s denominator
         self.total, self.kinds = total, kinds            # training tokens and distinct ones
         self.end_count = 0
@@ -148,10 +295,9 @@ class ClassModel:
 
 def train(texts: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, vocabulary: int = VOCABULARY,
           lookup: int = LOOKUP) -> tuple[ClassModel, DataFrame]:
-    """The model of a one-column table of texts, and the counts of all its words."""
+    """The model of a one-column table of texts, and count and class of every word that is no unit."""
     sc = texts.sparkSession.sparkContext
-    words = store(texts.mapInArrow(_word_counts, "word long, bucket int, n long")
-                  .groupBy("word").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("n")), "words")
+    words = store(texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     documents = texts.count()
     seen = words.agg(F.count(F.lit(1)).alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     least, held = 1, 0
@@ -180,92 +326,108 @@ def train(texts: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, vocabu
             cls = exchange(left, right, cls)
     pairs = np.zeros((classes, classes))
     np.add.at(pairs.T, cls, left.astype(float))
+    sums = np.bincount(cls, weights=right.sum(1), minlength=classes)
+    buckets = cls[1 + len(units):]
+    # all other words move from their bucket's class to their own best one, in parallel
+    move = sc.broadcast((buckets, pairs, sums))
+    around = (texts.mapInArrow(_tail_neighbours(state, classes), "word long, bucket int, slot int, n long")
+              .repartition("word").groupBy("word", "slot").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("n"))
+              .groupBy("word").agg(F.first("bucket").alias("bucket"), F.collect_list(F.struct("slot", "n")).alias("around")))
+    tail = store(around.mapInArrow(_move(move), "word long, n long, cls int"), "tail")
+    found = tail.filter(F.col("n") >= least).select("word", "cls").toPandas()
+    table_cls = np.full(len(table), END, np.int16)
+    table_cls[:len(units)] = cls[1:1 + len(units)]
+    table_cls[HashIndex(table).find(found["word"].to_numpy(np.int64).view(np.uint64))] = found["cls"].to_numpy(np.int16)
+    held = sc.broadcast((table, table_cls, buckets))
+    steps = store(texts.mapInArrow(_steps(held, classes), _STEPS), "steps")
+    pairs = np.zeros((classes, classes))
+    for r in _resolved(steps, tail).groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
+        pairs[r.a, r.b] = r.n
     into = pairs.sum(0)
     share = (into + ADD) / (into.sum() + ADD * classes)
     trans = np.log10((pairs + BETA * share) / (pairs.sum(1, keepdims=True) + BETA))
     kinds = np.bincount(cls[:1 + len(units)], minlength=classes).astype(float)
-    # the buckets' kinds of words: all that are not units
-    known = sc.broadcast(units)
-    rare = words.select("word", "bucket").mapInArrow(_not_units(known), "bucket int")
-    for r in rare.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).collect():
-        kinds[cls[1 + len(units) + r.bucket]] += r.k
+    for r in tail.groupBy("cls").agg(F.count(F.lit(1)).alias("k")).collect():
+        kinds[r.cls] += r.k
     below = np.log10(into + ADD * (kinds + 1))
     total = int(seen.n) + documents
-    model = ClassModel(table, counts, units, cls, trans, below, total, int(seen.kinds) + (1 if documents else 0))
+    model = ClassModel(table, counts, table_cls, buckets, trans, below, total, int(seen.kinds) + (1 if documents else 0))
     model.end_count = documents
-    return model, words
-
-
-def _not_units(known):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = HashIndex(known.value)
-        for batch in batches:
-            rare = index.find(batch.column(0).to_numpy().view(np.uint64)) < 0
-            yield batch.select([1]).filter(pa.array(rare))
-    return run
+    return model, tail
 
 
-_ROWS = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, model double, word long, times long"
+_ROWS = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, model double, word long, times long, prev long, cur long, a int, b int"
 
 
 def _score(held):
-    """One row per text with all but its rare words, and one row per rare word of a text."""
+    """One row per text with all but its rare words, and one row per rare word, and per pair with one, of a text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        units, table = Units(m.vocabulary), HashIndex(m.words)
+        table = Classes(m.words, m.cls, m.buckets)
         gain = np.log10(np.r_[m.counts, 0] + ADD)  # the last place is for words not in the table
         floor = np.log10(m.total + ADD * (m.kinds + 1))
         end_gain = np.log10(m.end_count + ADD)
         for batch in batches:
             for start, stop, data, offsets in slices(batch.column(3)):
-                line, hashes, counts = units.sequence(data, offsets)
-                cls = m.cls[line]
+                cls, hashes, place, counts = table.sequence(data, offsets)
+                at, pair_row, pairs = _open_pairs(cls, hashes, place, counts)
                 steps = m.trans[np.r_[END, cls[:-1]], cls] - m.below[cls]
+                steps[at] = 0  # their classes come by a join
                 row = np.repeat(np.arange(len(counts)), counts)
-                place = table.find(hashes)
                 rows = len(counts)
                 found = np.bincount(row, np.where(place >= 0, gain[place], 0.0), rows) + end_gain
                 model = np.add.reduceat(steps, np.r_[0, np.cumsum(counts + 1)[:-1]]) + found
                 tokens = counts + 1
                 known = np.bincount(row, place >= 0, rows).astype(np.int64) + (m.end_count > 0)
                 part = batch.slice(start, stop - start)
-                none = pa.nulls(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(2), pa.array(tokens.astype(np.int64)), pa.array(known),
-                     pa.array(found - tokens * floor), pa.array(model), none, none], names)
+                texts = {"row": part.column(0), "id": part.column(1), "held_out": part.column(2),
+                         "n_tokens": pa.array(tokens.astype(np.int64)), "n_known": pa.array(known),
+                         "base": pa.array(found - tokens * floor), "model": pa.array(model)}
+                yield _padded(texts)
                 rare = np.flatnonzero(place < 0)
                 if len(rare):
                     # a text's equal rare words are one row
-                    order = np.lexsort((hashes[rare], row[rare]))
-                    r, h = row[rare][order], hashes[rare][order]
-                    first = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (h[1:] != h[:-1])])
-                    times = np.diff(np.r_[first, len(r)])
-                    empty = lambda t: pa.nulls(len(first), t)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(pa.array(r[first])), empty(pa.int64()), empty(pa.bool_()), empty(pa.int64()),
-                         empty(pa.int64()), empty(pa.float64()), empty(pa.float64()),
-                         pa.array(h[first].view(np.int64)), pa.array(times.astype(np.int64))], names)
-    names = [c.split()[0] for c in _ROWS.split(", ")]
+                    first, times = _equal(hashes[rare], row[rare])
+                    yield _padded({"row": part.column(0).take(pa.array(row[rare][first])),
+                                   "word": pa.array(hashes[rare][first].view(np.int64)), "times": pa.array(times.astype(np.int64))})
+                    yield _padded({"row": part.column(0).take(pa.array(pair_row)),
+                                   **dict(zip(("prev", "cur", "a", "b", "times"), pairs))})
     return run
 
 
+def _padded(columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """A batch of ``_ROWS``, null in all other columns."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "double": pa.float64()}
+    fields = [c.split() for c in _ROWS.split(", ")]
+    rows = len(columns["row"])
+    return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(rows, kinds[t]) for c, t in fields],
+                                      [c for c, _ in fields])
+
+
 def class_scores(df: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, vocabulary: int = VOCABULARY,
                  lookup: int = LOOKUP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of every row."""
     apart = held_out(F.col(id_col))
-    model, words = train(df.filter(~apart).select(F.col(text_col).alias("t")), classes, rounds, vocabulary, lookup)
+    model, tail = train(df.filter(~apart).select(F.col(text_col).alias("t")), classes, rounds, vocabulary, lookup)
     held = df.sparkSession.sparkContext.broadcast(model)
     parts = store(df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
                             apart.alias("held_out"), F.col(text_col).alias("t")).mapInArrow(_score(held), _ROWS), "scores")
+    none = {"id": "long", "held_out": "boolean", "n_tokens": "long"}
+    empty = [F.lit(None).cast(t).alias(c) for c, t in none.items()]
     rare = (parts.filter("word IS NOT NULL").select("row", "word", "times")
-            .join(words.select("word", "n"), "word", "left"))
+            .join(tail.select("word", "n"), "word", "left"))
     gain = F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADD))
-    rare = rare.select("row", F.lit(None).cast("long").alias("id"), F.lit(None).cast("boolean").alias("held_out"),
-                       F.lit(None).cast("long").alias("n_tokens"),
-                       F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_known"),
+    rare = rare.select("row", *empty, F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_known"),
                        gain.alias("base"), gain.alias("model"))
-    texts = parts.filter("word IS NULL").drop("word", "times")
-    both = texts.unionByName(rare).groupBy("row").agg(
+    steps = df.sparkSession.createDataFrame(
+        [(a, b, float(model.trans[a, b] - model.below[b])) for a in range(classes) for b in range(classes)],
+        "a int, b int, step double")
+    pairs = _resolved(parts.filter("a IS NOT NULL").select("row", "prev", "cur", "a", "b", "times"), tail)
+    pairs = pairs.join(F.broadcast(steps), ["a", "b"]).select(
+        "row", *empty, F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base"),
+        (F.col("times") * F.col("step")).alias("model"))
+    texts = parts.filter("n_tokens IS NOT NULL").drop("word", "times", "prev", "cur", "a", "b")
+    both = texts.unionByName(rare).unionByName(pairs).groupBy("row").agg(
         F.max("id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
         F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("model").alias("score"))
     return both.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),

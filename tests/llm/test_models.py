@@ -15,7 +15,8 @@ from corpus_brute import lower_ascii
 from kpiforge.llm import toxicity
 from kpiforge.llm.decontam import clean, common_subsequence, leaks
 from kpiforge.llm.langid import identify
-from kpiforge.llm.lm import class_scores
+from kpiforge.llm.lm import best_classes, class_scores, exchange, train
+from kpiforge.llm.text import hash_of
 
 SF = "/root/testdata/sf0.01"
 
@@ -145,6 +146,45 @@ def test_class_model_beats_the_base_and_sums_to_one(more):
     assert all(r.score < 0 and abs(r.perplexity - 10 ** (-r.score / r.n_tokens)) < 1e-6 * r.perplexity for r in rows)
 
 
+def test_words_beyond_the_vocabulary_get_classes_of_their_own(spark):
+    """Rare words of two kinds of contexts that all end in the same four bytes, with few units."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        kind = "ab"[i % 2]
+        middle = lambda: f"{kind}x{rng.integers(60)}zzzz" if rng.random() < 0.5 else f"{kind}m{rng.integers(3)}"  # noqa: B023, E731
+        rows.append((" ".join(f"{kind}{rng.integers(3)} {middle()} {kind}e{rng.integers(3)}" for _ in range(6)),))
+    texts = spark.createDataFrame(rows, "text string").repartition(3)
+    model, tail = train(texts, classes=8, vocabulary=18, lookup=40)
+    cls = {r.word: r.cls for r in tail.collect()}
+    of = lambda kind: [cls[int(np.uint64(hash_of(f"{kind}x{i}zzzz")).view(np.int64))] for i in range(60)]
+    assert len(cls) == 120 and not set(of("a")) & set(of("b")) and len(model.words) <= 40
+
+
+def test_moves_follow_the_exchange():
+    """A word moves as in a round of the exchange in which it is the only one with counts of its own."""
+    rng = np.random.default_rng(5)
+    classes, size = 6, 40
+    for _ in range(50):
+        left, right = rng.integers(0, 4, (2, size, classes)) * (rng.random((2, size, classes)) < 0.4)
+        right[0], left[0] = 9, 9
+        left[:, 0] += np.maximum(right.sum(1) - left.sum(1), 0)
+        right[:, 0] += np.maximum(left.sum(1) - right.sum(1), 0)
+        cls = np.r_[0, rng.integers(1, classes, size - 1)]
+        pairs = np.zeros((classes, classes))
+        np.add.at(pairs.T, cls, left.astype(float))
+        first = int(np.argsort(-right.sum(1), kind="stable")[1 if right.sum(1).argmax() == 0 else 0])
+        sums = np.bincount(cls, weights=right.sum(1), minlength=classes)
+        got = best_classes(left[[first]], right[[first]], cls[[first]], pairs, sums)
+        assert got[0] == exchange(left, right, cls)[first]
+
+
+def test_class_model_scores_do_not_depend_on_the_table(odd, docs):
+    """Words beyond the look-up table have the classes, and so the scores, they would have in it."""
+    for df in (odd, docs):
+        all_, few = ({(r.doc_id, r.n_tokens): r.score for r in class_scores(df, rounds=1, vocabulary=20, lookup=n).collect()}
+                     for n in (1 << 18, 120))
+        assert all_.keys() == few.keys() and all(abs(all_[k] - few[k]) < 1e-6 * (1 + abs(few[k])) for k in all_)
 
 
 def test_class_model_of_nothing(nothing):
