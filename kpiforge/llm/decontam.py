@@ -4,13 +4,17 @@ Documents are cut into passages of ``PASSAGE`` words.  A randomised SVD of the T
 passages and benchmark items, over the items' words, gives a latent space: one pass multiplies
 the matrix and its transpose with a start block drawn from the items, and the orthonormal basis of the
 result is turned by the eigenvectors of the passages' covariance in it.  Passages are searched in that
-space: the items whose cosine is at least ``COSINE`` are candidates.  A candidate is kept if the longest
+space: the items whose cosine is at least ``COSINE`` are candidates; an item of more than ``PIECE`` words
+is searched as a whole and in overlapping pieces.  Where the space and the words' weights cannot promise
+that cosine to a verbatim copy among rare words (``Items.unsure``), every passage with enough of the
+item's words is a candidate too.  A candidate is kept if the longest
 common subsequence of the item and the text around the passage has ``SHARE`` of the item's words, and
 that of the item's end (its answer) ``ANSWER`` of the answer's; ``WHOLE`` of the item is enough alone.
 
 Document frequencies are counted over all documents in a fixed number of hash cells, so a shared
-cell can only raise a cosine.  Items are taken in blocks of ``BLOCK_ITEMS``; each has a space of its own
-and is broadcast, with vocabulary and rank bounded, against all documents.  Nothing is shuffled but the
+cell can only raise a cosine.  Items are taken in blocks of ``BLOCK_ITEMS``, halved while they have
+more than ``VOCABULARY`` words or ``BLOCK_ROWS`` pieces (one item is never cut); each block has a space of
+its own and is broadcast against all documents.  Nothing is shuffled but the
 sums of fixed size and the matches.
 
 Defined cases: null or empty texts and items without a word match nothing; a null item id is an id;
@@ -38,11 +42,14 @@ CELLS = 1 << 18
 RANK = 256
 VOCABULARY = 8_192
 BLOCK_ITEMS = 256
+BLOCK_ROWS = 1_024
+PIECE = 2 * PASSAGE  # a passage inside a copy of an item is inside one of its pieces
+OWN = 0.5  # share of a piece's weight that its words in the space have at least
 COSINE = 0.18
 SHARE = 0.6
 ANSWER = 0.5
 WHOLE = 0.85
-COMMON = 0.05  # words in more documents than this share are left out of the space
+COMMON = 0.05  # words in more documents than this share are left out of the space, but for OWN
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,18 +85,56 @@ class Items:
         own = [i for i in range(len(ids)) if counts[i]]
         self.ids = [ids[i] for i in own]
         self.words = [hashes[bounds[i]:bounds[i + 1]] for i in own]
-        vocabulary = np.unique(hashes)
-        weight = idf[_cell(vocabulary)]
-        rare = vocabulary[weight > common] if (weight > common).any() else vocabulary
-        if len(rare) > VOCABULARY:  # the rarest words tell items apart best
-            rare = np.sort(rare[np.argsort(-idf[_cell(rare)], kind="stable")[:VOCABULARY]])
-        self.index = HashIndex(rare)
-        self.rows = np.zeros((len(own), len(rare)), np.float32)
+        # the whole item, and pieces of a long one: (item, first word, end)
+        self.spans = []
         for i, words in enumerate(self.words):
+            self.spans.append((i, 0, len(words)))
+            if len(words) > PIECE:
+                self.spans += [(i, at, min(at + PIECE, len(words))) for at in range(0, len(words) - PASSAGE, PASSAGE)]
+        self.owner = np.array([i for i, _, _ in self.spans], np.int64)
+        kept = [hashes[idf[_cell(hashes)] > common]]
+        for i, low, high in self.spans:
+            words = self.words[i][low:high]
+            weight = idf[_cell(words)]
+            by = np.argsort(-weight, kind="stable")
+            energy = np.cumsum(weight[by] ** 2)
+            kept.append(words[by[:1 + int(np.searchsorted(energy, OWN * energy[-1]))]])
+        self.index = HashIndex(np.unique(np.concatenate(kept)))
+        self.rows = np.zeros((len(self.spans), len(self.index.keys)), np.float32)
+        full = np.zeros(len(self.spans))
+        for n, (i, low, high) in enumerate(self.spans):
+            words = self.words[i][low:high]
             at = self.index.find(words)
-            np.add.at(self.rows[i], at[at >= 0], idf[_cell(words[at >= 0])])
-        full = [float(np.sqrt((idf[_cell(w)] ** 2).sum())) for w in self.words]
-        self.rows /= np.maximum(np.array(full), 1e-9)[:, None]
+            np.add.at(self.rows[n], at[at >= 0], idf[_cell(words[at >= 0])])
+            full[n] = (idf[_cell(words)] ** 2).sum()
+        self.rows /= np.maximum(np.sqrt(full), 1e-9)[:, None]
+        # cosine of a passage that holds a share of the piece's words, all others being of the largest weight
+        size = np.array([high - low for _, low, high in self.spans])
+        part = np.array([_overlap(n) for n in size])
+        copied = full * part / np.maximum(size, 1)
+        self.least = copied / np.sqrt(np.maximum((copied + (PASSAGE - part) * idf.max() ** 2) * full, 1e-18))
+
+    def unsure(self, latent: np.ndarray, cosine: float) -> list[int]:
+        """Items without a piece whose verbatim copy is sure to reach ``cosine`` in the space."""
+        sure = self.owner[self.least * (latent.astype(float) ** 2).sum(1) >= cosine]
+        return sorted(set(range(len(self.ids))) - set(sure.tolist()))
+
+
+def _overlap(words: int) -> int:
+    """Words of a run of this length that one passage has at least."""
+    return min(words, (min(words, 2 * PASSAGE - STRIDE) + STRIDE) // 2)
+
+
+def _blocks(ids: list, texts: list[str], idf: np.ndarray, common: float) -> Iterator[Items]:
+    items = Items(ids, texts, idf, common) if ids else None
+    if items is None or not items.ids:
+        return
+    if len(ids) > 1 and (len(items.index.keys) > VOCABULARY or len(items.spans) > BLOCK_ROWS):
+        half = len(ids) // 2
+        yield from _blocks(ids[:half], texts[:half], idf, common)
+        yield from _blocks(ids[half:], texts[half:], idf, common)
+    else:
+        yield items
 
 
 def _covariance(state, project: bool):
@@ -139,7 +184,7 @@ def latent_space(texts: DataFrame, items: Items, idf: np.ndarray, rank: int = RA
     words = items.rows.shape[1]
     rank = min(rank, words)
     rng = np.random.default_rng(seed)
-    start = (items.rows.T @ rng.standard_normal((len(items.ids), rank)) + 1e-3 * rng.standard_normal((words, rank)))
+    start = (items.rows.T @ rng.standard_normal((len(items.rows), rank)) + 1e-3 * rng.standard_normal((words, rank)))
     start = (start / np.linalg.norm(start, axis=0)).astype(np.float32)
     keys = items.index.keys
 
@@ -175,13 +220,26 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def _cosine(a: np.ndarray, b: np.ndarray, idf: np.ndarray) -> float:
+    """TF-IDF cosine of two word lists, with the norms the space uses."""
+    keys, at = np.unique(np.r_[a, b], return_inverse=True)
+    tf = [np.bincount(x, minlength=len(keys)) for x in (at[:len(a)], at[len(a):])]
+    weight = idf[_cell(keys)] ** 2
+    return float((tf[0] * tf[1] * weight).sum() / np.sqrt(max((tf[0] * weight).sum() * (tf[1] * weight).sum(), 1e-18)))
+
+
 _FOUND = "doc_id long, item_id long, cosine double, share double, at int"
 
 
 def _search(state, cosine: float, share: float, answer: float, whole: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, words, keys, idf, basis, latent = state.value
+        ids, words, keys, idf, basis, latent, owner, unsure = state.value
         index = HashIndex(keys)
+        firsts = np.flatnonzero(np.r_[True, np.diff(owner) > 0])
+        counted = HashIndex(np.unique(np.concatenate([words[i] for i in unsure]))) if unsure else None
+        member = np.zeros((len(counted.keys) + 1 if unsure else 0, len(unsure)), np.int32)  # the last row is for other words
+        for n, i in enumerate(unsure):
+            member[counted.find(words[i]), n] = 1
         sizes = np.array([len(w) for w in words])
         lists = [w.tolist() for w in words]
         for batch in batches:
@@ -191,8 +249,6 @@ def _search(state, cosine: float, share: float, answer: float, whole: float):
                 hashes, counts = _words(data, offsets)
                 at = index.find(hashes)
                 known = np.flatnonzero(at >= 0)
-                if not len(known):
-                    continue
                 weight = idf[_cell(hashes)]
                 energy = np.r_[0, np.cumsum(weight * weight)]
                 inner = np.r_[0, np.cumsum(np.where(at >= 0, weight * weight, 0))]
@@ -205,18 +261,29 @@ def _search(state, cosine: float, share: float, answer: float, whole: float):
                 norm = np.sqrt(np.maximum(energy[high] - energy[low], 1e-9))
                 # a cosine is at most the share of the passage's weight on the space's words; repeated words add up
                 most = np.maximum(inner[high] - inner[low], 0) / norm ** 2
-                some = np.flatnonzero(most >= cosine ** 2 / 2)
-                if not len(some):
-                    continue
-                low, high, row, norm = low[some], high[some], row[some], norm[some]
-                where = np.searchsorted(known, np.c_[low, high])
-                picked = np.repeat(where[:, 0] - np.r_[0, np.cumsum(where[:, 1] - where[:, 0])[:-1]],
-                                   where[:, 1] - where[:, 0]) + np.arange(int((where[:, 1] - where[:, 0]).sum()))
-                token = known[picked]
-                begins = np.r_[0, np.cumsum(where[:, 1] - where[:, 0])[:-1]]
-                seen = np.add.reduceat(weight[token][:, None].astype(np.float32) * basis[at[token]], begins, axis=0)
-                close = (seen / norm[:, None].astype(np.float32)) @ latent.T
-                for p, i in np.argwhere(close >= cosine).tolist():
+                some = np.flatnonzero((most >= cosine ** 2 / 2) & (inner[high] > inner[low]))
+                hits: dict[tuple[int, int], float] = {}
+                if len(some):
+                    where = np.searchsorted(known, np.c_[low[some], high[some]])
+                    some, where = some[where[:, 1] > where[:, 0]], where[where[:, 1] > where[:, 0]]
+                if len(some):
+                    held = where[:, 1] - where[:, 0]
+                    begins = np.r_[0, np.cumsum(held)[:-1]]
+                    token = known[np.repeat(where[:, 0] - begins, held) + np.arange(int(held.sum()))]
+                    seen = np.add.reduceat(weight[token][:, None].astype(np.float32) * basis[at[token]], begins, axis=0)
+                    close = (seen / norm[some, None].astype(np.float32)) @ latent.T
+                    if len(firsts) < len(owner):
+                        close = np.maximum.reduceat(close, firsts, axis=1)
+                    for p, i in np.argwhere(close >= cosine).tolist():
+                        hits[int(some[p]), i] = float(close[p, i])
+                for n in range(0, len(unsure), 8):
+                    there = member[counted.find(hashes), n:n + 8]
+                    there = np.r_[np.zeros((1, there.shape[1]), np.int64), np.cumsum(there, axis=0)]
+                    least = np.array([max(1, int(share * _overlap(int(sizes[i])))) for i in unsure[n:n + 8]])
+                    for p, k in np.argwhere(there[high] - there[low] >= least).tolist():
+                        if (p, unsure[n + k]) not in hits:
+                            hits[p, unsure[n + k]] = float("nan")
+                for (p, i), near_by in sorted(hits.items()):
                     key = (docs[top + int(row[p])], i)
                     old = out.get(key)
                     if old and old[1] >= 1:
@@ -230,7 +297,9 @@ def _search(state, cosine: float, share: float, answer: float, whole: float):
                     end = lists[i][-max(1, int(sizes[i]) // 5):]
                     if part >= whole or common_subsequence(end, near) >= answer * len(end):
                         if not old or part > old[1]:
-                            out[key] = (float(close[p, i]), part, int(low[p] - base[row[p]]))
+                            if near_by != near_by:
+                                near_by = _cosine(hashes[low[p]:high[p]], words[i], idf)
+                            out[key] = (near_by, part, int(low[p] - base[row[p]]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([d for d, _ in out], pa.int64()), pa.array([ids[i] for _, i in out], pa.int64()),
                  *(pa.array([v[k] for v in out.values()], t) for k, t in enumerate((pa.float64(), pa.float64(), pa.int32())))],
@@ -252,15 +321,14 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     for block in range(blocks):
         rows = sorted(((r.i, r.t) for r in kept.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()),
                       key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        items = Items([r[0] for r in rows], [r[1] for r in rows], idf, common)
-        if not items.ids:
-            continue
-        basis = latent_space(texts, items, idf, rank)
-        held = spark.sparkContext.broadcast(
-            (items.ids, items.words, items.index.keys, idf, basis, (items.rows @ basis).astype(np.float32)))
-        pairs = df.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")).mapInArrow(
-            _search(held, cosine, share, ANSWER, WHOLE), _FOUND)
-        found = pairs if found is None else found.unionByName(pairs)
+        for items in _blocks([r[0] for r in rows], [r[1] for r in rows], idf, common):
+            basis = latent_space(texts, items, idf, rank)
+            latent = (items.rows @ basis).astype(np.float32)
+            held = spark.sparkContext.broadcast((items.ids, items.words, items.index.keys, idf, basis, latent, items.owner,
+                                                 items.unsure(latent, cosine)))
+            pairs = df.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")).mapInArrow(
+                _search(held, cosine, share, ANSWER, WHOLE), _FOUND)
+            found = pairs if found is None else found.unionByName(pairs)
     if found is None:
         return spark.createDataFrame([], _FOUND)
     best = F.max(F.struct("share", "cosine", (-F.col("at")).alias("at")))

@@ -234,6 +234,20 @@ def test_paraphrases_and_clean_documents(spark, more):
     assert sum(pair in found for pair in held.items()) >= 18
 
 
+def test_long_and_common_items_match_verbatim(spark):
+    """A 1,500-word item, and an item of words that most documents have, beside items with rare words."""
+    rng = np.random.default_rng(6)
+    word = lambda n=5_000: f"w{rng.integers(n)}"
+    common = [f"c{i}" for i in range(15)]
+    rows = [" ".join([*rng.permutation(common)[:13], *(word() for _ in range(60))]) for _ in range(400)]
+    long_, short = " ".join(word() for _ in range(1500)), " ".join(common)
+    items = [(1, long_), (2, short), *((10 + i, " ".join(word() for _ in range(30))) for i in range(30))]
+    rows += [f"{rows[0]} {long_} {rows[1]}", " ".join(word() for _ in range(9)) + f" {short} " + " ".join(word() for _ in range(60))]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.item_id) for r in leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(400, 1), (401, 2)} <= got and not any(i == 1 and d != 400 or i >= 10 for d, i in got)
+
+
 def test_decontamination_of_odd_rows(spark, odd, nothing):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "the quick brown fox jumps over the lazy dog again"), (None, "!!!")],
                                   "item_id long, text string")
