@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.llm.text import (
-    PARTS, PUNCTUATION, HashIndex, chunks, free_names, raw, slices, span_hashes, store, vector_sum, word_spans,
+    PARTS, PUNCTUATION, HashIndex, chunks, free_names, raw, row_key, slices, span_hashes, store, vector_sum, word_spans,
 )
 
 PASSAGE = 32
@@ -338,8 +338,9 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` without a leak (a null id that matches goes by its text, as any other)."""
+    """The rows of ``df`` without a leak: every row by its own text, also where ids are null or repeated."""
     leak, = free_names(df, "__leak")
-    marked = store(leaks(df, benchmark, id_col, text_col).select(F.col("doc_id").alias(leak)).distinct(), "leaks")
-    return (df.join(marked, df[id_col].cast("long").eqNullSafe(marked[leak]), "left_anti")
-            .select(*(df[c] for c in df.columns)))
+    key = row_key(F.col(id_col), F.col(text_col))
+    rows = df.select(key.alias("key"), F.col(text_col).alias("t"))
+    marked = store(leaks(rows, benchmark, "key", "t").select(F.col("doc_id").alias(leak)).distinct(), "leaks")
+    return df.withColumn(leak, key).join(marked, leak, "left_anti").drop(leak)

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.text import mix, slices
+from kpiforge.llm.text import mix, row_key, slices
 
 CELLS = 1 << 14
 GRAM = 3
@@ -159,15 +159,16 @@ def held_out(id_col: Column) -> Column:
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             train_rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every row."""
+             train_rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS, keyed: bool = False) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every row; with ``keyed``, its ``row_key`` stands for doc_id."""
     apart = held_out(F.col(id_col))
     rows = df.filter(~apart & F.col(lang_col).isNotNull()).select(
         F.shiftrightunsigned(F.xxhash64(F.lit(41), F.col(id_col)), 1).alias("order"),
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     model = train(rows.filter(F.col("text").rlike(r"\p{L}")), train_rows, landmarks)
     held = df.sparkSession.sparkContext.broadcast(model)
-    return (df.select(F.col(id_col).cast("long").alias("doc_id"), apart.alias("held_out"), F.col(text_col).alias("t"),
+    own = row_key(F.col(id_col), F.col(text_col)) if keyed else F.col(id_col).cast("long")
+    return (df.select(own.alias("doc_id"), apart.alias("held_out"), F.col(text_col).alias("t"),
                       F.col(text_col).rlike(r"\p{L}").alias("letters"))
             .mapInArrow(_predict(held, ["doc_id", "held_out"]),
                         "doc_id long, held_out boolean, lang_pred string, score double"))

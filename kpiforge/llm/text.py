@@ -15,7 +15,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import kpiforge
@@ -60,6 +60,11 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def row_key(id_col: Column, text_col: Column) -> Column:
+    """64-bit hash of a row's id and text: rows that share a null id or repeat one are told apart by their texts."""
+    return F.xxhash64(F.lit(59), id_col.isNull(), id_col, text_col)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application (as ``--py-files`` would).
 

@@ -42,6 +42,21 @@ def test_stages(spark, sf_small, docs):
     assert sorted(map(tuple, rows[5]), key=repr) == brute_shards(kept[4], 16, 17)
 
 
+def test_rows_that_share_an_id_are_judged_one_by_one(spark, sf_small, docs):
+    """Several rows with a null id, and several with one id: some leak, one has no letter, the others stay."""
+    items = sorted((r.text for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").collect() if r.text), key=len)
+    clean = [f"{word} and a plain sentence about the weather of today" for word in ("first", "second", "third")]
+    texts = [*clean, f"some words before {items[-1]} some words after", "12 34", None]
+    new = [(i, t) for i in (None, 9_999_999) for t in texts]
+    rows = spark.createDataFrame(new, "doc_id long, text string").repartition(2)
+    both = docs.unionByName(rows, allowMissingColumns=True)
+    mine = lambda df: sorted((r.doc_id or 0, r.text) for r in df.collect() if r.doc_id in (None, 9_999_999))
+    known = store(corpus_pipeline.language(spark, both, sf_small), "test-known")
+    want = sorted((i, t) for i in (0, 9_999_999) for t in texts[:4])
+    assert mine(known) == want and known.columns == both.columns
+    assert mine(corpus_pipeline.benchmark(spark, known, sf_small)) == [w for w in want if w[1] in clean]
+
+
 def test_empty_documents(spark, sf_small, nothing):
     docs = nothing.drop("__id")
     for _, stage in corpus_pipeline.STAGES:
