@@ -1,6 +1,6 @@
 """Exact dedup by deterministic block naming.
 
-A normalised text is cut into blocks of ``block_bytes`` bytes.  Distinct blocks are sorted into
+A normalised text is cut into blocks of ``block_bytes`` bytes.  Distinct blocks are sorted by hash into
 integer names: equal names mean equal bytes.  Then adjacent names are paired and the distinct pairs
 named in the same way, level by level, until each text has one name; log2 of the longest text's
 blocks levels in all.  Two texts have the same identity exactly when they are equal: every name
@@ -109,8 +109,9 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         paired = names.groupBy("__row", "__count", F.expr("__pos div 2").cast("int").alias("__half")).agg(
             F.max(F.when(F.col("__pos") % 2 == 0, F.col("__name"))).alias("__left"),
             F.max(F.when(F.col("__pos") % 2 == 1, F.col("__name"))).alias("__right"))
+        # names start at 1 or are below 0, so 0 stands for no right neighbour
         paired = (paired.withColumnRenamed("__half", "__pos")
-                  .withColumn("__right", F.coalesce("__right", F.lit(-1).cast("long"))))
+                  .withColumn("__right", F.coalesce("__right", F.lit(0).cast("long"))))
         # a pair is the same at every level, and names of one level are never compared with another's
         names = store(name_contents(paired, ["__left", "__right"], hashed("__left", "__right"), buckets), "level")
         width = -(-width // 2)

@@ -44,3 +44,9 @@ def test_block_borders(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_groups(df, block_bytes=8).collect()}
     assert got == {0: (0, 1), 1: (6, 2), 2: (2, 1), 3: (3, 1), 4: (4, 1), 5: (5, 1), 6: (6, 2)}
+
+
+def test_a_contested_name_is_not_the_mark_for_no_neighbour(spark):
+    """Every block shares its hash with the others, and the longer text's second one comes first."""
+    df = spark.createDataFrame([(0, "b" * 8), (1, "b" * 8 + "a" * 8)], "doc_id long, text string")
+    assert sorted(r.group_size for r in exact_groups(df, block_bytes=8, hash_bits=0).collect()) == [1, 1]
