@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import decontam, exact_dedup, langid, line_dedup, lm, mixing, ngram_join, sharding, token_counts, toxicity
+from kpiforge.llm import (
+    decontam, exact_dedup, hard_negatives, langid, line_dedup, lm, merkle, mixing, ngram_join, sharding, simhash, token_counts,
+    toxicity,
+)
 from kpiforge.llm.text import documents, ship
 
 
@@ -61,6 +64,23 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.class_scores(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    proven = merkle.manifest(docs, carry={"altered": merkle.without_newlines(docs)})
+    folded = merkle.fold(F.col("altered"), F.col("proof"))
+    return proven.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0, label=label)
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -80,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _shipped(f
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9_line_dedup,
     "op10_class_lm": op10_class_lm,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_simhash": op13_simhash,
 }.items()}
 
 # DuckDB SQL of the queries that SQL can express on whole tables
@@ -106,4 +129,24 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
         FROM m GROUP BY doc_id""",
+    "op12_hard_negatives": """
+        WITH r AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                   list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT anchor_id, positive_id,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+               other_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 5""",
 }
