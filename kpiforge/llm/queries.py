@@ -129,6 +129,51 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
         FROM m GROUP BY doc_id""",
+    # trees level by level; a step of a proof is its left and its right siblings, apart by a comma
+    "op11_merkle_manifest": r"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS rid, doc_id, source, text,
+                   concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                             coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+                   list_reduce(list_prepend(4294967295, [ord(x) FOR x IN string_split(doc_id::VARCHAR, '')]),
+                               lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                                   lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS crc
+            FROM documents),
+        e AS (SELECT rid, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                     CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS altered, head FROM d),
+        l AS (SELECT rid, doc_id, source, leaf, sha256(head || coalesce(strlen(altered) || ':' || altered, '-')) AS altered,
+                     row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM e),
+        t AS (
+            SELECT source, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM l
+            UNION ALL
+            SELECT source, level + 1, p, digest, count(*) OVER (PARTITION BY source)
+            FROM (SELECT source, level, pos // 3 AS p, sha256(string_agg(digest, '' ORDER BY pos)) AS digest
+                  FROM t WHERE n > 1 GROUP BY source, level, pos // 3)),
+        s AS (SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM t WHERE n = 1),
+        u AS (
+            SELECT 0 AS level, pos, digest, count(*) OVER () AS n FROM s
+            UNION ALL
+            SELECT level + 1, p, digest, count(*) OVER ()
+            FROM (SELECT level, pos // 3 AS p, sha256(string_agg(digest, '' ORDER BY pos)) AS digest
+                  FROM u WHERE n > 1 GROUP BY level, pos // 3)),
+        tr AS (SELECT source, level, pos // 3 AS run, list(digest ORDER BY pos) AS nodes FROM t WHERE n > 1 GROUP BY ALL),
+        ur AS (SELECT level, pos // 3 AS run, list(digest ORDER BY pos) AS nodes FROM u WHERE n > 1 GROUP BY ALL),
+        way AS (
+            SELECT rid, level, nodes, (l.pos // (3 ** level)::BIGINT % 3)::INTEGER + 1 AS at
+            FROM l JOIN tr ON l.source IS NOT DISTINCT FROM tr.source AND tr.run = l.pos // (3 ** (level + 1))::BIGINT
+            UNION ALL
+            SELECT rid, 1000 + level, nodes, (s.pos // (3 ** level)::BIGINT % 3)::INTEGER + 1
+            FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source JOIN ur ON ur.run = s.pos // (3 ** (level + 1))::BIGINT),
+        proof AS (
+            SELECT rid, list(array_to_string(nodes[:at - 1], '') || ',' || array_to_string(nodes[at + 1:], '') ORDER BY level) AS steps
+            FROM way GROUP BY rid),
+        f AS (
+            SELECT doc_id, leaf, s.digest AS subroot, (SELECT digest FROM u WHERE n = 1) AS root,
+                   sha256(replace(array_to_string(coalesce(steps, []), ''), ',', '')) AS proof_sha256,
+                   list_reduce(list_prepend(altered, coalesce(steps, [])),
+                               lambda a, w: sha256(split_part(w, ',', 1) || a || split_part(w, ',', 2))) AS folded_root
+            FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source LEFT JOIN proof USING (rid))
+        SELECT *, folded_root = root AS verified FROM f""",
     "op12_hard_negatives": """
         WITH r AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
