@@ -159,13 +159,13 @@ ORACLE_SQL: dict[str, str] = {
         tr AS (SELECT source, level, pos // 3 AS run, list(digest ORDER BY pos) AS nodes FROM t WHERE n > 1 GROUP BY ALL),
         ur AS (SELECT level, pos // 3 AS run, list(digest ORDER BY pos) AS nodes FROM u WHERE n > 1 GROUP BY ALL),
         way AS (
-            SELECT rid, level, nodes, (l.pos // (3 ** level)::BIGINT % 3)::INTEGER + 1 AS at
+            SELECT rid, level, nodes, (l.pos // (3 ** level)::BIGINT % 3)::INTEGER + 1 AS place
             FROM l JOIN tr ON l.source IS NOT DISTINCT FROM tr.source AND tr.run = l.pos // (3 ** (level + 1))::BIGINT
             UNION ALL
             SELECT rid, 1000 + level, nodes, (s.pos // (3 ** level)::BIGINT % 3)::INTEGER + 1
             FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source JOIN ur ON ur.run = s.pos // (3 ** (level + 1))::BIGINT),
         proof AS (
-            SELECT rid, list(array_to_string(nodes[:at - 1], '') || ',' || array_to_string(nodes[at + 1:], '') ORDER BY level) AS steps
+            SELECT rid, list(array_to_string(list_slice(nodes, 1, place - 1), '') || ',' || array_to_string(list_slice(nodes, place + 1, 3), '') ORDER BY level) AS steps
             FROM way GROUP BY rid),
         f AS (
             SELECT doc_id, leaf, s.digest AS subroot, (SELECT digest FROM u WHERE n = 1) AS root,
