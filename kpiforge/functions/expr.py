@@ -104,13 +104,17 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(num / den)
 
 
-EXACT_BELOW = 1e15  # amounts from here on (and inf, nan) are added as doubles
+# Amounts are added as decimals of this many places: a double from 1 on has no digits beyond them
+SUM_SCALE = 16
+# amounts from EXACT_BELOW on (and inf, nan), and those below EXACT_FROM that are not 0, are added as doubles
+EXACT_FROM, EXACT_BELOW = 1e-3, 1e15
 
 
 def _amounts(c: Column | str, scale: int) -> tuple[Column, Column]:
     """The amount as a decimal where it is an ordinary one, else as the double it is."""
     x = _c(c).cast("double")
-    ordinary = F.abs(x) < EXACT_BELOW  # nan is greater than any number
+    size = F.abs(x)
+    ordinary = (size < EXACT_BELOW) & ((size >= EXACT_FROM) | (size == 0))  # nan is greater than any number
     return F.when(ordinary, x).cast(f"decimal(38,{scale})"), F.when(~ordinary, x)
 
 
@@ -118,17 +122,18 @@ def _total(exact: Column, odd: Column) -> Column:
     return F.when(odd.isNotNull(), odd + F.coalesce(exact.cast("double"), F.lit(0.0))).otherwise(exact.cast("double"))
 
 
-def money_sum(c: Column | str, scale: int | None = 2) -> Column:
-    """Sum of amounts of ``scale`` places, exact and independent of the order of addition.
+def money_sum(c: Column | str, scale: int | None = SUM_SCALE) -> Column:
+    """Sum of doubles that no row is rounded for and that does not depend on the order of addition.
 
-    The decimal sum is turned into a double once, at the end.  ``scale=None`` is the raw double sum."""
+    Amounts are added in fixed point, as the decimal numbers their shortest spelling gives, and the sum becomes a
+    double once, at the end.  ``scale=None`` is the raw double sum."""
     if scale is None:
         return F.sum(c)
     exact, odd = _amounts(c, scale)
     return _total(F.sum(exact), F.sum(odd))
 
 
-def money_parts(c: str, scale: int | None = 2) -> list[Column]:
+def money_parts(c: str, scale: int | None = SUM_SCALE) -> list[Column]:
     """Partial sums of ``c`` for an aggregate that ``money_merge`` finishes."""
     if scale is None:
         return [F.sum(c).alias(c)]
@@ -136,7 +141,7 @@ def money_parts(c: str, scale: int | None = 2) -> list[Column]:
     return [F.sum(exact).alias(c), F.sum(odd).alias(f"{c}_odd")]
 
 
-def money_merge(c: str, scale: int | None = 2) -> Column:
+def money_merge(c: str, scale: int | None = SUM_SCALE) -> Column:
     """The sum of partial sums that ``money_parts`` made."""
     return F.sum(c) if scale is None else _total(F.sum(c), F.sum(f"{c}_odd"))
 

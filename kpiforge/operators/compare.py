@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions import constants as K
-from kpiforge.functions.expr import money_sum, month_start, safe_ratio
-from kpiforge.operators.marts import MONEY_SCALE
+from kpiforge.functions.expr import SUM_SCALE, money_sum, month_start, safe_ratio
 
 
-def period_totals(fact: DataFrame, grain: str = "month", scale: int | None = MONEY_SCALE) -> DataFrame:
+def period_totals(fact: DataFrame, grain: str = "month", scale: int | None = SUM_SCALE) -> DataFrame:
     period = month_start("order_date") if grain == "month" else F.col("order_date")
     g = fact.groupBy(period.alias("period")).agg(
         money_sum("revenue", scale).alias("revenue"),
@@ -34,7 +33,7 @@ def _shift(period: F.Column, grain: str) -> F.Column:
 
 
 def period_compare(fact: DataFrame, grain: str = "month", status: bool = True,
-                   scale: int | None = MONEY_SCALE) -> DataFrame:
+                   scale: int | None = SUM_SCALE) -> DataFrame:
     totals = period_totals(fact, grain, scale)
     long = totals.select(
         "period",
@@ -64,9 +63,9 @@ def period_compare(fact: DataFrame, grain: str = "month", status: bool = True,
     return j.select(*cols)
 
 
-def kpi_monthly_status(fact: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def kpi_monthly_status(fact: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     return period_compare(fact, "month", True, scale)
 
 
-def kpi_daily_comparison(fact: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def kpi_daily_comparison(fact: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     return period_compare(fact, "day", False, scale)

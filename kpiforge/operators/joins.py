@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from kpiforge.functions.constants import UNKNOWN
 
 SALT = "_salt"
+LABEL_SALTS = 16  # copies of each row of a dimension of few rows, such as channels
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -50,26 +51,23 @@ def join_dim(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     return salted.join(dim_salted, [key, SALT], how).drop(SALT)
 
 
-def group_by_labels(per_order: DataFrame, dim: DataFrame, key: str, period: list[str], labels: list[str],
-                    sums: dict[str, Column], orders: str = "total_orders") -> DataFrame:
-    """Totals per (period, labels of the dimension), with exact distinct orders.
+def group_by_labels(fact: DataFrame, dim: DataFrame, key: str, period: list[str], labels: list[str],
+                    parts: list[Column], sums: dict[str, Column], orders: str = "total_orders",
+                    salts: int | None = None) -> DataFrame:
+    """Totals per (period, labels of the dimension), with exact distinct orders, in one pass over the fact.
 
-    ``per_order`` has one row per (period, key, order_id) with partial sums, so neither the fact's rows
-    nor a hot key meet in one place: the dimension is joined to one row per (period, key).  An order
-    counts once in a group.  Where one group has several keys (ids without a dim row share 'Unknown', or
-    two products share a name), its orders are counted again from the order-level rows of those keys only.
+    Labels are joined to the fact's rows (broadcast where the dimension's size is under the threshold; else on (key, salt)
+    where ``salts`` replicates a dimension of few rows, so that a channel with a third of the rows is spread; AQE
+    splits what is skewed beyond that).  Then rows become one per (period, labels, order) with the partial sums
+    ``parts``, spread by order whatever share of the rows a label has; and last, one per (period, labels), where
+    an order counts once also if its lines have several keys of one label.  Ids without a dim row are 'Unknown'.
     """
-    columns = [c for c in per_order.columns if c not in (*period, key, "order_id")]
-    per_key = per_order.groupBy(*period, key).agg(
-        *(F.sum(c).alias(c) for c in columns), F.count(F.lit(1)).alias("_orders"))
-    named = per_key.join(dim.select(key, *labels), key, "left").select(
-        *period, key, *(F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in labels), *columns, "_orders")
-    grouped = named.groupBy(*period, *labels).agg(
-        *(total.alias(name) for name, total in sums.items()),
-        F.sum("_orders").alias("_orders"), F.count(F.lit(1)).alias("_keys"))
-    shared = grouped.where("_keys > 1").select(*period, *labels)
-    keys = named.select(*period, key, *labels).join(shared, [*period, *labels])
-    again = (per_order.select(*period, key, "order_id").join(keys, [*period, key])
-             .groupBy(*period, *labels).agg(F.count_distinct("order_id").alias("_distinct")))
-    return grouped.join(again, [*period, *labels], "left").select(
-        *period, *labels, *sums, F.coalesce("_distinct", "_orders").alias(orders))
+    known = dim.select(key, *labels)
+    if salts:
+        fact = fact.withColumn(SALT, F.pmod(F.xxhash64("order_id"), F.lit(salts)).cast("int"))
+        known = known.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    named = fact.join(known, [key, SALT] if salts else key, "left")
+    named = named.withColumns({c: F.coalesce(F.col(c), F.lit(UNKNOWN)) for c in labels})
+    per_order = named.groupBy(*period, *labels, "order_id").agg(*parts)
+    return per_order.groupBy(*period, *labels).agg(
+        *(total.alias(name) for name, total in sums.items()), F.count("order_id").alias(orders))

@@ -1,8 +1,8 @@
 """Summary marts over the fact table / silver rows.
 
-Money sums are exact: decimals of ``scale`` places, turned into doubles once at the end (pass ``None``
-for the raw double sum), and every ratio is derived from them, so results do not depend on the order in
-which partial sums were combined.
+Sums of amounts are exact (``money_sum``: no row is rounded, the sum becomes a double once at the end; pass
+``None`` for the raw double sum), and every ratio is derived from them, so results do not depend on the order
+in which partial sums were combined.
 
 Distinct order counts use ``count_distinct`` (exact).  With a single distinct
 column Spark plans it as two aggregations: the first shuffles on
@@ -16,40 +16,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions import constants as K
-from kpiforge.functions.expr import iso_state_code, money_merge, money_parts, money_sum, month_start, safe_ratio
-from kpiforge.operators.joins import group_by_labels, join_dim
-
-MONEY_SCALE = 2
-
-
-def _sum_money(c: str, scale: int | None) -> F.Column:
-    return money_sum(c, scale)
-
+from kpiforge.functions.expr import SUM_SCALE, iso_state_code, money_merge, money_parts, money_sum, month_start, safe_ratio
+from kpiforge.operators.joins import LABEL_SALTS, group_by_labels, join_dim
 
 def _orders() -> F.Column:
     return F.count_distinct("order_id")
 
 
 # --------------------------------------------------------------------- daily
-def daily_totals(fact: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def daily_totals(fact: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     """One row per order date: revenue, profit, distinct orders, quantity."""
     return fact.groupBy("order_date").agg(
-        _sum_money("revenue", scale).alias("total_revenue"),
-        _sum_money("profit", scale).alias("total_profit"),
+        money_sum("revenue", scale).alias("total_revenue"),
+        money_sum("profit", scale).alias("total_profit"),
         _orders().alias("total_orders"),
         F.sum("quantity").alias("total_quantity"),
     )
 
 
-def sales_forecast_ready(fact: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def sales_forecast_ready(fact: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     return daily_totals(fact, scale).select(
         F.col("order_date").alias("sales_date"), "total_revenue", "total_profit",
         "total_orders", "total_quantity")
 
 
-def kpi_daily_snapshot(fact: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def kpi_daily_snapshot(fact: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     d = fact.groupBy("order_date").agg(
-        _sum_money("revenue", scale).alias("revenue"),
+        money_sum("revenue", scale).alias("revenue"),
         _orders().alias("orders"),
         F.sum("quantity").alias("quantity"),
     )
@@ -58,19 +51,19 @@ def kpi_daily_snapshot(fact: DataFrame, scale: int | None = MONEY_SCALE) -> Data
 
 
 # ------------------------------------------------------------ by dimension
-def channel_performance_summary(fact: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def channel_performance_summary(fact: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     g = fact.groupBy("channel_id").agg(
-        _sum_money("revenue", scale).alias("total_revenue"),
-        _sum_money("profit", scale).alias("total_profit"),
+        money_sum("revenue", scale).alias("total_revenue"),
+        money_sum("profit", scale).alias("total_profit"),
         _orders().alias("total_orders"),
     )
     return g.withColumn("profit_margin", safe_ratio(F.col("total_profit"), F.col("total_revenue")))
 
 
-def product_profitability_summary(fact: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def product_profitability_summary(fact: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     g = fact.groupBy("product_id").agg(
-        _sum_money("revenue", scale).alias("total_revenue"),
-        _sum_money("profit", scale).alias("total_profit"),
+        money_sum("revenue", scale).alias("total_revenue"),
+        money_sum("profit", scale).alias("total_profit"),
         F.sum("quantity").alias("total_quantity"),
         _orders().alias("total_orders"),
     )
@@ -81,15 +74,15 @@ def _known_state(silver: DataFrame) -> DataFrame:
     return silver.where((F.col("state") != K.UNKNOWN) & (F.col("state") != ""))
 
 
-def state_daily(silver: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def state_daily(silver: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     """Revenue and distinct orders per (order date, raw state), known states only."""
     return _known_state(silver).groupBy("order_date", "state").agg(
-        _sum_money("revenue", scale).alias("total_revenue"),
+        money_sum("revenue", scale).alias("total_revenue"),
         _orders().alias("total_orders"),
     )
 
 
-def geographic_daily_summary(silver: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def geographic_daily_summary(silver: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     # the ISO lookup runs after the aggregate: once per (day, state), not per row
     return state_daily(silver, scale).select(
         "order_date", iso_state_code("state").alias("iso_code"), "state",
@@ -97,17 +90,16 @@ def geographic_daily_summary(silver: DataFrame, scale: int | None = MONEY_SCALE)
 
 
 def channel_monthly_summary(fact: DataFrame, dim_channel: DataFrame,
-                            scale: int | None = MONEY_SCALE) -> DataFrame:
+                            scale: int | None = SUM_SCALE) -> DataFrame:
     """Month x channel name.  A fact row whose channel id has no dim row is named 'Unknown', and
     shares a group with a real 'Unknown' channel (see ``group_by_labels``)."""
-    per_order = (fact.groupBy(month_start("order_date").alias("snapshot_month"), "channel_id", "order_id")
-                 .agg(*money_parts("revenue", scale)))
-    return group_by_labels(per_order, dim_channel, "channel_id", ["snapshot_month"], ["channel_name"],
-                           {"total_revenue": money_merge("revenue", scale)})
+    dated = fact.select(month_start("order_date").alias("snapshot_month"), "channel_id", "order_id", "revenue")
+    return group_by_labels(dated, dim_channel, "channel_id", ["snapshot_month"], ["channel_name"],
+                           money_parts("revenue", scale), {"total_revenue": money_merge("revenue", scale)}, salts=LABEL_SALTS)
 
 
 def geographic_performance_summary(fact: DataFrame, dim_customer: DataFrame,
-                                   scale: int | None = MONEY_SCALE) -> DataFrame:
+                                   scale: int | None = SUM_SCALE) -> DataFrame:
     """State x city of the customer dimension; rows whose customer has state
     'Unknown' (or no dim row) are left out.
 
@@ -139,22 +131,21 @@ def rfm_key(pseudo: bool = True) -> F.Column:
         .otherwise(F.col("customer_id"))
 
 
-def customer_rfm(fact: DataFrame, scale: int | None = MONEY_SCALE, pseudo: bool = True,
+def customer_rfm(fact: DataFrame, scale: int | None = SUM_SCALE, pseudo: bool = True,
                  champions=(K.RFM_CHAMPIONS_MAX_RECENCY, K.RFM_CHAMPIONS_MIN_FREQUENCY,
                             K.RFM_CHAMPIONS_MIN_MONETARY),
                  loyal=(K.RFM_LOYAL_MAX_RECENCY, K.RFM_LOYAL_MIN_FREQUENCY),
                  at_risk=(K.RFM_AT_RISK_MIN_RECENCY, K.RFM_AT_RISK_MIN_MONETARY),
                  hibernating=K.RFM_HIBERNATING_MIN_RECENCY,
                  latest: F.Column | None = None) -> DataFrame:
-    """``latest``: the last order date, where a smaller table has it; else it is taken from the
-    per-customer result."""
+    """``latest``: the last order date, where the table's statistics have it; else it is taken from the
+    per-customer result, which scans the fact a second time."""
     per_key = fact.groupBy(rfm_key(pseudo).alias("pseudo_customer_id")).agg(
         F.max("order_date").alias("last_order"),
         _orders().alias("frequency"),
-        _sum_money("revenue", scale).alias("monetary"),
+        money_sum("revenue", scale).alias("monetary"),
     )
-    # a scalar subquery, planned once and inlined as a value -- no join; without ``latest`` it is over the
-    # same aggregate, whose exchange is reused
+    # a scalar subquery, planned once and inlined as a value -- no join
     max_date = latest if latest is not None else per_key.agg(F.max("last_order")).scalar()
     r, f, m = F.col("recency"), F.col("frequency"), F.col("monetary")
     segment = (

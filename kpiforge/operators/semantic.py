@@ -10,7 +10,7 @@ Metrics of a dataset (``dataset_metrics``):
 * custom metrics override auto ones of the same name.
 
 Integral SUMs of the auto rule are exact ``decimal(38,0)`` so id-like 64-bit
-columns never overflow; floating SUMs are exact sums of ``scale`` places.
+columns never overflow; floating SUMs are ``money_sum``: amounts, ratios and any other number alike.
 """
 
 from __future__ import annotations
@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiforge.functions.expr import fixed_round, money_sum, month_start, safe_ratio
+from kpiforge.functions.expr import SUM_SCALE, fixed_round, money_sum, month_start, safe_ratio
 from kpiforge.sources.tables import FACT_PARTITION, month_number
 
 MetricFn = Callable[[], Column]
 
 
-def _sum(c: str, scale: int | None = 2) -> MetricFn:
+def _sum(c: str, scale: int | None = SUM_SCALE) -> MetricFn:
     return lambda: money_sum(c, scale)
 
 
@@ -39,7 +39,7 @@ CUSTOM_METRICS: dict[str, dict[str, MetricFn]] = {
         "total_profit": _sum("profit"),
         "total_quantity_sold": lambda: F.sum("quantity"),
         "total_orders": lambda: F.count_distinct("order_id"),
-        "average_order_value": lambda: safe_ratio(money_sum("revenue", 2),
+        "average_order_value": lambda: safe_ratio(money_sum("revenue"),
                                                   F.count_distinct("order_id")),
     },
     "kpi_daily_snapshot": {
@@ -49,10 +49,10 @@ CUSTOM_METRICS: dict[str, dict[str, MetricFn]] = {
         "average_order_value": lambda: fixed_round(F.avg("aov"), 4),
     },
     "sales_forecast_result": {
-        "actual_value": _sum("actual_value", 4),
-        "forecast_value": _sum("forecast_value", 4),
-        "lower_bound": _sum("lower_bound", 4),
-        "upper_bound": _sum("upper_bound", 4),
+        "actual_value": _sum("actual_value"),
+        "forecast_value": _sum("forecast_value"),
+        "lower_bound": _sum("lower_bound"),
+        "upper_bound": _sum("upper_bound"),
     },
 }
 
@@ -65,7 +65,7 @@ NULLABLE_COLUMNS: dict[str, set[str]] = {
 }
 
 
-def auto_metrics(df: DataFrame, scale: int | None = 2, dataset: str | None = None) -> dict[str, MetricFn]:
+def auto_metrics(df: DataFrame, scale: int | None = SUM_SCALE, dataset: str | None = None) -> dict[str, MetricFn]:
     """COUNT(*), SUM of every numeric column not declared nullable, and
     COUNT(DISTINCT order_id) when the dataset has an order id."""
     out: dict[str, MetricFn] = {"count": lambda: F.count(F.lit(1))}

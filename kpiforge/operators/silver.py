@@ -38,7 +38,7 @@ def validity_rules() -> list[tuple[str, Column]]:
     ]
 
 
-def _is_valid() -> Column:
+def is_valid() -> Column:
     """All rules, as plain conjuncts: in a WHERE a NULL (a NULL cell, which
     bronze never has) drops the row like false, and the simple conjuncts
     (non-empty ids) stay visible to Parquet filter pushdown."""
@@ -73,7 +73,7 @@ def silver_orders(bronze: DataFrame) -> DataFrame:
     ]
     if has_ingestion:
         cols.append(F.col("ingestion_time"))
-    return bronze.where(_is_valid()).select(*cols)
+    return bronze.where(is_valid()).select(*cols)
 
 
 def reject_reason() -> Column:

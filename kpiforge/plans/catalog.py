@@ -11,11 +11,12 @@ out of the outputs so results can be compared across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.functions.expr import iso_state_code
+from kpiforge.functions.expr import fixed_round, iso_state_code
 from kpiforge.operators import quality as Q
 from kpiforge.operators.semantic import (
     CUSTOM_METRICS,
@@ -26,11 +27,13 @@ from kpiforge.operators.semantic import (
 )
 from kpiforge.operators.silver import silver_rejects
 from kpiforge.plans.charts import CHARTS
-from kpiforge.plans.warehouse import VIEWS, Warehouse
-from kpiforge.plans.pipeline import run_pipeline
+from kpiforge.plans.warehouse import TABLES, VIEWS, Warehouse
+from kpiforge.plans.pipeline import SORT_KEYS, refresh_warehouse
 from kpiforge.session import drop_path, scratch_path
+from kpiforge.sources.csv_ingest import normalize_columns, to_bronze
+from kpiforge.sources.ledger import load_new_files, loaded_bronze
 from kpiforge.sources.tables import load
-from kpiforge.sources.testdata import source_signature
+from kpiforge.sources.testdata import raw_orders, source_signature
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +48,7 @@ def _held(spark: SparkSession, sf_dir: str) -> dict[str, object]:
     held = _HELD.get(sf_dir)
     if held is None or held["signature"] != signature:
         if held is not None and held["signature"][0] == signature[0]:  # the same application's folders
-            for root in ("stored_root", "csv_root"):
+            for root in ("stored_root", "csv_root", "mixed_root", "loads_root"):
                 if root in held:
                     drop_path(spark, held[root])
         held = _HELD[sf_dir] = {"signature": signature, "graph": Warehouse.from_testdata(spark, sf_dir)}
@@ -58,12 +61,11 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def refresh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The stored warehouse of a source: all tables written once by ``run_pipeline``, then read."""
+    """The stored warehouse of a source: all tables written once by ``refresh_warehouse``, then read."""
     held = _held(spark, sf_dir)
     if "stored" not in held:
         root = scratch_path(spark, "warehouse")
-        run_pipeline(spark, held["graph"].bronze, root)
-        held.update(stored_root=root, stored=Warehouse.from_tables(spark, root))
+        held.update(stored_root=root, stored=refresh_warehouse(spark, held["graph"].bronze, root))
     return held["stored"]
 
 
@@ -76,22 +78,74 @@ def _stored(fn: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(refresh(spark, sf_dir))
 
 
-def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze exported as raw CSV files with two header orders, then ingested through the CSV source."""
+def _exported(spark: SparkSession, sf_dir: str, name: str, bronze: Callable[[DataFrame], DataFrame], encodings: tuple[str, str]) -> list[str]:
+    """Bronze exported once as raw CSV files, in two header orders and encodings; the two folders."""
     held = _held(spark, sf_dir)
-    if "csv_root" not in held:
-        root = scratch_path(spark, "csv-scan")
-        bronze = held["graph"].bronze.drop("ingestion_time").withColumnRenamed("channel_name", "channel")
+    if name not in held:
+        root = scratch_path(spark, name)
+        rows = bronze(held["graph"].bronze.drop("ingestion_time")).withColumnRenamed("channel_name", "channel")
         second = F.pmod(F.xxhash64("order_id", "product_id", "revenue"), F.lit(2)) == 1
-        for part, cond, cols in (("a", ~second, bronze.columns), ("b", second, bronze.columns[::-1])):
-            (bronze.where(cond).select(*cols).write.option("header", True).option("escape", '"')
+        for part, cond, cols, encoding in zip("ab", (~second, second), (rows.columns, rows.columns[::-1]), encodings):
+            (rows.where(cond).select(*cols).write.option("header", True).option("escape", '"').option("encoding", encoding)
              .csv(f"{root}/{part}"))
-        held["csv_root"] = root
-    paths = [f"{held['csv_root']}/{part}" for part in "ab"]
+        held[name] = root
+    return [f"{held[name]}/{part}" for part in "ab"]
+
+
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze exported as raw CSV files with two header orders, then ingested through the CSV source."""
+    paths = _exported(spark, sf_dir, "csv_root", lambda bronze: bronze, ("UTF-8", "UTF-8"))
     # the export has no quoted newlines, so its files can be split
     return Warehouse.from_csv(spark, paths, multiline=False).bronze.drop("ingestion_time")
 
 
+def _accented(bronze: DataFrame) -> DataFrame:
+    return bronze.withColumn("city", F.translate("city", "E", "\u00c9"))
+
+
+def csv_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of UTF-8 and latin-1 files with cities beyond ASCII: each file is read in its own encoding."""
+    paths = _exported(spark, sf_dir, "mixed_root", _accented, ("UTF-8", "ISO-8859-1"))
+    return Warehouse.from_csv(spark, paths, multiline=False).bronze.drop("ingestion_time")
+
+
+def append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed feed loaded into bronze in three goes, of which the second repeats files and the third has no new ones."""
+    held = _held(spark, sf_dir)
+    if "loads_root" not in held:
+        paths = _exported(spark, sf_dir, "mixed_root", _accented, ("UTF-8", "ISO-8859-1"))
+        root = scratch_path(spark, "loads")
+        for some in (paths[:1], paths, paths):
+            load_new_files(spark, some, root, multiline=False)
+        held["loads_root"] = root
+    return loaded_bronze(spark, held["loads_root"]).drop("ingestion_time")
+
+
+def bronze_table_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates chosen per table: the first column that exists, also where its cells are empty."""
+    return to_bronze(normalize_columns(raw_orders(spark, sf_dir)), mode="table", with_ingestion_time=False)
+
+
+def table_rows(wh: Warehouse) -> DataFrame:
+    """Rows of each of the 16 tables of the current version."""
+    counts = [wh.table(t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows") for t in TABLES]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def file_order(wh: Warehouse) -> DataFrame:
+    """Per table: its rows, and how many of them come before the row above them in their file, by the sort key."""
+    parts = []
+    for name in TABLES:
+        keys = ["order_date", "order_id"] if name == "fact_sales" else SORT_KEYS[name]
+        rows = load(wh.spark, wh.root, name).select(
+            F.struct(*keys).alias("key"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+        above = rows.select(F.col("key").alias("above"), "file", (F.col("at") + 1).alias("at"))
+        parts.append(rows.join(above, ["file", "at"], "left").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("above") > F.col("key")).alias("out_of_order"))
+            .select(F.lit(name).alias("table_name"), "rows", "out_of_order"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def fact_partition_scan(wh: Warehouse) -> DataFrame:
     """The stored, month-partitioned fact, latest month only (run-time partition pruning); the month
     comes from ``dim_time``."""
@@ -117,6 +171,13 @@ def _auto_fact_metrics(wh: Warehouse) -> DataFrame:
     return fact.agg(*[m().alias(n) for n, m in auto_metrics(fact).items()])
 
 
+def _auto_product_metrics(wh: Warehouse) -> DataFrame:
+    """Sums of money and of ratios; the sum of ratios to 6 places."""
+    products = wh.product_profitability_summary
+    found = products.agg(*[m().alias(n) for n, m in auto_metrics(products).items()])
+    return found.withColumn("profit_margin", fixed_round(F.col("profit_margin"), 6))
+
+
 def _in_latest_month(dataset: str, *leave_out: str) -> Query:
     return _stored(lambda wh: wh.dataset(dataset, wh.latest_month()).drop(*leave_out))
 
@@ -124,7 +185,10 @@ def _in_latest_month(dataset: str, *leave_out: str) -> Query:
 QUERIES: dict[str, Query] = {
     # sources / bronze / silver
     "bronze_orders": _on(lambda wh: wh.bronze.drop("ingestion_time")),
+    "bronze_table_mode": bronze_table_mode,
     "csv_scan": csv_scan,
+    "csv_encodings": csv_encodings,
+    "append_once": append_once,
     "silver_orders": _on(lambda wh: wh.silver.drop("ingestion_time")),
     "silver_reject_reasons": _on(lambda wh: silver_rejects(wh.bronze)),
     # star schema
@@ -149,8 +213,11 @@ QUERIES: dict[str, Query] = {
     "data_quality_checks": _stored(lambda wh: Q.dq_checks(wh.bronze, wh.silver, wh.fact)),
     "dq_forecast_rows": _stored(lambda wh: Q.dq_forecast_rows(wh.sales_forecast_result)),
     "dq_state_count": _stored(lambda wh: Q.dq_state_count(wh.geographic_daily_summary)),
+    "table_rows": _stored(table_rows),
+    "file_order": _stored(file_order),
     # semantic layer
     "metrics_fact_sales_auto": _stored(_auto_fact_metrics),
+    "metrics_products_auto": _stored(_auto_product_metrics),
     "metrics_fact_sales": _custom_metrics("fact_sales"),
     "metrics_kpi_daily": _custom_metrics("kpi_daily_snapshot"),
     "metrics_forecast": _custom_metrics("sales_forecast_result"),

@@ -6,13 +6,16 @@ The shared starting point is the test-input mapping of FIXTURES.md section 3
 (``BRONZE_SQL``); everything after it is plain SQL with DuckDB functions
 (``regexp_full_match``, ``TRY_CAST``, ``md5``, struct ``min``).
 
-Canonicalisation shared with the Spark side: money sums exact in cents, as
-decimals, before ratios are taken, forecast level / sigma and unit price rounded to 4
+Amounts are added as DECIMAL(38,6), a scale of the oracle's own (the amounts of the test input have 2 or 4
+places; the engine adds at 16), so no row is rounded and neither side depends on the order of addition.
+Canonicalisation shared with the Spark side: forecast level / sigma and unit price rounded to 4
 places, integral sums of the auto-metric rule as DECIMAL(38,0).
 """
 
 from __future__ import annotations
 
+import re
+
 BRONZE_SQL = """
 SELECT CASE WHEN l_orderkey % 97 = 0 THEN '' ELSE concat('ORD-', lpad(CAST(l_orderkey AS STRING), 7, '0')) END AS order_id,
  CASE WHEN l_orderkey % 83 = 0 THEN '13-45-22' WHEN l_orderkey % 89 = 0 THEN '2022-06-07' WHEN l_orderkey % 79 = 0 THEN '02-30-22'
@@ -83,6 +86,22 @@ _ISO_VALUES = """
     ('MIZORAM', 'IN-MZ'), ('DADRA AND NAGAR', 'IN-DN'), ('LADAKH', 'IN-LA'), ('LAKSHADWEEP', 'IN-LD')
 """
 
+_MEASURES = {
+    "revenue": "@sum(revenue) AS total_revenue",
+    "profit": "@sum(profit) AS total_profit",
+    "quantity": "CAST(sum(quantity) AS BIGINT) AS total_quantity",
+    "orders": "count(DISTINCT order_id) AS total_orders",
+}
+# totals per label: name, what a group is, measures, and which rows
+_LABEL_TOTALS = [
+    ("channel_monthly_summary", "order_month AS snapshot_month, channel_name", ("revenue", "orders"), ""),
+    ("geographic_performance_summary", "state, city", ("revenue", "profit", "orders"), "WHERE state <> 'Unknown'"),
+    ("vw_revenue_by_category", "order_date, category", ("revenue", "quantity"), ""),
+    ("vw_revenue_by_sub_category", "order_date, sub_category", ("revenue", "quantity"), ""),
+    ("vw_top_products_by_revenue", "order_date, product_name, category", ("revenue", "quantity", "orders"), ""),
+    ("vw_channel_performance", "order_date, channel_name, channel_type", ("revenue", "orders"), ""),
+]
+
 CTES = {
     "bronze": BRONZE_SQL,
     "silver": SILVER_SQL,
@@ -104,13 +123,13 @@ CTES = {
         CAST(year(date) AS INTEGER) AS year
       FROM (SELECT DISTINCT order_date AS date FROM silver)""",
     "iso": f"SELECT * FROM (VALUES {_ISO_VALUES}) AS t(name, code)",
-    "sales_forecast_ready": """SELECT order_date AS sales_date, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
-        CAST(sum(CAST(profit AS DECIMAL(38,2))) AS DOUBLE) AS total_profit, count(DISTINCT order_id) AS total_orders,
+    "sales_forecast_ready": """SELECT order_date AS sales_date, @sum(revenue) AS total_revenue,
+        @sum(profit) AS total_profit, count(DISTINCT order_id) AS total_orders,
         CAST(sum(quantity) AS BIGINT) AS total_quantity
       FROM fact GROUP BY order_date""",
     "kpi_daily_snapshot": """SELECT snapshot_date, revenue, orders, quantity,
         CASE WHEN orders = 0 THEN 0.0 ELSE revenue / orders END AS aov
-      FROM (SELECT order_date AS snapshot_date, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS revenue,
+      FROM (SELECT order_date AS snapshot_date, @sum(revenue) AS revenue,
                    count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS quantity
             FROM fact GROUP BY order_date)""",
     "customer_rfm": """SELECT pseudo_customer_id, recency, frequency, monetary,
@@ -121,61 +140,41 @@ CTES = {
              ELSE 'Regular' END AS segment_name
       FROM (SELECT CASE WHEN customer_id = 'Unknown' THEN right(order_id, 4) ELSE customer_id END AS pseudo_customer_id,
                    date_diff('day', max(order_date), (SELECT max(order_date) FROM fact)) AS recency,
-                   count(DISTINCT order_id) AS frequency, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS monetary
+                   count(DISTINCT order_id) AS frequency, @sum(revenue) AS monetary
             FROM fact GROUP BY 1)""",
     "channel_performance_summary": """SELECT channel_id, total_revenue, total_profit, total_orders,
         CASE WHEN total_revenue = 0 THEN 0.0 ELSE total_profit / total_revenue END AS profit_margin
-      FROM (SELECT channel_id, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(CAST(profit AS DECIMAL(38,2))) AS DOUBLE) AS total_profit,
+      FROM (SELECT channel_id, @sum(revenue) AS total_revenue, @sum(profit) AS total_profit,
                    count(DISTINCT order_id) AS total_orders FROM fact GROUP BY channel_id)""",
     "product_profitability_summary": """SELECT product_id, total_revenue, total_profit, total_quantity, total_orders,
         CASE WHEN total_revenue = 0 THEN 0.0 ELSE total_profit / total_revenue END AS profit_margin
-      FROM (SELECT product_id, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(CAST(profit AS DECIMAL(38,2))) AS DOUBLE) AS total_profit,
+      FROM (SELECT product_id, @sum(revenue) AS total_revenue, @sum(profit) AS total_profit,
                    CAST(sum(quantity) AS BIGINT) AS total_quantity, count(DISTINCT order_id) AS total_orders
             FROM fact GROUP BY product_id)""",
     "geographic_daily_summary": """SELECT g.order_date, coalesce(iso.code, 'UNKNOWN') AS iso_code, g.state,
         g.total_revenue, g.total_orders
-      FROM (SELECT order_date, state, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, count(DISTINCT order_id) AS total_orders
+      FROM (SELECT order_date, state, @sum(revenue) AS total_revenue, count(DISTINCT order_id) AS total_orders
             FROM silver WHERE state <> 'Unknown' AND state <> '' GROUP BY order_date, state) g
       LEFT JOIN iso ON upper(g.state) = iso.name""",
-    "channel_monthly_summary": """SELECT snapshot_month, channel_name, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
-        count(DISTINCT order_id) AS total_orders
-      FROM (SELECT CAST(date_trunc('month', f.order_date) AS DATE) AS snapshot_month,
-                   coalesce(c.channel_name, 'Unknown') AS channel_name, f.revenue, f.order_id
-            FROM fact f LEFT JOIN dim_channel c ON f.channel_id = c.channel_id)
-      GROUP BY snapshot_month, channel_name""",
-    "geographic_performance_summary": """SELECT c.state AS state, c.city AS city,
-        CAST(sum(CAST(f.revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(CAST(f.profit AS DECIMAL(38,2))) AS DOUBLE) AS total_profit,
-        count(DISTINCT f.order_id) AS total_orders
-      FROM fact f LEFT JOIN dim_customer c ON f.customer_id = c.customer_id
-      WHERE c.state <> 'Unknown' GROUP BY c.state, c.city""",
-    "vw_revenue_by_category": """SELECT f.order_date AS order_date, coalesce(p.category, 'Unknown') AS category,
-        CAST(sum(CAST(f.revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(f.quantity) AS BIGINT) AS total_quantity
-      FROM fact f LEFT JOIN dim_product p ON f.product_id = p.product_id
-      GROUP BY f.order_date, coalesce(p.category, 'Unknown')""",
-    "vw_revenue_by_sub_category": """SELECT f.order_date AS order_date, coalesce(p.sub_category, 'Unknown') AS sub_category,
-        CAST(sum(CAST(f.revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(f.quantity) AS BIGINT) AS total_quantity
-      FROM fact f LEFT JOIN dim_product p ON f.product_id = p.product_id
-      GROUP BY f.order_date, coalesce(p.sub_category, 'Unknown')""",
-    "vw_top_products_by_revenue": """SELECT f.order_date AS order_date, coalesce(p.product_name, 'Unknown') AS product_name,
-        coalesce(p.category, 'Unknown') AS category, CAST(sum(CAST(f.revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
-        CAST(sum(f.quantity) AS BIGINT) AS total_quantity, count(DISTINCT f.order_id) AS total_orders
-      FROM fact f LEFT JOIN dim_product p ON f.product_id = p.product_id
-      GROUP BY f.order_date, coalesce(p.product_name, 'Unknown'), coalesce(p.category, 'Unknown')""",
-    "vw_channel_performance": """SELECT f.order_date AS order_date, coalesce(c.channel_name, 'Unknown') AS channel_name,
-        coalesce(c.channel_type, 'Unknown') AS channel_type, CAST(sum(CAST(f.revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
-        count(DISTINCT f.order_id) AS total_orders
-      FROM fact f LEFT JOIN dim_channel c ON f.channel_id = c.channel_id
-      GROUP BY f.order_date, coalesce(c.channel_name, 'Unknown'), coalesce(c.channel_type, 'Unknown')""",
+    # sales lines with the labels of their product, channel and customer
+    "labelled": """SELECT order_id, order_date, CAST(date_trunc('month', order_date) AS DATE) AS order_month, revenue, profit, quantity,
+        ifnull(product_name, 'Unknown') AS product_name, ifnull(category, 'Unknown') AS category,
+        ifnull(sub_category, 'Unknown') AS sub_category, ifnull(channel_name, 'Unknown') AS channel_name,
+        ifnull(channel_type, 'Unknown') AS channel_type, state, city
+      FROM fact LEFT JOIN dim_product USING (product_id) LEFT JOIN dim_channel USING (channel_id)
+        LEFT JOIN dim_customer USING (customer_id)""",
+    **{name: f"SELECT {keys}, {', '.join(_MEASURES[m] for m in measures)} FROM labelled {rows} GROUP BY ALL"
+       for name, keys, measures, rows in _LABEL_TOTALS},
     "vw_customer_segment_distribution": """SELECT segment_name, count(*) AS customers,
-        CAST(sum(CAST(monetary AS DECIMAL(38,2))) AS DOUBLE) AS total_monetary FROM customer_rfm GROUP BY segment_name""",
-    "vw_top_states_revenue": """SELECT order_date, state, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
+        @sum(monetary) AS total_monetary FROM customer_rfm GROUP BY segment_name""",
+    "vw_top_states_revenue": """SELECT order_date, state, @sum(revenue) AS total_revenue,
         count(DISTINCT order_id) AS total_orders
       FROM silver WHERE state <> 'Unknown' AND state <> '' GROUP BY order_date, state""",
     # every KPI of every period, by day and by month, in one long table
     "kpi_values": """SELECT grain, bucket, kpi, value FROM (
-        SELECT grain, bucket, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS "Revenue",
+        SELECT grain, bucket, @sum(revenue) AS "Revenue",
                CAST(count(DISTINCT order_id) AS DOUBLE) AS "Orders", CAST(sum(quantity) AS DOUBLE) AS "Quantity",
-               CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) / count(DISTINCT order_id) AS "AOV"
+               @sum(revenue) / count(DISTINCT order_id) AS "AOV"
         FROM (SELECT unnest(['day', 'month']) AS grain, unnest([order_date, CAST(date_trunc('month', order_date) AS DATE)]) AS bucket,
                      revenue, order_id, quantity FROM fact) GROUP BY grain, bucket)
       UNPIVOT (value FOR kpi IN ("Revenue", "Orders", "Quantity", "AOV"))""",
@@ -187,8 +186,9 @@ CTES = {
         ON b.grain = n.grain AND b.kpi = n.kpi
        AND n.bucket = CAST(CASE n.grain WHEN 'day' THEN b.bucket + INTERVAL 1 DAY ELSE b.bucket + INTERVAL 1 MONTH END AS DATE)""",
     "vw_kpi_monthly_status": """SELECT bucket AS snapshot_month, kpi_name, current_value, previous_value, delta_value, delta_pct,
-        ['No Baseline', 'Down', 'Up'][1 + ifnull(1 + CAST(current_value >= previous_value AS INTEGER), 0)] AS trend_direction,
-        ['No Baseline', 'Below Minimum', 'Meets Minimum'][1 + ifnull(1 + CAST(current_value >= previous_value AS INTEGER), 0)] AS minimum_status
+        CASE WHEN previous_value IS NULL THEN 'No Baseline' WHEN current_value < previous_value THEN 'Down' ELSE 'Up' END AS trend_direction,
+        CASE WHEN previous_value IS NULL THEN 'No Baseline' WHEN current_value < previous_value THEN 'Below Minimum'
+             ELSE 'Meets Minimum' END AS minimum_status
       FROM kpi_changes WHERE grain = 'month'""",
     "vw_kpi_daily_comparison": """SELECT bucket AS snapshot_date, kpi_name, current_value, previous_value, delta_value, delta_pct
       FROM kpi_changes WHERE grain = 'day'""",
@@ -220,9 +220,25 @@ _REJECT = f"""CASE WHEN NOT (order_id <> '') THEN 'empty_order_id'
 _FACT_COLS = "order_id, order_date, customer_id, product_id, channel_id, quantity, revenue, cost, profit, discount"
 _DEC = "DECIMAL(38,0)"
 
+_BRONZE_COLS = ["order_id", "order_date", "customer_id", "customer_name", "product_id", "product_name", "category", "sub_category",
+                "channel_name", "quantity", "revenue", "cost", "profit", "discount", "country", "state", "city"]
+_STORED = {"bronze_orders_raw": "bronze", "silver_orders_clean": "silver", "fact_sales": "fact", **{t: t for t in (
+    "dim_customer", "dim_product", "dim_channel", "dim_time", "customer_rfm", "channel_performance_summary",
+    "product_profitability_summary", "sales_forecast_ready", "kpi_daily_snapshot", "geographic_daily_summary",
+    "channel_monthly_summary", "geographic_performance_summary", "sales_forecast_result")}}
+
+
+def _rows_of_tables(more: str) -> str:
+    return " UNION ALL ".join(f"""SELECT '{name}' AS table_name, count(*) AS "rows"{more} FROM {cte}""" for name, cte in _STORED.items())
+
+
 FINAL = {
     "bronze_orders": "SELECT * FROM bronze",
+    "bronze_table_mode": f"""SELECT {', '.join("CASE WHEN l_partkey % 7 = 3 THEN '' ELSE product_id END AS product_id" if c == "product_id"
+        else c for c in _BRONZE_COLS)} FROM ({BRONZE_SQL.replace("SELECT CASE", "SELECT l_partkey, CASE", 1)})""",
     "csv_scan": "SELECT * FROM bronze",
+    "csv_encodings": "SELECT * REPLACE (replace(city, 'E', '\u00c9') AS city) FROM bronze",
+    "append_once": "SELECT * REPLACE (replace(city, 'E', '\u00c9') AS city) FROM bronze",
     "silver_orders": "SELECT * FROM silver",
     "silver_reject_reasons": f'SELECT reason, count(*) AS "rows" FROM (SELECT {_REJECT} AS reason FROM bronze) WHERE reason IS NOT NULL GROUP BY reason',
     "fact_sales": "SELECT * FROM fact",
@@ -252,20 +268,25 @@ FINAL = {
         UNION ALL SELECT 'negative_revenue_in_silver', count(*) FROM silver WHERE revenue < 0""",
     "dq_forecast_rows": """SELECT metric_name, count(*) AS "rows", count(forecast_value) AS forecast_rows
         FROM sales_forecast_result GROUP BY metric_name""",
+    "table_rows": _rows_of_tables(""),
+    "file_order": _rows_of_tables(", CAST(0 AS BIGINT) AS out_of_order"),
+    "metrics_products_auto": f"""SELECT count(*) AS count, @sum(total_revenue) AS total_revenue, @sum(total_profit) AS total_profit,
+        CAST(sum(total_quantity) AS {_DEC}) AS total_quantity, CAST(sum(total_orders) AS {_DEC}) AS total_orders,
+        floor(fsum(profit_margin) * 1000000.0 + 0.5) / 1000000.0 AS profit_margin FROM product_profitability_summary""",
     "dq_state_count": "SELECT count(DISTINCT state) AS total_states FROM geographic_daily_summary",
     "metrics_fact_sales_auto": f"""SELECT count(*) AS count, CAST(sum(channel_id) AS {_DEC}) AS channel_id,
-        CAST(sum(quantity) AS {_DEC}) AS quantity, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS revenue, CAST(sum(CAST(cost AS DECIMAL(38,2))) AS DOUBLE) AS cost,
-        CAST(sum(CAST(profit AS DECIMAL(38,2))) AS DOUBLE) AS profit, CAST(sum(CAST(discount AS DECIMAL(38,2))) AS DOUBLE) AS discount,
+        CAST(sum(quantity) AS {_DEC}) AS quantity, @sum(revenue) AS revenue, @sum(cost) AS cost,
+        @sum(profit) AS profit, @sum(discount) AS discount,
         count(DISTINCT order_id) AS total_orders FROM fact""",
-    "metrics_fact_sales": """SELECT CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(CAST(profit AS DECIMAL(38,2))) AS DOUBLE) AS total_profit,
+    "metrics_fact_sales": """SELECT @sum(revenue) AS total_revenue, @sum(profit) AS total_profit,
         CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, count(DISTINCT order_id) AS total_orders,
-        CASE WHEN count(DISTINCT order_id) = 0 THEN 0.0 ELSE CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) / count(DISTINCT order_id) END AS average_order_value
+        CASE WHEN count(DISTINCT order_id) = 0 THEN 0.0 ELSE @sum(revenue) / count(DISTINCT order_id) END AS average_order_value
         FROM fact""",
-    "metrics_kpi_daily": """SELECT CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
+    "metrics_kpi_daily": """SELECT @sum(revenue) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
         CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, floor(avg(aov) * 10000.0 + 0.5) / 10000.0 AS average_order_value
         FROM kpi_daily_snapshot""",
-    "metrics_forecast": """SELECT CAST(sum(CAST(actual_value AS DECIMAL(38,4))) AS DOUBLE) AS actual_value, CAST(sum(CAST(forecast_value AS DECIMAL(38,4))) AS DOUBLE) AS forecast_value,
-        CAST(sum(CAST(lower_bound AS DECIMAL(38,4))) AS DOUBLE) AS lower_bound, CAST(sum(CAST(upper_bound AS DECIMAL(38,4))) AS DOUBLE) AS upper_bound
+    "metrics_forecast": """SELECT @sum(actual_value) AS actual_value, @sum(forecast_value) AS forecast_value,
+        @sum(lower_bound) AS lower_bound, @sum(upper_bound) AS upper_bound
         FROM sales_forecast_result""",
     "latest_month_filter": """SELECT k.* FROM kpi_daily_snapshot k, latest_month
         WHERE k.snapshot_date >= lo AND k.snapshot_date < hi""",
@@ -289,50 +310,55 @@ FINAL = {
     "vw_kpi_daily_comparison": "SELECT * FROM vw_kpi_daily_comparison",
     "vw_monthly_channel_revenue": "SELECT * FROM channel_monthly_summary ORDER BY snapshot_month, total_revenue DESC",
     "vw_top_states_revenue": "SELECT * FROM vw_top_states_revenue ORDER BY total_revenue DESC",
-    "chart_kpi_totals": """SELECT CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
+    "chart_kpi_totals": """SELECT @sum(revenue) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
         CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, floor(avg(aov) * 10000.0 + 0.5) / 10000.0 AS average_order_value
         FROM kpi_daily_snapshot""",
-    "chart_mini_trends": """SELECT snapshot_date, CAST(sum(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
+    "chart_mini_trends": """SELECT snapshot_date, @sum(revenue) AS total_revenue, CAST(sum(orders) AS BIGINT) AS total_orders,
         CAST(sum(quantity) AS BIGINT) AS total_quantity_sold, floor(avg(aov) * 10000.0 + 0.5) / 10000.0 AS average_order_value
         FROM kpi_daily_snapshot GROUP BY snapshot_date ORDER BY snapshot_date""",
     "chart_kpi_status": """SELECT kpi_name, current_value, previous_value, delta_value, delta_pct, trend_direction, minimum_status
         FROM vw_kpi_monthly_status""",
     "chart_forecast_ready": f"""SELECT CAST(date_trunc('month', sales_date) AS DATE) AS sales_date,
-        CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue, CAST(sum(total_orders) AS {_DEC}) AS total_orders
+        @sum(total_revenue) AS total_revenue, CAST(sum(total_orders) AS {_DEC}) AS total_orders
         FROM sales_forecast_ready GROUP BY 1 ORDER BY 1""",
-    "chart_revenue_forecast": """SELECT sales_date, CAST(sum(CAST(actual_value AS DECIMAL(38,4))) AS DOUBLE) AS actual_value,
-        CAST(sum(CAST(forecast_value AS DECIMAL(38,4))) AS DOUBLE) AS forecast_value
+    "chart_revenue_forecast": """SELECT sales_date, @sum(actual_value) AS actual_value,
+        @sum(forecast_value) AS forecast_value
         FROM sales_forecast_result WHERE metric_name = 'Revenue' GROUP BY sales_date ORDER BY sales_date""",
-    "chart_daily_trends": f"""SELECT sales_date, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
+    "chart_daily_trends": f"""SELECT sales_date, @sum(total_revenue) AS total_revenue,
         CAST(sum(total_orders) AS {_DEC}) AS total_orders, CAST(sum(total_quantity) AS {_DEC}) AS total_quantity
         FROM sales_forecast_ready GROUP BY sales_date ORDER BY sales_date""",
-    "chart_category": """SELECT category, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue
+    "chart_category": """SELECT category, @sum(total_revenue) AS total_revenue
         FROM vw_revenue_by_category GROUP BY category ORDER BY total_revenue DESC, category""",
-    "chart_sub_category": """SELECT sub_category, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue
+    "chart_sub_category": """SELECT sub_category, @sum(total_revenue) AS total_revenue
         FROM vw_revenue_by_sub_category GROUP BY sub_category ORDER BY total_revenue DESC, sub_category""",
     "chart_monthly_channel": """SELECT CAST(date_trunc('month', snapshot_month) AS DATE) AS snapshot_month, channel_name,
-        CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue FROM channel_monthly_summary GROUP BY 1, 2
+        @sum(total_revenue) AS total_revenue FROM channel_monthly_summary GROUP BY 1, 2
         ORDER BY total_revenue DESC, snapshot_month, channel_name""",
-    "chart_top_products": f"""SELECT product_name, category, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
+    "chart_top_products": f"""SELECT product_name, category, @sum(total_revenue) AS total_revenue,
         CAST(sum(total_quantity) AS {_DEC}) AS total_quantity, CAST(sum(total_orders) AS {_DEC}) AS total_orders
         FROM vw_top_products_by_revenue GROUP BY product_name, category
         ORDER BY total_revenue DESC, product_name, category""",
-    "chart_channels": f"""SELECT channel_name, channel_type, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
+    "chart_channels": f"""SELECT channel_name, channel_type, @sum(total_revenue) AS total_revenue,
         CAST(sum(total_orders) AS {_DEC}) AS total_orders FROM vw_channel_performance
         GROUP BY channel_name, channel_type ORDER BY total_revenue DESC, channel_name, channel_type""",
-    "chart_top_states": f"""SELECT state, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
+    "chart_top_states": f"""SELECT state, @sum(total_revenue) AS total_revenue,
         CAST(sum(total_orders) AS {_DEC}) AS total_orders FROM vw_top_states_revenue
         GROUP BY state ORDER BY total_revenue DESC, state""",
     "chart_segments": f"""SELECT segment_name, CAST(sum(customers) AS {_DEC}) AS customers
         FROM vw_customer_segment_distribution GROUP BY segment_name ORDER BY customers DESC, segment_name""",
-    "chart_geo_map": """SELECT iso_code, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue
+    "chart_geo_map": """SELECT iso_code, @sum(total_revenue) AS total_revenue
         FROM geographic_daily_summary GROUP BY iso_code""",
 }
 
 
+def _amounts(sql: str) -> str:
+    """``@sum(x)``: the sum of amounts, as a double."""
+    return re.sub(r"@sum\(([^()]+)\)", r"CAST(sum(CAST(\1 AS DECIMAL(38,6))) AS DOUBLE)", sql)
+
+
 def _with(final: str) -> str:
     ctes = ",\n".join(f"{name} AS ({body})" for name, body in CTES.items())
-    return f"WITH {ctes}\n{final}"
+    return _amounts(f"WITH {ctes}\n{final}")
 
 
 def oracle_sql() -> dict[str, str]:

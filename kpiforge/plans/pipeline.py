@@ -1,5 +1,8 @@
 """Full warehouse refresh: bronze -> silver -> star schema -> marts -> forecast.
 
+``refresh_warehouse`` builds every table in a version folder of its own and makes that version current in one step,
+with an empty marker file: a refresh that fails at any stage leaves the tables of the version before.
+
 Each table is written once (static overwrite: a rerun replaces, never
 appends) and the next stage reads the Parquet just written, so every stage
 starts from a short lineage in shared storage: a lost executor only re-runs
@@ -8,11 +11,15 @@ tasks of the current stage, never the whole chain.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiforge.operators.quality import dq_checks
-from kpiforge.plans.warehouse import Warehouse
-from kpiforge.sources.tables import write_fact, write_table
+from kpiforge.plans.warehouse import READY, VERSIONS, Warehouse, ready_versions
+from kpiforge.session import child_names, drop_path, touch
+from kpiforge.sources.tables import write_by_month, write_fact, write_table
 
 SORT_KEYS = {
     "bronze_orders_raw": ["order_id"],
@@ -55,8 +62,29 @@ def run_pipeline(spark: SparkSession, bronze: DataFrame, out_root: str) -> DataF
         for name in stage:
             if name == "fact_sales":
                 write_fact(wh.fact, out_root)
+            elif name == "silver_orders_clean":
+                write_by_month(wh.silver, out_root, name, SORT_KEYS[name])
             else:
                 write_table(wh.table(name), out_root, name, SORT_KEYS[name])
         done += stage
     stored = Warehouse.from_tables(spark, out_root)
     return dq_checks(stored.bronze, stored.silver, stored.fact)
+
+
+def refresh_warehouse(spark: SparkSession, bronze: DataFrame, root: str, keep: int = 2) -> Warehouse:
+    """Build a new version of all 16 tables under ``root``, make it the current one, and return it.
+
+    Readers that hold the version before can go on: the last ``keep`` finished versions stay, what is older goes."""
+    name = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    version = f"{root.rstrip('/')}/{VERSIONS}/{name}"
+    try:
+        run_pipeline(spark, bronze, version)
+    except BaseException:
+        drop_path(spark, version)
+        raise
+    touch(spark, f"{version}/{READY}")
+    kept = ready_versions(spark, root)[-keep:]
+    for old in child_names(spark, f"{root.rstrip('/')}/{VERSIONS}"):
+        if old < kept[0]:
+            drop_path(spark, f"{root.rstrip('/')}/{VERSIONS}/{old}")
+    return Warehouse.current(spark, root)

@@ -13,11 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions import constants as K
-from kpiforge.functions.expr import money_merge, money_parts, money_sum
+from kpiforge.functions.expr import SUM_SCALE, money_merge, money_parts, money_sum
 from kpiforge.operators.compare import kpi_daily_comparison, kpi_monthly_status
-from kpiforge.operators.joins import group_by_labels, join_dim
+from kpiforge.operators.joins import LABEL_SALTS, group_by_labels, join_dim
 from kpiforge.operators.marts import (
-    MONEY_SCALE,
     channel_monthly_summary,
     geographic_daily_summary,
     state_daily,
@@ -29,7 +28,7 @@ def _unknown(c: str) -> F.Column:
 
 
 def revenue_by_product_attribute(fact: DataFrame, dim_product: DataFrame, attr: str,
-                                 scale: int | None = MONEY_SCALE) -> DataFrame:
+                                 scale: int | None = SUM_SCALE) -> DataFrame:
     """Revenue and quantity per (order date, product attribute).
 
     Sums are pre-aggregated per (order date, product) before the join, so the
@@ -43,53 +42,53 @@ def revenue_by_product_attribute(fact: DataFrame, dim_product: DataFrame, attr:
                  F.sum("quantity").alias("total_quantity")))
 
 
-def vw_revenue_by_category(fact, dim_product, scale=MONEY_SCALE):
+def vw_revenue_by_category(fact, dim_product, scale=SUM_SCALE):
     return revenue_by_product_attribute(fact, dim_product, "category", scale)
 
 
-def vw_revenue_by_sub_category(fact, dim_product, scale=MONEY_SCALE):
+def vw_revenue_by_sub_category(fact, dim_product, scale=SUM_SCALE):
     return revenue_by_product_attribute(fact, dim_product, "sub_category", scale)
 
 
 def vw_top_products_by_revenue(fact: DataFrame, dim_product: DataFrame,
-                               scale: int | None = MONEY_SCALE) -> DataFrame:
-    per_order = fact.groupBy("order_date", "product_id", "order_id").agg(
-        *money_parts("revenue", scale), F.sum("quantity").alias("quantity"))
-    return group_by_labels(per_order, dim_product, "product_id", ["order_date"], ["product_name", "category"],
+                               scale: int | None = SUM_SCALE) -> DataFrame:
+    rows = fact.select("order_date", "product_id", "order_id", "revenue", "quantity")
+    return group_by_labels(rows, dim_product, "product_id", ["order_date"], ["product_name", "category"],
+                           [*money_parts("revenue", scale), F.sum("quantity").alias("quantity")],
                            {"total_revenue": money_merge("revenue", scale), "total_quantity": F.sum("quantity")})
 
 
 def vw_channel_performance(fact: DataFrame, dim_channel: DataFrame,
-                           scale: int | None = MONEY_SCALE) -> DataFrame:
-    per_order = fact.groupBy("order_date", "channel_id", "order_id").agg(*money_parts("revenue", scale))
-    return group_by_labels(per_order, dim_channel, "channel_id", ["order_date"], ["channel_name", "channel_type"],
-                           {"total_revenue": money_merge("revenue", scale)})
+                           scale: int | None = SUM_SCALE) -> DataFrame:
+    rows = fact.select("order_date", "channel_id", "order_id", "revenue")
+    return group_by_labels(rows, dim_channel, "channel_id", ["order_date"], ["channel_name", "channel_type"],
+                           money_parts("revenue", scale), {"total_revenue": money_merge("revenue", scale)}, salts=LABEL_SALTS)
 
 
-def vw_customer_segment_distribution(rfm: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def vw_customer_segment_distribution(rfm: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     return (rfm.groupBy("segment_name")
             .agg(F.count(F.lit(1)).alias("customers"),
                  money_sum("monetary", scale).alias("total_monetary")))
 
 
-def vw_geographic_performance(silver: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def vw_geographic_performance(silver: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     return geographic_daily_summary(silver, scale)
 
 
-def vw_kpi_monthly_status(fact: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def vw_kpi_monthly_status(fact: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     return kpi_monthly_status(fact, scale)
 
 
-def vw_kpi_daily_comparison(fact: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def vw_kpi_daily_comparison(fact: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     return kpi_daily_comparison(fact, scale)
 
 
 def vw_monthly_channel_revenue(fact: DataFrame, dim_channel: DataFrame,
-                               scale: int | None = MONEY_SCALE) -> DataFrame:
+                               scale: int | None = SUM_SCALE) -> DataFrame:
     return channel_monthly_summary(fact, dim_channel, scale)
 
 
-def vw_top_states_revenue(silver: DataFrame, scale: int | None = MONEY_SCALE) -> DataFrame:
+def vw_top_states_revenue(silver: DataFrame, scale: int | None = SUM_SCALE) -> DataFrame:
     return state_daily(silver, scale)
 
 

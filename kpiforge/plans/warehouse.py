@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiforge.operators import forecast as fc
@@ -21,8 +21,9 @@ from kpiforge.operators.semantic import DATASET_DATES, Period, during, latest_mo
 from kpiforge.operators.silver import silver_orders
 from kpiforge.plans import views as V
 from kpiforge.sources.csv_ingest import read_orders_csv, to_bronze
-from kpiforge.sources.tables import FACT_PARTITION, load
-from kpiforge.sources.testdata import bronze_from_testdata
+from kpiforge.session import child_names, path_exists
+from kpiforge.sources.tables import FACT_PARTITION, load, table_stats
+from kpiforge.sources.testdata import BRONZE_TABLE, land_bronze
 
 TABLES = [
     "bronze_orders_raw", "silver_orders_clean", "dim_customer", "dim_product", "dim_channel",
@@ -54,14 +55,25 @@ VIEW_DEPS = {
 }
 
 
+# versions of a stored warehouse: root/versions/<name>/<table>; a version counts once its marker is there
+VERSIONS, READY = "versions", "READY"
+
+
+def ready_versions(spark: SparkSession, root: str) -> list[str]:
+    """Names of the finished versions, oldest first."""
+    folder = f"{root.rstrip('/')}/{VERSIONS}"
+    return [v for v in child_names(spark, folder) if path_exists(spark, f"{folder}/{v}/{READY}")]
+
+
 def _no_bronze() -> DataFrame:
     raise ValueError("warehouse has no bronze source")
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, bronze: DataFrame | None = None,
-                 root: str | None = None, stored: Iterable[str] = ()):
+                 root: str | None = None, stored: Iterable[str] = (), last_date: DataFrame | None = None):
         self.spark = spark
+        self._last_date = last_date  # one row: the last order date, where statistics have it
         self.root = root
         self._stored = set(stored)
         self._cache: dict[str, DataFrame] = {}
@@ -75,7 +87,8 @@ class Warehouse:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str):
-        return cls(spark, bronze=bronze_from_testdata(spark, sf_dir))
+        root = land_bronze(spark, sf_dir)
+        return cls(spark, bronze=load(spark, root, BRONZE_TABLE), last_date=table_stats(spark, root, BRONZE_TABLE).select("last_date"))
 
     @classmethod
     def from_csv(cls, spark: SparkSession, path: str | list[str], encoding: str | None = None,
@@ -86,6 +99,14 @@ class Warehouse:
     def from_tables(cls, spark: SparkSession, root: str, stored: Iterable[str] = TABLES):
         return cls(spark, root=root, stored=stored)
 
+    @classmethod
+    def current(cls, spark: SparkSession, root: str) -> "Warehouse":
+        """The tables of the newest finished version that ``refresh_warehouse`` wrote."""
+        found = ready_versions(spark, root)
+        if not found:
+            raise ValueError(f"no finished version under {root}")
+        return cls.from_tables(spark, f"{root.rstrip('/')}/{VERSIONS}/{found[-1]}")
+
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._cache:
             if name in self._stored:
@@ -101,6 +122,11 @@ class Warehouse:
 
     @property
     def silver(self) -> DataFrame:
+        return self._silver_scan.drop(FACT_PARTITION)
+
+    @property
+    def _silver_scan(self) -> DataFrame:
+        """Silver with its month column where it is stored."""
         return self._get("silver_orders_clean", lambda: silver_orders(self.bronze))
 
     @property
@@ -130,8 +156,11 @@ class Warehouse:
 
     @property
     def customer_rfm(self) -> DataFrame:
-        return self._get("customer_rfm", lambda: M.customer_rfm(
-            self.fact, latest=self.dim_time.agg(F.max("date")).scalar() if "dim_time" in self._stored else None))
+        def latest() -> Column | None:
+            if "dim_time" in self._stored:
+                return self.dim_time.agg(F.max("date")).scalar()
+            return self._last_date.scalar() if self._last_date is not None else None
+        return self._get("customer_rfm", lambda: M.customer_rfm(self.fact, latest=latest()))
 
     @property
     def channel_performance_summary(self) -> DataFrame:
@@ -195,7 +224,8 @@ class Warehouse:
             return self.view(name) if name in VIEW_DEPS else self.table(name)
         col = DATASET_DATES[name]
         if name not in VIEW_DEPS:
-            df = self._fact_scan if name == "fact_sales" else self.table(name)
+            scans = {"fact_sales": lambda: self._fact_scan, "silver_orders_clean": lambda: self._silver_scan}
+            df = scans[name]() if name in scans else self.table(name)
             return during(df, col, when).drop(FACT_PARTITION)
         start, end = when
         back = {"vw_kpi_monthly_status": F.add_months(start, -1), "vw_kpi_daily_comparison": F.date_sub(start, 1)}
@@ -204,6 +234,6 @@ class Warehouse:
             end = F.last_day(F.date_sub(end, 1)) + F.expr("INTERVAL '1' DAY")
         rows = (back.get(name, F.trunc(start, "month") if col == "snapshot_month" else start), end)
         source = {"fact": lambda: during(self._fact_scan, "order_date", rows).drop(FACT_PARTITION),
-                  "silver": lambda: during(self.silver, "order_date", rows)}
+                  "silver": lambda: during(self._silver_scan, "order_date", rows).drop(FACT_PARTITION)}
         deps = [source[d]() if d in source else getattr(self, d) for d in VIEW_DEPS[name]]
         return during(getattr(V, name)(*deps), col, when)

@@ -2,7 +2,7 @@
 
 The engine never writes to a machine-local temporary folder: intermediate
 files go under the shared folder the cluster names in ``spark.checkpoint.dir``,
-or inside the session's warehouse directory where that is unset.
+or, where that is unset and Spark runs in one process, inside the session's warehouse directory.
 """
 
 from __future__ import annotations
@@ -45,13 +45,15 @@ def apply_engine_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    ``spark.checkpoint.dir`` names it.  Where that is unset, a folder inside the session's warehouse
-    directory, which all executors share as well, is used; never a machine-local temporary folder."""
+    ``spark.checkpoint.dir`` names it.  Where that is unset and the master is local, a folder inside the session's
+    warehouse directory is used.  On a cluster that directory may be the driver's own, so the setting is needed there."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
         configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/kpiforge_scratch"
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()
@@ -59,8 +61,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this package wrote, wherever it is stored."""
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop(spark, path)
+    return fs.exists(target)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of what lies in a folder (none where it does not exist)."""
+    fs, target = _hadoop(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file: one atomic step in every store."""
+    fs, target = _hadoop(spark, path)
+    fs.create(target, True).close()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -74,4 +98,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "apply_engine_conf", "drop_path", "ensure_checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["get_spark", "apply_engine_conf", "child_names", "drop_path", "ensure_checkpoint_dir", "local_path", "path_exists",
+           "scratch_path", "touch"]

@@ -3,8 +3,10 @@
 * ``write_table``: full refresh (``overwrite``), create-if-absent (``ignore``)
   or ``append``; rows sorted inside each file on the table's sort key so the
   Parquet row-group min/max statistics give data skipping on that key.
-* ``write_fact``: the fact table partitioned by month (``order_month`` =
-  ``yyyyMM`` as int) so a date-range read only lists the matching folders.
+* ``write_by_month``: a dated table partitioned by month (``order_month`` =
+  ``yyyyMM`` as int) so a date-range read only lists the matching folders: the fact and silver.
+* statistics beside a table: values that ``write_table`` observes while it writes (``table_stats`` reads
+  them), so that a later query need not scan the table for its last date.
 * ``load`` / ``load_fact``: scans; ``load_fact(start, end)`` derives the month
   range from the dates so partition pruning happens (Spark cannot infer
   ``order_month`` from a predicate on ``order_date``); ``load_latest_month``
@@ -15,10 +17,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 FACT_PARTITION = "order_month"
+STATS = "table_stats"
+LEAST_ROWS_PER_FILE, MOST_ROWS_PER_FILE = 50_000, 4_000_000
 
 
 def table_path(root: str, name: str) -> str:
@@ -26,38 +30,66 @@ def table_path(root: str, name: str) -> str:
 
 
 def write_table(df: DataFrame, root: str, name: str, sort: list[str] | None = None,
-                mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
+                mode: str = "overwrite", partition_by: list[str] | None = None, rows_per_file: int | None = None,
+                stats: dict[str, Column] | None = None) -> str:
     """Write ``df`` as table ``name`` under ``root``; returns its path.
 
     With ``partition_by`` the partition columns lead the in-file sort: that is
-    the order the partitioned writer needs, so it adds no sort of its own."""
+    the order the partitioned writer needs, so it adds no sort of its own.
+    ``rows_per_file`` bounds the files, so that a table from few tasks is read by many, without a shuffle.
+    ``stats``: least or greatest values to keep beside the table; they are observed while it is written (and stay
+    right where a task runs twice, as counts or sums would not)."""
     keys = [*(partition_by or []), *(sort or [])]
+    seen = Observation() if stats else None
+    if stats:
+        df = df.observe(seen, *(c.alias(k) for k, c in stats.items()))
     out = df.sortWithinPartitions(*keys) if keys else df
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if rows_per_file:
+        w = w.option("maxRecordsPerFile", rows_per_file)
     path = table_path(root, name)
     w.parquet(path)
+    if stats:
+        one = df.sparkSession.range(1).select(*(F.lit(seen.get[k]).cast(df.select(c.alias(k)).schema[k].dataType).alias(k)
+                                                for k, c in stats.items()))
+        one.coalesce(1).write.mode("overwrite").parquet(table_path(f"{root.rstrip('/')}/{STATS}", name))
     return path
 
 
+def table_stats(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The one row of values that ``write_table`` observed of a table."""
+    return spark.read.parquet(table_path(f"{root.rstrip('/')}/{STATS}", name))
+
+
+def file_rows(spark: SparkSession, rows: int) -> int:
+    """Rows per file of a table of so many rows: a file per core, but neither tiny nor huge ones."""
+    wanted = -(-rows // spark.sparkContext.defaultParallelism)
+    return min(max(wanted, LEAST_ROWS_PER_FILE), MOST_ROWS_PER_FILE)
+
+
 def with_order_month(fact: DataFrame) -> DataFrame:
     return fact.withColumn(FACT_PARTITION, month_number(F.col("order_date")))
 
 
-def write_fact(fact: DataFrame, root: str, name: str = "fact_sales", mode: str = "overwrite") -> str:
-    """Month-partitioned fact; files sorted by (order_date, order_id, customer_id, product_id).
+def write_by_month(df: DataFrame, root: str, name: str, sort: list[str], mode: str = "overwrite") -> str:
+    """A table with ``order_date`` in month folders, its files sorted by ``sort`` (which starts with the date).
 
     ``rebalance`` on the month groups rows by month folder (few files per
     folder instead of every task writing into every month), and AQE splits a
     large month into advisory-sized tasks instead of sending a whole month --
     1/80 of the table -- to one writer.
     """
-    out = with_order_month(fact).hint("rebalance", FACT_PARTITION)
-    return write_table(out, root, name, sort=["order_date", "order_id", "customer_id", "product_id"],
+    return write_table(with_order_month(df).hint("rebalance", FACT_PARTITION), root, name, sort=sort,
                        mode=mode, partition_by=[FACT_PARTITION])
 
 
+def write_fact(fact: DataFrame, root: str, name: str = "fact_sales", mode: str = "overwrite") -> str:
+    """Month-partitioned fact; files sorted by (order_date, order_id, customer_id, product_id)."""
+    return write_by_month(fact, root, name, ["order_date", "order_id", "customer_id", "product_id"], mode)
+
+
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(root, name))
 

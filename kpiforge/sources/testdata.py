@@ -27,8 +27,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiforge.functions.expr import mmddyy_date
+from kpiforge.operators.silver import is_valid
 from kpiforge.session import scratch_path
 from kpiforge.sources.csv_ingest import normalize_columns, to_bronze
+from kpiforge.sources.tables import file_rows, load, write_table
 
 # Test-input constants of the shared mapping (FIXTURES.md section 3).
 STATES = [
@@ -140,6 +143,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BRONZE_TABLE = "bronze_orders_raw"
 # landing folders written in this application, keyed by source signature
 _LANDED: dict[tuple, str] = {}
 
@@ -160,22 +164,26 @@ def source_signature(spark: SparkSession, sf_dir: str) -> tuple:
 
 def land_bronze(spark: SparkSession, sf_dir: str) -> str:
     """Load the raw feed into a bronze table once per application, in the
-    shared checkpoint folder, and return its path.
+    shared checkpoint folder, and return its warehouse root.
 
     This is the warehouse's own first step (raw file -> stored bronze table);
     every query then starts from the stored bronze: short lineage that
     survives lost executors, and plans that start from plain columns instead
-    of the whole source mapping inlined into every predicate."""
+    of the whole source mapping inlined into every predicate.  Files are bounded by rows (the line items are
+    counted from their footers), so few writers do not mean few readers; the first and last order date
+    are kept beside the table."""
     key = source_signature(spark, sf_dir)
-    path = _LANDED.get(key)
-    if path is None:
-        path = scratch_path(spark, "bronze")
+    root = _LANDED.get(key)
+    if root is None:
+        root = scratch_path(spark, "landing")
         bronze = to_bronze(normalize_columns(raw_orders(spark, sf_dir)), mode="row")
-        bronze.write.parquet(path)
-        _LANDED[key] = path
-    return path
+        date = F.when(is_valid(), mmddyy_date("order_date"))
+        write_table(bronze, root, BRONZE_TABLE, rows_per_file=file_rows(spark, read_table(spark, sf_dir, "lineitem").count()),
+                    stats={"first_date": F.min(date), "last_date": F.max(date)})
+        _LANDED[key] = root
+    return root
 
 
 def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored bronze table of the driver tables (see ``land_bronze``)."""
-    return spark.read.parquet(land_bronze(spark, sf_dir))
+    return load(spark, land_bronze(spark, sf_dir), BRONZE_TABLE)

@@ -121,7 +121,7 @@ def test_table_files_sorted_on_sort_key(built):
     out, _ = built
     for table, key in [("dim_customer", "customer_id"), ("kpi_daily_snapshot", "snapshot_date"),
                        ("silver_orders_clean", "order_date")]:
-        files = glob.glob(f"{local_path(out)}/{table}/*.parquet")
+        files = glob.glob(f"{local_path(out)}/{table}/**/*.parquet", recursive=True)
         assert files
         for f in files:
             values = pq.read_table(f, columns=[key]).column(key).to_pylist()
@@ -169,3 +169,81 @@ def test_stored_tables_equal_lazy_plans(spark, sf_small, built):
         a = stored.table(t).drop("ingestion_time", "created_at")
         b = lazy.table(t).drop("ingestion_time", "created_at").select(*a.columns)
         assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr), t
+
+
+def test_failed_refresh_leaves_the_tables(spark, sf_small, monkeypatch):
+    """Whatever stage fails, readers keep the 16 tables of the version before, and nothing of the new one stays."""
+    from kpiforge.plans import pipeline as P
+    root = scratch_path(spark, "versions-test")
+    bronze = bronze_from_testdata(spark, sf_small)
+    first = P.refresh_warehouse(spark, bronze, root)
+    before = {t: first.table(t).count() for t in TABLES}
+    write = P.write_table
+    for broken in ("dim_time", "customer_rfm", "sales_forecast_result"):
+        def failing(df, out, name, *args, **kw):
+            if name == broken:
+                raise OSError(f"lost store while writing {name}")
+            return write(df, out, name, *args, **kw)
+        monkeypatch.setattr(P, "write_table", failing)
+        with pytest.raises(OSError):
+            P.refresh_warehouse(spark, bronze.limit(10), root)
+        monkeypatch.setattr(P, "write_table", write)
+        now = Warehouse.current(spark, root)
+        assert now.root == first.root and {t: now.table(t).count() for t in TABLES} == before
+        assert len(os.listdir(local_path(f"{root}/versions"))) == 1
+    second = P.refresh_warehouse(spark, bronze.limit(500), root)
+    assert second.root != first.root and second.bronze.count() == 500
+    assert first.fact.count() == before["fact_sales"]  # a reader of the version before goes on
+    P.refresh_warehouse(spark, bronze.limit(20), root)
+    assert len(os.listdir(local_path(f"{root}/versions"))) == 2
+
+
+def test_no_version_is_an_error(spark):
+    with pytest.raises(ValueError):
+        Warehouse.current(spark, scratch_path(spark, "empty-root"))
+
+
+def test_silver_period_reads_only_its_files(spark, built):
+    out, _ = built
+    wh = Warehouse.from_tables(spark, out)
+    from kpiforge.operators.semantic import period
+    files = lambda df: {r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect()}
+    every = files(wh._silver_scan)
+    month = wh.dataset("silver_orders_clean", period("2024-03-01", "2024-04-01"))
+    plan = month._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan and "order_month" not in month.columns
+    month.collect()
+    scanned = _files_read(month)
+    assert len(every) >= 80 and scanned <= 2
+    assert month.count() == wh.silver.where("order_date >= '2024-03-01' AND order_date < '2024-04-01'").count() > 0
+
+
+def _files_read(df):
+    """Files that the scans of an executed plan opened, by Spark's own count."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    total = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "ShuffleQueryStageExec":
+            continue
+        metric = leaf.metrics().get("numFiles")
+        if metric.isDefined():
+            total += metric.get().value()
+    return total
+
+
+def test_landed_bronze_can_be_read_by_many_tasks(spark):
+    from kpiforge.sources.tables import file_rows
+    bronze = bronze_from_testdata(spark, "/root/testdata/sf0.1")
+    assert bronze.rdd.getNumPartitions() >= 8
+    assert file_rows(spark, 10 ** 12) == 4_000_000 and file_rows(spark, 10) == 50_000
+    plan = bronze._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_statistics_beside_a_table(spark, sf_small):
+    from kpiforge.sources.tables import table_stats
+    from kpiforge.sources.testdata import BRONZE_TABLE, land_bronze
+    stats = table_stats(spark, land_bronze(spark, sf_small), BRONZE_TABLE).first()
+    want = Warehouse.from_testdata(spark, sf_small).silver.agg(F.min("order_date"), F.max("order_date")).first()
+    assert (stats.first_date, stats.last_date) == tuple(want)

@@ -75,24 +75,26 @@ def test_period_prunes_stored_fact(spark, sf_small, key):
     assert re.search(r"PartitionFilters: \[[^\n]*order_month[^\n]*Subquery", p), key
 
 
-@pytest.mark.parametrize("key", ["vw_channel_performance", "channel_monthly_summary", "vw_top_products_by_revenue"])
-def test_no_raw_fact_exchange_on_the_label_key(spark, sf_small, key):
-    """The first exchange above a scan of the fact's rows is on the order-level key, not on the label's id."""
-    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+@pytest.mark.parametrize("key", ["vw_channel_performance", "channel_monthly_summary", "vw_top_products_by_revenue",
+                                 "chart_channels", "chart_top_products", "vw_monthly_channel_revenue"])
+def test_labels_take_one_pass_over_the_fact(spark, sf_small, key):
+    """Without broadcasts: a scan of the fact and one of the dimension, few exchanges, and channels joined on a salt."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    df = QUERIES[key](spark, sf_small)
+    old = {k: spark.conf.get(k) for k in conf}
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        df = QUERIES[key](spark, sf_small)
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        p = df._jdf.queryExecution().sparkPlan().toString()
-        ex = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        p = plan_of(df.select("*"))
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
-    assert p
-    assert any("order_id" in e for e in ex)
-    # exchanges on the id alone carry one row per (period, id) or the dimension, never order lines
-    plan = df._jdf.queryExecution().analyzed().toString()
-    assert re.search(r"Aggregate \[[^\]]*(channel_id|product_id)[^\]]*order_id", plan)
+    assert p.count("FileScan parquet") <= 2
+    exchanges = re.findall(r"Exchange (?:hash|range)partitioning\(([^)]*)\)", p)
+    assert len(exchanges) <= 6, exchanges
+    if "product" not in key:
+        assert not [e for e in exchanges if "channel_id" in e and "_salt" not in e], exchanges
+    assert any("order_id" in e for e in exchanges)
 
 
 def test_scan_counts(spark, sf_small):
@@ -100,3 +102,10 @@ def test_scan_counts(spark, sf_small):
     for key, most in (("chart_kpi_totals", 1), ("chart_revenue_forecast", 1), ("dq_forecast_rows", 1),
                       ("chart_segments", 1), ("chart_mini_trends", 1)):
         assert plan_of(QUERIES[key](spark, sf_small)).count("FileScan parquet") <= most, key
+
+
+def test_rfm_scans_the_orders_once(spark, sf_small):
+    """The last order date comes from the landed table's statistics."""
+    p = plan_of(QUERIES["customer_rfm"](spark, sf_small))
+    scans = re.findall(r"FileScan parquet [^\n]*", p)
+    assert len([s for s in scans if "table_stats" not in s and "order_id" in s]) == 1, scans

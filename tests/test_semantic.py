@@ -102,3 +102,21 @@ def test_orders_count_once_where_ids_share_a_label(spark):
                                 "channel_id long, channel_name string, channel_type string")
     got = {r.channel_name: (r.total_revenue, r.total_orders) for r in channel_monthly_summary(fact, dim).collect()}
     assert got == {"Web": (3.0, 1), "Unknown": (28.0, 2)}
+
+
+def test_sums_do_not_round_rows(spark):
+    """Thousands of small amounts, ratios, and any order of addition."""
+    from kpiforge.operators.marts import daily_totals
+
+    fact = spark.range(1000).selectExpr("date'2024-01-01' AS order_date", "cast(id AS string) AS order_id", "0.004D AS revenue",
+                                        "0.1249D AS profit", "1 AS quantity")
+    day = daily_totals(fact).first()
+    assert (day.total_revenue, day.total_profit, day.total_orders) == (4.0, 124.9, 1000)
+    ratios = spark.range(1000).selectExpr("0.1249D AS profit_margin", "1e-9D AS tiny", "1/3D AS third", "1e18D AS huge")
+    found = ratios.agg(*(m().alias(n) for n, m in auto_metrics(ratios).items())).first()
+    assert found.profit_margin == 124.9 and found["count"] == 1000
+    assert abs(found.tiny - 1e-6) < 1e-18 and abs(found.third - 1000 / 3) < 1e-10 and found.huge == 1e21
+    values = [(0.1 * i * (-1) ** i + i / 7,) for i in range(2000)]
+    sums = {spark.createDataFrame(v, "v double").repartition(n).agg(money_sum("v")).first()[0]
+            for v, n in ((values, 3), (values[::-1], 7), (sorted(values), 1))}
+    assert len(sums) == 1 and abs(sums.pop() - math.fsum(v for v, in values)) < 1e-9
