@@ -3,7 +3,7 @@
 Documents are cut into passages of ``PASSAGE`` words.  A randomised SVD of the TF-IDF matrix of all
 passages and benchmark items, over the items' words, gives a latent space: one pass multiplies
 the matrix and its transpose with a start block drawn from the items, and the orthonormal basis of the
-result is turned by the eigenvectors of the passages' covariance in it.  Passages are searched in that
+result is turned by the eigenvectors of the passages' covariance in it, which the same products give.  Passages are searched in that
 space: the items whose cosine is at least ``COSINE`` are candidates; an item of more than ``PIECE`` words
 is searched as a whole and in overlapping pieces.  Where the space and the words' weights cannot promise
 that cosine to a verbatim copy among rare words (``Items.unsure``), every passage with enough of the
@@ -14,7 +14,7 @@ that of the item's end (its answer) ``ANSWER`` of the answer's; ``WHOLE`` of the
 Document frequencies are counted over all documents in a fixed number of hash cells, so a shared
 cell can only raise a cosine.  Items are taken in blocks of ``BLOCK_ITEMS``, halved while they have
 more than ``VOCABULARY`` words or ``BLOCK_ROWS`` pieces (one item is never cut); each block has a space of
-its own and is broadcast against all documents.  Nothing is shuffled but the
+its own; ``BLOCKS_A_PASS`` blocks together are broadcast against all documents.  Nothing is shuffled but the
 sums of fixed size and the matches.
 
 Defined cases: null or empty texts and items without a word match nothing; a null item id is an id;
@@ -25,6 +25,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +44,12 @@ RANK = 256
 VOCABULARY = 8_192
 BLOCK_ITEMS = 256
 BLOCK_ROWS = 1_024
+BLOCKS_A_PASS = 4  # blocks that share a pass over the corpus
 PIECE = 2 * PASSAGE  # a passage inside a copy of an item is inside one of its pieces
 OWN = 0.5  # share of a piece's weight that its words in the space have at least
 COSINE = 0.18
 SHARE = 0.6
-ANSWER = 0.5
+ANSWER = 0.34
 WHOLE = 0.85
 COMMON = 0.05  # words in more documents than this share are left out of the space, but for OWN
 
@@ -137,15 +139,13 @@ def _blocks(ids: list, texts: list[str], idf: np.ndarray, common: float) -> Iter
         yield items
 
 
-def _covariance(state, project: bool):
-    """Sums over all passages: x (x' start), or (basis' x)(basis' x)' with ``project``."""
+def _products(state):
+    """Sums over all passages of x (x' start), for every block of items: the passages' covariance times its start."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        keys, idf, block = state.value
-        index = HashIndex(keys)
-        rank = block.shape[1]
-        total = np.zeros((rank, rank) if project else block.shape, np.float64)
+        idf, blocks = state.value
+        held = [(HashIndex(keys), start, np.zeros(start.shape)) for keys, start in blocks]
         for batch in batches:
             for _, _, data, offsets in slices(pc.utf8_lower(batch.column(0).fill_null(""))):
                 hashes, counts = _words(data, offsets)
@@ -159,51 +159,53 @@ def _covariance(state, project: bool):
                 passage = np.repeat(first, counts) + inside // PASSAGE
                 weight = idf[_cell(hashes)]
                 norm = np.sqrt(np.bincount(passage, weight * weight, int(per_row.sum())))
-                at = index.find(hashes)
-                known = np.flatnonzero(at >= 0)
-                if not len(known):
-                    continue
-                value = (weight[known] / np.maximum(norm[passage[known]], 1e-9)).astype(np.float32)
-                begins = np.flatnonzero(np.r_[True, np.diff(passage[known]) > 0])
-                seen = np.add.reduceat(value[:, None] * block[at[known]], begins, axis=0)
-                if project:
-                    total += seen.T @ seen
-                else:
+                for index, start, total in held:
+                    at = index.find(hashes)
+                    known = np.flatnonzero(at >= 0)
+                    if not len(known):
+                        continue
+                    value = (weight[known] / np.maximum(norm[passage[known]], 1e-9)).astype(np.float32)
+                    begins = np.flatnonzero(np.r_[True, np.diff(passage[known]) > 0])
+                    seen = np.add.reduceat(value[:, None] * start[at[known]], begins, axis=0)
                     back = value[:, None] * np.repeat(seen, np.diff(np.r_[begins, len(known)]), axis=0)
                     order = np.argsort(at[known], kind="stable")
                     cols = at[known][order]
                     starts = np.flatnonzero(np.r_[True, np.diff(cols) > 0])
                     total[cols[starts]] += np.add.reduceat(back[order], starts, axis=0)
-        yield chunks(TaskContext.get().partitionId(), total.astype(np.float32).ravel())
+        yield chunks(TaskContext.get().partitionId(), np.concatenate([t.astype(np.float32).ravel() for _, _, t in held]))
     return run
 
 
-def latent_space(texts: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
-    """Orthonormal basis (vocabulary x rank) of the randomised SVD, by falling singular value."""
-    sc = texts.sparkSession.sparkContext
-    words = items.rows.shape[1]
-    rank = min(rank, words)
+def latent_spaces(texts: DataFrame, blocks: list[Items], idf: np.ndarray, rank: int = RANK, seed: int = 7) -> list[np.ndarray]:
+    """Orthonormal basis (vocabulary x rank) of the randomised SVD for every block, by falling singular value.
+
+    One pass over the corpus multiplies the covariance C of the passages with each block's start S.  The range of
+    C S gives the basis; C itself is known in it from the same products, as C S (S' C S)^-1 S' C (Nystroem)."""
     rng = np.random.default_rng(seed)
-    start = (items.rows.T @ rng.standard_normal((len(items.rows), rank)) + 1e-3 * rng.standard_normal((words, rank)))
-    start = (start / np.linalg.norm(start, axis=0)).astype(np.float32)
-    keys = items.index.keys
-
-    def over_corpus(block: np.ndarray, project: bool) -> np.ndarray:
-        size = rank * rank if project else words * rank
-        held = sc.broadcast((keys, idf, block))
-        out = vector_sum(texts.mapInArrow(_covariance(held, project), PARTS), size, "float32")
-        return out.reshape(-1, rank).astype(float)
-
-    # items and passages count the same in the space
-    from_docs, from_items = over_corpus(start, False), items.rows.T @ (items.rows @ start)
-    both = sum(m / max(np.linalg.norm(m), 1e-9) for m in (from_docs, from_items))
-    basis = np.linalg.qr(both)[0].astype(np.float32)
-    in_docs, seen = over_corpus(basis, True), items.rows @ basis
-    inner = sum(m / max(np.trace(m), 1e-9) for m in (in_docs, seen.T @ seen))
-    values, vectors = np.linalg.eigh(inner)
-    keep = np.argsort(-values)
-    keep = keep[values[keep] > 1e-9 * max(values.max(), 1e-30)]
-    return (basis @ vectors[:, keep]).astype(np.float32)
+    starts = []
+    for items in blocks:
+        words = items.rows.shape[1]
+        size = min(rank, words)
+        start = items.rows.T @ rng.standard_normal((len(items.rows), size)) + 1e-3 * rng.standard_normal((words, size))
+        starts.append((start / np.linalg.norm(start, axis=0)).astype(np.float32))
+    held = texts.sparkSession.sparkContext.broadcast((idf, [(b.index.keys, s) for b, s in zip(blocks, starts)]))
+    sizes = [s.size for s in starts]
+    sums = vector_sum(texts.mapInArrow(_products(held), PARTS), sum(sizes), "float32").astype(float)
+    out = []
+    for items, start, flat in zip(blocks, starts, np.split(sums, np.cumsum(sizes)[:-1])):
+        from_docs, from_items = flat.reshape(start.shape), items.rows.T @ (items.rows @ start)
+        # items and passages count the same in the space
+        basis = np.linalg.qr(sum(m / max(np.linalg.norm(m), 1e-9) for m in (from_docs, from_items)))[0]
+        core = start.T.astype(float) @ from_docs
+        in_docs = basis.T @ from_docs
+        in_docs = in_docs @ np.linalg.pinv((core + core.T) / 2, rcond=1e-6, hermitian=True) @ in_docs.T
+        seen = items.rows @ basis
+        inner = sum(m / max(np.trace(m), 1e-9) for m in (in_docs, seen.T @ seen))
+        values, vectors = np.linalg.eigh((inner + inner.T) / 2)
+        keep = np.argsort(-values)
+        keep = keep[values[keep] > 1e-9 * max(values.max(), 1e-30)]
+        out.append((basis @ vectors[:, keep]).astype(np.float32))
+    return out
 
 
 def common_subsequence(a: list[int], b: list[int]) -> int:
@@ -231,27 +233,33 @@ def _cosine(a: np.ndarray, b: np.ndarray, idf: np.ndarray) -> float:
 _FOUND = "doc_id long, item_id long, cosine double, share double, at int"
 
 
+class _Seeker:
+    """A block of items as a task searches for it."""
+
+    def __init__(self, ids, words, keys, basis, latent, owner, unsure) -> None:
+        self.ids, self.words, self.basis, self.latent, self.owner, self.unsure = ids, words, basis, latent, owner, unsure
+        self.index = HashIndex(keys)
+        self.firsts = np.flatnonzero(np.r_[True, np.diff(owner) > 0])
+        self.counted = HashIndex(np.unique(np.concatenate([words[i] for i in unsure]))) if unsure else None
+        # the last row is for other words
+        self.member = np.zeros((len(self.counted.keys) + 1 if unsure else 0, len(unsure)), np.int32)
+        for n, i in enumerate(unsure):
+            self.member[self.counted.find(words[i]), n] = 1
+        self.sizes = np.array([len(w) for w in words])
+        self.lists = [w.tolist() for w in words]
+
+
 def _search(state, cosine: float, share: float, answer: float, whole: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, words, keys, idf, basis, latent, owner, unsure = state.value
-        index = HashIndex(keys)
-        firsts = np.flatnonzero(np.r_[True, np.diff(owner) > 0])
-        counted = HashIndex(np.unique(np.concatenate([words[i] for i in unsure]))) if unsure else None
-        member = np.zeros((len(counted.keys) + 1 if unsure else 0, len(unsure)), np.int32)  # the last row is for other words
-        for n, i in enumerate(unsure):
-            member[counted.find(words[i]), n] = 1
-        sizes = np.array([len(w) for w in words])
-        lists = [w.tolist() for w in words]
+        idf, blocks = state.value
+        seekers = [_Seeker(*b) for b in blocks]
         for batch in batches:
             docs = batch.column(0).to_pylist()
             out: dict[tuple, tuple] = {}
             for top, _, data, offsets in slices(pc.utf8_lower(batch.column(1).fill_null(""))):
                 hashes, counts = _words(data, offsets)
-                at = index.find(hashes)
-                known = np.flatnonzero(at >= 0)
                 weight = idf[_cell(hashes)]
                 energy = np.r_[0, np.cumsum(weight * weight)]
-                inner = np.r_[0, np.cumsum(np.where(at >= 0, weight * weight, 0))]
                 number = np.where(counts > 0, np.maximum(-(-(counts - PASSAGE) // STRIDE), 0) + 1, 0)
                 row = np.repeat(np.arange(len(counts)), number)
                 turn = np.arange(int(number.sum())) - np.repeat(np.cumsum(number) - number, number)
@@ -259,49 +267,53 @@ def _search(state, cosine: float, share: float, answer: float, whole: float):
                 low = base[row] + turn * STRIDE
                 high = np.minimum(low + PASSAGE, base[row] + counts[row])
                 norm = np.sqrt(np.maximum(energy[high] - energy[low], 1e-9))
-                # a cosine is at most the share of the passage's weight on the space's words; repeated words add up
-                most = np.maximum(inner[high] - inner[low], 0) / norm ** 2
-                some = np.flatnonzero((most >= cosine ** 2 / 2) & (inner[high] > inner[low]))
-                hits: dict[tuple[int, int], float] = {}
-                if len(some):
-                    where = np.searchsorted(known, np.c_[low[some], high[some]])
-                    some, where = some[where[:, 1] > where[:, 0]], where[where[:, 1] > where[:, 0]]
-                if len(some):
-                    held = where[:, 1] - where[:, 0]
-                    begins = np.r_[0, np.cumsum(held)[:-1]]
-                    token = known[np.repeat(where[:, 0] - begins, held) + np.arange(int(held.sum()))]
-                    seen = np.add.reduceat(weight[token][:, None].astype(np.float32) * basis[at[token]], begins, axis=0)
-                    close = (seen / norm[some, None].astype(np.float32)) @ latent.T
-                    if len(firsts) < len(owner):
-                        close = np.maximum.reduceat(close, firsts, axis=1)
-                    for p, i in np.argwhere(close >= cosine).tolist():
-                        hits[int(some[p]), i] = float(close[p, i])
-                for n in range(0, len(unsure), 8):
-                    there = member[counted.find(hashes), n:n + 8]
-                    there = np.r_[np.zeros((1, there.shape[1]), np.int64), np.cumsum(there, axis=0)]
-                    least = np.array([max(1, int(share * _overlap(int(sizes[i])))) for i in unsure[n:n + 8]])
-                    for p, k in np.argwhere(there[high] - there[low] >= least).tolist():
-                        if (p, unsure[n + k]) not in hits:
-                            hits[p, unsure[n + k]] = float("nan")
-                for (p, i), near_by in sorted(hits.items()):
-                    key = (docs[top + int(row[p])], i)
-                    old = out.get(key)
-                    if old and old[1] >= 1:
-                        continue
-                    a = max(int(base[row[p]]), int(low[p] - sizes[i]))
-                    b = min(int(base[row[p]] + counts[row[p]]), int(high[p] + sizes[i]))
-                    near = hashes[a:b].tolist()
-                    part = common_subsequence(lists[i], near) / sizes[i]
-                    if part < share:
-                        continue
-                    end = lists[i][-max(1, int(sizes[i]) // 5):]
-                    if part >= whole or common_subsequence(end, near) >= answer * len(end):
-                        if not old or part > old[1]:
-                            if near_by != near_by:
-                                near_by = _cosine(hashes[low[p]:high[p]], words[i], idf)
-                            out[key] = (near_by, part, int(low[p] - base[row[p]]))
+                for seeker in seekers:
+                    at = seeker.index.find(hashes)
+                    known = np.flatnonzero(at >= 0)
+                    inner = np.r_[0, np.cumsum(np.where(at >= 0, weight * weight, 0))]
+                    # a cosine is at most the share of the passage's weight on the space's words; repeated words add up
+                    most = np.maximum(inner[high] - inner[low], 0) / norm ** 2
+                    some = np.flatnonzero((most >= cosine ** 2 / 2) & (inner[high] > inner[low]))
+                    hits: dict[tuple[int, int], float] = {}
+                    if len(some):
+                        where = np.searchsorted(known, np.c_[low[some], high[some]])
+                        some, where = some[where[:, 1] > where[:, 0]], where[where[:, 1] > where[:, 0]]
+                    if len(some):
+                        held = where[:, 1] - where[:, 0]
+                        begins = np.r_[0, np.cumsum(held)[:-1]]
+                        token = known[np.repeat(where[:, 0] - begins, held) + np.arange(int(held.sum()))]
+                        seen = np.add.reduceat(weight[token][:, None].astype(np.float32) * seeker.basis[at[token]], begins, axis=0)
+                        close = (seen / norm[some, None].astype(np.float32)) @ seeker.latent.T
+                        if len(seeker.firsts) < len(seeker.owner):
+                            close = np.maximum.reduceat(close, seeker.firsts, axis=1)
+                        for p, i in np.argwhere(close >= cosine).tolist():
+                            hits[int(some[p]), i] = float(close[p, i])
+                    for n in range(0, len(seeker.unsure), 8):
+                        there = seeker.member[seeker.counted.find(hashes), n:n + 8]
+                        there = np.r_[np.zeros((1, there.shape[1]), np.int64), np.cumsum(there, axis=0)]
+                        least = np.array([max(1, int(share * _overlap(int(seeker.sizes[i])))) for i in seeker.unsure[n:n + 8]])
+                        for p, k in np.argwhere(there[high] - there[low] >= least).tolist():
+                            if (p, seeker.unsure[n + k]) not in hits:
+                                hits[p, seeker.unsure[n + k]] = float("nan")
+                    for (p, i), near_by in sorted(hits.items()):
+                        key = (docs[top + int(row[p])], seeker.ids[i])
+                        old = out.get(key)
+                        if old and old[1] >= 1:
+                            continue
+                        a = max(int(base[row[p]]), int(low[p] - seeker.sizes[i]))
+                        b = min(int(base[row[p]] + counts[row[p]]), int(high[p] + seeker.sizes[i]))
+                        near = hashes[a:b].tolist()
+                        part = common_subsequence(seeker.lists[i], near) / seeker.sizes[i]
+                        if part < share:
+                            continue
+                        end = seeker.lists[i][-max(1, int(seeker.sizes[i]) // 5):]
+                        if part >= whole or common_subsequence(end, near) >= answer * len(end):
+                            if not old or part > old[1]:
+                                if near_by != near_by:
+                                    near_by = _cosine(hashes[low[p]:high[p]], seeker.words[i], idf)
+                                out[key] = (near_by, part, int(low[p] - base[row[p]]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in out], pa.int64()), pa.array([ids[i] for _, i in out], pa.int64()),
+                [pa.array([d for d, _ in out], pa.int64()), pa.array([i for _, i in out], pa.int64()),
                  *(pa.array([v[k] for v in out.values()], t) for k, t in enumerate((pa.float64(), pa.float64(), pa.int32())))],
                 ["doc_id", "item_id", "cosine", "share", "at"])
     return run
@@ -315,20 +327,25 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     counts = vector_sum(texts.mapInArrow(_frequencies, PARTS), CELLS + 1)
     idf = np.log((counts[CELLS] + 1) / (counts[:CELLS] + 1)) + 1e-3
     common = np.log(1 / COMMON)
-    blocks = max(1, -(-benchmark.count() // BLOCK_ITEMS))
+    parts = max(1, -(-benchmark.count() // BLOCK_ITEMS))
     kept = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text).alias("t")).distinct()
+
+    def blocks() -> Iterator[Items]:
+        for part in range(parts):
+            rows = sorted(((r.i, r.t) for r in kept.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part).collect()),
+                          key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+            yield from _blocks([r[0] for r in rows], [r[1] for r in rows], idf, common)
+
     found = None
-    for block in range(blocks):
-        rows = sorted(((r.i, r.t) for r in kept.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()),
-                      key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        for items in _blocks([r[0] for r in rows], [r[1] for r in rows], idf, common):
-            basis = latent_space(texts, items, idf, rank)
-            latent = (items.rows @ basis).astype(np.float32)
-            held = spark.sparkContext.broadcast((items.ids, items.words, items.index.keys, idf, basis, latent, items.owner,
-                                                 items.unsure(latent, cosine)))
-            pairs = df.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")).mapInArrow(
-                _search(held, cosine, share, ANSWER, WHOLE), _FOUND)
-            found = pairs if found is None else found.unionByName(pairs)
+    every = blocks()
+    while some := list(islice(every, BLOCKS_A_PASS)):
+        spaces = latent_spaces(texts, some, idf, rank)
+        latent = [(items.rows @ basis).astype(np.float32) for items, basis in zip(some, spaces)]
+        held = spark.sparkContext.broadcast((idf, [
+            (b.ids, b.words, b.index.keys, basis, near, b.owner, b.unsure(near, cosine)) for b, basis, near in zip(some, spaces, latent)]))
+        pairs = df.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t")).mapInArrow(
+            _search(held, cosine, share, ANSWER, WHOLE), _FOUND)
+        found = pairs if found is None else found.unionByName(pairs)
     if found is None:
         return spark.createDataFrame([], _FOUND)
     best = F.max(F.struct("share", "cosine", (-F.col("at")).alias("at")))

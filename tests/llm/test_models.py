@@ -255,3 +255,19 @@ def test_decontamination_of_odd_rows(spark, odd, nothing):
     kept = clean(odd, items)
     assert kept.columns == odd.columns and kept.count() == odd.count() - 3
     assert leaks(nothing, items).count() == 0 and clean(odd, items.limit(0)).count() == odd.count()
+
+
+def test_many_items_share_the_passes(spark, monkeypatch):
+    """Over 1,000 items: one pass for all spaces and one search, and every copy is found."""
+    from kpiforge.llm import decontam
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 5))
+    items = [(i, " ".join(word() for _ in range(25))) for i in range(1040)]
+    docs = [(i, " ".join(word() for _ in range(60)) + " " + (items[i * 50][1] if i < 20 else word())) for i in range(60)]
+    calls = []
+    spaces = decontam.latent_spaces
+    monkeypatch.setattr(decontam, "latent_spaces", lambda texts, some, *a: calls.append(len(some)) or spaces(texts, some, *a))
+    found = leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(2),
+                  spark.createDataFrame(items, "item_id long, text string"), rank=32)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i * 50) for i in range(20)}
+    assert len(calls) <= -(-sum(calls) // decontam.BLOCKS_A_PASS) and sum(calls) >= 4
