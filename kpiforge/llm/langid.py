@@ -8,7 +8,7 @@ is solved on them.  Scoring is one matrix product of a batch's presence bits wit
 one with the regression's weights.
 
 The classifier is fitted on a bounded sample of labelled rows, ``TRAIN_ROWS`` in all, spread evenly
-over the languages and drawn by a hash of the id; executors turn them into presence bits, so the
+over the languages (the ``TRAIN_ROWS`` most frequent ones, equal counts by name) and drawn by a hash of the id; executors turn them into presence bits, so the
 driver never holds a text.  Every row is scored.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a null language is not
@@ -88,6 +88,7 @@ class Model:
 
 def fit(langs: list[str], packed: np.ndarray, lang: np.ndarray, landmarks: int = LANDMARKS) -> Model:
     """Landmarks spread over the languages, Nyström features, ridge regression one against the rest."""
+    landmarks = max(landmarks, len(langs))  # each language has one
     chosen: list[int] = []
     turn = 0
     by = [np.flatnonzero(lang == i).tolist() for i in range(len(langs))]
@@ -112,7 +113,8 @@ def fit(langs: list[str], packed: np.ndarray, lang: np.ndarray, landmarks: int =
 
 def train(rows: DataFrame, train_rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS) -> Model | None:
     """Fit on rows (order: a 63-bit hash, lang, text); languages and a bounded sample are read here."""
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(train_rows).collect()}
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(train_rows).collect()}
     if not counts:
         return None
     langs = sorted(counts)

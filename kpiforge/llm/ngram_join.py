@@ -16,9 +16,13 @@ prefix token, or a whole prefix) only pairs with one pivot are verified first; d
 links need no further comparison with each other.  Then every candidate pair whose members are still
 in different components is verified, so no link between components is lost.
 
+A node is a text: rows go by a 64-bit key of their id and text, sets by a 128-bit digest, so nulls and repeated ids do
+not mix up texts.
+
 Defined cases: texts without words (or null) have an empty set and link with nothing; a text of
 fewer than ``words`` words is one n-gram; equal sets link; a null id links like any other row but
-names no component; rows that repeat an id are one node; an empty table gives no rows.
+names no component (null where a component has no other ids); rows that repeat an id are linked with each
+other whatever their texts; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.text import PARTS, chunks, free_names, mix, slices, store, vector_sum, word_hashes
+from kpiforge.llm.text import PARTS, chunks, free_names, mix, row_key, slices, store, vector_sum, word_hashes
 
 WORDS = 4
 PERCENT = 85
@@ -97,7 +101,7 @@ def _sets(words: int, percent: int, grades):
         last = np.uint64(len(grade) - 1)
         for batch in batches:
             sizes, names, groups, prefixes = [], [], [], []
-            for _, _, data, offsets in slices(batch.column(1)):
+            for _, _, data, offsets in slices(batch.column(2)):
                 for tokens in shingles(data, offsets, words):
                     n = len(tokens)
                     ordered = tokens[np.argsort(grade[(tokens & last).astype(np.int64)], kind="stable")]
@@ -107,8 +111,8 @@ def _sets(words: int, percent: int, grades):
                     groups.append(hashlib.blake2b(prefix, digest_size=16).digest())
                     prefixes.append(prefix)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(names, pa.binary()),
-                 pa.array(groups, pa.binary()), pa.array(prefixes, pa.binary())], ["id", "n", "set", "grp", "prefix"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.array(names, pa.binary()),
+                 pa.array(groups, pa.binary()), pa.array(prefixes, pa.binary())], ["id", "doc", "n", "set", "grp", "prefix"])
     return run
 
 
@@ -224,7 +228,7 @@ def needed_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of document ids that link."""
+    """The pairs (a, b) of row keys whose texts link."""
     pairs = store(pairs.distinct(), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     known = store(needed_texts(texts, ids).dropDuplicates(["id"]), "texts")
@@ -263,17 +267,23 @@ def components(links: DataFrame) -> DataFrame:
 def similar_groups(df: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
                    text_col: str = "text", cells: int = CELLS) -> DataFrame:
     """One row per row of ``df``: doc_id, n_shingles, component_id (smallest id reachable by links)."""
+    return _components_of_rows(df, words, percent, id_col, text_col, cells).select(
+        F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def _components_of_rows(df: DataFrame, words: int, percent: int, id_col: str, text_col: str, cells: int = CELLS) -> DataFrame:
+    """id (key of the row), doc (its id), n, root (its component) and component_id of every row of ``df``."""
     spark = df.sparkSession
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = df.select(row_key(F.col(id_col), F.col(text_col)).alias("id"), F.col(id_col).cast("long").alias("doc"),
+                      F.col(text_col).alias("text"))
     grades = spark.sparkContext.broadcast(rarity(texts.select("text"), words, cells))
     docs = store(texts.mapInArrow(_sets(words, percent, grades),
-                                  "id long, n int, set binary, grp binary, prefix binary"), "sets")
-    # equal sets are one class, equal prefixes and sizes one group; both go by their smallest id
+                                  "id long, doc long, n int, set binary, grp binary, prefix binary"), "sets")
+    # equal sets are one class, equal prefixes and sizes one group; both go by their smallest key
     classes = docs.filter("n > 0").groupBy("set", "n", "grp").agg(F.min("id").alias("cls"))
     groups = store(docs.filter("n > 0").groupBy("n", "grp").agg(
-        F.min("id").alias("gid"), F.count(F.lit(1)).alias("docs"), F.first("prefix").alias("prefix"))
-        .filter("gid IS NOT NULL"), "groups")
-    classes = store(classes.filter("cls IS NOT NULL").join(groups.select("n", "grp", "gid"), ["n", "grp"])
+        F.min("id").alias("gid"), F.count(F.lit(1)).alias("docs"), F.first("prefix").alias("prefix")), "groups")
+    classes = store(classes.join(groups.select("n", "grp", "gid"), ["n", "grp"])
                     .select("cls", "gid", "set"), "classes")
     # postings of tokens that two groups share; rarest position first, so the first is the pivot
     postings = (groups.select("gid", "n", "docs", "prefix")
@@ -323,7 +333,7 @@ def similar_groups(df: DataFrame, words: int = WORDS, percent: int = PERCENT, id
     if not more.isEmpty():
         links = links.unionByName(more)
         roots = components(links)
-    return _labelled(docs, classes, roots)
+    return _labelled(docs, classes, links)
 
 
 def _allowed(pairs: DataFrame, groups: DataFrame, percent: int, grades) -> DataFrame:
@@ -334,27 +344,36 @@ def _allowed(pairs: DataFrame, groups: DataFrame, percent: int, grades) -> DataF
     return store(both.mapInArrow(_prefix_bound(percent, grades), "a long, b long"), "near")
 
 
-def _labelled(docs: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is not None:
-        names = classes.join(roots.withColumnRenamed("id", "cls"), "cls", "left").withColumn(
-            "root", F.coalesce("root", "cls"))
+def _labelled(docs: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    # a row of an empty set is a class of its own
+    rows = store(docs.select("id", "doc", "n", "set").join(classes.select("set", "cls"), "set", "left")
+                 .select("id", "doc", "n", F.coalesce(F.when(F.col("n") > 0, F.col("cls")), "id").alias("cls")), "rows")
+    # the classes of a repeated id, each tied to one of them
+    kinds = rows.filter("doc IS NOT NULL").select("doc", "cls").distinct()
+    several = kinds.groupBy("doc").agg(F.min("cls").alias("a"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    ties = store(kinds.join(several.select("doc", "a"), "doc").select("a", F.col("cls").alias("b")).filter("a <> b"), "ties")
+    edges = links.select("a", "b").unionByName(ties)
+    if edges.isEmpty():
+        rows = rows.withColumn("root", F.col("cls"))
     else:
-        names = classes.withColumn("root", F.col("cls"))
-    smallest = names.groupBy("root").agg(F.min("cls").alias("component_id"))
-    names = store(names.join(smallest, "root").select("set", "component_id"), "components")
-    return (docs.select("id", "n", "set").join(names, "set", "left")
-            .select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-                    F.coalesce("component_id", "id").alias("component_id")))
+        roots = components(edges).withColumnRenamed("id", "cls")
+        rows = rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    smallest = rows.groupBy("root").agg(F.min("doc").alias("component_id"))
+    return rows.join(smallest, "root").select("id", "doc", "n", "root", "component_id")
 
 
 def one_of_each(df: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay: of each component, the document with the smallest id.
-
-    Rows with a null id stay; of rows that repeat an id, all stay.
-    """
-    found = similar_groups(df, words, percent, id_col, text_col)
-    keep, = free_names(df, "__keep")
-    stay = found.filter("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
-    return (df.join(stay, df[id_col].cast("long") == stay[keep], "left")
-            .filter(stay[keep].isNotNull() | df[id_col].isNull()).select(*(df[c] for c in df.columns)))
+    """One row of each component of ``df`` stays: the one with the smallest id (null ids last), of equal rows any."""
+    found = store(_components_of_rows(df, words, percent, id_col, text_col), "members")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "id"))["id"].alias("id"))
+    # how many rows have the key: a copy of a row, id and text, has it too
+    stay = found.select("id").join(first.select("id"), "id", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    key, rows = free_names(df, "__keep", "__rows")
+    stay = store(stay.withColumnsRenamed({"id": key, "rows": rows}), "stay")
+    own = df.withColumn(key, row_key(F.col(id_col), F.col(text_col)))
+    once = own.join(stay.filter(F.col(rows) == 1).select(key), key, "left_semi")
+    repeated = stay.filter(F.col(rows) > 1).select(key)
+    if not repeated.isEmpty():
+        once = once.unionByName(own.join(repeated, key, "left_semi").dropDuplicates([key]))
+    return once.select(*df.columns)

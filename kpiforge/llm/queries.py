@@ -114,6 +114,26 @@ ORACLE_SQL: dict[str, str] = {
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM t JOIN g USING (t)""",
+    # links by shared shingles, and what each document reaches
+    "op4_ngram_join": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'),
+                                       lambda x: x <> '') AS w
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(list_slice(w, i, i + 3), ' ') END AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM w WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
+        FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING (doc_id)""",
     "op9_line_dedup": f"""
         WITH l AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

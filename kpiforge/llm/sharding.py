@@ -6,8 +6,8 @@ proportion, so any contiguous cut has the mixture of the whole.  The sorted rows
 ``shards`` runs whose lengths differ by at most one.
 
 Both orders are uniform by construction (a hash, a fraction), so each is cut into equal buckets:
-ranks are bucket offsets plus ``row_number`` inside one bucket.  A hot source is many buckets, and
-no window holds more than about ``MOST_ROWS`` rows.  Only DataFrame functions are used.
+ranks are bucket offsets plus ``row_number`` inside one bucket.  A hot source is many buckets, equal rows
+are numbered before they are hashed, and no window holds more than about ``MOST_ROWS`` rows.  Only DataFrame functions are used.
 
 Defined cases: a null source is a stratum of its own; a null text has size 1 and checksum 0; a null
 id is ordered first; repeated rows are rows like any other (their order among themselves does not
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from kpiforge.llm.text import store
 
 MOST_ROWS = 50_000
+COPIES = 100  # equal rows (id, source, size, checksum) from which they are numbered
 
 
 def _ranked(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str], rank: str,
@@ -51,6 +52,22 @@ def _bucket(hashed: Column, buckets: int) -> Column:
     return F.floor(F.shiftrightunsigned(hashed, 32) * F.lit(buckets) / F.lit(1 << 31)).cast("int")
 
 
+def _numbered_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__copy``: 0, but a number of its own for each of more than ``COPIES`` equal rows.
+
+    Hashes then spread them like different rows, and the set of their hashes does not depend on their order."""
+    same = ["__id", "__source", "__size", "__crc"]
+    many = store(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > COPIES).drop("__n"), "equal-rows")
+    if many.isEmpty():
+        return rows.withColumn("__copy", F.lit(0).cast("long")).drop("__part")
+    many = many.withColumnsRenamed({c: f"__m{c}" for c in same})
+    on = [F.col(c).eqNullSafe(F.col(f"__m{c}")) for c in same]
+    few = rows.join(many, on, "left_anti").withColumn("__copy", F.lit(0).cast("long"))
+    # a window holds the equal rows of one task that read the table
+    copies = _ranked(rows.join(many, on, "left_semi"), same, "__part", ["__size"], "__copy").withColumn("__copy", F.col("__copy").cast("long"))
+    return few.unionByName(copies).drop("__part")
+
+
 def interleave(df: DataFrame, shards: int = 16, seed: int = 17, id_col: str = "doc_id",
                text_col: str = "text", source_col: str = "source", carry: Sequence[str] = (),
                rows_per_bucket: int | None = None) -> DataFrame:
@@ -66,12 +83,13 @@ def interleave(df: DataFrame, shards: int = 16, seed: int = 17, id_col: str = "d
         (F.octet_length(text) + 1).cast("long").alias("__size"),
         F.crc32(text.cast("binary")).alias("__crc"),
         *(F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)),
-    ).withColumn("__hash", F.shiftrightunsigned(
-        F.xxhash64(F.lit(seed), "__id", "__size", "__crc"), 1))
-    rows = store(rows, "shard-rows")
+    ).withColumn("__part", F.spark_partition_id())
+    parts = [F.lit(seed), "__id", "__size", "__crc"]
+    rows = store(_numbered_copies(store(rows, "shard-rows")), "shard-copies").withColumn("__hash", F.shiftrightunsigned(
+        F.when(F.col("__copy") == 0, F.xxhash64(*parts)).otherwise(F.xxhash64(*parts, "__copy")), 1))
     n = rows.count()
     buckets = max(1, -(-n // (rows_per_bucket or max(1, min(MOST_ROWS, 10 * isqrt(n))))))
-    order = ["__hash", "__id", "__size", "__crc"]
+    order = ["__hash", "__id", "__size", "__crc", "__copy"]
     rows = rows.withColumn("__bucket", _bucket(F.col("__hash"), buckets))
     rows = _ranked(rows, ["__source"], "__bucket", order, "__rank", "__of")
     rows = rows.withColumn("__at", (2 * F.col("__rank") + 1) / (2 * F.col("__of")))

@@ -78,3 +78,24 @@ def test_written_shards(spark, docs, tmp_path):
 def test_plan_is_native(docs):
     plan = interleave(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_many_equal_rows_are_spread(spark):
+    """A third of the rows are equal: no bucket holds them all, reruns and other splits of the input agree."""
+    from pyspark.sql import functions as F
+
+    from kpiforge.llm import sharding
+    rows = [(None, None, "hot")] * 2000 + [(i, f"text {i}", "abc"[i % 3]) for i in range(4000)]
+    make = lambda n: spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(n)
+    got = [sorted(map(tuple, interleave(make(n), 16, rows_per_bucket=100).collect()), key=repr) for n in (2, 5)]
+    assert got[0] == got[1]
+    counts = Counter(r[4] for r in got[0])
+    assert max(counts.values()) - min(counts.values()) <= 1
+    hot = Counter(r[4] for r in got[0] if r[0] is None)
+    assert all(120 <= hot[s] <= 130 for s in range(16))
+    for shard in range(16):
+        assert sorted(r[5] for r in got[0] if r[4] == shard) == list(range(counts[shard]))
+    prepared = spark.createDataFrame([(None, "hot", 1, 0)] * 2000 + [(i, "a", 5, 7) for i in range(50)],
+                                     "__id long, __source string, __size long, __crc long").withColumn("__part", F.spark_partition_id())
+    copies = sharding._numbered_copies(prepared).groupBy("__id").agg(F.count_distinct("__copy").alias("k")).collect()
+    assert {r["__id"]: r.k for r in copies}[None] == 2000 and all(r.k == 1 for r in copies if r["__id"] is not None)
