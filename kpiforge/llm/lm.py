@@ -9,10 +9,10 @@ the driver.  Every round is one pass over all training texts, in which tasks cou
 neighbouring classes in vectors of a fixed size; the vectors are added in a tree, and the exchange
 itself runs on these sums.  Then every other training word starts from its bucket's class and moves to
 its own best class: its neighbours' classes come together by a shuffle, and the words move in parallel
-against the class bigrams of the last round.  Only words that no training text has keep their
+against the class bigrams of the last round; if that lowers the likelihood, they stay.  Only words that no training text has keep their
 bucket's class.  The class bigrams of the model are counted after all words have moved.
 
-Counts and classes of the ``LOOKUP`` most frequent words are a broadcast table of that fixed size; all
+Counts and classes of the ``LOOKUP`` most frequent words (equal counts by hash) are a broadcast table of that fixed size; all
 others are joined with the full table, alone and in pairs of neighbours, so any number of words is
 learned and scored exactly.  No word beyond the table is frequent, so these joins have no hot key.
 
@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kpiforge.llm.ranks import positions
 from kpiforge.llm.text import (
     PARTS, HashIndex, chunks, last_bytes, slices, store, span_hashes, vector_sum, word_spans,
 )
@@ -209,9 +210,11 @@ def _move(state):
             around = np.zeros((batch.num_rows, 2 * classes), np.int64)
             around[i, flat.field("slot").to_numpy()] = flat.field("n").to_numpy()
             left, right = around[:, :classes], around[:, classes:]
-            cls = best_classes(left, right, buckets[batch.column(1).to_numpy()], pairs, sums)
+            own = buckets[batch.column(1).to_numpy()]
+            cls = best_classes(left, right, own, pairs, sums)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(right.sum(1)), pa.array(cls.astype(np.int32))], ["word", "n", "cls"])
+                [batch.column(0), pa.array(right.sum(1)), pa.array(cls.astype(np.int32)), pa.array(own.astype(np.int32))],
+                ["word", "n", "cls", "own"])
     return run
 
 
@@ -293,6 +296,31 @@ class ClassModel:
         self.end_count = 0
 
 
+COUNT_BINS = 1 << 16
+
+
+def _most_frequent(words: DataFrame, most: int) -> DataFrame:
+    """The ``most`` most frequent words (word, n): exactly so many, equal counts by word.
+
+    A histogram of the counts, of at most ``COUNT_BINS`` rows, leaves out what is certainly beyond; the rest is ranked."""
+    least, held = 1, 0
+    for r in (words.groupBy(F.least("n", F.lit(COUNT_BINS)).alias("n")).agg(F.count(F.lit(1)).alias("k"))
+              .orderBy(F.desc("n")).collect()):
+        least, held = r.n, held + r.k
+        if held >= most:
+            break
+    some = words.filter(F.col("n") >= least).select("word", "n")
+    if held <= most:
+        return some
+    ranked = positions(some.withColumns({"__all": F.lit(0), "__less": -F.col("n")}), "__all", ["__less", "word"])
+    return ranked.filter(F.col("__pos") < most).select("word", "n")
+
+
+def _likelihood(pairs: np.ndarray) -> float:
+    """Log-likelihood of class bigrams, up to what does not depend on the classes."""
+    return float(_f(pairs).sum() - _f(pairs.sum(0)).sum() - _f(pairs.sum(1)).sum())
+
+
 def train(texts: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, vocabulary: int = VOCABULARY,
           lookup: int = LOOKUP) -> tuple[ClassModel, DataFrame]:
     """The model of a one-column table of texts, and count and class of every word that is no unit."""
@@ -300,15 +328,8 @@ def train(texts: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, vocabu
     words = store(texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     documents = texts.count()
     seen = words.agg(F.count(F.lit(1)).alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    least, held = 1, 0
-    # the smallest count whose words, and those of all larger counts, fit the table
-    for r in (words.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count(F.lit(1)).alias("k"))
-              .orderBy(F.desc("n")).collect()):
-        if held + r.k > lookup:
-            least = r.n + 1
-            break
-        held += r.k
-    top = words.filter(F.col("n") >= least).select("word", "n").toPandas()
+    listed = store(_most_frequent(words, lookup), "table")
+    top = listed.toPandas()
     top = top.sort_values(["n", "word"], ascending=[False, True])
     table, counts = top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     units = table[:vocabulary]
@@ -333,16 +354,27 @@ def train(texts: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, vocabu
     around = (texts.mapInArrow(_tail_neighbours(state, classes), "word long, bucket int, slot int, n long")
               .repartition("word").groupBy("word", "slot").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("n"))
               .groupBy("word").agg(F.first("bucket").alias("bucket"), F.collect_list(F.struct("slot", "n")).alias("around")))
-    tail = store(around.mapInArrow(_move(move), "word long, n long, cls int"), "tail")
-    found = tail.filter(F.col("n") >= least).select("word", "cls").toPandas()
-    table_cls = np.full(len(table), END, np.int16)
-    table_cls[:len(units)] = cls[1:1 + len(units)]
-    table_cls[HashIndex(table).find(found["word"].to_numpy(np.int64).view(np.uint64))] = found["cls"].to_numpy(np.int16)
-    held = sc.broadcast((table, table_cls, buckets))
-    steps = store(texts.mapInArrow(_steps(held, classes), _STEPS), "steps")
-    pairs = np.zeros((classes, classes))
-    for r in _resolved(steps, tail).groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
-        pairs[r.a, r.b] = r.n
+    tail = store(around.mapInArrow(_move(move), "word long, n long, cls int, own int"), "tail")
+    index = HashIndex(table)
+
+    def bigrams(tail: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Classes of the table's words, and the class bigrams of all texts."""
+        found = tail.join(listed, "word", "left_semi").select("word", "cls").toPandas()
+        table_cls = np.full(len(table), END, np.int16)
+        table_cls[:len(units)] = cls[1:1 + len(units)]
+        table_cls[index.find(found["word"].to_numpy(np.int64).view(np.uint64))] = found["cls"].to_numpy(np.int16)
+        held = sc.broadcast((table, table_cls, buckets))
+        steps = store(texts.mapInArrow(_steps(held, classes), _STEPS), "steps")
+        after = np.zeros((classes, classes))
+        for r in _resolved(steps, tail).groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
+            after[r.a, r.b] = r.n
+        return table_cls, after
+
+    moved = _likelihood(pairs)
+    table_cls, pairs = bigrams(tail)
+    if _likelihood(pairs) < moved:  # words that move at once can be in each other's way: then they stay
+        tail = tail.withColumn("cls", F.col("own"))
+        table_cls, pairs = bigrams(tail)
     into = pairs.sum(0)
     share = (into + ADD) / (into.sum() + ADD * classes)
     trans = np.log10((pairs + BETA * share) / (pairs.sum(1, keepdims=True) + BETA))

@@ -15,7 +15,7 @@ from kpiforge.llm.text import store
 
 
 def test_registered():
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE_SQL) <= set(QUERIES)
 
 

@@ -179,11 +179,37 @@ def test_moves_follow_the_exchange():
         assert got[0] == exchange(left, right, cls)[first]
 
 
-def test_class_model_scores_do_not_depend_on_the_table(docs):
+def test_class_model_scores_do_not_depend_on_the_table(docs, odd):
     """Words beyond the look-up table have the classes, and so the scores, they would have in it (the units are the same)."""
-    all_, few = ({r.doc_id: r.score for r in class_scores(docs, rounds=1, vocabulary=20, lookup=n).collect()}
-                 for n in (1 << 18, 120))
-    assert all_.keys() == few.keys() and all(abs(all_[k] - few[k]) < 1e-6 * (1 + abs(few[k])) for k in all_)
+    for df in (docs, odd):
+        all_, few = ({(r.doc_id, r.n_tokens, r.n_known): r.score for r in class_scores(df, rounds=1, vocabulary=20, lookup=n).collect()}
+                     for n in (1 << 18, 120))
+        assert all_.keys() == few.keys() and all(abs(all_[k] - few[k]) < 1e-6 * (1 + abs(few[k])) for k in all_)
+
+
+def test_class_table_has_exactly_its_size(spark, odd, monkeypatch):
+    """Frequent words beyond the table, and words of equal counts, leave it neither larger nor smaller."""
+    from kpiforge.llm import lm
+    monkeypatch.setattr(lm, "COUNT_BINS", 64)  # counts from here on share a bin of the histogram
+    words = spark.createDataFrame([(i, 70 + i % 3) for i in range(40)] + [(100 + i, 1) for i in range(300)], "word long, n long")
+    for most in (1, 10, 40, 41, 200, 340, 1000):
+        got = sorted((tuple(r) for r in lm._most_frequent(words, most).collect()), key=lambda r: (-r[1], r[0]))
+        assert got == sorted((tuple(r) for r in words.collect()), key=lambda r: (-r[1], r[0]))[:most]
+    model, _ = train(odd.filter("doc_id IS NOT NULL").select("text"), rounds=1, vocabulary=20, lookup=120)
+    assert len(model.words) == 120 and len(np.unique(model.words)) == 120
+
+
+def test_class_model_probabilities_sum_to_one(docs):
+    """Over classes after each class, and over the words of each class with one unknown word."""
+    from kpiforge.llm import lm
+    for lookup in (1 << 18, 500):
+        model, tail = train(docs.select("text"), rounds=1, vocabulary=100, lookup=lookup)
+        assert np.allclose((10.0 ** model.trans).sum(1), 1)
+        rest = tail.toPandas()
+        rest = rest[~np.isin(rest["word"].to_numpy(np.int64), model.words.view(np.int64))]
+        mass = np.bincount(np.r_[model.cls, rest["cls"]], np.r_[model.counts, rest["n"]] + lm.ADD, len(model.below)) + lm.ADD
+        mass[lm.END] += model.end_count + lm.ADD
+        assert np.allclose(mass / 10.0 ** model.below, 1)
 
 
 def test_class_model_of_nothing(nothing):
