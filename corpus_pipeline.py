@@ -12,17 +12,14 @@ from pyspark.sql import functions as F
 from kpiforge.llm import decontam, langid, mixing, ngram_join, sharding
 from kpiforge.llm.text import documents, free_names, row_key, ship, store
 
-# below this the classifier sees no language in the text; clean texts score far above
-LEAST_LANGUAGE_SCORE = 0.15
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language stay; the classifier learns from these documents."""
+    """Documents whose text has a language stay (``und``: no text, or not a letter in it); the classifier learns from
+    these documents."""
     ship(spark)
     found = langid.identify(docs, keyed=True)
     key, = free_names(docs, "__key")
-    known = (found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
-             .select(F.col("doc_id").alias(key)).distinct())
+    known = found.filter(F.col("lang_pred") != langid.UNKNOWN).select(F.col("doc_id").alias(key)).distinct()
     # every row by its own text, also where ids are null or repeated
     own = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text")))
     return own.join(known, key, "left_semi").drop(key)
