@@ -2,8 +2,9 @@
 
 A normalised text is cut into blocks of ``block_bytes`` bytes.  Distinct blocks are sorted by hash into
 integer names: equal names mean equal bytes.  Then adjacent names are paired and the distinct pairs
-named in the same way, level by level, until each text has one name; log2 of the longest text's
-blocks levels in all.  Two texts have the same identity exactly when they are equal: every name
+named in the same way, level by level, until each text has one name.  A text leaves at the level
+where it is one name, so a short text takes no part in the levels of a longer one.  Its identity is
+that level with its name: two texts have the same one exactly when they are equal, as every name
 stands for contents that were grouped and sorted, so a hash collision cannot merge two of them.
 
 Blocks cross the network once, where distinct contents are grouped.  References to a block carry
@@ -88,7 +89,7 @@ def name_contents(refs: DataFrame, contents: list[str], hashed: Column, buckets:
 
 def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                block_bytes: int = BLOCK_BYTES, hash_bits: int = 64) -> DataFrame:
-    """One row per row of ``df``: __id, __sha (SHA-256 of the normalised text) and __name (its identity).
+    """One row per row of ``df``: __id, __sha (SHA-256 of the normalised text), __level and __name (its identity).
 
     ``hash_bits`` below 64 makes collisions common; the result is the same (for tests).
     """
@@ -102,21 +103,25 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     longest = blocks.agg(F.max("__count"), F.count(F.lit(1))).first()
     buckets = max(1, (longest[1] or 0) // 20_000 + 1)
     refs = blocks.select("__row", "__count", "__pos", "__block")
-    # the count goes into the name, so a text is not taken for a longer one that starts like it
     names = store(name_contents(refs, ["__block"], hashed("__block"), buckets), "level")
-    width = longest[0] or 1
-    while width > 1:
-        paired = names.groupBy("__row", "__count", F.expr("__pos div 2").cast("int").alias("__half")).agg(
+
+    def finished(level: int) -> DataFrame:
+        return names.filter(F.col("__count") <= 1 << level).select("__row", F.lit(level).alias("__level"), "__name")
+
+    level, done = 0, finished(0)
+    while (longest[0] or 1) > 1 << level:
+        # the others are paired; one without a right neighbour has 0 there, as names start at 1 or are below 0
+        half = F.expr("__pos div 2").cast("int").alias("__half")
+        paired = names.filter(F.col("__count") > 1 << level).groupBy("__row", "__count", half).agg(
             F.max(F.when(F.col("__pos") % 2 == 0, F.col("__name"))).alias("__left"),
-            F.max(F.when(F.col("__pos") % 2 == 1, F.col("__name"))).alias("__right"))
-        # names start at 1 or are below 0, so 0 stands for no right neighbour
-        paired = (paired.withColumnRenamed("__half", "__pos")
-                  .withColumn("__right", F.coalesce("__right", F.lit(0).cast("long"))))
-        # a pair is the same at every level, and names of one level are never compared with another's
+            F.coalesce(F.max(F.when(F.col("__pos") % 2 == 1, F.col("__name"))), F.lit(0).cast("long")).alias("__right"))
+        paired = paired.withColumnRenamed("__half", "__pos")
+        # names of one level are only compared with others of that level
         names = store(name_contents(paired, ["__left", "__right"], hashed("__left", "__right"), buckets), "level")
-        width = -(-width // 2)
+        level += 1
+        done = done.unionByName(finished(level))
     heads = blocks.filter("__pos = 0").select("__row", "__id", "__sha")
-    return heads.join(names.select("__row", "__name"), "__row").drop("__row")
+    return heads.join(done, "__row").drop("__row")
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -126,7 +131,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of equal texts the row with the largest id stays; with that id repeated, all its rows have kept.
     """
     named = store(identities(df, id_col, text_col, block_bytes, hash_bits), "identities")
-    groups = named.groupBy("__name").agg(F.max("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return named.join(groups, "__name").select(
+    groups = named.groupBy("__level", "__name").agg(F.max("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    return named.join(groups, ["__level", "__name"]).select(
         F.col("__id").alias("doc_id"), "keep_id", "group_size",
         F.col("__id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("__sha").alias("text_sha256"))
