@@ -19,7 +19,6 @@ an id; a source without words has target 0 and its documents are not taken; an e
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import floor
 
 import numpy as np
 import pandas as pd
@@ -27,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kpiforge.llm.ranks import positions
 from kpiforge.llm.text import free_names, slices, store, word_spans
 
 BLOCK_ROWS = 2048
 MAX_REPEAT = 3
-MAX_SOURCES = 100_000
 # fixed values: the weights that sources get in turn
 WEIGHTS = (1, 2, 3)
 
@@ -53,23 +52,35 @@ def word_sizes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .mapInArrow(_sizes, "__id long, __source string, __size long"))
 
 
-def targets(sizes: list[int], weights: list[float], total: float, most: float = MAX_REPEAT) -> list[float]:
-    """Shares of ``total`` by weight, none above ``most`` times its size; the excess goes to the others."""
-    out = [0.0] * len(sizes)
-    open_ = {i for i, s in enumerate(sizes) if s > 0 and weights[i] > 0}
-    left = float(total)
-    while open_:
-        by = sum(weights[i] for i in open_)
-        above = [i for i in open_ if left * weights[i] / by > most * sizes[i]]
-        if not above:
-            for i in open_:
-                out[i] = left * weights[i] / by
+def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MAX_REPEAT) -> DataFrame:
+    """Sources (__source, source_size, ...) with ``target``, their share of all words by weight.
+
+    No target is above ``most`` times its source's size; the excess goes to the others.  Sources get the
+    weights in turn, in their order by code point, null last.  The list stays a table however long it
+    is: each round is one sum over it, and a round that caps no more sources is the last.
+    """
+    # null sorts after every text; a group of its own name for all, as positions are in groups
+    ordered = positions(sources.withColumn("__all", F.lit(0)).withColumn("__none", F.col("__source").isNull().cast("int")),
+                        "__all", ["__none", "__source"])
+    by_turn = F.element_at(F.array(*(F.lit(float(w)) for w in weights)),
+                           (F.col("__pos") % len(weights) + 1).cast("int"))
+    rows = store(ordered.select(*sources.columns, by_turn.alias("__weight")), "sources")
+    takes = (F.col("source_size") > 0) & (F.col("__weight") > 0)
+    most_words = F.col("source_size") * F.lit(float(most))
+    total, by = rows.agg(F.sum("source_size"), F.sum(F.when(takes, F.col("__weight")))).first()
+    left, capped = float(total or 0), 0
+    share = F.lit(left) * F.col("__weight") / F.lit(by or 1.0)
+    while by:
+        # the level only rises, so a source above its bound stays there
+        above = share > most_words
+        n, words, by = rows.filter(takes).agg(
+            F.count_if(above), F.sum(F.when(above, most_words)), F.sum(F.when(~above, F.col("__weight")))).first()
+        if n <= capped:
             break
-        for i in above:
-            out[i] = float(most * sizes[i])
-            left -= out[i]
-            open_.remove(i)
-    return out
+        capped, left = n, float(total) - words
+        # with every source at its bound nothing is left to share, and all stay there
+        share = F.lit(left) * F.col("__weight") / F.lit(by) if by else most_words
+    return rows.withColumn("target", F.when(takes, F.least(share, most_words)).otherwise(0.0)).drop("__weight")
 
 
 def flight(prob: np.ndarray, size: np.ndarray, draw: np.ndarray, last: bool) -> np.ndarray:
@@ -131,30 +142,23 @@ def copies(sizes: DataFrame, seed: int = 23, weights: tuple[float, ...] = WEIGHT
            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """How often each unit is taken: __id, __source, __size, __rows, source_size, target, copies.
 
-    The list of sources (not of documents) is read on the driver, ``MAX_SOURCES`` at most.
+    Sources are a table like any other; Spark broadcasts it only where its size is below the threshold.
     """
-    spark = sizes.sparkSession
     units = store(sizes.groupBy("__id", "__source", "__size").agg(F.count(F.lit(1)).alias("__rows")), "units")
-    sources = (units.groupBy("__source").agg(F.sum(F.expr("__size * __rows")).alias("s"), F.count(F.lit(1)).alias("n"))
-               .limit(MAX_SOURCES + 1).collect())
-    if len(sources) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: merge them before mixing")
-    sources.sort(key=lambda r: (r[0] is None, (r[0] or "").encode("utf-32-be")))
-    total = sum(r.s for r in sources)
-    aims = targets([r.s for r in sources], [weights[i % len(weights)] for i in range(len(sources))], total, most)
-    rows = []
-    for r, aim in zip(sources, aims):
-        times = aim / r.s if r.s else 0.0
-        whole = floor(times + 1e-9)
-        rows.append((r[0], r.s, aim, whole, max(0.0, times - whole), max(1, -(-r.n // block_rows))))
-    plan = spark.createDataFrame(
-        rows, "__of string, source_size long, target double, __whole int, __prob double, __blocks long")
-    work = units.join(F.broadcast(plan), F.col("__source").eqNullSafe(F.col("__of"))).drop("__of")
+    sources = store(units.groupBy("__source").agg(F.sum(F.expr("__size * __rows")).alias("source_size"),
+                                                  F.count(F.lit(1)).alias("__n")), "source-sizes")
+    times = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
+    whole = F.floor(times + 1e-9).cast("int")
+    plan = store(targets(sources, weights, most).select(
+        F.col("__source").alias("__of"), "source_size", "target", whole.alias("__whole"),
+        F.greatest(times - whole, F.lit(0.0)).alias("__prob"),
+        F.ceil(F.col("__n") / block_rows).cast("long").alias("__blocks")), "mix-plan")
+    work = units.join(plan, F.col("__source").eqNullSafe(F.col("__of"))).drop("__of")
     work = (work.withColumn("__words", F.expr("__size * __rows"))
             .withColumn("__draw", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "__id", "__size"), 11) / float(1 << 53))
             .withColumn("__sid", F.xxhash64("__source"))
             .withColumn("__block", F.pmod(F.xxhash64(F.lit(seed + 1), "__id", "__size"), F.col("__blocks"))))
-    most_blocks = max((r[5] for r in rows), default=1)
+    most_blocks = plan.agg(F.max("__blocks")).first()[0] or 1
     decided = None
     while True:
         last = most_blocks == 1

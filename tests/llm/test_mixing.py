@@ -19,13 +19,41 @@ def test_word_sizes(odd, docs):
         assert got == sorted(((r.doc_id, r.source, words(r.text)) for r in df.collect()), key=repr)
 
 
-def test_targets():
-    assert targets([10, 10], [1, 3], 20) == [5, 15]
+def brute_targets(sizes, weights, total, most=3):
+    """Shares by weight; whichever is above its bound is set to it, one at a time, lowest bound a weight first."""
+    out = [0.0] * len(sizes)
+    left, open_ = total, [i for i in range(len(sizes)) if sizes[i] > 0]
+    for i in sorted(open_, key=lambda i: sizes[i] / weights[i]):
+        by = sum(weights[k] for k in open_)
+        out[i] = min(left * weights[i] / by, most * sizes[i])
+        left -= out[i]
+        open_.remove(i)
+    return out
+
+
+@pytest.mark.parametrize("sizes, weights, want", [
+    ([10, 10], (1, 3), [5, 15]),
     # the small source stops at three times its size; the others share what is left by weight
-    assert targets([1, 100, 99], [2, 1, 1], 200) == [3, 98.5, 98.5]
-    assert targets([0, 10], [5, 1], 10) == [0, 10]
-    assert targets([], [], 0) == []
-    assert sum(targets([1, 1], [1, 2], 1000)) == 6
+    ([1, 100, 99], (2, 1, 1), [3, 98.5, 98.5]),
+    ([0, 10], (5, 1), [0, 10]),
+    ([0, 0], (1, 2), [0, 0]),
+    ([], (1,), [])])
+def test_targets(spark, sizes, weights, want):
+    df = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate(sizes)], "__source string, source_size long")
+    assert [r.target for r in targets(df, weights).orderBy("__source").collect()] == want
+    assert want == pytest.approx(brute_targets(sizes, weights, sum(sizes)))
+
+
+def test_targets_of_many_sources(spark):
+    """Several rounds of caps, names beyond the first plane, null as the last source."""
+    rng = np.random.default_rng(4)
+    names = sorted({chr(int(c)) + str(i) for i, c in enumerate(rng.choice([65, 233, 0xFFFD, 0x1F600], 300))}) + [None]
+    sizes = [int(n) for n in 10 ** rng.uniform(0, 6, len(names))]
+    df = spark.createDataFrame(list(zip(names, sizes)), "__source string, source_size long").repartition(7)
+    got = {r["__source"]: r.target for r in targets(df).collect()}
+    want = brute_targets(sizes, [1 + i % 3 for i in range(len(names))], sum(sizes))
+    assert [got[n] for n in names] == pytest.approx(want)
+    assert sum(t == 3 * s for t, s in zip(want, sizes)) > 20
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 40, 600])
