@@ -11,7 +11,9 @@ running sum answers how many tokens any prefix has, and where a text must be cut
 without encoding anything again.  Pieces recur, so each worker keeps the changes of pieces it has
 seen, at most ``CACHE_PIECES`` of them (it is emptied when full; the answers do not depend on it).
 
-The pattern, vocabulary, merges and added tokens are read from the tokenizer file; its path is a parameter.
+Vocabulary, merges and added tokens are read from the tokenizer file; its path is a parameter.  The
+pattern is the fixed one of byte-level files; a file that asks for another, or for a normaliser, a
+prefix or merge rules beyond the plain ones, is refused.
 
 Defined cases: a null text counts as empty and has 0 tokens; prefixes that end inside a character
 have the count of the last whole character; ids and repeated rows play no part; an empty table
@@ -52,12 +54,28 @@ def byte_letters() -> dict[str, int]:
     return letters
 
 
+def refuse_other_rules(spec: dict) -> None:
+    """Raise ValueError unless the file is plain byte-level BPE, whose counts are exact here."""
+    before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    added = spec.get("added_tokens") or []
+    odd = [name for name, wrong in (
+        ("model.type", model.get("type", "BPE") != "BPE"),
+        ("pre_tokenizer", before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True)),
+        ("normalizer", spec.get("normalizer") is not None),
+        *((f"model.{key}", model.get(key)) for key in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")),
+        *((f"added_tokens.{key}", any(t.get(key) for t in added)) for key in ("single_word", "lstrip", "rstrip")),
+    ) if wrong]
+    if odd:
+        raise ValueError("prefix counts are exact for plain byte-level BPE files only; this one sets " + ", ".join(odd))
+
+
 class PrefixCounter:
     """Prefix token counts for one tokenizer file."""
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        refuse_other_rules(spec)
         letters = byte_letters()
         to_bytes = lambda s: bytes(letters[c] for c in s)
         added = {t["content"] for t in spec.get("added_tokens", [])}

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from kpiforge.llm.token_counts import counter, fitting_bytes, prefix_counts, prefix_totals
+from kpiforge.llm.token_counts import counter, fitting_bytes, prefix_counts, prefix_totals, refuse_other_rules
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PARTS = ["a", "b", " ", "  ", "\n", "\t", "'s", "'re", "'ll", "é", "ñ", "1", "23", "!", "...", "the", "ing", " hello",
@@ -65,3 +66,18 @@ def test_budget(library):
         whole = text.encode()[:cut].decode("utf-8", "ignore")
         assert len(library.encode(whole, add_special_tokens=False).ids) <= budget
     assert fitting_bytes(store, 1000) == len(text.encode())
+
+
+@pytest.mark.parametrize("change, named", [
+    ({"pre_tokenizer": {"type": "Whitespace"}}, "pre_tokenizer"),
+    ({"pre_tokenizer": None}, "pre_tokenizer"),
+    ({"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "use_regex": True}}, "pre_tokenizer"),
+    ({"normalizer": {"type": "NFC"}}, "normalizer"),
+    ({"model": {"type": "BPE", "ignore_merges": True}}, "ignore_merges"),
+    ({"added_tokens": [{"content": "<x>", "lstrip": True}]}, "added_tokens.lstrip")])
+def test_files_with_other_rules_are_refused(change, named):
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    refuse_other_rules(spec)
+    with pytest.raises(ValueError, match=named):
+        refuse_other_rules(spec | change)
