@@ -7,7 +7,9 @@ start every ``STRIDE`` words, so all overlapping windows of the whole text are s
 score is that of its worst window.
 
 The network is trained here, in numpy, on a bounded sample of labelled texts (``TRAIN_TEXTS`` toxic
-and ``CLEAN_TEXTS`` clean ones, drawn by a hash of the id, at most ``TRAIN_WINDOWS`` windows of a text, spread over it).  A label
+and ``CLEAN_TEXTS`` clean ones, drawn by a hash of the id).  Texts of the sample are whole, with all their windows; the sample's
+size is bounded by ``TEXT_WINDOWS`` windows (of ``WINDOW_BYTES`` bytes) a text on average, and a text that is too long for
+what is left of it is passed over for the next in order.  A label
 holds for a text, not for each of its windows: training starts with the windows of toxic texts that
 have the words and 4-grams most typical of toxic texts, then takes those that the network itself scores
 highest, and for clean texts the highest as well as others.
@@ -43,8 +45,9 @@ BLANK = 0.2  # share of words that training leaves out
 GRAM_CELLS = 1 << 17
 TRAIN_TEXTS = 700
 CLEAN_TEXTS = 2_400
-TRAIN_WINDOWS = 24
-WINDOW_BYTES = 4096
+TEXT_WINDOWS = 24
+WINDOW_BYTES = 512
+LEAST_TEXTS = 5  # training texts that have a word or 4-gram with an embedding of its own
 SPARE = 2  # times the sample that is drawn, as labels may be of texts that are not there
 THRESHOLD = 0.3
 EPOCHS = (4, 3, 3, 2)
@@ -257,7 +260,7 @@ def fit(texts: pa.ChunkedArray, text_of: np.ndarray, toxic: np.ndarray, seed: in
         seen = np.unique(np.concatenate(parts))
         hot = toxic[seen // cells] > 0
         # what few texts have can only be learned by heart: it stays without an embedding
-        usual = np.bincount(seen % cells, minlength=cells) >= max(3, int(toxic.sum()) // 30)
+        usual = np.bincount(seen % cells, minlength=cells) >= LEAST_TEXTS
         learned[name] = np.flatnonzero(usual)
         one = np.bincount(seen[hot] % cells, minlength=cells) / max(toxic.sum(), 1)
         two = np.bincount(seen[~hot] % cells, minlength=cells) / max((1 - toxic).sum(), 1)
@@ -299,23 +302,31 @@ def fit(texts: pa.ChunkedArray, text_of: np.ndarray, toxic: np.ndarray, seed: in
 
 def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        orders, labels, texts = [], [], []
+        orders, labels, costs, texts = [], [], [], []
         toxic, order = batch.column(1).to_pylist(), batch.column(0).to_pylist()
         for first, _, data, offsets in slices(pc.utf8_lower(batch.column(2).fill_null(""))):
             starts, ends, counts = word_spans(data, offsets, PUNCTUATION)
             begin, size, row = windows(counts)
             for r in range(len(counts)):
-                own = np.flatnonzero(row == r)
-                if len(own) > TRAIN_WINDOWS:
-                    own = own[np.linspace(0, len(own) - 1, TRAIN_WINDOWS).astype(int)]
-                for w in own:
+                for w in np.flatnonzero(row == r):
                     a, b = starts[begin[w]], ends[begin[w] + size[w] - 1]
                     orders.append(order[first + r])
                     labels.append(toxic[first + r])
-                    texts.append(bytes(data[a:min(b, a + WINDOW_BYTES)]).decode("utf-8", "ignore"))
+                    costs.append(max(1, -(-int(b - a) // WINDOW_BYTES)))
+                    texts.append(bytes(data[a:b]).decode("utf-8"))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(orders, pa.int64()), pa.array(labels, pa.int32()), pa.array(texts, pa.string())],
-            ["order", "toxic", "text"])
+            [pa.array(orders, pa.int64()), pa.array(labels, pa.int32()), pa.array(costs, pa.int64()), pa.array(texts, pa.string())],
+            ["order", "toxic", "cost", "text"])
+
+
+def choose(costs: list[tuple[int, int]], texts: int) -> list[int]:
+    """The first ``texts`` texts by order, of (order, cost), that fit the sample's size one after another."""
+    left, chosen = texts * TEXT_WINDOWS, []
+    for order, cost in sorted(costs):
+        if len(chosen) < texts and cost <= left:
+            chosen.append(order)
+            left -= cost
+    return chosen
 
 
 def train(texts: DataFrame, labels: DataFrame, train_texts: int = TRAIN_TEXTS,
@@ -329,35 +340,33 @@ def train(texts: DataFrame, labels: DataFrame, train_texts: int = TRAIN_TEXTS,
              for label, n in ((1, train_texts), (0, clean_texts))]
     rows = texts.join(F.broadcast(drawn[0].unionByName(drawn[1])), "__id")
     sample = store(rows.select("order", "toxic", "text")
-                   .mapInArrow(_training_windows, "order long, toxic int, text string"), "toxicity-sample")
+                   .mapInArrow(_training_windows, "order long, toxic int, cost long, text string"), "toxicity-sample")
+    # one row for each drawn text
+    costs = sample.groupBy("toxic", "order").agg(F.sum("cost").alias("cost")).collect()
+    chosen = [order for label, n in ((1, train_texts), (0, clean_texts))
+              for order in choose([(r.order, r.cost) for r in costs if r.toxic == label], n)]
+    picked = sample.join(F.broadcast(sample.sparkSession.createDataFrame([(o,) for o in chosen], "order long")), "order")
     # one task learns from the bounded sample, so that the driver only holds the weights
-    learned = sample.coalesce(1).mapInArrow(_learn(train_texts, clean_texts), "weights binary").collect()
+    learned = picked.select("order", "toxic", "text").coalesce(1).mapInArrow(_learn, "weights binary").collect()
     return dict(np.load(io.BytesIO(bytes(learned[0].weights)))) if learned else None
 
 
-def _learn(train_texts: int, clean_texts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [b for b in batches if b.num_rows]
-        if not rows:
-            return
-        table = pa.Table.from_batches(rows)
-        order, label = table.column("order").to_numpy(), table.column("toxic").to_numpy()
-        # the texts of lowest hash of either label
-        ids, first = np.unique(order, return_index=True)
-        toxic = label[first] == 1
-        chosen = np.r_[ids[toxic][:train_texts], ids[~toxic][:clean_texts]]
-        keep = np.flatnonzero(np.isin(order, chosen))
-        # in the texts' order; windows of one text are in one batch, in theirs
-        keep = keep[np.argsort(order[keep], kind="stable")]
-        ids, text_of = np.unique(order[keep], return_inverse=True)
-        toxic = np.zeros(len(ids))
-        np.maximum.at(toxic, text_of, label[keep].astype(float))
-        if not 0 < toxic.sum() < len(toxic):
-            return
-        weights = io.BytesIO()
-        np.savez(weights, **fit(table.column("text").take(pa.array(keep)), text_of, toxic))
-        yield pa.RecordBatch.from_arrays([pa.array([weights.getvalue()], pa.binary())], ["weights"])
-    return run
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = [b for b in batches if b.num_rows]
+    if not rows:
+        return
+    table = pa.Table.from_batches(rows)
+    order, label = table.column("order").to_numpy(), table.column("toxic").to_numpy()
+    # in the texts' order; windows of one text are in one batch, in theirs
+    keep = np.argsort(order, kind="stable")
+    ids, text_of = np.unique(order[keep], return_inverse=True)
+    toxic = np.zeros(len(ids))
+    np.maximum.at(toxic, text_of, label[keep].astype(float))
+    if not 0 < toxic.sum() < len(toxic):
+        return
+    weights = io.BytesIO()
+    np.savez(weights, **fit(table.column("text").take(pa.array(keep)), text_of, toxic))
+    yield pa.RecordBatch.from_arrays([pa.array([weights.getvalue()], pa.binary())], ["weights"])
 
 
 def text_scores(p: dict[str, np.ndarray], data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

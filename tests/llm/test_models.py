@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus_brute import lower_ascii
 
@@ -107,6 +108,26 @@ def test_toxicity_of_held_out_documents(spark):
     assert np.mean([r.predicted for r in apart if not toxic[r.doc_id]]) < 0.1
 
 
+def test_toxicity_sample_has_whole_texts():
+    """A text of the sample keeps all its windows, whatever its place in the text; none is cut."""
+    words = [f"word{i}" for i in range(2_000)] + ["x" * 9_000]
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8], pa.int64()), pa.array([1, 0], pa.int32()),
+                                        pa.array([" ".join(words), None])], ["order", "toxic", "text"])
+    (out,) = toxicity._training_windows(iter([batch]))
+    starts, sizes, _ = toxicity.windows(np.array([len(words)]))
+    assert out.column("text").to_pylist() == [" ".join(words[a:a + n]) for a, n in zip(starts, sizes)]
+    assert set(out.column("order").to_pylist()) == {7}
+    assert out.column("cost").to_pylist()[0] == 1 and out.column("cost").to_pylist()[-1] == 18
+
+
+def test_toxicity_sample_is_bounded_by_texts_and_size():
+    each = toxicity.TEXT_WINDOWS
+    # by order; what does not fit is passed over and smaller ones after it are not
+    assert toxicity.choose([(3, 1), (1, each), (2, 10 * each), (4, each)], 3) == [1, 3, 4]
+    assert toxicity.choose([(k, 1) for k in range(9)], 4) == [0, 1, 2, 3]
+    assert toxicity.choose([(1, each + 1)], 1) == [] and toxicity.choose([], 5) == []
+
+
 def test_toxicity_of_odd_rows(spark, odd, nothing):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     rows = toxicity.score(odd, none).collect()
