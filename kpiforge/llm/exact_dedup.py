@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiforge.llm.text import store
+from kpiforge.llm.text import store, store_result
 
 BLOCK_BYTES = 4096
 _BLOCKS = ("__row long, __id long, __sha string, __count int, __pos int, __block binary")
@@ -130,7 +130,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Of equal texts the row with the largest id stays; with that id repeated, all its rows have kept.
     """
-    named = store(identities(df, id_col, text_col, block_bytes, hash_bits), "identities")
+    # the blocks and levels are not needed once every row has its identity
+    named = store_result(df.sparkSession, lambda: identities(df, id_col, text_col, block_bytes, hash_bits), "identities")
     groups = named.groupBy("__level", "__name").agg(F.max("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     return named.join(groups, ["__level", "__name"]).select(
         F.col("__id").alias("doc_id"), "keep_id", "group_size",

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import kpiforge
-from kpiforge.session import scratch_path
+from kpiforge.session import drop_path, scratch_path
 
 SLICE_BYTES = 1 << 18
 # any odd multiplier: powers of it are invertible modulo 2**64
@@ -27,6 +28,8 @@ _MULT = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULT, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 _SHIPPED: dict[str, str] = {}
+# tables written since the innermost open ``store_result`` began
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
 ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
                "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
@@ -45,10 +48,30 @@ def store(df: DataFrame, name: str) -> DataFrame:
     This cuts lineage: a lost executor costs the tasks that are running, not the whole history.
     """
     path = scratch_path(df.sparkSession, name)
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_result(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``store`` what ``make`` returns and delete the tables that were stored on the way there, also if it fails.
+
+    Only the returned table may be read afterwards.  Calls may be nested."""
+    mine: list[str] = []
+    token = _WRITTEN.set(mine)
+    try:
+        try:
+            made = make()
+        finally:
+            _WRITTEN.reset(token)
+        return store(made, name)
+    finally:
+        for path in mine:
+            drop_path(spark, path)
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """The names, lengthened until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}
