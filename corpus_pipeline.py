@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiforge.llm import decontam, langid, mixing, ngram_join, sharding
-from kpiforge.llm.text import documents, free_names, row_key, ship, store
+from kpiforge.llm.text import documents, free_names, row_key, ship, store_result
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,10 +61,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; every stage's rows are stored and read again."""
-    docs = documents(spark, sf_dir)
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = store(docs, f"stage-{name}")
-    return docs
+    """Apply the stages to ``documents``; every stage's rows are stored and read again.
+
+    What a stage read and wrote on its way is deleted once its rows are stored."""
+    def after(stages: list) -> DataFrame:
+        if not stages:
+            return documents(spark, sf_dir)
+        name, stage = stages[-1]
+        return store_result(spark, lambda: stage(spark, after(stages[:-1]), sf_dir), f"stage-{name}")
+
+    return STAGES[-1][1](spark, after(STAGES[:-1]), sf_dir)
