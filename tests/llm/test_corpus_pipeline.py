@@ -12,6 +12,7 @@ from test_sharding import brute as brute_shards
 import __spark_entry__ as entry
 from kpiforge.llm.queries import ORACLE_SQL, QUERIES
 from kpiforge.llm.text import store
+from kpiforge.session import child_names, ensure_checkpoint_dir
 
 
 def test_registered():
@@ -62,3 +63,15 @@ def test_empty_documents(spark, sf_small, nothing):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_small)
         assert docs.count() == 0
+
+
+def test_run_leaves_only_what_its_last_stage_reads(spark, sf_small):
+    root = ensure_checkpoint_dir(spark)
+    before = set(child_names(spark, root))
+    rows = corpus_pipeline.run(spark, sf_small).collect()
+    left = {n.removeprefix("kpiforge-").rsplit("-", 1)[0]: n for n in set(child_names(spark, root)) - before}
+    # the mixture, and tables of the last stage, whose rows are read when the result is
+    assert [n for n in left if n.startswith("stage-")] == ["stage-mixture"]
+    assert set(left) - {"stage-mixture"} <= {"equal-rows", "shard-rows", "shard-copies"}
+    mixed = spark.read.parquet(f"{root}/{left['stage-mixture']}")
+    assert sorted(map(tuple, rows), key=repr) == brute_shards(mixed, 16, 17)
