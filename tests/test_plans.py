@@ -109,3 +109,11 @@ def test_rfm_scans_the_orders_once(spark, sf_small):
     p = plan_of(QUERIES["customer_rfm"](spark, sf_small))
     scans = re.findall(r"FileScan parquet [^\n]*", p)
     assert len([s for s in scans if "table_stats" not in s and "order_id" in s]) == 1, scans
+
+
+def test_plans_do_not_show_earlier_runs(spark, sf_small):
+    """A query that has run before has the plan that it had at first."""
+    first = plan_of(QUERIES["customer_rfm"](spark, sf_small)).count("FileScan parquet")
+    QUERIES["customer_rfm"](spark, sf_small).collect()
+    assert plan_of(QUERIES["customer_rfm"](spark, sf_small)).count("FileScan parquet") == first
+    test_rfm_scans_the_orders_once(spark, sf_small)
