@@ -42,6 +42,8 @@ CLASSES = 32
 VOCABULARY = 16_384
 SUFFIXES = 4_096
 LOOKUP = 1 << 18
+COUNTED = 1 << 19  # words whose hashes a task holds to count them
+MOVED = 1 << 13  # rows of words' neighbours that a task holds to move them
 ROUNDS = 3
 ADD = 0.1
 BETA = 5.0
@@ -54,13 +56,23 @@ def held_out(id_col: Column, parts: int = 10, part: int = 0) -> Column:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with their counts, summed over about ``COUNTED`` words at a time."""
+    def summed() -> pa.RecordBatch:
+        words, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"])
+
+    held, size = [], 0
     for batch in batches:
-        for _, _, data, offsets in slices(batch.column(0), 4 << 20):
+        for _, _, data, offsets in slices(batch.column(0)):
             starts, ends, _ = word_spans(data, offsets)
-            hashes = span_hashes(data, starts, ends)
-            words, counts = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"])
+            held.append(span_hashes(data, starts, ends))
+            size += len(starts)
+            if size >= COUNTED:
+                yield summed()
+                held, size = [], 0
+    if size:
+        yield summed()
 
 
 class Units:
@@ -156,26 +168,51 @@ def exchange(left: np.ndarray, right: np.ndarray, cls: np.ndarray) -> np.ndarray
     return cls
 
 
+_AROUND = "word long, place int, n long"
+
+
 def _tail_neighbours(state, classes: int):
-    """Counts of the class before (slot: the class) and after (slot: ``classes`` + it) every word that is no unit."""
+    """Every word that is no unit between its neighbours, with counts; ``place`` holds its bucket and the class before and after it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, cls = state.value
         units = Units(words)
         for batch in batches:
-            for _, _, data, offsets in slices(batch.column(0), 1 << 20):
+            for _, _, data, offsets in slices(batch.column(0)):
                 line, hashes, counts = units.sequence(data, offsets)
                 around = np.r_[END, cls[line], END]
                 at = np.flatnonzero(line > len(words))
-                word = np.tile(lined(hashes, counts)[at], 2)
-                slot = np.r_[around[at], classes + around[at + 2]]
-                bucket = np.tile(line[at] - 1 - len(words), 2)
-                first, n = _equal(slot, word)
+                word = lined(hashes, counts)[at]
+                place = ((line[at] - 1 - len(words)) * classes + around[at]) * classes + around[at + 2]
+                first, n = _equal(place, word)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(word[first].view(np.int64)), pa.array(bucket[first].astype(np.int32)),
-                     pa.array(slot[first].astype(np.int32)), pa.array(n.astype(np.int64))], ["word", "bucket", "slot", "n"])
+                    [pa.array(word[first].view(np.int64)), pa.array(place[first].astype(np.int32)), pa.array(n.astype(np.int64))],
+                    ["word", "place", "n"])
     return run
 
 
+def _whole_words(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of ``_AROUND`` sorted by word, about ``most`` at a time; the rows of a word stay together."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append([batch.column(c).to_numpy() for c in range(3)])
+        rows += batch.num_rows
+        if rows < most:
+            continue
+        word, place, n = (np.concatenate(c) for c in zip(*held))
+        last = int(np.searchsorted(word, word[-1]))
+        if last:
+            yield word[:last], place[:last], n[:last]
+        # of the last word, more rows may follow: its equal rows become one
+        places, at = np.unique(place[last:], return_inverse=True)
+        total = np.zeros(len(places), np.int64)
+        np.add.at(total, at, n[last:])
+        held, rows = [[np.full(len(places), word[-1]), places, total]], 0
+    if held:
+        word, place, n = (np.concatenate(c) for c in zip(*held))
+        if len(word):
+            yield word, place, n
+
+
 def best_classes(left: np.ndarray, right: np.ndarray, own: np.ndarray, pairs: np.ndarray, sums: np.ndarray) -> np.ndarray:
     """The class each word moves to from its ``own``, given all others as they are: the rule of ``exchange``."""
     left, right = left.astype(float), right.astype(float)
@@ -199,21 +236,19 @@ def best_classes(left: np.ndarray, right: np.ndarray, own: np.ndarray, pairs: np
 
 
 def _move(state):
-    """Words with their neighbours' classes to words with their count and best class."""
+    """Rows of ``_AROUND`` sorted by word to words with their count and best class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, pairs, sums = state.value
         classes = len(sums)
-        for batch in batches:
-            entries = batch.column(2)
-            i = np.repeat(np.arange(batch.num_rows), entries.value_lengths().to_numpy(zero_copy_only=False))
-            flat = entries.flatten()
-            around = np.zeros((batch.num_rows, 2 * classes), np.int64)
-            around[i, flat.field("slot").to_numpy()] = flat.field("n").to_numpy()
-            left, right = around[:, :classes], around[:, classes:]
-            own = buckets[batch.column(1).to_numpy()]
+        for word, place, n in _whole_words(batches, MOVED):
+            first = np.flatnonzero(np.r_[True, np.diff(word) != 0])
+            row = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(word)])) * classes
+            left, right = (np.bincount(row + c, n, len(first) * classes).reshape(-1, classes).astype(np.int64)
+                           for c in (place // classes % classes, place % classes))
+            own = buckets[place[first] // classes ** 2]
             cls = best_classes(left, right, own, pairs, sums)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(right.sum(1)), pa.array(cls.astype(np.int32)), pa.array(own.astype(np.int32))],
+                [pa.array(word[first]), pa.array(right.sum(1)), pa.array(cls.astype(np.int32)), pa.array(own.astype(np.int32))],
                 ["word", "n", "cls", "own"])
     return run
 
@@ -351,9 +386,8 @@ def train(texts: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, vocabu
     buckets = cls[1 + len(units):]
     # all other words move from their bucket's class to their own best one, in parallel
     move = sc.broadcast((buckets, pairs, sums))
-    around = (texts.mapInArrow(_tail_neighbours(state, classes), "word long, bucket int, slot int, n long")
-              .repartition("word").groupBy("word", "slot").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("n"))
-              .groupBy("word").agg(F.first("bucket").alias("bucket"), F.collect_list(F.struct("slot", "n")).alias("around")))
+    around = (texts.mapInArrow(_tail_neighbours(state, classes), _AROUND)
+              .repartition("word").sortWithinPartitions("word"))
     tail = store(around.mapInArrow(_move(move), "word long, n long, cls int, own int"), "tail")
     index = HashIndex(table)
 
@@ -451,9 +485,9 @@ def class_scores(df: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, vo
     gain = F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADD))
     rare = rare.select("row", *empty, F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_known"),
                        gain.alias("base"), gain.alias("model"))
-    steps = df.sparkSession.createDataFrame(
-        [(a, b, float(model.trans[a, b] - model.below[b])) for a in range(classes) for b in range(classes)],
-        "a int, b int, step double")
+    # from Arrow: a list of rows would start Python workers of its own on the executors, which stay
+    before, after = (c.ravel().astype(np.int32) for c in np.indices((classes, classes)))
+    steps = df.sparkSession.createDataFrame(pa.table({"a": before, "b": after, "step": (model.trans - model.below).ravel()}))
     pairs = _resolved(parts.filter("a IS NOT NULL").select("row", "prev", "cur", "a", "b", "times"), tail)
     pairs = pairs.join(F.broadcast(steps), ["a", "b"]).select(
         "row", *empty, F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base"),

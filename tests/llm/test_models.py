@@ -233,6 +233,47 @@ def test_class_model_probabilities_sum_to_one(docs):
         assert np.allclose(mass / 10.0 ** model.below, 1)
 
 
+def test_class_model_holds_little_in_a_task():
+    """Hashing a large batch leaves no tables beyond a slice's, and counts are summed over a bounded number of words."""
+    from kpiforge.llm import lm, text
+    text._POWERS.clear()
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 1_000_000, 500)) for _ in range(700)]
+    batch = pa.RecordBatch.from_arrays([pa.array([*texts, "x" * (text.SLICE_BYTES + 9), None, ""])], ["t"])
+    got = Counter()
+    for out in lm._word_counts(iter([batch, batch])):
+        assert out.num_rows <= lm.COUNTED + text.SLICE_BYTES
+        got.update(dict(zip(out.column(0).to_pylist(), out.column(1).to_pylist())))
+    want = Counter(w for t in [*texts, "x" * (text.SLICE_BYTES + 9)] for w in t.split())
+    assert got == {int(np.uint64(hash_of(w)).view(np.int64)): 2 * n for w, n in want.items()}
+    assert all(len(p) <= text.SLICE_BYTES + 2 for p in text._POWERS.values())
+
+
+def test_words_stay_whole_between_batches():
+    """Sorted rows cut into small batches: a word's rows come together, also when it fills several batches."""
+    from kpiforge.llm import lm
+    rng = np.random.default_rng(10)
+    word = np.sort(np.r_[rng.integers(-50, 50, 300), np.full(400, 7)])
+    place, n = rng.integers(0, 9, len(word)).astype(np.int32), rng.integers(1, 5, len(word))
+    batches = [pa.RecordBatch.from_arrays([pa.array(word[i:i + 13]), pa.array(place[i:i + 13]), pa.array(n[i:i + 13])], ["word", "place", "n"])
+               for i in range(0, len(word), 13)]
+    want, got, parts = Counter(), Counter(), list(lm._whole_words(iter(batches), 40))
+    for w, p, k in zip(word.tolist(), place.tolist(), n.tolist()):
+        want[w, p] += k
+    for ws, ps, ks in parts:
+        for w, p, k in zip(ws.tolist(), ps.tolist(), ks.tolist()):
+            got[w, p] += k
+    seen = [set(ws.tolist()) for ws, _, _ in parts]
+    assert got == want and len(parts) > 3 and sum(map(len, seen)) == len(set(word.tolist()))
+    assert max(len(ws) for ws, _, _ in parts) < 80
+    assert not list(lm._whole_words(iter([]), 40))
+
+
+def test_class_model_steps_need_no_python_rows(docs):
+    """The class steps come as Arrow: no tasks that turn Python rows into Spark's."""
+    assert "ExistingRDD" not in class_scores(docs, rounds=1)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_class_model_of_nothing(nothing):
     assert class_scores(nothing).count() == 0
 
