@@ -45,6 +45,7 @@ VOCABULARY = 8_192
 BLOCK_ITEMS = 256
 BLOCK_ROWS = 1_024
 BLOCKS_A_PASS = 4  # blocks that share a pass over the corpus
+SEGMENTS = 32  # sums of a passage or word that are made at a time
 PIECE = 2 * PASSAGE  # a passage inside a copy of an item is inside one of its pieces
 OWN = 0.5  # share of a piece's weight that its words in the space have at least
 COSINE = 0.18
@@ -139,6 +140,17 @@ def _blocks(ids: list, texts: list[str], idf: np.ndarray, common: float) -> Iter
         yield items
 
 
+def _summed(weight: np.ndarray, rows: np.ndarray, at: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Sums of ``weight * rows[at]`` over the segments that start at ``begins``, as many at a time as stay in the cache."""
+    out = np.empty((len(begins), rows.shape[1]), rows.dtype)
+    bounds = np.r_[begins, len(at)]
+    for i in range(0, len(begins), SEGMENTS):
+        part = bounds[i:i + SEGMENTS + 1]
+        some = slice(part[0], part[-1])
+        out[i:i + SEGMENTS] = np.add.reduceat(weight[some, None] * rows[at[some]], part[:-1] - part[0], axis=0)
+    return out
+
+
 def _products(state):
     """Sums over all passages of x (x' start), for every block of items: the passages' covariance times its start."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,12 +178,12 @@ def _products(state):
                         continue
                     value = (weight[known] / np.maximum(norm[passage[known]], 1e-9)).astype(np.float32)
                     begins = np.flatnonzero(np.r_[True, np.diff(passage[known]) > 0])
-                    seen = np.add.reduceat(value[:, None] * start[at[known]], begins, axis=0)
-                    back = value[:, None] * np.repeat(seen, np.diff(np.r_[begins, len(known)]), axis=0)
+                    seen = _summed(value, start, at[known], begins)
                     order = np.argsort(at[known], kind="stable")
                     cols = at[known][order]
                     starts = np.flatnonzero(np.r_[True, np.diff(cols) > 0])
-                    total[cols[starts]] += np.add.reduceat(back[order], starts, axis=0)
+                    segment = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(known)]))
+                    total[cols[starts]] += _summed(value[order], seen, segment[order], starts)
         yield chunks(TaskContext.get().partitionId(), np.concatenate([t.astype(np.float32).ravel() for _, _, t in held]))
     return run
 
@@ -282,7 +294,7 @@ def _search(state, cosine: float, share: float, answer: float, whole: float):
                         held = where[:, 1] - where[:, 0]
                         begins = np.r_[0, np.cumsum(held)[:-1]]
                         token = known[np.repeat(where[:, 0] - begins, held) + np.arange(int(held.sum()))]
-                        seen = np.add.reduceat(weight[token][:, None].astype(np.float32) * seeker.basis[at[token]], begins, axis=0)
+                        seen = _summed(weight[token].astype(np.float32), seeker.basis, at[token], begins)
                         close = (seen / norm[some, None].astype(np.float32)) @ seeker.latent.T
                         if len(seeker.firsts) < len(seeker.owner):
                             close = np.maximum.reduceat(close, seeker.firsts, axis=1)

@@ -42,12 +42,13 @@ CLASSES = 32
 VOCABULARY = 16_384
 SUFFIXES = 4_096
 LOOKUP = 1 << 18
-COUNTED = 1 << 19  # words whose hashes a task holds to count them
+COUNTED = 1 << 19  # words that a task holds to count them
 MOVED = 1 << 13  # rows of words' neighbours that a task holds to move them
 ROUNDS = 3
 ADD = 0.1
 BETA = 5.0
 END = 0  # unit and class of the end of a document
+END_LINE = np.array([END])
 
 
 def held_out(id_col: Column, parts: int = 10, part: int = 0) -> Column:
@@ -120,12 +121,23 @@ def _neighbours(state, classes: int):
         words, cls = state.value
         units = Units(words)
         total = np.zeros((2, units.size * classes), np.int64)
+        held, size = [], 0
+
+        def add() -> None:
+            line = np.concatenate([END_LINE, *held])
+            before, line = line[:-1], line[1:]
+            total[0] += np.bincount(line * classes + cls[before], minlength=total.shape[1])
+            total[1] += np.bincount(before * classes + cls[line], minlength=total.shape[1])
+
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
-                line, _, _ = units.sequence(data, offsets)
-                before = np.r_[END, line[:-1]]
-                total[0] += np.bincount(line * classes + cls[before], minlength=total.shape[1])
-                total[1] += np.bincount(before * classes + cls[line], minlength=total.shape[1])
+                held.append(units.sequence(data, offsets)[0])  # a line ends with END
+                size += len(held[-1])
+                if size >= COUNTED:
+                    add()
+                    held, size = [], 0
+        if size:
+            add()
         yield chunks(TaskContext.get().partitionId(), total.ravel())
     return run
 

@@ -249,6 +249,31 @@ def test_class_model_holds_little_in_a_task():
     assert all(len(p) <= text.SLICE_BYTES + 2 for p in text._POWERS.values())
 
 
+@pytest.mark.parametrize("counted", [1, 1 << 19])
+def test_neighbours_do_not_depend_on_what_is_counted_at_once(spark, monkeypatch, counted):
+    """Counts by hand of the classes around units, over slices counted alone and together."""
+    from kpiforge.llm import lm
+    monkeypatch.setattr(lm, "COUNTED", counted)
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    units = np.array([hash_of(w) for w in "abc"], np.uint64)
+    cls = np.r_[0, 1, 2, 3, np.full(lm.SUFFIXES, 4)]
+    texts = ["a b c a", None, "", "c x", "b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
+    state = type("State", (), {"value": (units, cls)})()
+    (out,) = lm._neighbours(state, 5)(iter([batch, batch]))
+    left, right = np.frombuffer(b"".join(out.column(2).to_pylist()), np.int64).reshape(2, -1, 5)
+    kinds = {"a": 1, "b": 2, "c": 3, "x": 4}
+    steps = Counter()
+    for t in [*texts, *texts]:
+        line = [0, *(kinds[w] for w in (t or "").split()), 0]
+        steps.update(zip(line, line[1:]))
+    group = np.minimum(np.arange(len(cls)), 4)
+    pairs = np.zeros((2, 5, 5), np.int64)
+    np.add.at(pairs[0], group, left)
+    np.add.at(pairs[1], group, right)
+    assert all(pairs[0][b, a] == pairs[1][a, b] == steps[a, b] for a in range(5) for b in range(5))
+
+
 def test_words_stay_whole_between_batches():
     """Sorted rows cut into small batches: a word's rows come together, also when it fills several batches."""
     from kpiforge.llm import lm
@@ -294,6 +319,20 @@ def test_common_subsequence():
         assert common_subsequence(a, b) == slow(a, b)
 
 
+def test_segment_sums_are_made_some_at_a_time(monkeypatch):
+    """The sums of all segments, bit by bit; no call adds up more segments than stay in the cache."""
+    from kpiforge.llm import decontam
+    rng = np.random.default_rng(11)
+    rows, begins = rng.standard_normal((50, 9)).astype(np.float32), np.r_[0, np.cumsum(rng.integers(1, 40, 299))]
+    at = rng.integers(0, 50, begins[-1] + 5)
+    weight = rng.random(len(at)).astype(np.float32)
+    want = np.add.reduceat(weight[:, None] * rows[at], begins, axis=0)
+    for segments in (1, 32, 300, 1000):
+        monkeypatch.setattr(decontam, "SEGMENTS", segments)
+        assert (decontam._summed(weight, rows, at, begins) == want).all()
+    assert decontam._summed(weight[:0], rows, at[:0], begins[:0]).shape == (0, 9)
+
+
 def test_leaks_match_verbatim_items(spark, more):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     words = lambda t: re.findall(r"\w+", t.lower())
