@@ -270,3 +270,108 @@ def test_bronze_is_sorted_in_tasks_of_bounded_size(spark, sf_small, tmp_path):
     for _, some in rows.sort_values("row_index").groupby("file_path"):
         assert some.order_id.is_monotonic_increasing
     assert stored.exceptAll(bronze).isEmpty() and bronze.exceptAll(stored).isEmpty()
+
+
+def _stages(spark, run):
+    """Stages of the longest job that ``run`` starts: one where nothing is shuffled."""
+    group = f"stages-{id(run)}"
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup(group)]
+    assert jobs
+    return max(len(j.stageIds) for j in jobs)
+
+
+def test_stored_bronze_and_fact_are_written_without_a_shuffle(spark, sf_small, built, tmp_path):
+    """The refresh sorts stored bronze as it reads it, and takes the fact's months from silver's files."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from kpiforge.operators.star import fact_sales
+    from kpiforge.sources.tables import load, write_bronze, write_fact
+    out, _ = built
+    bronze, silver = bronze_from_testdata(spark, sf_small), load(spark, out, "silver_orders_clean")
+    root = str(tmp_path)
+    assert _stages(spark, lambda: write_bronze(bronze, root, "b", ["order_id"], stored=True)) == 1
+    assert _stages(spark, lambda: write_fact(fact_sales(silver), root, "f", by_month=True)) == 1
+    for name, rows in (("b", bronze), ("f", fact_sales(silver))):
+        stored = load(spark, root, name).select(*rows.columns)
+        assert stored.exceptAll(rows).isEmpty() and rows.exceptAll(stored).isEmpty()
+    assert len(glob.glob(f"{root}/f/order_month=*")) == 80
+    for f in glob.glob(f"{root}/f/order_month=*/*.parquet") + glob.glob(f"{root}/b/*.parquet"):
+        table = pq.ParquetFile(f).read(columns=["order_date", "order_id"] if "/f/" in f else ["order_id"])
+        keys = [tuple(r.values()) for r in table.to_pylist()]
+        assert keys == sorted(keys), f
+
+
+def test_stored_tables_are_zstd(built):
+    import glob
+
+    import pyarrow.parquet as pq
+    out, _ = built
+    for table in ("bronze_orders_raw", "silver_orders_clean", "fact_sales", "customer_rfm"):
+        for f in glob.glob(f"{local_path(out)}/{table}/**/*.parquet", recursive=True):
+            meta = pq.ParquetFile(f).metadata
+            assert {meta.row_group(g).column(0).compression for g in range(meta.num_row_groups)} <= {"ZSTD"}, f
+
+
+def test_scan_splits_only_go_down(spark):
+    from kpiforge.session import scan_splits
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    try:
+        for before, inside in (("128MB", "1000"), ("500b", "500")):
+            spark.conf.set(key, before)
+            with pytest.raises(ZeroDivisionError), scan_splits(spark, 1000):
+                assert spark.conf.get(key) == inside
+                1 / 0
+            assert spark.conf.get(key) == before
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_marts_count_orders_without_dealing_the_lines_again(spark, built):
+    """Lines dealt by order once: no mart of the refresh shuffles them by its group and order again."""
+    import re
+
+    from kpiforge.operators import marts as M
+    from kpiforge.plans.pipeline import lines_by_order
+    out, _ = built
+    stored = Warehouse.from_tables(spark, out)
+    lines = lines_by_order(stored.fact)
+    try:
+        held = Warehouse.from_tables(spark, out, fact=lines)
+        for make in (M.daily_totals, M.kpi_daily_snapshot, M.channel_performance_summary, M.product_profitability_summary, M.customer_rfm):
+            df = make(held.fact)
+            rows = sorted(map(tuple, df.collect()), key=repr)
+            assert rows == sorted(map(tuple, make(stored.fact).collect()), key=repr)
+            plan = df._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+            assert not [e for e in re.findall(r"hashpartitioning\(([^)]*)\)", plan) if "order_id" in e], plan
+    finally:
+        lines.unpersist()
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_lines_of_an_order_are_landed_together(spark, sf_small, threshold):
+    """Orders are the last join by which lines move, whether parts can be broadcast or not; the rows are the same."""
+    import re
+
+    from kpiforge.sources.testdata import _joined, mapped_columns
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, threshold)
+        j = _joined(spark, sf_small)
+        plan = j._jdf.queryExecution().optimizedPlan().toString()
+        joins = [c for c in re.findall(r"Join Inner, \(([^)]*)\)", plan) if "l_orderkey" in c or "l_partkey" in c]
+        assert ("l_partkey" if threshold == "10MB" else "l_orderkey") in joins[0], plan
+        got = sorted(map(tuple, j.select(*(c.alias(n) for n, c in mapped_columns(j).items())).collect()))
+    finally:
+        spark.conf.set(key, old)
+    want = sorted(map(tuple, bronze_from_testdata(spark, sf_small).drop("ingestion_time").collect()))
+    assert got == want
