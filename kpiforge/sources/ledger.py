@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kpiforge.session import child_names, drop_path, path_exists, touch
 from kpiforge.schemas import BRONZE
 from kpiforge.sources.csv_ingest import source_files, stage_orders_csv, to_bronze
+from kpiforge.sources.tables import STORED
 
 LOADS, READY = "loads", "READY"
 _FILES = "path string, length long, modificationTime timestamp"
@@ -59,7 +60,7 @@ def load_new_files(spark: SparkSession, path: str | list[str], root: str, multil
             drop_path(spark, load)
             return None
         rows = stage_orders_csv(spark, files, f"{load}/staged", multiline)
-        to_bronze(rows, mode=mode).write.parquet(f"{load}/rows")
+        to_bronze(rows, mode=mode).write.options(**STORED).parquet(f"{load}/rows")
         drop_path(spark, f"{load}/staged")
     except BaseException:
         drop_path(spark, load)
